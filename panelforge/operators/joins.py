@@ -45,4 +45,5 @@ def keep_top_k(df: DataFrame, col: str, k: int, out: str | None = None, other: s
     out = out or col
     top = top_k_values(df, col, k).withColumn("_hit", F.lit(True))
     joined = df.join(F.broadcast(top), on=col, how="left")
-    return joined.withColumn(out, F.when(F.col("_hit"), F.col(col)).otherwise(F.lit(other))).drop("_hit")
+    kept = F.when(F.col("_hit"), F.col(col).cast("string")).otherwise(F.lit(other))
+    return joined.withColumn(out, kept).drop("_hit")

@@ -1,0 +1,355 @@
+"""Splits (H*), scalar / text operators (P*), sampling (T6), unions (S9/U2),
+the captures join (J3), the daily capture aggregate (ST2, batch form) and
+request validation (V*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import exprs as X
+from ..operators import features as FE
+from ..operators import joins as J
+from ..operators import splits as H
+from ..operators import validation as V
+from ..sources.tables import read_table
+from ..streaming.captures import daily_confidence
+from . import oracle as O
+from . import roles
+from .q_panel import _stock_sql
+from .registry import R, normalise, query
+
+M, A = 2147483647, 48271
+
+
+def lehmer_sql(col: str, seed: int = H.SEED) -> str:
+    return f"(((({col} + {seed}) % {M}) * {A}) % {M})"
+
+
+# H1 ------------------------------------------------------------------------------
+@query(
+    "h1_stratified_split",
+    O.with_(O.PACIENTES) + f"""
+, s AS (SELECT CAST(paciente_id AS BIGINT) AS k, nivel_prioridad_atencion AS label FROM pacientes WHERE nivel_prioridad_atencion IS NOT NULL),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {lehmer_sql('k')}, k) AS rk,
+             COUNT(*) OVER (PARTITION BY label) AS n FROM s)
+SELECT label, CASE WHEN rk <= FLOOR(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split, COUNT(*) AS n_rows
+FROM r GROUP BY ALL""",
+    note="exact per-class quota by hash order; brute force = rank by hash per class",
+)
+def h1_stratified_split(spark, sf):
+    p = roles.pacientes(spark, sf).where(F.col("nivel_prioridad_atencion").isNotNull()).select(
+        F.col("paciente_id").cast("long").alias("k"), F.col("nivel_prioridad_atencion").alias("label")
+    )
+    s = H.stratified_split(p, "label", ["k"], method="lehmer")
+    return s.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# H2 ------------------------------------------------------------------------------
+@query(
+    "h2_random_split",
+    f"""SELECT CASE WHEN {lehmer_sql('o_orderkey')} % 10000 < 2000 THEN 'test' ELSE 'train' END AS split,
+       COUNT(*) AS n_rows, {O.R('SUM(o_totalprice)', 2)} AS value
+FROM orders GROUP BY ALL""",
+)
+def h2_random_split(spark, sf):
+    o = read_table(spark, sf, "orders")
+    s = H.hash_split(o, ["o_orderkey"], method="lehmer")
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), R(F.sum("o_totalprice"), 2).alias("value"))
+
+
+# H3 ------------------------------------------------------------------------------
+def _h3_sql() -> str:
+    feats = _stock_sql(7)
+    return f"""{feats.split("SELECT ocupacion_familias")[0]}
+, f AS (SELECT fecha AS split_date FROM s),
+d AS (SELECT split_date, COUNT(*) AS c FROM f GROUP BY split_date),
+d2 AS (SELECT split_date, c, SUM(c) OVER (ORDER BY split_date ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+              SUM(c) OVER () AS n FROM d),
+cut AS (SELECT split_date AS cutoff FROM d2 WHERE cum - c <= FLOOR(n * CAST(0.8 AS DOUBLE)) AND cum > FLOOR(n * CAST(0.8 AS DOUBLE)))
+SELECT CASE WHEN COALESCE(f.split_date < cut.cutoff, FALSE) THEN 'train' ELSE 'test' END AS split, cut.cutoff AS cutoff,
+       COUNT(*) AS n_rows
+FROM f LEFT JOIN cut ON TRUE GROUP BY ALL"""
+
+
+@query("h3_temporal_split", _h3_sql())
+def h3_temporal_split(spark, sf):
+    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7)
+    s = H.temporal_split(fs.df.select("split_date"), "split_date")
+    return s.groupBy("split", "cutoff").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# H4 / H5 -------------------------------------------------------------------------
+@query(
+    "h4_hash_folds",
+    f"""SELECT CAST({lehmer_sql('o_orderkey', H.SEED + 1)} % 3 AS INTEGER) AS fold, o_orderstatus, COUNT(*) AS n_rows
+FROM orders GROUP BY ALL""",
+    note="H4/H5: fold column for CrossValidator(foldCol=...)",
+)
+def h4_hash_folds(spark, sf):
+    o = read_table(spark, sf, "orders")
+    return H.hash_folds(o, ["o_orderkey"], method="lehmer").groupBy("fold", "o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# H6 ------------------------------------------------------------------------------
+def _h6_sql() -> str:
+    feats = _stock_sql(7)
+    head = feats.split("SELECT ocupacion_familias")[0]
+    return f"""{head}
+, f AS (SELECT fecha AS d FROM s),
+dd AS (SELECT d, COUNT(*) AS c FROM f GROUP BY d),
+d2 AS (SELECT d, c, SUM(c) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum, SUM(c) OVER () AS n FROM dd),
+fl AS (SELECT * FROM (VALUES (1), (2), (3)) v(fold)),
+b AS (SELECT fl.fold, d2.*, n - (3 - fold + 1) * FLOOR(n / 4) AS st, n - (3 - fold) * FLOOR(n / 4) AS en FROM d2, fl),
+lo AS (SELECT fold, d AS lo FROM b WHERE cum - c <= st AND cum > st),
+hi AS (SELECT fold, d AS hi FROM b WHERE cum - c <= en AND cum > en),
+fb AS (SELECT fl.fold, lo.lo, hi.hi FROM fl LEFT JOIN lo ON fl.fold = lo.fold LEFT JOIN hi ON fl.fold = hi.fold),
+x AS (SELECT fb.fold, fb.lo, fb.hi,
+        CASE WHEN f.d < fb.lo THEN 'train' WHEN f.d >= fb.lo AND (fb.hi IS NULL OR f.d < fb.hi) THEN 'test' END AS role
+      FROM f, fb)
+SELECT CAST(fold AS INTEGER) AS fold, lo, hi, role, COUNT(*) AS n_rows FROM x WHERE role IS NOT NULL GROUP BY ALL"""
+
+
+@query("h6_expanding_folds", _h6_sql())
+def h6_expanding_folds(spark, sf):
+    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7)
+    d = fs.df.select(F.col("split_date").alias("d"))
+    folds = H.expanding_folds(d, "d", 3)
+    return H.assign_expanding(d, "d", folds, 3).groupBy("fold", "lo", "hi", "role").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# P6 / P16 / P18 / P19 / P21 --------------------------------------------------------
+@query(
+    "p6_ordinal_encode",
+    O.with_(O.PACIENTES) + """
+SELECT paciente_id, CAST(CASE nivel_prioridad_atencion WHEN 'Bajo' THEN 0 WHEN 'Medio' THEN 1 WHEN 'Alto' THEN 2 END AS INTEGER) AS label
+FROM pacientes WHERE nivel_prioridad_atencion IS NOT NULL""",
+)
+def p6_ordinal_encode(spark, sf):
+    p = roles.pacientes(spark, sf).dropna(subset=["nivel_prioridad_atencion"])
+    return p.select("paciente_id", X.ordinal_encode("nivel_prioridad_atencion").alias("label"))
+
+
+@query(
+    "p16_campaign_months",
+    O.with_(O.DONACIONES) + f"""
+SELECT campania, CAST(month(fecha) IN (5, 8, 12) AS DOUBLE) AS mes_campania, COUNT(*) AS n, {O.R('SUM(valor_estimado_soles)', 2)} AS valor
+FROM donaciones GROUP BY ALL""",
+)
+def p16_campaign_months(spark, sf):
+    d = roles.donaciones(spark, sf)
+    return d.groupBy("campania", X.campaign_month_flag(F.month("fecha")).alias("mes_campania")).agg(
+        F.count(F.lit(1)).alias("n"), R(F.sum("valor_estimado_soles"), 2).alias("valor")
+    )
+
+
+@query(
+    "p18_grade_map",
+    """SELECT o_orderkey, CASE CAST(o_orderkey % 7 + 1 AS INTEGER) WHEN 1 THEN 'Alto' WHEN 2 THEN 'Alto' WHEN 3 THEN 'Medio'
+       WHEN 4 THEN 'Bajo' WHEN 5 THEN 'Bajo' END AS prioridad
+FROM orders WHERE CAST(o_orderkey % 7 + 1 AS INTEGER) BETWEEN 1 AND 5""",
+    note="grade 1..7 derived from the key; 6 and 7 are unmapped and dropped",
+)
+def p18_grade_map(spark, sf):
+    o = read_table(spark, sf, "orders").select("o_orderkey", ((F.col("o_orderkey") % 7) + 1).cast("int").alias("grade"))
+    return o.withColumn("prioridad", X.triage_priority("grade")).dropna(subset=["prioridad"]).select("o_orderkey", "prioridad")
+
+
+@query(
+    "p19_top_k_other",
+    """WITH top AS (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey ORDER BY COUNT(*) DESC, o_custkey ASC LIMIT 40)
+SELECT o.o_orderkey, CASE WHEN t.o_custkey IS NOT NULL THEN CAST(o.o_custkey AS VARCHAR) ELSE 'otros' END AS motivo
+FROM orders o LEFT JOIN top t ON o.o_custkey = t.o_custkey""",
+    note="P19 / J4 / T2: top-40 frequent values kept, rest 'otros'",
+)
+def p19_top_k_other(spark, sf):
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    k = J.keep_top_k(o, "o_custkey", 40, out="_m")
+    return k.select("o_orderkey", F.col("_m").alias("motivo"))
+
+
+RAW_LOS_SQL = """CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)
+  || CASE WHEN l_quantity >= 45 THEN ' +' ELSE '' END END"""
+
+
+@query(
+    "p21_censored_parse",
+    f"""SELECT l_orderkey, l_linenumber, {RAW_LOS_SQL} AS raw,
+       TRY_CAST(TRIM(REPLACE({RAW_LOS_SQL}, ' +', '')) AS DOUBLE) AS dias
+FROM lineitem""",
+    note="censored '45 +' text built from quantities; 'n/a' rows parse to NULL",
+)
+def p21_censored_parse(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    raw = F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(
+        F.concat(F.col("l_quantity").cast("int").cast("string"), F.when(F.col("l_quantity") >= 45, F.lit(" +")).otherwise(F.lit("")))
+    )
+    return li.select("l_orderkey", "l_linenumber", raw.alias("raw")).withColumn("dias", X.censored_number("raw"))
+
+
+# P28 / P29 -----------------------------------------------------------------------
+@query(
+    "p28_field_counts",
+    O.with_(O.CAPTURAS) + """
+SELECT field, COUNT(*) AS n FROM (SELECT unnest(string_split(campos_extraidos, '|')) AS field FROM capturas) t GROUP BY field""",
+)
+def p28_field_counts(spark, sf):
+    c = roles.capturas(spark, sf)
+    return c.select(F.explode(X.split_fields("campos_extraidos")).alias("field")).groupBy("field").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "p29_review_share",
+    O.with_(O.CAPTURAS) + f"""
+SELECT tipo_documento, COUNT(*) AS n, CAST(SUM(requiere_revision_manual) AS BIGINT) AS n_revision,
+       {O.R('AVG(requiere_revision_manual)')} AS share
+FROM capturas GROUP BY tipo_documento""",
+)
+def p29_review_share(spark, sf):
+    c = roles.capturas(spark, sf)
+    return c.groupBy("tipo_documento").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("requiere_revision_manual").cast("long").alias("n_revision"),
+        R(F.avg("requiere_revision_manual")).alias("share"),
+    )
+
+
+# J3 ------------------------------------------------------------------------------
+@query(
+    "j3_captures_patients",
+    O.with_(O.CAPTURAS, O.PACIENTES) + f"""
+SELECT p.nivel_prioridad_atencion, c.calidad_imagen, COUNT(*) AS n, {O.R('AVG(c.confianza_ocr)')} AS confianza_promedio,
+       {O.R('AVG(c.requiere_revision_manual)')} AS tasa_revision
+FROM capturas c LEFT JOIN pacientes p ON c.paciente_id = p.paciente_id GROUP BY ALL""",
+)
+def j3_captures_patients(spark, sf):
+    c = roles.capturas(spark, sf)
+    p = roles.pacientes(spark, sf).select("paciente_id", "nivel_prioridad_atencion")
+    j = c.join(J.unique_on(p, "paciente_id"), "paciente_id", "left")
+    return j.groupBy("nivel_prioridad_atencion", "calidad_imagen").agg(
+        F.count(F.lit(1)).alias("n"), R(F.avg("confianza_ocr")).alias("confianza_promedio"),
+        R(F.avg("requiere_revision_manual")).alias("tasa_revision"),
+    )
+
+
+# T6 ------------------------------------------------------------------------------
+@query(
+    "t6_exact_sample",
+    f"""SELECT l_orderkey, l_linenumber FROM lineitem
+ORDER BY {lehmer_sql('(l_orderkey * 8 + l_linenumber)')}, l_orderkey, l_linenumber LIMIT 1000""",
+    note="sampling operator: the limit is the feature",
+)
+def t6_exact_sample(spark, sf):
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    k = li.withColumn("_k", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return k.withColumn("_h", H.hash_value(["_k"], method="lehmer")).orderBy("_h", "l_orderkey", "l_linenumber").limit(1000).select(
+        "l_orderkey", "l_linenumber"
+    )
+
+
+# S9 / U2 ---------------------------------------------------------------------------
+@query(
+    "s9_yearly_union",
+    """SELECT * FROM (
+  SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS anio_alta, NULL::VARCHAR AS o_orderpriority
+  FROM orders WHERE year(o_orderdate) < 1998 AND (o_orderpriority LIKE '1-%' OR o_orderstatus = 'P')
+  UNION ALL
+  SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER), o_orderpriority
+  FROM orders WHERE year(o_orderdate) >= 1998 AND (o_orderpriority LIKE '1-%' OR o_orderstatus = 'P'))""",
+    note="yearly extracts with different column sets, filtered and tagged, union by name",
+)
+def s9_yearly_union(spark, sf):
+    from ..sources.files import union_extracts
+
+    o = read_table(spark, sf, "orders")
+    pred = F.col("o_orderpriority").startswith("1-") | (F.col("o_orderstatus") == "P")
+    year = F.year("o_orderdate")
+    early = o.where(year < 1998).select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    late = o.where(year >= 1998).select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    tagged = [
+        e.where(pred).withColumn("anio_alta", F.year("o_orderdate").cast("int")).select(*cols)
+        for e, cols in ((early, ["o_orderkey", "o_totalprice", "anio_alta"]),
+                        (late, ["o_orderkey", "o_totalprice", "anio_alta", "o_orderpriority"]))
+    ]
+    return union_extracts(tagged)
+
+
+# ST2 (batch form) ------------------------------------------------------------------
+@query(
+    "st2_daily_confidence",
+    O.with_(O.CAPTURAS) + f"""
+SELECT CAST(date_trunc('day', ts) AS DATE) AS dia, tipo_documento, COUNT(*) AS n,
+       {O.R('AVG(confianza_ocr)')} AS confianza_promedio, CAST(SUM(requiere_revision_manual) AS BIGINT) AS n_revision
+FROM capturas GROUP BY ALL""",
+    note="the same function runs on the streaming DataFrame with a watermark",
+)
+def st2_daily_confidence(spark, sf):
+    out = daily_confidence(roles.capturas(spark, sf), watermark=None)
+    return out.select(F.to_date(F.col("window.start")).alias("dia"), "tipo_documento", "n",
+                      R("confianza_promedio").alias("confianza_promedio"), "n_revision")
+
+
+# P30 / P31 ---------------------------------------------------------------------------
+@query(
+    "p30_result_cards",
+    O.with_(O.PACIENTES) + """
+, cards AS (SELECT * FROM (VALUES
+  ('Bajo', 'green', 'Prioridad', 'Prioridad BAJA'),
+  ('Medio', 'amber', 'Prioridad', 'Prioridad MEDIA'),
+  ('Alto', 'red', 'Prioridad', 'Prioridad ALTA — este paciente necesita atención inmediata')) v(label, color, eyebrow, headline))
+SELECT p.paciente_id, COALESCE(c.color, 'teal') AS color, COALESCE(c.eyebrow, 'Resultado') AS eyebrow,
+       COALESCE(c.headline, p.nivel_prioridad_atencion) AS headline,
+       CAST(FLOOR((CAST((CAST(p.paciente_id AS BIGINT) * 37) % 1500 AS DOUBLE) / 1500.0) * 100 + 0.5) AS BIGINT) AS confianza
+FROM pacientes p LEFT JOIN cards c ON p.nivel_prioridad_atencion = c.label""",
+    note="prediction = banded priority, probability from the neutrophil proxy; broadcast lookup of the fixed card table",
+)
+def p30_result_cards(spark, sf):
+    from ..functions.labels import result_cards
+
+    p = roles.pacientes(spark, sf)
+    scored = p.select("paciente_id", F.lit("prioridad_atencion").alias("model"), F.col("nivel_prioridad_atencion").alias("prediccion"),
+                      (F.col("neutrofilos") / F.lit(1500.0)).alias("prob"))
+    return result_cards(scored, "model", "prediccion", "prob").select("paciente_id", "color", "eyebrow", "headline", "confianza")
+
+
+@query(
+    "p31_display_labels",
+    O.with_(O.ITEMS) + """
+SELECT item_id, CASE categoria WHEN 'alimentos' THEN 'Alimentos' WHEN 'higiene' THEN 'Higiene'
+  WHEN 'insumos_medicos' THEN 'Insumos médicos' WHEN 'medicamentos_soporte' THEN 'Medicamentos de soporte' ELSE categoria END AS categoria_label
+FROM items""",
+)
+def p31_display_labels(spark, sf):
+    from ..functions.labels import category_label
+
+    return roles.catalogue(spark, sf).select("item_id", category_label("categoria", "categoria").alias("categoria_label"))
+
+
+# V1-V7 -----------------------------------------------------------------------------
+REQUEST_NUM = ["edad", "neutrofilos", "temperatura_c"]
+REQUEST_CAT = ["sexo", "seguro_salud"]
+
+
+def request_bodies(spark, sf):
+    """JSON request bodies built from the patient table, with faults injected by key."""
+    p = roles.pacientes(spark, sf)
+    k = F.col("paciente_id").cast("long")
+    obj = F.to_json(F.struct(
+        F.col("edad"), F.col("neutrofilos"), F.col("temperatura_c"),
+        F.when(k % 13 != 0, F.col("sexo")).alias("sexo"), F.col("seguro_salud"),
+    ))
+    obj = F.when(k % 17 == 0, F.regexp_replace(obj, r'"edad":\d+', '"edad":"diez"')).otherwise(obj)
+    obj = F.when(k % 19 == 0, F.regexp_replace(obj, r'"edad":\d+', '"edad":true')).otherwise(obj)
+    body = (F.when(k % 29 == 0, F.lit("[]"))
+            .when(k % 23 == 0, F.concat(F.lit("["), obj, F.lit(","), obj, F.lit("]")))
+            .when(k % 31 == 0, F.lit("42"))
+            .otherwise(obj))
+    return p.select(F.col("paciente_id").alias("request_id"), body.alias("body"))
+
+
+@query("v1_request_validation", None, note="rows-only: checked against a Python brute force in tests/test_validation.py")
+def v1_request_validation(spark, sf):
+    items = V.explode_bodies(request_bodies(spark, sf))
+    out = V.validate_items(items, REQUEST_NUM, REQUEST_CAT)
+    return out.select("request_id", "item_index", "status", F.array_join("errors", "; ").alias("errors"), *REQUEST_NUM, *REQUEST_CAT)
+
+
+__all__ = ["normalise"]

@@ -1,0 +1,41 @@
+"""Model queries (M*, A27, A28): fits have no SQL twin, so rows-only checks
+here and invariant tests in tests/test_ml.py."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import features as FE
+from ..operators import ml as ML
+from ..operators import splits as H
+from . import roles
+from .registry import normalise, query
+
+
+def _stock7(spark, sf):
+    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7)
+    split = H.temporal_split(fs.df, "split_date")
+    return fs, split.where("split = 'train'").drop("split", "cutoff"), split.where("split = 'test'").drop("split", "cutoff")
+
+
+@query("m8_model_selection", None, note="three candidates, no tuning (M7), temporal split (H3), ranked by macro F1 (T4)")
+def m8_model_selection(spark, sf):
+    fs, train, test = _stock7(spark, sf)
+    train, test = train.cache(), test.cache()
+    best, ranked = ML.select_model(fs, train, test, "classification", tuning=False)
+    out = ML.comparison_frame(spark, ranked)
+    return normalise(out, [c for c in out.columns if c not in ("algoritmo", "mejores_hiperparametros")], 4)
+
+
+@query("m11_batch_scoring", None, note="decision tree on the priority features, hash split, scored test rows with label + probabilities")
+def m11_batch_scoring(spark, sf):
+    fs = FE.priority_features(roles.pacientes(spark, sf))
+    split = H.hash_split(fs.df, FE.CLINICAL_BASE_NUM[:3] + ["label"], method="xxhash")
+    train, test = split.where("split = 'train'"), split.where("split = 'test'")
+    stages, _ = ML.build_preprocessor(train, fs.numeric, fs.categorical)
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    model = Pipeline(stages=stages + [DecisionTreeClassifier(seed=ML.SEED, maxDepth=6, labelCol="label")]).fit(train)
+    scored = ML.predict(model, test, "classification", fs.class_labels)
+    return scored.select("label", "prediccion", "clase_indice", F.map_values("probabilidades").alias("probs"))
