@@ -65,7 +65,7 @@ def build_preprocessor(train: DataFrame, numeric: list[str], categorical: list[s
     oh_cols = [f"{c}__oh" for c in categorical]
     if categorical:
         stages.append(StringIndexer(inputCols=categorical, outputCols=idx_cols, handleInvalid="keep", stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=idx_cols, outputCols=oh_cols, dropLast=True, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=idx_cols, outputCols=oh_cols, dropLast=True))
     stages.append(VectorAssembler(inputCols=[f"{c}__imp" for c in kept] + oh_cols, outputCol="features", handleInvalid="keep"))
     return stages, kept
 

@@ -50,7 +50,7 @@ def hash_split(df: DataFrame, keys: Sequence[str], test_size: float = TEST_SIZE,
 def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_size: float = TEST_SIZE, seed: int = SEED,
                      method: str = "xxhash") -> DataFrame:
     """H1 with exact per-class test counts: round(test_size * n_class) rows of
-    each class go to test, chosen by hash order.
+    each class go to test, the first ones in (bucket, hash, key) order.
 
     Per (class, bucket) counts are a small table; their running total finds
     the bucket where each class crosses its quota, and only the rows of that

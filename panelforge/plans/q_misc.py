@@ -30,7 +30,7 @@ def lehmer_sql(col: str, seed: int = H.SEED) -> str:
     "h1_stratified_split",
     O.with_(O.PACIENTES) + f"""
 , s AS (SELECT CAST(paciente_id AS BIGINT) AS k, nivel_prioridad_atencion AS label FROM pacientes WHERE nivel_prioridad_atencion IS NOT NULL),
-r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {lehmer_sql('k')}, k) AS rk,
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {lehmer_sql('k')} % 10000, {lehmer_sql('k')}, k) AS rk,
              COUNT(*) OVER (PARTITION BY label) AS n FROM s)
 SELECT label, CASE WHEN rk <= FLOOR(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split, COUNT(*) AS n_rows
 FROM r GROUP BY ALL""",

@@ -59,7 +59,7 @@ def read_validated_csv(spark: SparkSession, path: str, schema: StructType, requi
         if f is None:
             cols.append(F.col(c))
         elif c in date_columns:
-            cols.append(F.try_to_date(F.col(c), F.lit("yyyy-MM-dd")).alias(c))
+            cols.append(F.try_to_date(F.col(c), "yyyy-MM-dd").alias(c))
         else:
             typed = F.col(c).try_cast(f.dataType)
             if isinstance(f.dataType, DoubleType):
