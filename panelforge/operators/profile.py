@@ -159,25 +159,25 @@ def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str]) -> DataFr
 def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation, long (var_a, var_b, corr).
 
-    covar_pop / (sd_a * sd_b) over the rows where both are present; a
-    constant column gives NULL (pandas NaN) instead of an error.
+    Each row is expanded to its k(k+1)/2 column pairs (masked to the rows
+    where both are present) and one small grouped aggregate computes
+    covar_pop / (sd_a * sd_b) per pair; partial aggregation keeps the
+    expansion inside the scan stage, and the generated code stays small
+    whatever k is. A constant column gives NULL (pandas NaN), not an error.
     """
-    aggs, pairs = [], []
+    pairs = []
     for i, a in enumerate(cols):
         for b in cols[i:]:
             both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            xa, xb = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-            tag = f"{i}_{cols.index(b)}"
-            aggs += [F.covar_pop(xa, xb).alias(f"c{tag}"), F.stddev_pop(xa).alias(f"sa{tag}"), F.stddev_pop(xb).alias(f"sb{tag}")]
-            pairs.append((a, b, tag))
-    one = df.agg(*aggs)
-    rows = []
-    for a, b, tag in pairs:
-        r = F.col(f"c{tag}") / F.nullif(F.col(f"sa{tag}") * F.col(f"sb{tag}"), F.lit(0.0))
-        rows.append(F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), r.alias("corr")))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("var_a"), F.lit(a).alias("var_b"), r.alias("corr")))
-    return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+            pairs.append(F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
+                                  F.when(both, F.col(a).cast("double")).alias("_x"),
+                                  F.when(both, F.col(b).cast("double")).alias("_y")))
+    long = df.select(F.inline(F.array(*pairs)))
+    r = F.covar_pop("_x", "_y") / F.nullif(F.stddev_pop("_x") * F.stddev_pop("_y"), F.lit(0.0))
+    half = long.groupBy("var_a", "var_b").agg(r.alias("corr"))
+    mirrored = half.where(F.col("var_a") != F.col("var_b")).select(
+        F.col("var_b").alias("var_a"), F.col("var_a").alias("var_b"), "corr")
+    return half.unionByName(mirrored)
 
 
 # A8 ------------------------------------------------------------------------

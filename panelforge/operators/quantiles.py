@@ -7,10 +7,10 @@ exact without that buffer:
 1. one pass: ``count`` and ``percentile_approx`` at ``p - d`` and ``p + d``
    per group; the approximation's rank error is below ``d * n``, so the
    wanted order statistics lie between these two values;
-2. one pass: exact count of the values below the band;
-3. the band's values grouped to (value, count), so ties of a hot value
-   collapse into one row, then a running count over that small table gives
-   exact ranks.
+2. one pass: the values inside the band grouped to (value, count), so ties
+   of a hot value collapse into one row, plus one NULL-keyed row counting
+   the values below the band; a running count over that small table (NULL
+   row first) gives exact ranks.
 
 The band holds about ``2 d n`` rows; everything is one lazy plan and nothing
 is collected. Groups whose column is all NULL get NULL, like pandas' NaN.
@@ -79,23 +79,23 @@ def quantiles_long(df: DataFrame, col: str, probs: Sequence[float], by: Sequence
         # ungrouped: len(probs) rows on a constant key, so it must be broadcast
         bands = F.broadcast(bands)
     joined = src.where(F.col("_v").isNotNull()).join(bands, on=keys, how="inner")
-    below = joined.groupBy(*keys, "p").agg(F.sum((F.col("_v") < F.col("_lo")).cast("long")).alias("_below"))
-    band = (
-        joined.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-        .groupBy(*keys, "p", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    w = Window.partitionBy(*keys, "p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    band = band.withColumn("_cum", F.sum("_c").over(w))
-    ranked = band.join(below, on=[*keys, "p"]).join(targets.select(*keys, "p", "_pos", "_r0", "_r1"), on=[*keys, "p"])
-    # value v covers ranks [below + cum - c, below + cum - 1]
-    first = F.col("_below") + F.col("_cum") - F.col("_c")
-    last = F.col("_below") + F.col("_cum") - 1
+    # one aggregation: values inside the band keep their value, values below
+    # it collapse into the NULL group (counted first by NULLS FIRST), values
+    # above it are dropped
+    marked = joined.where(F.col("_v") <= F.col("_hi")).select(
+        *keys, "p", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_bv"))
+    band = marked.groupBy(*keys, "p", "_bv").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys, "p").orderBy(F.col("_bv").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    band = band.withColumn("_cum", F.sum("_c").over(w)).where(F.col("_bv").isNotNull())
+    ranked = band.join(targets.select(*keys, "p", "_pos", "_r0", "_r1"), on=[*keys, "p"])
+    # value v covers ranks [cum - c, cum - 1] (0-based, rows below the band included)
+    first = F.col("_cum") - F.col("_c")
+    last = F.col("_cum") - 1
     hit0 = (F.col("_r0") >= first) & (F.col("_r0") <= last)
     hit1 = (F.col("_r1") >= first) & (F.col("_r1") <= last)
     picked = ranked.groupBy(*keys, "p").agg(
-        F.max(F.when(hit0, F.col("_v"))).alias("_v0"),
-        F.max(F.when(hit1, F.col("_v"))).alias("_v1"),
+        F.max(F.when(hit0, F.col("_bv"))).alias("_v0"),
+        F.max(F.when(hit1, F.col("_bv"))).alias("_v1"),
     )
     value = F.col("_v0") + (F.col("_pos") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
     out = targets.select(*keys, "p", "_pos", "_r0").join(picked, on=[*keys, "p"], how="left")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as FE
+from ..session import cut_lineage
 from ..operators import ml as ML
 from ..operators import splits as H
 from . import roles
@@ -21,7 +22,8 @@ def _stock7(spark, sf):
 @query("m8_model_selection", None, note="three candidates, no tuning (M7), temporal split (H3), ranked by macro F1 (T4)")
 def m8_model_selection(spark, sf):
     fs, train, test = _stock7(spark, sf)
-    train, test = train.cache(), test.cache()
+    # reused by three fits: cut the lineage into the shared checkpoint folder
+    train, test = cut_lineage(train), cut_lineage(test)
     best, ranked = ML.select_model(fs, train, test, "classification", tuning=False)
     out = ML.comparison_frame(spark, ranked)
     return normalise(out, [c for c in out.columns if c not in ("algoritmo", "mejores_hiperparametros")], 4)

@@ -187,12 +187,20 @@ def pacientes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("n_orders") > 10, 1).otherwise(0).alias("requiere_apoyo_psicosocial"),
         bal.alias("_score"),
     )
-    return band_priority(rows, "_score").drop("_score")
+    # the left joins keep one row per customer, so the score's population is
+    # the customer table itself: the quantiles read one column of it
+    population = c.select(bal.alias("_score"))
+    return band_priority(rows, "_score", population=population).drop("_score")
 
 
-def band_priority(df: DataFrame, score: str, out: str = "nivel_prioridad_atencion") -> DataFrame:
-    """Score below its 45th percentile -> Bajo, below the 80th -> Medio, else Alto."""
-    q = quantiles_wide(df, score, [0.45, 0.8], ["_q45", "_q80"]).withColumn("_k", F.lit(0))
+def band_priority(df: DataFrame, score: str, out: str = "nivel_prioridad_atencion",
+                  population: DataFrame | None = None) -> DataFrame:
+    """Score below its 45th percentile -> Bajo, below the 80th -> Medio, else Alto.
+
+    ``population`` (default ``df``) is where the percentiles are taken.
+    """
+    src = df if population is None else population
+    q = quantiles_wide(src, score, [0.45, 0.8], ["_q45", "_q80"]).withColumn("_k", F.lit(0))
     # q is exactly one row, so broadcasting it is bounded by construction
     banded = df.withColumn("_k", F.lit(0)).join(F.broadcast(q), "_k").withColumn(
         out, X.band_by_quantiles(score, F.col("_q45"), F.col("_q80"))
