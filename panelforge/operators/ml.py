@@ -185,8 +185,21 @@ def _evaluate(model: PipelineModel, test: DataFrame, task: str) -> dict:
     return {k: float(v) if v is not None else None for k, v in m.first().asDict().items()}
 
 
+def _time_fold_score(pipe: Pipeline, data: DataFrame, folds: DataFrame, date: str, evaluator) -> float:
+    """H6 + M6: mean score over expanding time folds (train before ``lo``,
+    test in [lo, hi)). ``folds`` has n_splits rows, collected."""
+    scores = []
+    for f in folds.orderBy("fold").collect():
+        tr = data.where(F.col(date) < F.lit(f["lo"]))
+        te = data.where(F.col(date) >= F.lit(f["lo"]))
+        if f["hi"] is not None:
+            te = te.where(F.col(date) < F.lit(f["hi"]))
+        scores.append(evaluator.evaluate(pipe.fit(tr).transform(te)))
+    return sum(scores) / len(scores)
+
+
 def fit_candidate(name: str, est, space: dict, fs: FeatureSet, train: DataFrame, test: DataFrame, task: str,
-                  tuning: bool, n_iter: int, folds: int = 3) -> Fitted:
+                  tuning: bool, n_iter: int, folds: int = 3, time_folds: DataFrame | None = None) -> Fitted:
     stages, _ = build_preprocessor(train, fs.numeric, fs.categorical)
     if not tuning:
         model = Pipeline(stages=stages + [est]).fit(train)
@@ -201,7 +214,9 @@ def fit_candidate(name: str, est, space: dict, fs: FeatureSet, train: DataFrame,
             data = with_balanced_weights(train)
             _target(e)._set(weightCol="weight")
         pipe = Pipeline(stages=stages + [e])
-        if "fold" in data.columns:
+        if time_folds is not None and fs.date:
+            score = _time_fold_score(pipe, data, time_folds, fs.date, evaluator)
+        elif "fold" in data.columns:
             cv = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=evaluator, foldCol="fold",
                                 numFolds=folds, parallelism=4, seed=SEED)
             score = float(cv.fit(data).avgMetrics[0])
@@ -217,12 +232,12 @@ def fit_candidate(name: str, est, space: dict, fs: FeatureSet, train: DataFrame,
 
 
 def select_model(fs: FeatureSet, train: DataFrame, test: DataFrame, task: str, tuning: bool = False, n_iter: int = 15,
-                 select_on: str = "test") -> tuple[Fitted, list[Fitted]]:
+                 select_on: str = "test", time_folds: DataFrame | None = None) -> tuple[Fitted, list[Fitted]]:
     """M8: fit the three candidates, rank by macro F1 (desc) or MAE (asc)."""
     n_classes = len(fs.class_labels) if fs.class_labels else None
     fitted = []
     for name, (est, space) in candidates(task, n_classes).items():
-        fitted.append(fit_candidate(name, est, space, fs, train, test, task, tuning, n_iter))
+        fitted.append(fit_candidate(name, est, space, fs, train, test, task, tuning, n_iter, time_folds=time_folds))
     key = "f1_macro" if task == "classification" else "mae"
     sign = -1 if task == "classification" else 1
 
@@ -281,11 +296,28 @@ def feature_importance(spark, model: PipelineModel) -> DataFrame:
     names = sample_meta.getInputCols() if sample_meta is not None else []
     for n in names:
         attrs.append(n.replace("__imp", "").replace("__oh", ""))
+    # one-hot inputs expand to several slots: name them value by value
+    attrs = _expand_slots(model, attrs)
     vals = imp.toArray().tolist()
     rows = [(attrs[i] if i < len(attrs) else f"f{i}", float(v)) for i, v in enumerate(vals)]
     return spark.createDataFrame(rows, "variable string, importancia double").orderBy(F.col("importancia").desc())
 
 
+def _expand_slots(model: PipelineModel, attrs: list[str]) -> list[str]:
+    out = []
+    labels = {}
+    for st in model.stages:
+        if hasattr(st, "labelsArray"):
+            for col, labs in zip(st.getInputCols(), st.labelsArray):
+                labels[col] = list(labs)
+    for a in attrs:
+        if a in labels:
+            out += [f"{a}_{v}" for v in labels[a]]  # dropLast removed the unknown slot
+        else:
+            out.append(a)
+    return out
+
+
 # M11 -----------------------------------------------------------------------
 def predict(model: PipelineModel, rows: DataFrame, task: str, class_labels: list[str] | None = None) -> DataFrame:
     """Scored rows: ``prediccion`` (label or value), ``clase_indice``,

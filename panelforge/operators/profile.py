@@ -32,25 +32,31 @@ def to_long(df: DataFrame, cols: Sequence[str], value_type: str = "double", keep
 
 # A1 ------------------------------------------------------------------------
 def dataset_summary(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """rows, columns, duplicate rows, total NULL cells per table.
+    """rows, columns, duplicate rows, total NULL cells per table (exact).
 
-    Rows are grouped on all columns once; duplicates and NULL cells both come
-    from that grouping (NULLs compare equal, as in pandas ``duplicated``).
+    Full rows are not shuffled: one pass groups a 128-bit row fingerprint
+    (two seeded xxhash64) with its row and NULL counts; only rows whose
+    fingerprint repeats are then grouped on all their columns to count the
+    true duplicates (NULLs compare equal, as in pandas ``duplicated``). When
+    duplicates are rare the second shuffle is near empty.
     """
     parts = []
     for name, df in datasets.items():
         cols = df.columns
         row_nulls = sum((F.col(c).isNull().cast("long") for c in cols), F.lit(0).cast("long"))
-        g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_cnt")).withColumn("_nulls", row_nulls)
-        parts.append(
-            g.agg(
-                F.lit(name).alias("dataset"),
-                F.coalesce(F.sum("_cnt"), F.lit(0)).cast("long").alias("filas"),
-                F.lit(len(cols)).alias("columnas"),
-                F.coalesce(F.sum(F.col("_cnt") - 1), F.lit(0)).cast("long").alias("duplicados"),
-                F.coalesce(F.sum(F.col("_cnt") * F.col("_nulls")), F.lit(0)).cast("long").alias("valores_nulos_totales"),
-            )
+        fp = F.struct(F.xxhash64(F.lit(17), *cols).alias("h1"), F.xxhash64(F.lit(9001), *cols).alias("h2"))
+        by_fp = df.select(fp.alias("_fp"), row_nulls.alias("_nulls")).groupBy("_fp").agg(
+            F.count(F.lit(1)).alias("_cnt"), F.sum("_nulls").alias("_nulls"))
+        totals = by_fp.agg(
+            F.coalesce(F.sum("_cnt"), F.lit(0)).cast("long").alias("filas"),
+            F.coalesce(F.sum("_nulls"), F.lit(0)).cast("long").alias("valores_nulos_totales"),
         )
+        candidates = by_fp.where(F.col("_cnt") > 1).select("_fp")
+        cand_rows = df.withColumn("_fp", fp).join(candidates, "_fp", "left_semi").drop("_fp")
+        dups = cand_rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c")).agg(
+            F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("duplicados"))
+        parts.append(_const_join(totals, dups).select(
+            F.lit(name).alias("dataset"), "filas", F.lit(len(cols)).alias("columnas"), "duplicados", "valores_nulos_totales"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -221,12 +221,19 @@ SELECT p.nivel_prioridad_atencion, c.calidad_imagen, COUNT(*) AS n, {O.R('AVG(c.
 FROM capturas c LEFT JOIN pacientes p ON c.paciente_id = p.paciente_id GROUP BY ALL""",
 )
 def j3_captures_patients(spark, sf):
+    """Captures are pre-aggregated per (patient, image quality) before the
+    join, so a patient with a huge share of captures is combined map-side
+    and the join sees one row per pair."""
     c = roles.capturas(spark, sf)
+    pre = c.groupBy("paciente_id", "calidad_imagen").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("confianza_ocr").alias("_conf"),
+        F.sum("requiere_revision_manual").cast("long").alias("_rev"), F.count("confianza_ocr").alias("_nconf"),
+        F.count("requiere_revision_manual").alias("_nrev"))
     p = roles.pacientes(spark, sf).select("paciente_id", "nivel_prioridad_atencion")
-    j = c.join(J.unique_on(p, "paciente_id"), "paciente_id", "left")
+    j = pre.join(J.unique_on(p, "paciente_id"), "paciente_id", "left")
     return j.groupBy("nivel_prioridad_atencion", "calidad_imagen").agg(
-        F.count(F.lit(1)).alias("n"), R(F.avg("confianza_ocr")).alias("confianza_promedio"),
-        R(F.avg("requiere_revision_manual")).alias("tasa_revision"),
+        F.sum("_n").alias("n"), R(F.sum("_conf") / F.sum("_nconf")).alias("confianza_promedio"),
+        R(F.sum("_rev") / F.sum("_nrev")).alias("tasa_revision"),
     )
 
 

@@ -35,9 +35,32 @@ def build_session(master: str | None = None, app: str = "panelforge", shuffle_pa
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not (master and master.startswith("local")):
+        apply_cluster_defaults(spark)
     return spark
 
 
+# Sizing for a large cluster (hundreds of executors, tens of TB per job):
+# many initial shuffle partitions that AQE coalesces to ~256 MB each, scan
+# splits of 256 MB, skewed partitions split at 5x the median. Each value is
+# applied only when the launcher did not set it.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> None:
+    given = spark.sparkContext.getConf()
+    for key, value in CLUSTER_DEFAULTS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 

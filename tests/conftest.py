@@ -17,6 +17,7 @@ def spark():
         SparkSession.builder.master("local[*]")
         .appName("panelforge-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

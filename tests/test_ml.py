@@ -65,3 +65,43 @@ def test_balanced_weights(spark):
     df = spark.createDataFrame([(0,)] * 3 + [(1,)], "label int")
     w = {r.label: r.weight for r in ML.with_balanced_weights(df).distinct().collect()}
     assert w == {0: pytest.approx(4 / 6), 1: pytest.approx(2.0)}
+
+
+def test_train_registry_and_evaluate(spark, sf, tmpdir_path):
+    from panelforge.plans import models as MOD
+    from panelforge.sources import registry as REG
+
+    tables = MOD.domain_tables(spark, sf)
+    reg_path, model_dir = os.path.join(tmpdir_path, "registry"), os.path.join(tmpdir_path, "models")
+    MOD.train(spark, tables, ["proyeccion_donaciones"], registry_path=reg_path, model_dir=model_dir)
+    MOD.train(spark, tables, ["prioridad_atencion"], registry_path=reg_path, model_dir=model_dir)
+    reg = REG.read_registry(spark, reg_path)
+    names = {r.name for r in reg.collect()}
+    assert names == {"proyeccion_donaciones", "prioridad_atencion"}
+    entry = REG.lookup(reg, "prioridad_atencion")
+    assert entry["class_labels"] == ["Bajo", "Medio", "Alto"] and "f1_macro" in entry["metrics"]
+    assert "sexo" in entry["categorical_values"]
+    ev = MOD.evaluate(spark, tables, "prioridad_atencion", model_dir)
+    cm = ev["confusion"].collect()
+    assert len(cm) == 3 and sum(r.Pred_0 + r.Pred_1 + r.Pred_2 for r in cm) == entry["n_test"]
+    with pytest.raises(KeyError):
+        MOD.spec("nope")
+
+
+def test_triage_and_sparcs_builders(spark):
+    rows = [(30 + i % 5, "F" if i % 2 else "M", f"c{i % 45}", i % 10, (i % 6) or None, "A") for i in range(200)]
+    tri = spark.createDataFrame(rows, "age int, gender string, ChiefComplaint string, PainGrade int, TriageGrade int, AVPU string")
+    for c in ["admission_month", "admission_weekday", "admission_hour", "CriticalStatus", "StuporStatus", "MentalDistress",
+              "MaterialDistress", "BlooddpressurSystol", "BlooddpressurDiastol", "PulseRate", "RespiratoryRate", "O2Saturation"]:
+        tri = tri.withColumn(c, F.lit(1.0))
+    fs = FE.triage_features(tri)
+    out = fs.df.collect()
+    # grade 6 and NULL rows are dropped; complaints outside the top 40 become 'otros'
+    assert len(out) == sum(1 for r in rows if r[4] in (1, 2, 3, 4, 5))
+    assert {r.label for r in out} <= {0, 1, 2} and "otros" in {r.motivo_consulta for r in out}
+    sp = spark.createDataFrame([("120 +", "F"), (" 7 ", "M"), ("abc", "F")], "length_of_stay string, gender string")
+    for c in FE.SPARCS_CAT + FE.SPARCS_NUM:
+        if c not in sp.columns:
+            sp = sp.withColumn(c, F.lit("x"))
+    got = sorted(r.label for r in FE.sparcs_features(sp).df.collect())
+    assert got == [7.0, 120.0]
