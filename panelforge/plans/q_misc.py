@@ -359,4 +359,32 @@ def v1_request_validation(spark, sf):
     return out.select("request_id", "item_index", "status", F.array_join("errors", "; ").alias("errors"), *REQUEST_NUM, *REQUEST_CAT)
 
 
+# S17 -------------------------------------------------------------------------------
+@query(
+    "s17_contract_violations",
+    O.with_(O.CAPTURAS) + """
+, c AS (SELECT captura_id, ts AS fecha_captura, paciente_id, tipo_documento, calidad_imagen, confianza_ocr,
+               campos_extraidos, CAST(requiere_revision_manual AS VARCHAR) AS requiere_revision_manual, origen_captura
+        FROM capturas)
+SELECT 'captura_id' AS columna, CAST(SUM(CAST(captura_id IS NULL AS INTEGER)) AS BIGINT) AS violaciones FROM c
+UNION ALL SELECT 'fecha_captura', CAST(SUM(CAST(fecha_captura IS NULL AS INTEGER)) AS BIGINT) FROM c
+UNION ALL SELECT 'paciente_id', CAST(SUM(CAST(paciente_id IS NULL AS INTEGER)) AS BIGINT) FROM c
+UNION ALL SELECT 'tipo_documento', CAST(SUM(CAST(tipo_documento IS NULL AS INTEGER)) AS BIGINT) FROM c
+UNION ALL SELECT 'calidad_imagen', CAST(COUNT(*) * 0 AS BIGINT) FROM c
+UNION ALL SELECT 'confianza_ocr', CAST(SUM(CAST(confianza_ocr IS NULL AS INTEGER)) AS BIGINT) FROM c
+UNION ALL SELECT 'campos_extraidos', CAST(COUNT(*) * 0 AS BIGINT) FROM c
+UNION ALL SELECT 'requiere_revision_manual',
+  CAST(SUM(CAST(requiere_revision_manual IS NULL OR requiere_revision_manual NOT IN ('0', '1') AS INTEGER)) AS BIGINT) FROM c
+UNION ALL SELECT 'origen_captura', CAST(COUNT(*) * 0 AS BIGINT) FROM c""",
+    note="the captures table checked against the typed contract of the other system",
+)
+def s17_contract_violations(spark, sf):
+    from ..schema import CAPTURES_CONTRACT
+    from ..sources.files import contract_violations
+
+    c = roles.capturas(spark, sf).withColumn("fecha_captura", F.col("ts")).withColumn(
+        "requiere_revision_manual", F.col("requiere_revision_manual").cast("string"))
+    return contract_violations(c, CAPTURES_CONTRACT)
+
+
 __all__ = ["normalise"]

@@ -41,3 +41,15 @@ def m11_batch_scoring(spark, sf):
     model = Pipeline(stages=stages + [DecisionTreeClassifier(seed=ML.SEED, maxDepth=6, labelCol="label")]).fit(train)
     scored = ML.predict(model, test, "classification", fs.class_labels)
     return scored.select("label", "prediccion", "clase_indice", F.map_values("probabilidades").alias("probs"))
+
+
+@query("a27_feature_importance", None, note="tree importances per encoded slot, one-hot slots named by value, sorted")
+def a27_feature_importance(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    fs = FE.priority_features(roles.pacientes(spark, sf))
+    data = cut_lineage(fs.df)
+    stages, _ = ML.build_preprocessor(data, fs.numeric, fs.categorical)
+    model = Pipeline(stages=stages + [DecisionTreeClassifier(seed=ML.SEED, maxDepth=6, labelCol="label")]).fit(data)
+    return ML.feature_importance(spark, model)

@@ -129,3 +129,32 @@ def load_json(spark: SparkSession, path: str, schema: StructType | None = None,
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)
+
+
+def load_requests(spark: SparkSession, path: str) -> DataFrame:
+    """Request files, each holding one JSON object or a list of objects.
+
+    Every file is one body (``wholetext``), keyed by its path; the bodies go
+    through ``operators.validation.explode_bodies``.
+    """
+    if not os.path.exists(path) and "://" not in path:
+        raise MissingDataError(f"request path not found: {path}")
+    raw = spark.read.text(path, wholetext=True)
+    return raw.select(F.input_file_name().alias("request_id"), F.col("value").alias("body"))
+
+
+def contract_violations(df: DataFrame, contract: StructType) -> DataFrame:
+    """Per contract column, rows that break it: NULL in a NOT NULL column
+    or a value that does not cast to the contract type. One aggregate."""
+    aggs = []
+    for f in contract.fields:
+        if f.name not in df.columns:
+            aggs.append(F.count(F.lit(1)).alias(f.name))
+            continue
+        c = F.col(f.name)
+        bad_type = c.isNotNull() & c.try_cast(f.dataType).isNull()
+        bad_null = c.isNull() if not f.nullable else F.lit(False)
+        aggs.append(F.sum((bad_type | bad_null).cast("long")).alias(f.name))
+    one = df.agg(*aggs)
+    rows = [F.struct(F.lit(f.name).alias("columna"), F.coalesce(F.col(f.name), F.lit(0)).alias("violaciones")) for f in contract.fields]
+    return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")

@@ -97,3 +97,29 @@ def test_registry_upsert_read_overview(spark, tmpdir_path):
         REG.lookup(back, "nope")
     with pytest.raises(REG.RegistryError):
         REG.read_registry(spark, os.path.join(tmpdir_path, "missing"))
+
+
+def test_request_files_object_or_list(spark, tmpdir_path):
+    from panelforge.operators import validation as V
+
+    d = os.path.join(tmpdir_path, "req")
+    os.makedirs(d)
+    _write(os.path.join(d, "a.json"), '{"edad": 10, "sexo": "F"}', bom=False)
+    _write(os.path.join(d, "b.json"), '[{"edad": 1, "sexo": "M"},\n {"edad": 2}]', bom=False)
+    items = V.validate_items(V.explode_bodies(S.load_requests(spark, d)), ["edad"], ["sexo"]).collect()
+    assert sorted(r.status for r in items) == [200, 200, 422]
+    with pytest.raises(S.MissingDataError):
+        S.load_requests(spark, os.path.join(tmpdir_path, "none"))
+
+
+def test_contract_violations(spark):
+    from panelforge.schema import CAPTURES_CONTRACT
+
+    df = spark.createDataFrame([("c1", "2025-01-01 10:00:00", None, "DNI", "Alta", 0.9, "a|b", "1", "web"),
+                                ("c2", "not a time", "p1", "DNI", None, None, None, "maybe", None)],
+                               "captura_id string, fecha_captura string, paciente_id string, tipo_documento string, "
+                               "calidad_imagen string, confianza_ocr double, campos_extraidos string, "
+                               "requiere_revision_manual string, origen_captura string")
+    got = {r.columna: r.violaciones for r in S.contract_violations(df, CAPTURES_CONTRACT).collect()}
+    assert got["paciente_id"] == 1 and got["fecha_captura"] == 1 and got["confianza_ocr"] == 1
+    assert got["requiere_revision_manual"] == 1 and got["calidad_imagen"] == 0
