@@ -267,8 +267,10 @@ def mutual_information(df: DataFrame, label: str, numeric: Sequence[str], catego
         allp = allp.unionByName(p)
     joint = allp.groupBy("variable", "x", F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("nxy"))
     wv = Window.partitionBy("variable")
-    # the joint table is features x bins x classes rows: small
-    joint = joint.withColumns({
+    # the joint table is features x bins x classes rows: hash it by feature
+    # once, and the three marginal windows (all keyed by feature first) reuse
+    # that partitioning instead of adding an exchange each
+    joint = joint.repartition("variable").withColumns({
         "n": F.sum("nxy").over(wv),
         "nx": F.sum("nxy").over(Window.partitionBy("variable", "x")),
         "ny": F.sum("nxy").over(Window.partitionBy("variable", "y")),
