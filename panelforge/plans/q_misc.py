@@ -290,7 +290,7 @@ FROM capturas GROUP BY ALL""",
 )
 def st2_daily_confidence(spark, sf):
     out = daily_confidence(roles.capturas(spark, sf), watermark=None)
-    return out.select(F.to_date(F.col("window.start")).alias("dia"), "tipo_documento", "n",
+    return out.select("dia", "tipo_documento", "n",
                       R("confianza_promedio").alias("confianza_promedio"), "n_revision")
 
 

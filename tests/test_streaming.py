@@ -24,9 +24,20 @@ def test_daily_confidence_stream_matches_batch(spark, sf, tmpdir_path):
     batch = ST2.daily_confidence(cap, watermark=None)
     # append mode emits closed days; the last (open) day waits for the watermark
     assert 0 < got.count() <= batch.count()
-    b = {(r.window.start, r.tipo_documento): r.n for r in batch.collect()}
+    b = {(r.dia, r.tipo_documento): r.n for r in batch.collect()}
     for r in got.collect():
-        assert b[(r.dia_inicio, r.tipo_documento)] == r.n
+        assert b[(r.dia, r.tipo_documento)] == r.n
+
+
+def test_daily_days_do_not_depend_on_session_zone(spark, sf):
+    cap = roles.capturas(spark, sf)
+    utc = {(r.dia, r.tipo_documento, r.n) for r in ST2.daily_confidence(cap, watermark=None).collect()}
+    spark.conf.set("spark.sql.session.timeZone", "America/Lima")
+    try:
+        lima = {(r.dia, r.tipo_documento, r.n) for r in ST2.daily_confidence(cap, watermark=None).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == lima
 
 
 def test_scoring_stream_splits_accepted_and_rejected(spark, tmpdir_path):
