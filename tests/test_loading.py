@@ -123,3 +123,13 @@ def test_contract_violations(spark):
     got = {r.columna: r.violaciones for r in S.contract_violations(df, CAPTURES_CONTRACT).collect()}
     assert got["paciente_id"] == 1 and got["fecha_captura"] == 1 and got["confianza_ocr"] == 1
     assert got["requiere_revision_manual"] == 1 and got["calidad_imagen"] == 0
+
+
+def test_optional_extracts(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "triage.csv")
+    _write(p, "age,gender,ChiefComplaint,PainGrade,TriageGrade,x\n3,F,fever,2,1,z\n", bom=False)
+    assert S.load_optional(spark, "triage", p).count() == 1
+    q = os.path.join(tmpdir_path, "sparcs.csv")
+    _write(q, "length_of_stay,gender\n3,F\n", bom=False)
+    with pytest.raises(S.DataValidationError):
+        S.load_optional(spark, "sparcs", q)

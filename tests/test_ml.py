@@ -105,3 +105,28 @@ def test_triage_and_sparcs_builders(spark):
             sp = sp.withColumn(c, F.lit("x"))
     got = sorted(r.label for r in FE.sparcs_features(sp).df.collect())
     assert got == [7.0, 120.0]
+
+
+def test_one_vs_rest_probabilities(spark):
+    from pyspark.ml.classification import GBTClassifier, OneVsRest
+
+    fs = _toy(spark)
+    stages, _ = ML.build_preprocessor(fs.df, fs.numeric, fs.categorical)
+    ovr = OneVsRest(classifier=GBTClassifier(maxIter=5, seed=ML.SEED), labelCol="label")
+    model = Pipeline(stages=stages + [ovr]).fit(fs.df)
+    rows = ML.predict(model, fs.df, "classification", fs.class_labels).collect()
+    for r in rows[:50]:
+        probs = r.probabilidades
+        assert sum(probs.values()) == pytest.approx(1.0)
+        assert r.prediccion == fs.class_labels[r.clase_indice]
+        assert max(probs, key=probs.get) == r.prediccion
+
+
+def test_feature_importance_top_n(spark):
+    fs = _toy(spark)
+    stages, _ = ML.build_preprocessor(fs.df, fs.numeric, fs.categorical)
+    model = Pipeline(stages=stages + [DecisionTreeClassifier(labelCol="label", seed=ML.SEED)]).fit(fs.df)
+    imp = ML.feature_importance(spark, model, top_n=2).collect()
+    assert len(imp) == 2 and imp[0].importancia >= imp[1].importancia
+    names = {r.variable for r in ML.feature_importance(spark, model).collect()}
+    assert names == {"a", "b", "c_x", "c_y"}

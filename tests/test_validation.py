@@ -106,3 +106,16 @@ def test_v1_query_matches_brute_force(spark, sf):
             assert sorted(got[rid]) == want, body
     finally:
         NUM, CAT = saved
+
+
+def test_class_index_out_of_range_and_unknown_model(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(0,), (2,), (5,)], "i int")
+    label, err = V.class_from_index(F.col("i"), ["a", "b", "c"])
+    out = df.select(label.alias("l"), err.alias("e")).collect()
+    assert [r.l for r in out] == ["a", "c", None] and out[2].e == "class index out of range: 5"
+    reqs = spark.createDataFrame([("m1", 1), ("zz", 2)], "model string, request_id int")
+    reg = spark.createDataFrame([("m1",)], "name string")
+    bad = V.reject_unknown_model(reqs, reg).collect()
+    assert len(bad) == 1 and bad[0].status == 404 and bad[0].errors == ["unknown model 'zz'"]
