@@ -171,14 +171,18 @@ def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     expansion inside the scan stage, and the generated code stays small
     whatever k is. A constant column gives NULL (pandas NaN), not an error.
     """
+    # built as one SQL expression: a k(k+1)/2-pair expansion written with
+    # Column objects costs thousands of driver round trips to assemble
     pairs = []
     for i, a in enumerate(cols):
         for b in cols[i:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            pairs.append(F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
-                                  F.when(both, F.col(a).cast("double")).alias("_x"),
-                                  F.when(both, F.col(b).cast("double")).alias("_y")))
-    long = df.select(F.inline(F.array(*pairs)))
+            both = f"`{a}` IS NOT NULL AND `{b}` IS NOT NULL"
+            pairs.append(
+                f"named_struct('var_a', '{a}', 'var_b', '{b}', "
+                f"'_x', CASE WHEN {both} THEN CAST(`{a}` AS DOUBLE) END, "
+                f"'_y', CASE WHEN {both} THEN CAST(`{b}` AS DOUBLE) END)"
+            )
+    long = df.selectExpr(f"inline(array({', '.join(pairs)}))")
     r = F.covar_pop("_x", "_y") / F.nullif(F.stddev_pop("_x") * F.stddev_pop("_y"), F.lit(0.0))
     half = long.groupBy("var_a", "var_b").agg(r.alias("corr"))
     mirrored = half.where(F.col("var_a") != F.col("var_b")).select(
