@@ -1,4 +1,4 @@
-"""Loaders and sinks (S1-S5, S10-S13): the reference's loading tests on temp files."""
+"""Loaders and sinks (S1-S5, S10-S13): the original loading tests on temp files."""
 
 import json
 import os

@@ -1,4 +1,4 @@
-"""Metrics against the reference's own metric tests (FIXTURES.md §5)."""
+"""Metrics against the original metric tests (FIXTURES.md §5)."""
 
 import pytest
 
