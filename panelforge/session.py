@@ -64,13 +64,19 @@ def apply_cluster_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Uses ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local runs, tests) a private folder is created and registered.
+    Uses ``spark.checkpoint.dir`` from the session. Only a local master with
+    the setting unset (tests, laptops) gets a private folder; a cluster
+    without the setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set; on a cluster it must name a shared folder "
+            "(a machine-local folder would not survive executor loss)"
+        )
     local = tempfile.mkdtemp(prefix="panelforge-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
