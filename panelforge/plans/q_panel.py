@@ -127,8 +127,8 @@ def w10_forward_label(spark, sf):
           ABS(stock_fin - (stock_inicio - consumo_real)) > 0.15 AS balance_error
         FROM panel)
 SELECT item_id, COUNT(*) AS n_rows,
-       SUM(CAST(carry_error AS BIGINT)) AS carry_errors,
-       SUM(CAST(balance_error AS BIGINT)) AS balance_errors
+       CAST(SUM(CAST(carry_error AS BIGINT)) AS BIGINT) AS carry_errors,
+       CAST(SUM(CAST(balance_error AS BIGINT)) AS BIGINT) AS balance_errors
 FROM t GROUP BY item_id""",
 )
 def w11_ledger_check(spark, sf):
