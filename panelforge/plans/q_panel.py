@@ -247,3 +247,40 @@ SELECT fecha, item_id, CAST(isodow(fecha) - 1 AS INTEGER) AS dia_semana, CAST(mo
 )
 def p14_date_parts(spark, sf):
     return _panel(spark, sf).select("fecha", "item_id", X.weekday_monday0("fecha").alias("dia_semana"), F.month("fecha").alias("mes"))
+
+
+NULLED_SQL = """
+, pn AS (SELECT fecha, item_id,
+           CASE WHEN dayofyear(fecha) % 10 = 0 THEN NULL ELSE consumo_real END AS consumo_real,
+           CASE WHEN dayofyear(fecha) % 10 = 5 THEN NULL ELSE ingreso_stock END AS ingreso_stock
+         FROM panel)"""
+
+
+@query(
+    "w3_windows_with_nulls",
+    O.with_(O.PANEL) + NULLED_SQL + f"""
+SELECT fecha, item_id, LAG(consumo_real, 1) OVER ({W_SQL}) AS consumo_lag_1,
+  {_trailing_sql('AVG', 'consumo_real', 7, 3, 'consumo_roll7')},
+  {_trailing_sql('STDDEV_SAMP', 'consumo_real', 7, 3, 'consumo_std7')},
+  {_trailing_sql('SUM', 'ingreso_stock', 7, 3, 'ingreso_roll7')},
+  CASE WHEN date_diff('day', MAX(CASE WHEN ingreso_stock > 0 THEN fecha END) OVER ({W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), fecha) > 14
+       THEN 14 ELSE CAST(date_diff('day', MAX(CASE WHEN ingreso_stock > 0 THEN fecha END)
+            OVER ({W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), fecha) AS INTEGER) END AS dias_sin_ingreso
+FROM pn""",
+    note="NULLs injected by day of year: minimum counts see only non-null values, NULL restocks never count",
+)
+def w3_windows_with_nulls(spark, sf):
+    doy = F.dayofyear("fecha")
+    p = _panel(spark, sf).select(
+        "fecha", "item_id",
+        F.when(doy % 10 == 0, F.lit(None)).otherwise(F.col("consumo_real")).cast("double").alias("consumo_real"),
+        F.when(doy % 10 == 5, F.lit(None)).otherwise(F.col("ingreso_stock")).cast("double").alias("ingreso_stock"),
+    )
+    w = W.series_window("item_id", "fecha")
+    return p.select(
+        "fecha", "item_id", F.lag("consumo_real", 1).over(w).alias("consumo_lag_1"),
+        R(W.trailing_mean("consumo_real", w, 7, 3)).alias("consumo_roll7"),
+        R(W.trailing_std("consumo_real", w, 7, 3)).alias("consumo_std7"),
+        R(W.trailing_sum("ingreso_stock", w, 7, 3)).alias("ingreso_roll7"),
+        W.days_since_last(F.col("ingreso_stock") > 0, "fecha", w, 14).alias("dias_sin_ingreso"),
+    )
