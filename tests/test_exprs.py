@@ -69,3 +69,18 @@ def test_leakage_and_horizon_guards():
         X.check_no_leakage(["stock_fin", "x"], ["stock_fin"], "t")
     with pytest.raises(ValueError):
         X.check_declared(["a", "b"], ["a"], [])
+
+
+def test_regression_headline_and_labels(spark):
+    from panelforge.functions import labels as L
+
+    df = spark.createDataFrame([("duracion_estadia", 12.4), ("demanda_consumo", 3.25), ("proyeccion_donaciones", 1500.5),
+                                ("otro", 2.0)], "m string, v double")
+    out = [r[0] for r in df.select(L.regression_headline("m", "v")).collect()]
+    assert out[0] == "12 días de hospedaje" and out[1].startswith("3.") and out[1].endswith(" unidades")
+    assert out[2] == "S/ 1500.50" and out[3] == "2.00"
+    names = spark.createDataFrame([("stock_critico_7d", "x"), ("nuevo", "Modelo nuevo")], "name string, description string")
+    got = [r[0] for r in names.select(L.model_label("name", "description")).collect()]
+    assert got == ["Riesgo de quiebre de stock (7 días)", "Modelo nuevo"]
+    cats = spark.createDataFrame([("higiene",), ("otra",)], "c string")
+    assert [r[0] for r in cats.select(L.category_label("categoria", "c")).collect()] == ["Higiene", "otra"]
