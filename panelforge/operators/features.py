@@ -136,7 +136,8 @@ def stay_features(pacientes: DataFrame, target: str = "dias_hospedaje") -> Featu
 
 
 # F3 ------------------------------------------------------------------------------
-def inventory_history(consumo: DataFrame, items: DataFrame, restock_cap: int = 60, check_unique: bool = True) -> DataFrame:
+def inventory_history(consumo: DataFrame, items: DataFrame, restock_cap: int = 60, check_unique: bool = True,
+                      items_unique: bool = False) -> DataFrame:
     """Shared history: lag, trailing stats of previous days, date parts, days
     since restock, catalogue attributes (validated many-to-one join)."""
     w = W.series_window("item_id", "fecha")
@@ -156,14 +157,15 @@ def inventory_history(consumo: DataFrame, items: DataFrame, restock_cap: int = 6
         }
     )
     attrs = items.select("item_id", "consumo_base_por_familia", "stock_seguridad_7d", "es_critico")
-    return many_to_one_join(df, attrs, "item_id")
+    return many_to_one_join(df, attrs, "item_id", right_unique=items_unique)
 
 
 # F4 ------------------------------------------------------------------------------
-def stock_features(consumo: DataFrame, items: DataFrame, horizon_days: int, restock_cap: int = 60) -> FeatureSet:
+def stock_features(consumo: DataFrame, items: DataFrame, horizon_days: int, restock_cap: int = 60,
+                   items_unique: bool = False) -> FeatureSet:
     target = X.check_horizon(horizon_days)
     X.check_no_leakage(STOCK_NUM + STOCK_CAT, STOCK_LEAKAGE_FEATURES, target)
-    df = inventory_history(consumo, items, restock_cap).withColumns(
+    df = inventory_history(consumo, items, restock_cap, items_unique=items_unique).withColumns(
         {
             "cobertura_bruta": X.clip_upper(X.safe_ratio("stock_inicio", "consumo_roll7"), 120.0),
             "ratio_stock_seguridad": X.clip_upper(X.safe_ratio("stock_inicio", "stock_seguridad_7d"), 60.0),
@@ -174,9 +176,9 @@ def stock_features(consumo: DataFrame, items: DataFrame, horizon_days: int, rest
 
 
 # F5 ------------------------------------------------------------------------------
-def demand_features(consumo: DataFrame, items: DataFrame, restock_cap: int = 60) -> FeatureSet:
+def demand_features(consumo: DataFrame, items: DataFrame, restock_cap: int = 60, items_unique: bool = False) -> FeatureSet:
     w = W.series_window("item_id", "fecha")
-    df = inventory_history(consumo, items, restock_cap)
+    df = inventory_history(consumo, items, restock_cap, items_unique=items_unique)
     df = df.withColumns(W.lags("consumo_real", w, DEMAND_LAGS, "consumo_lag_")).withColumn(
         "base_x_ocupacion", F.col("consumo_base_por_familia") * F.col("ocupacion_familias")
     )

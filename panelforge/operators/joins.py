@@ -21,14 +21,18 @@ def unique_on(df: DataFrame, key: str | list[str]) -> DataFrame:
     return checked.filter(F.when(F.col("_dup_n") > 1, F.raise_error(msg)).otherwise(F.lit(True))).drop("_dup_n")
 
 
-def many_to_one_join(left: DataFrame, right: DataFrame, key: str | list[str], how: str = "left") -> DataFrame:
+def many_to_one_join(left: DataFrame, right: DataFrame, key: str | list[str], how: str = "left",
+                     right_unique: bool = False) -> DataFrame:
     """``left`` joined to a right side whose key must be unique.
 
-    No broadcast hint: the optimizer broadcasts the right side when its
-    estimated (or, with AQE, measured) size is under the threshold and keeps
-    a shuffle join otherwise.
+    The key is checked unless the caller states ``right_unique`` (a right
+    side that is itself a ``groupBy`` on the key is unique by construction;
+    skipping the check there also keeps it broadcastable). No broadcast
+    hint: the optimizer broadcasts the right side when its estimated (or,
+    with AQE, measured) size is under the threshold and keeps a shuffle join
+    otherwise.
     """
-    return left.join(unique_on(right, key), on=key, how=how)
+    return left.join(right if right_unique else unique_on(right, key), on=key, how=how)
 
 
 def top_k_values(df: DataFrame, col: str, k: int) -> DataFrame:

@@ -73,7 +73,7 @@ FROM f LEFT JOIN cut ON TRUE GROUP BY ALL"""
 
 @query("h3_temporal_split", _h3_sql())
 def h3_temporal_split(spark, sf):
-    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7)
+    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7, items_unique=True)
     s = H.temporal_split(fs.df.select("split_date"), "split_date")
     return s.groupBy("split", "cutoff").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -111,7 +111,7 @@ SELECT CAST(fold AS INTEGER) AS fold, lo, hi, role, COUNT(*) AS n_rows FROM x WH
 
 @query("h6_expanding_folds", _h6_sql())
 def h6_expanding_folds(spark, sf):
-    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7)
+    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7, items_unique=True)
     d = fs.df.select(F.col("split_date").alias("d"))
     folds = H.expanding_folds(d, "d", 3)
     return H.assign_expanding(d, "d", folds, 3).groupBy("fold", "lo", "hi", "role").agg(F.count(F.lit(1)).alias("n_rows"))

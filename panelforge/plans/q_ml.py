@@ -14,7 +14,7 @@ from .registry import normalise, query
 
 
 def _stock7(spark, sf):
-    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7)
+    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7, items_unique=True)
     split = H.temporal_split(fs.df, "split_date")
     return fs, split.where("split = 'train'").drop("split", "cutoff"), split.where("split = 'test'").drop("split", "cutoff")
 

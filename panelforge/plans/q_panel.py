@@ -165,7 +165,7 @@ SELECT fecha, item_id, consumo_lag_1, """ + ", ".join(f"{O.R(c)} AS {c}" for c i
 FROM hist""",
 )
 def f3_inventory_history(spark, sf):
-    h = FE.inventory_history(roles.consumo(spark, sf), roles.catalogue(spark, sf))
+    h = FE.inventory_history(roles.consumo(spark, sf), roles.catalogue(spark, sf), items_unique=True)
     h = normalise(h, HIST_COLS_NUM)
     return h.select("fecha", "item_id", "consumo_lag_1", *HIST_COLS_NUM, "dia_semana", "mes", "dias_sin_ingreso",
                     "consumo_base_por_familia", "stock_seguridad_7d", "es_critico")
@@ -192,7 +192,7 @@ FROM s"""
 
 
 def _stock(spark, sf, h):
-    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), h)
+    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), h, items_unique=True)
     return normalise(fs.df, HIST_COLS_NUM + ["cobertura_bruta", "ratio_stock_seguridad"])
 
 
@@ -218,7 +218,7 @@ FROM s WHERE {nn} AND consumo_real IS NOT NULL"""
 
 @query("f5_demand_features", _demand_sql())
 def f5_demand_features(spark, sf):
-    fs = FE.demand_features(roles.consumo(spark, sf), roles.catalogue(spark, sf))
+    fs = FE.demand_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), items_unique=True)
     return normalise(fs.df, HIST_COLS_NUM + ["base_x_ocupacion"])
 
 
@@ -232,7 +232,7 @@ FROM hist""",
     note="P12 + P13: zero denominator -> NULL, clip keeps NULL",
 )
 def p13_safe_ratio_clip(spark, sf):
-    h = FE.inventory_history(roles.consumo(spark, sf), roles.catalogue(spark, sf))
+    h = FE.inventory_history(roles.consumo(spark, sf), roles.catalogue(spark, sf), items_unique=True)
     return h.select(
         "fecha", "item_id",
         R(X.clip_upper(X.safe_ratio("stock_inicio", "consumo_roll7"), 120.0)).alias("cobertura_bruta"),

@@ -453,7 +453,7 @@ FROM j2 GROUP BY variable"""
 
 @query("a19_mutual_information", _a19_sql(), note="binned plug-in MI on the stock-7d feature table")
 def a19_mutual_information(spark, sf):
-    h = FE.inventory_history(roles.consumo(spark, sf), roles.catalogue(spark, sf))
+    h = FE.inventory_history(roles.consumo(spark, sf), roles.catalogue(spark, sf), items_unique=True)
     s = h.where(F.col("stock_critico_7d").isNotNull()).withColumn("label", F.col("stock_critico_7d").cast("int"))
     return normalise(P.mutual_information(s, "label", MI_NUM, MI_CAT), ["mutual_information"])
 
@@ -538,7 +538,7 @@ SELECT label, COUNT(*) AS n, {SR('CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FR
 def a24_class_balance(spark, sf):
     from . import q_panel  # noqa: F401
 
-    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7)
+    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7, items_unique=True)
     return normalise(P.class_balance(fs.df, "label"), ["share"])
 
 

@@ -108,6 +108,7 @@ def consumo(spark: SparkSession, sf_dir: str) -> DataFrame:
         panel(spark, sf_dir),
         items.select("item_id", "nombre_item", "categoria", "unidad_medida", "consumo_base_por_familia", "stock_seguridad_7d"),
         "item_id",
+        right_unique=True,  # catalogue() groups by item_id
     )
     w = W.series_window("item_id", "fecha")
     thr = F.col("stock_seguridad_7d") + F.lit(5.0 * 45.0) * F.col("consumo_base_por_familia")

@@ -84,3 +84,14 @@ def test_regression_headline_and_labels(spark):
     assert got == ["Riesgo de quiebre de stock (7 días)", "Modelo nuevo"]
     cats = spark.createDataFrame([("higiene",), ("otra",)], "c string")
     assert [r[0] for r in cats.select(L.category_label("categoria", "c")).collect()] == ["Higiene", "otra"]
+
+
+def test_many_to_one_join_rejects_duplicate_keys(spark):
+    from panelforge.operators.joins import many_to_one_join
+
+    left = spark.createDataFrame([("a", 1), ("b", 2)], "item_id string, v int")
+    ok = spark.createDataFrame([("a", 10.0), ("b", 20.0)], "item_id string, w double")
+    assert many_to_one_join(left, ok, "item_id").count() == 2
+    dup = spark.createDataFrame([("a", 10.0), ("a", 11.0)], "item_id string, w double")
+    with pytest.raises(Exception, match="duplicate key"):
+        many_to_one_join(left, dup, "item_id").collect()
