@@ -250,26 +250,23 @@ def mutual_information(df: DataFrame, label: str, numeric: Sequence[str], catego
 
     Numeric features are cut into ``bins`` equal-width bins over their range,
     NULL is a bin of its own; categorical values are used as they are. All
-    features are reshaped to one long table, so this is a fixed number of
-    aggregations whatever the feature count.
+    features go through one explode (numeric and text value side by side),
+    so the input is read twice (ranges, then bins) whatever the feature count.
     """
     rows = df.where(F.col(label).isNotNull())
-    parts = []
-    if numeric:
-        long = to_long(rows, numeric, keep=[label])
-        rng = long.groupBy("variable").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
-        j = long.join(F.broadcast(rng), "variable")  # one row per feature
-        width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-        b = F.least(F.floor((F.col("value") - F.col("_lo")) / width * F.lit(float(bins))), F.lit(bins - 1))
-        b = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(F.coalesce(b, F.lit(0)))
-        parts.append(j.select(label, "variable", b.cast("string").alias("x")))
-    if categorical:
-        long = to_long(rows, categorical, "string", keep=[label])
-        parts.append(long.select(label, "variable", F.coalesce("value", F.lit("∅")).alias("x")))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    joint = allp.groupBy("variable", "x", F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("nxy"))
+    items = [F.struct(F.lit(c).alias("variable"), F.lit(True).alias("num"), F.col(c).cast("double").alias("v"),
+                      F.lit(None).cast("string").alias("s")) for c in numeric]
+    items += [F.struct(F.lit(c).alias("variable"), F.lit(False).alias("num"), F.lit(None).cast("double").alias("v"),
+                       F.col(c).cast("string").alias("s")) for c in categorical]
+    long = rows.select(F.col(label).alias("y"), F.inline(F.array(*items)))
+    # one row per numeric feature: broadcast by construction
+    rng = long.where("num").groupBy("variable").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+    j = long.join(F.broadcast(rng), "variable", "left")
+    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    b = F.least(F.floor((F.col("v") - F.col("_lo")) / width * F.lit(float(bins))), F.lit(bins - 1))
+    b = F.when(F.col("v").isNull(), F.lit(-1)).otherwise(F.coalesce(b, F.lit(0)))
+    x = F.when(F.col("num"), b.cast("string")).otherwise(F.coalesce(F.col("s"), F.lit("∅")))
+    joint = j.groupBy("variable", x.alias("x"), "y").agg(F.count(F.lit(1)).alias("nxy"))
     wv = Window.partitionBy("variable")
     # the joint table is features x bins x classes rows: hash it by feature
     # once, and the three marginal windows (all keyed by feature first) reuse
