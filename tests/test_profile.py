@@ -74,13 +74,17 @@ def test_quantiles_match_pandas(spark, values, p):
 
 def test_quantiles_large_group_band(spark):
     """Above the small-group size the band path (approx edges + exact ranks) is used."""
-    n = 120_000
+    n = 400_000  # 200,000 per group: above SMALL_GROUP, so the approximate bracket is used
     df = spark.range(n).select(((F.col("id") * 7919) % 100_003).cast("double").alias("x"), (F.col("id") % 2).alias("g"))
-    got = {r.g: (r.a, r.b) for r in quantiles_wide(df, "x", [0.25, 0.5], ["a", "b"], by=["g"]).collect()}
+    from panelforge.operators.quantiles import SMALL_GROUP
+
+    assert n // 2 > SMALL_GROUP
+    got = {r.g: (r.a, r.b, r.c) for r in quantiles_wide(df, "x", [0.25, 0.5, 0.999], ["a", "b", "c"], by=["g"]).collect()}
     pdf = df.toPandas()
     for g, grp in pdf.groupby("g"):
         assert got[g][0] == pytest.approx(grp.x.quantile(0.25))
         assert got[g][1] == pytest.approx(grp.x.quantile(0.5))
+        assert got[g][2] == pytest.approx(grp.x.quantile(0.999))
 
 
 def test_histogram_matches_numpy(spark):
