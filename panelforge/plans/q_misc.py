@@ -16,7 +16,7 @@ from ..streaming.captures import daily_confidence
 from . import oracle as O
 from . import roles
 from .q_panel import _stock_sql
-from .registry import R, normalise, query
+from .registry import R, materialise, normalise, query
 
 M, A = 2147483647, 48271
 
@@ -40,7 +40,7 @@ def h1_stratified_split(spark, sf):
     p = roles.pacientes(spark, sf).where(F.col("nivel_prioridad_atencion").isNotNull()).select(
         F.col("paciente_id").cast("long").alias("k"), F.col("nivel_prioridad_atencion").alias("label")
     )
-    s = H.stratified_split(p, "label", ["k"], method="lehmer")
+    s = H.stratified_split(materialise(p), "label", ["k"], method="lehmer")
     return s.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -74,7 +74,7 @@ FROM f LEFT JOIN cut ON TRUE GROUP BY ALL"""
 @query("h3_temporal_split", _h3_sql())
 def h3_temporal_split(spark, sf):
     fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7, items_unique=True)
-    s = H.temporal_split(fs.df.select("split_date"), "split_date")
+    s = H.temporal_split(materialise(fs.df.select("split_date")), "split_date")
     return s.groupBy("split", "cutoff").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -112,7 +112,7 @@ SELECT CAST(fold AS INTEGER) AS fold, lo, hi, role, COUNT(*) AS n_rows FROM x WH
 @query("h6_expanding_folds", _h6_sql())
 def h6_expanding_folds(spark, sf):
     fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7, items_unique=True)
-    d = fs.df.select(F.col("split_date").alias("d"))
+    d = materialise(fs.df.select(F.col("split_date").alias("d")))
     folds = H.expanding_folds(d, "d", 3)
     return H.assign_expanding(d, "d", folds, 3).groupBy("fold", "lo", "hi", "role").agg(F.count(F.lit(1)).alias("n_rows"))
 

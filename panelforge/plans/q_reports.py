@@ -12,7 +12,7 @@ from ..sources.tables import read_table
 from . import oracle as O
 from . import roles
 from .oracle import R as SR
-from .registry import R, normalise, query
+from .registry import R, materialise, normalise, query
 
 # Column lists of the driver tables used by the whole-catalogue reports.
 PROFILED = {
@@ -424,7 +424,7 @@ SELECT f.g AS nivel_prioridad_atencion, {SR('f.q1', 9)} AS q1, {SR('f.mediana',
 FROM f JOIN b ON f.g = b.g GROUP BY f.g, f.q1, f.mediana, f.q3""",
 )
 def a18_boxplot_by_priority(spark, sf):
-    out = P.boxplot_stats(roles.pacientes(spark, sf), "hemoglobina_g_dl", "nivel_prioridad_atencion")
+    out = P.boxplot_stats(materialise(roles.pacientes(spark, sf)), "hemoglobina_g_dl", "nivel_prioridad_atencion")
     return normalise(out, ["q1", "mediana", "q3", "bigote_inf", "bigote_sup"], 9)
 
 
@@ -455,6 +455,7 @@ FROM j2 GROUP BY variable"""
 def a19_mutual_information(spark, sf):
     h = FE.inventory_history(roles.consumo(spark, sf), roles.catalogue(spark, sf), items_unique=True)
     s = h.where(F.col("stock_critico_7d").isNotNull()).withColumn("label", F.col("stock_critico_7d").cast("int"))
+    s = materialise(s.select("label", *MI_NUM, *MI_CAT))
     return normalise(P.mutual_information(s, "label", MI_NUM, MI_CAT), ["mutual_information"])
 
 
@@ -552,7 +553,7 @@ MEDIAN_COLS = ["hemoglobina_g_dl", "neutrofilos", "plaquetas", "imc", "ingreso_f
 SELECT variable, {SR('quantile_cont(value, 0.5)', 9)} AS mediana FROM long GROUP BY variable""",
 )
 def a25_medians(spark, sf):
-    return normalise(P.medians(roles.pacientes(spark, sf), MEDIAN_COLS), ["mediana"], 9)
+    return normalise(P.medians(materialise(roles.pacientes(spark, sf)), MEDIAN_COLS), ["mediana"], 9)
 
 
 @query(

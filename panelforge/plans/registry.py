@@ -39,3 +39,13 @@ def R(c, d: int = 6) -> Column:
 
 def normalise(df: DataFrame, cols, d: int = 6) -> DataFrame:
     return df.withColumns({c: R(c, d) for c in cols if c in df.columns})
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """A derived table that a multi-pass operator reads several times is
+    written once to the shared checkpoint folder (reliable checkpoint:
+    survives executor loss, cuts the lineage) instead of being re-derived
+    on every pass."""
+    from ..session import cut_lineage
+
+    return cut_lineage(df)
