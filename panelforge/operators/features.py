@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from . import windows as W
-from .joins import keep_top_k, many_to_one_join
+from .joins import attach_row, keep_top_k, many_to_one_join
 
 # ---------------------------------------------------------------------------
 # Feature lists and forbidden columns of the original pipeline.
@@ -199,8 +199,8 @@ def donation_features(donaciones: DataFrame) -> FeatureSet:
     m = monthly_series(donaciones)
     w = W.series_window("categoria", "mes_periodo")
     # First month overall (1-row aggregate, broadcast by construction)
-    first = m.agg(F.min("mes_periodo").alias("_first")).withColumn("_k", F.lit(0))
-    m = m.withColumn("_k", F.lit(0)).join(F.broadcast(first), "_k").drop("_k")
+    first = m.agg(F.min("mes_periodo").alias("_first"))
+    m = attach_row(m, first)
     m = m.withColumns(W.lags("valor_total_soles", w, DONATION_LAGS, "valor_lag_")).withColumns(
         {
             "valor_roll3": W.rolling(F.avg, "valor_total_soles", w, -3, -1, 3),

@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from ..functions.exprs import OTHER_CATEGORY
 
 
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row aggregate to every row of ``df``.
+
+    The row is a scalar subquery (``DataFrame.scalar``): computed once and
+    used as a constant, so there is no join (and no cross join) at all.
+    More than one row is a run-time error, as for any scalar subquery.
+    """
+    cols = one_row.columns
+    s = one_row.select(F.struct(*cols).alias("_row")).scalar()
+    return df.withColumn("_row", s).withColumns({c: F.col(f"_row.{c}") for c in cols}).drop("_row")
+
+
 def unique_on(df: DataFrame, key: str | list[str]) -> DataFrame:
     """Same rows, but the job fails if ``key`` repeats (pandas ``validate``).
 

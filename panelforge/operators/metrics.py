@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import attach_row
+
 
 def _div0(a, b):
     return F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0))
@@ -72,8 +74,7 @@ def class_report(df: DataFrame, y: str = "y_true", yhat: str = "y_pred") -> Data
                       F.col("support").cast("double").alias("support"))
     m = classification_metrics(df, y, yhat)
     tot = pcl.agg(F.sum("support").cast("double").alias("_n"))
-    # both sides are single rows
-    m = m.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
+    m = attach_row(m, tot)
     summary = m.select(F.explode(F.array(
         F.struct(F.lit("accuracy").alias("clase"), F.col("accuracy").alias("precision"), F.col("accuracy").alias("recall"),
                  F.col("accuracy").alias("f1_score"), F.col("_n").alias("support")),

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import FeatureSet
+from .joins import attach_row
 from .metrics import classification_metrics, regression_metrics
 from .quantiles import quantiles_long
 from .profile import to_long
@@ -75,8 +76,7 @@ def with_balanced_weights(df: DataFrame, label: str = "label", col: str = "weigh
     """n / (k * n_class) per row; the class table has k rows (broadcast)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = counts.withColumn("_j", F.lit(1)).join(F.broadcast(tot.withColumn("_j", F.lit(1))), "_j")
-    w = w.select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(col))
+    w = attach_row(counts, tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(col))
     return df.join(F.broadcast(w), label)
 
 

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.exprs import pct, round_half_up
+from .joins import attach_row
 from .quantiles import quantiles_long
 
 
 def _const_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a 1-row frame to every row (broadcast; bounded by construction)."""
-    return df.withColumn("_k1", F.lit(1)).join(F.broadcast(one_row.withColumn("_k1", F.lit(1))), "_k1").drop("_k1")
+    """Attach a 1-row aggregate to every row (scalar subquery, no join)."""
+    return attach_row(df, one_row)
 
 
 def to_long(df: DataFrame, cols: Sequence[str], value_type: str = "double", keep: Sequence[str] = ()) -> DataFrame:

@@ -75,10 +75,15 @@ def quantiles_long(df: DataFrame, col: str, probs: Sequence[float], by: Sequence
 
     # groups x probabilities rows: small next to the data, joined on the group keys
     bands = targets.select(*keys, "p", "_lo", "_hi")
-    if not by:
-        # ungrouped: len(probs) rows on a constant key, so it must be broadcast
-        bands = F.broadcast(bands)
-    joined = src.where(F.col("_v").isNotNull()).join(bands, on=keys, how="inner")
+    present = src.where(F.col("_v").isNotNull())
+    if by:
+        # groups x probabilities rows, joined on the group keys
+        joined = present.join(bands, on=keys, how="inner")
+    else:
+        # ungrouped: the len(probs) brackets are one scalar array that every
+        # row expands over (no join)
+        arr = bands.agg(F.collect_list(F.struct("p", "_lo", "_hi")).alias("_b")).select("_b").scalar()
+        joined = present.select(*keys, "_v", F.inline(arr))
     # one aggregation: values inside the band keep their value, values below
     # it collapse into the NULL group (counted first by NULLS FIRST), values
     # above it are dropped

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import attach_row
+
 SEED = 42
 TEST_SIZE = 0.2
 BUCKETS = 10_000
@@ -114,8 +116,8 @@ def temporal_cutoff(df: DataFrame, date: str, test_size: float = TEST_SIZE) -> D
 def temporal_split(df: DataFrame, date: str, test_size: float = TEST_SIZE) -> DataFrame:
     """H3: train = date < cutoff; test = the rest, NULL dates included."""
     cut = temporal_cutoff(df, date, test_size).select("cutoff")
-    # exactly one row: broadcast by construction
-    j = df.withColumn("_k", F.lit(1)).join(F.broadcast(cut.withColumn("_k", F.lit(1))), "_k", "left").drop("_k")
+    # at most one row: a scalar subquery (NULL when the table is empty)
+    j = attach_row(df, cut)
     train = F.coalesce(F.col(date) < F.col("cutoff"), F.lit(False))
     return j.withColumn("split", F.when(train, "train").otherwise("test"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import windows as W
-from ..operators.joins import many_to_one_join
+from ..operators.joins import attach_row, many_to_one_join
 from ..operators.quantiles import quantiles_wide
 from ..sources.tables import read_table
 
@@ -201,12 +201,10 @@ def band_priority(df: DataFrame, score: str, out: str = "nivel_prioridad_atencio
     ``population`` (default ``df``) is where the percentiles are taken.
     """
     src = df if population is None else population
-    q = quantiles_wide(src, score, [0.45, 0.8], ["_q45", "_q80"]).withColumn("_k", F.lit(0))
-    # q is exactly one row, so broadcasting it is bounded by construction
-    banded = df.withColumn("_k", F.lit(0)).join(F.broadcast(q), "_k").withColumn(
-        out, X.band_by_quantiles(score, F.col("_q45"), F.col("_q80"))
-    )
-    return banded.drop("_k", "_q45", "_q80")
+    q = quantiles_wide(src, score, [0.45, 0.8], ["_q45", "_q80"])
+    # q is exactly one row: a scalar subquery, not a join
+    banded = attach_row(df, q).withColumn(out, X.band_by_quantiles(score, F.col("_q45"), F.col("_q80")))
+    return banded.drop("_q45", "_q80")
 
 
 def capturas(spark: SparkSession, sf_dir: str) -> DataFrame:

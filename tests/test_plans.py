@@ -56,3 +56,17 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_no_cross_joins_or_python_udfs_in_any_query(spark, sf):
+    """Every registered query: no Cartesian product / nested-loop join (all
+    joins are equi-joins) and no Python evaluation operators."""
+    bad = {}
+    for name, q in sorted(load_all().items()):
+        if name in ("m8_model_selection", "m11_batch_scoring", "a27_feature_importance"):
+            continue  # model fits: their plans are built while fitting
+        p = _plan(q.build(spark, sf))
+        hits = [k for k in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython") if k in p]
+        if hits:
+            bad[name] = hits
+    assert bad == {}
