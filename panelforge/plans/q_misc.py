@@ -16,7 +16,7 @@ from ..streaming.captures import daily_confidence
 from . import oracle as O
 from . import roles
 from .q_panel import _stock_sql
-from .registry import R, materialise, normalise, query
+from .registry import R, materialise, query
 
 M, A = 2147483647, 48271
 
@@ -386,5 +386,3 @@ def s17_contract_violations(spark, sf):
         "requiere_revision_manual", F.col("requiere_revision_manual").cast("string"))
     return contract_violations(c, CAPTURES_CONTRACT)
 
-
-__all__ = ["normalise"]

@@ -537,8 +537,6 @@ def a23_confusion_matrix(spark, sf):
 SELECT label, COUNT(*) AS n, {SR('CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM s)')} AS share FROM s GROUP BY label""",
 )
 def a24_class_balance(spark, sf):
-    from . import q_panel  # noqa: F401
-
     fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), 7, items_unique=True)
     return normalise(P.class_balance(fs.df, "label"), ["share"])
 

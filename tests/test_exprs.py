@@ -1,7 +1,6 @@
 """Scalar expressions against the hand fixtures (FIXTURES.md §3, §5)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from panelforge.functions import exprs as X
 from panelforge.operators.joins import keep_top_k

@@ -1,6 +1,5 @@
 """Loaders and sinks (S1-S5, S10-S13): the original loading tests on temp files."""
 
-import json
 import os
 
 import pytest
