@@ -70,3 +70,15 @@ def test_no_cross_joins_or_python_udfs_in_any_query(spark, sf):
         if hits:
             bad[name] = hits
     assert bad == {}
+
+
+@pytest.mark.parametrize("name", ["p14_date_parts", "a15_monthly_series", "st2_daily_confidence", "w6_days_since_restock"])
+def test_results_do_not_depend_on_session_zone(spark, sf, name):
+    q = load_all()[name]
+    utc = sorted(map(tuple, q.build(spark, sf).collect()))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = sorted(map(tuple, q.build(spark, sf).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other
