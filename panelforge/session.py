@@ -8,7 +8,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, app: str = "panelforge", shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(master: str | None = None, app: str = "panelforge", shuffle_partitions: int | None = None,
+                  extra: dict | None = None) -> SparkSession:
     """Session with AQE on and the UI off.
 
     On a cluster ``master`` stays None and the launcher's settings win;
@@ -33,6 +34,8 @@ def build_session(master: str | None = None, app: str = "panelforge", shuffle_pa
         )
     elif shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not (master and master.startswith("local")):
