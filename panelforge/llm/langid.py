@@ -60,11 +60,14 @@ def _letters() -> np.ndarray:
 
 
 def gram_keys(codes: np.ndarray, n: int) -> np.ndarray:
-    """Keys of the n-grams that begin at each place: 21 bits a character."""
-    key = codes[: len(codes) - n + 1].copy()
+    """Keys of the n-grams that begin at each place: 21 bits a character. An
+    n-gram with the end of a text in it has the key 0."""
+    size = len(codes) - n + 1
+    key, whole = codes[:size].copy(), codes[:size] != 0
     for k in range(1, n):
-        key = (key << 21) | codes[k : len(codes) - n + 1 + k]
-    return key
+        key = (key << 21) | codes[k : size + k]
+        whole &= codes[k : size + k] != 0
+    return np.where(whole, key, 0)
 
 
 class GramIndex:
@@ -152,8 +155,8 @@ def fit(
     for n in range(1, orders + 1):
         k = np.unique(gram_keys(codes, n)) if len(codes) >= n else np.empty(0, np.int64)
         chars = np.stack([(k >> (21 * i)) & 0x1FFFFF for i in range(n)]) if len(k) else np.empty((n, 0))
-        # a 0 ends a text; spaces alone say nothing
-        keys = np.concatenate((keys, k[(chars > 0).all(axis=0) & (chars > 32).any(axis=0)]))
+        # spaces alone say nothing
+        keys = np.concatenate((keys, k[(chars > 32).any(axis=0)]))
     index = GramIndex(keys)
 
     def normalised(texts):
