@@ -9,20 +9,21 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-#: Runs of anything but space and the controls 0x09-0x0D.
-WORD = r"[^\x20\x09-\x0D]+"
+#: What stands between words: space and the controls 0x09-0x0D.
+BLANKS = r"[\x20\x09-\x0D]+"
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z only; every other character stays."""
-    return F.translate(c, _UPPER, _UPPER.lower())
+    ascii_only = F.octet_length(c) == F.char_length(c)
+    return F.when(ascii_only, F.lower(c)).otherwise(F.translate(c, _UPPER, _UPPER.lower()))
 
 
-def words(text: Column, pattern: str = WORD) -> Column:
-    """All matches of ``pattern``; a null text has none."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
+def words(text: Column, between: str = BLANKS) -> Column:
+    """The longest runs free of ``between``; a null text has none."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), between), "")
 
 
 def let(value: Column, body) -> Column:

@@ -3,9 +3,10 @@
 Test items and documents are normalised alike (A-Z lower-cased, words are
 runs of digits, a-z and characters beyond ASCII). Each item gives its
 windows of ``n`` consecutive words; an item of fewer words is one window.
-Every window of every document is hashed; a broadcast join finds hashes of
-test windows, and a hit counts only if the words themselves are equal. The
-documents are scanned in place: only hits are shuffled.
+Every window of every document is hashed (over its first, middle and last
+word); a broadcast join finds hashes of test windows, and a hit counts only
+if all words are equal. The documents are scanned in place: only hits are
+shuffled.
 
 The set of test windows is broadcast when it has at most
 ``BROADCAST_ROWS`` rows; a larger one goes through a shuffled join.
@@ -24,17 +25,23 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, let, shared, small, upto, words
 
-#: Words of items and documents, after lower-casing.
-ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words of items and documents: ASCII but digits and letters.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 
 
 def item_words(text: Column) -> Column:
-    return words(ascii_lower(text), ITEM_WORD)
+    return words(ascii_lower(text), BETWEEN)
+
+
+def window_hash(w: Column, start: Column, n: Column) -> Column:
+    """Of the window's first, middle and last word."""
+    return F.xxhash64(F.get(w, start), F.get(w, start + F.floor(n / 2).cast("int")), F.get(w, start + n - 1))
 
 
 def item_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
-    """(hash, len, gram, item_id): the distinct windows of the items."""
+    """(hash, len, gram, name, item_id): the distinct windows of the items;
+    ``gram`` is the words, ``name`` the words joined."""
     grams = let(
         item_words(F.col("text")),
         lambda w: F.when(F.size(w) == 0, F.array().cast("array<array<string>>"))
@@ -44,9 +51,10 @@ def item_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
     return (
         items.select("item_id", F.explode(grams).alias("gram"))
         .select(
-            F.xxhash64("gram").alias("hash"),
+            window_hash(F.col("gram"), F.lit(0), F.size("gram")).alias("hash"),
             F.size("gram").alias("len"),
-            F.array_join("gram", " ").alias("gram"),
+            "gram",
+            F.array_join("gram", " ").alias("name"),
             "item_id",
         )
         .distinct()
@@ -54,10 +62,10 @@ def item_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
 
 
 def document_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, key, pos, len, gram) of every occurrence of a test window.
+    """(doc_id, key, pos, len, name) of every occurrence of a test window.
     ``key`` is a digest of the text, so that rows that share a ``doc_id`` but
     not the text stay apart. ``windows`` is a written table."""
-    grams = windows.select("hash", "len", "gram").distinct()
+    grams = windows.select("hash", "len", "gram", "name").distinct()
     # window lengths that occur: n, and those of shorter items (n values at most)
     lengths = windows.agg(F.array_sort(F.collect_set("len")).alias("l")).scalar()
     at = let(
@@ -67,9 +75,7 @@ def document_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
                 ls,
                 lambda ln: F.transform(
                     upto(F.size("w") - ln + 1),
-                    lambda i: F.struct(
-                        F.xxhash64(F.slice(F.col("w"), i + 1, ln)).alias("h"), i.alias("pos"), ln.alias("ln")
-                    ),
+                    lambda i: F.struct(window_hash(F.col("w"), i, ln).alias("h"), i.alias("pos"), ln.alias("ln")),
                 ),
             )
         ),
@@ -77,10 +83,10 @@ def document_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     scanned = docs.select(
         "doc_id", F.xxhash64("text").alias("key"), item_words(F.col("text")).alias("w"), lengths.alias("lengths")
     ).select("doc_id", "key", "w", F.explode(at).alias("x"))
-    verified = F.array_join(F.slice("w", F.col("x.pos") + 1, F.col("x.ln")), " ") == F.col("gram")
+    verified = F.slice("w", F.col("x.pos") + 1, F.col("x.ln")) == F.col("gram")
     return scanned.join(
         small(grams), (F.col("x.h") == F.col("hash")) & (F.col("x.ln") == F.col("len")) & verified
-    ).select("doc_id", "key", F.col("x.pos").alias("pos"), "len", "gram")
+    ).select("doc_id", "key", F.col("x.pos").alias("pos"), "len", "name")
 
 
 def covered(spans: Column) -> Column:
@@ -109,10 +115,12 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFra
         .agg(F.array_sort(F.collect_set(F.struct("pos", "len"))).alias("spans"))
         .withColumn("n_hit", covered(F.col("spans")))
     )
-    named = windows.filter(F.col("item_id").isNotNull()).select("gram", F.col("item_id").cast("string").alias("item"))
+    named = windows.filter(F.col("item_id").isNotNull()).select(
+        "name", F.col("item_id").cast("string").alias("item")
+    )
     items_hit = (
-        hits.select("doc_id", "key", "gram").distinct()
-        .join(small(named), "gram")
+        hits.select("doc_id", "key", "name").distinct()
+        .join(small(named), "name")
         .groupBy("doc_id", "key")
         .agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
     )
@@ -128,7 +136,8 @@ def report(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     counted = docs.select(
         "doc_id",
         F.xxhash64("text").alias("key"),
-        F.size(item_words(F.col("text"))).cast("long").alias("n_words"),
+        # letter case doesn't change the number of words
+        F.size(words(F.col("text"), BETWEEN)).cast("long").alias("n_words"),
     )
     joined = counted.join(
         small(found),

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, let, upto, words
+from .common import let, upto, words
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
@@ -82,7 +82,7 @@ def repeated_words(w: Column, window: int = WINDOW) -> Column:
 def rule_columns(text: Column, w: Column) -> list[Column]:
     """The counts that the fixed rules use; ``w`` is the array of words of ``text``."""
     body = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(WORD))
+    lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return [
         F.size(w).cast("long").alias("n_words"),
         F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a + F.char_length(x)).alias("word_chars"),
