@@ -129,17 +129,15 @@ def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, anchor: st
     )
     joined = marked.join(F.broadcast(table), marked["_whole"] == table["known_digest"], "left")
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    ids = F.transform(F.col("_units"), lambda d: names[d])
-    # a whole text that is one unit is in the list already
-    return (
-        joined.withColumn("license_id", F.col("known_id"))
-        .withColumn(
-            "notices",
-            F.array_sort(F.array_distinct(F.concat(ids, F.when(F.col("known_id").isNull(), none).otherwise(F.array("known_id"))))),
-        )
-        .withColumn("n_notices", F.size(F.array_distinct("_units")).cast("long"))
-        .select(*[c for c in docs.columns if c not in ("license_id", "notices", "n_notices")], "license_id", "notices", "n_notices")
-    )
+    ids = F.transform(marked["_units"], lambda d: names[d])
+    whole = table["known_id"]
+    all_ids = F.concat(ids, F.when(whole.isNull(), none).otherwise(F.array(whole)))
+    new = {
+        "license_id": whole,
+        "notices": F.array_sort(F.array_distinct(all_ids)),
+        "n_notices": F.size(F.array_distinct(marked["_units"])).cast("long"),
+    }
+    return joined.select(*[marked[c] for c in docs.columns if c not in new], *[c.alias(n) for n, c in new.items()])
 
 
 def report(docs: DataFrame) -> DataFrame:
