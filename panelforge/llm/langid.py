@@ -34,6 +34,7 @@ from . import pretokens
 ORDERS = 3
 SAMPLE = 300
 LANDMARKS = 60
+SALTS = 32
 RIDGE = 1e-2
 UNKNOWN = "und"
 
@@ -180,12 +181,13 @@ def fit(
 def training_sample(labelled: DataFrame, sample: int = SAMPLE) -> list[tuple[str, str]]:
     """At most ``sample`` rows (text, lang) of each language, by least hash of the id."""
     some = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # ids only are ranked (each task keeps its first ones), then texts are looked up
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        some.select("doc_id", "lang").withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample)
-        .select(F.col("doc_id").alias("id"), "lang").distinct()
-    )
+    # Ids only are ranked, then texts are looked up. The first round ranks SALTS
+    # parts of each language, so the second sees SALTS * sample rows of one at most.
+    ids = some.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
+    for part in ([F.pmod("h", F.lit(SALTS))], []):
+        first = Window.partitionBy("lang", *part).orderBy("h", "doc_id")
+        ids = ids.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample).drop("r")
+    chosen = ids.select(F.col("doc_id").alias("id"), "lang")
     texts = some.select("doc_id", "text", "lang").join(
         F.broadcast(chosen.withColumnRenamed("lang", "of")),
         (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")),
