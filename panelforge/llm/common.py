@@ -41,15 +41,26 @@ def upto(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def shared(df: DataFrame, name: str) -> DataFrame:
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def shared(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet in the folder that all executors share, and read back.
 
     Cuts the lineage: a lost executor costs no recomputation of what came
     before, and a table that is read several times is computed once.
+    ``arrow_rows``: rows that go to a Python worker at once while this table
+    is written (the session's setting is put back).
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/corpus-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    usual = spark.conf.get(_ARROW_ROWS)
+    try:
+        if arrow_rows:
+            spark.conf.set(_ARROW_ROWS, str(arrow_rows))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ARROW_ROWS, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -26,10 +26,12 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,8 @@ from .common import shared
 CAPACITY = 2048
 END_ID = 0
 SHARD_ROWS = 50_000
+#: Texts that go to a Python worker at once.
+ARROW_ROWS = 2000
 #: Sequences at least so full are left as they are after the first round.
 FULL = 0.998
 
@@ -61,21 +65,30 @@ class Encoder:
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.path = path
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        self.special = [t["content"] for t in spec["added_tokens"]]
         alphabet = pretokens.byte_alphabet()
         ranks = {
-            bytes(alphabet[c] for c in piece): i for piece, i in vocabulary.items() if piece not in set(self.special)
+            bytes(alphabet[c] for c in piece): i
+            for piece, i in spec["model"]["vocab"].items()
+            if piece not in self.special
         }
+        del spec
         self.merger = tiktoken.Encoding(
             "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         self.cache = pretokens.Cache()
 
+    @cached_property
+    def tokenizer(self):
+        """The library's own, loaded when a text needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     @classmethod
     def of(cls, path: str) -> Encoder:
         known = vars(pretokens.worker_state("encoders"))
@@ -127,10 +140,9 @@ def _piece_batches(path: str, capacity: int, keep_ids: bool):
         encoder = Encoder.of(path)
         for b in batches:
             texts = b.column("text")
-            sizes = texts.drop_null().nbytes // max(1, b.num_rows)
-            step = max(1, min(b.num_rows, 2 * pretokens.PART_BYTES // max(1, sizes)))
-            for k in range(0, b.num_rows, step):
-                part = [t or "" for t in texts.slice(k, step).to_pylist()]
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            for k, stop in pretokens.parts(sizes):  # bounds what is in memory beside the batch
+                part = [t or "" for t in texts.slice(k, stop - k).to_pylist()]
                 rows, cols = [], ([], [], [], [], [])
                 for i, ids in enumerate(encoder.encode(part)):
                     ids += end
@@ -220,7 +232,7 @@ def pack(
     keep_ids: bool = False,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset[, ids])."""
-    cut_up = shared(pieces(docs, tokenizer, capacity, keep_ids), "pieces")
+    cut_up = shared(pieces(docs, tokenizer, capacity, keep_ids), "pieces", arrow_rows=ARROW_ROWS)
     # the shards see small rows only; ids, if asked for, come back by a join
     slim = cut_up.drop("ids")
     n = slim.count()

@@ -20,7 +20,7 @@ LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 ODD = re.compile("[^\x00-įı-ɏ‐-‧€]")
 
 #: Text of at most so many bytes is split at once (one longer text is alone).
-PART_BYTES = 8_000_000
+PART_BYTES = 2_000_000
 
 
 def _class_table() -> np.ndarray:
@@ -147,7 +147,7 @@ class Cache:
     a full half is set aside, and dropped when the next one is full; what is
     used meanwhile moves on."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 100_000):
         self.limit, self.new, self.old = limit, {}, {}
 
     def values_of(self, keys: list[bytes], make) -> list:

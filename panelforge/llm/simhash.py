@@ -40,6 +40,8 @@ DISTANCE = 3
 BITS = 64
 #: Most fingerprints that are compared in one group.
 GROUP_ROWS = 4096
+#: Texts whose hashes go to a Python worker at once.
+ARROW_ROWS = 2000
 #: Children of a node of the index.
 FAN = 8
 #: Hashes, or pairs of nodes, that are looked at together in memory.
@@ -301,7 +303,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, fp, component_id): one row per document; ``component_id`` is
     the least doc_id of all documents reachable over links."""
-    marks = shared(fingerprints(docs, size), "fingerprints")
+    marks = shared(fingerprints(docs, size), "fingerprints", arrow_rows=ARROW_ROWS)
     distinct = shared(marks.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
     edges = shared(linked_edges(distinct.select("fp"), distance, group_rows), "links")
     labels = classes(edges).withColumnRenamed("node", "fp")
