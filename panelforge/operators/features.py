@@ -7,6 +7,7 @@ alignment). All builders are lazy.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from . import windows as W
 from .joins import attach_row, keep_top_k, many_to_one_join
+from .splits import hash_value
 
 # ---------------------------------------------------------------------------
 # Feature lists and forbidden columns of the original pipeline.
@@ -89,50 +91,87 @@ SPARCS_CAT = [
     "payment_typology_1", "emergency_department_indicator",
 ]
 SPARCS_POST_DISCHARGE = [
-    "apr_severity_of_illness_code", "apr_risk_of_mortality", "total_charges",
-    "total_costs", "patient_disposition",
+    "length_of_stay", "apr_severity_of_illness", "apr_severity_of_illness_code", "apr_risk_of_mortality",
+    "total_charges", "total_costs", "patient_disposition",
 ]
+STOCK_TARGETS = {7: "stock_critico_7d", 14: "stock_critico_14d"}
 # ---------------------------------------------------------------------------
 
 
+class FeatureError(ValueError):
+    """A table of features is not what was declared.
+
+    ``problems`` maps a kind (``absent``, ``undeclared``, ``repeated``,
+    ``forbidden``) to the columns concerned.
+    """
+
+    def __init__(self, problems: dict[str, list[str]]):
+        self.problems = problems
+        super().__init__("; ".join(f"{kind}: {', '.join(cols)}" for kind, cols in problems.items()))
+
+
+def feature_problems(columns, declared, forbidden=()) -> dict[str, list[str]]:
+    """What is wrong with the columns a builder produced."""
+    seen, wanted, banned = Counter(columns), Counter(declared), set(forbidden)
+    found = {
+        "absent": [c for c in wanted if c not in seen],
+        "undeclared": [c for c in seen if c not in wanted],
+        "repeated": [c for c in seen | wanted if seen[c] > 1 or wanted[c] > 1],
+        "forbidden": [c for c in seen if c in banned],
+    }
+    return {kind: cols for kind, cols in found.items() if cols}
+
+
 @dataclass(frozen=True)
 class FeatureSet:
+    """Features, label and (optional) split date of one model. The columns of
+    ``df`` besides label, date and ``keys`` must be the declared features and
+    none of ``forbidden``."""
+
     df: DataFrame
     numeric: list[str]
     categorical: list[str]
     label: str = "label"
     date: str | None = None
     class_labels: list[str] | None = None
-    extra: dict = field(default_factory=dict)
+    keys: list[str] = field(default_factory=list)
+    forbidden: list[str] = field(default_factory=list)
+
+    def __post_init__(self):
+        others = {self.label, self.date, *self.keys}
+        problems = feature_problems([c for c in self.df.columns if c not in others], self.features, self.forbidden)
+        if problems:
+            raise FeatureError(problems)
 
     @property
     def features(self) -> list[str]:
         return self.numeric + self.categorical
 
 
-def _finish(df: DataFrame, numeric, categorical, label_expr, date=None, class_labels=None) -> FeatureSet:
-    """P8 + P9: check the declared lists, fill categorical NULLs, project."""
-    X.check_declared(numeric + categorical, numeric, categorical)
-    missing = [c for c in numeric + categorical if c not in df.columns]
-    if missing:
-        raise ValueError(f"feature columns not produced: {missing}")
+def _finish(df: DataFrame, numeric, categorical, label_expr, date=None, class_labels=None, forbidden=(),
+            keys=()) -> FeatureSet:
+    """Fill categorical NULLs, project; ``keys`` (a row id) ride along."""
+    problems = feature_problems([c for c in df.columns if c in {*numeric, *categorical}], [*numeric, *categorical])
+    if problems:
+        raise FeatureError(problems)
     cols = [F.col(c) for c in numeric] + [X.categorical_fill(c).alias(c) for c in categorical]
     cols.append(label_expr.alias("label"))
     if date:
         cols.append(F.col(date).alias("split_date"))
-    out = df.select(*cols)
-    return FeatureSet(out, list(numeric), list(categorical), "label", "split_date" if date else None, class_labels)
+    cols += [F.col(k) for k in keys]
+    return FeatureSet(df.select(*cols), list(numeric), list(categorical), "label", "split_date" if date else None,
+                      class_labels, keys=list(keys), forbidden=list(forbidden))
 
 
 # F1 / F2 -----------------------------------------------------------------------
-def priority_features(pacientes: DataFrame, target: str = "nivel_prioridad_atencion") -> FeatureSet:
+def priority_features(pacientes: DataFrame, target: str = "nivel_prioridad_atencion", keys=()) -> FeatureSet:
     df = pacientes.dropna(subset=[target]).withColumns(X.clinical_block())
-    return _finish(df, PRIORITY_NUM, CLINICAL_CAT, X.ordinal_encode(target), class_labels=X.PRIORITY_CLASSES)
+    return _finish(df, PRIORITY_NUM, CLINICAL_CAT, X.ordinal_encode(target), class_labels=X.PRIORITY_CLASSES, keys=keys)
 
 
-def stay_features(pacientes: DataFrame, target: str = "dias_hospedaje") -> FeatureSet:
+def stay_features(pacientes: DataFrame, target: str = "dias_hospedaje", keys=()) -> FeatureSet:
     df = pacientes.dropna(subset=[target]).withColumns(X.clinical_block())
-    return _finish(df, STAY_NUM, CLINICAL_CAT, F.col(target).cast("double"))
+    return _finish(df, STAY_NUM, CLINICAL_CAT, F.col(target).cast("double"), keys=keys)
 
 
 # F3 ------------------------------------------------------------------------------
@@ -163,8 +202,9 @@ def inventory_history(consumo: DataFrame, items: DataFrame, restock_cap: int = 6
 # F4 ------------------------------------------------------------------------------
 def stock_features(consumo: DataFrame, items: DataFrame, horizon_days: int, restock_cap: int = 60,
                    items_unique: bool = False) -> FeatureSet:
-    target = X.check_horizon(horizon_days)
-    X.check_no_leakage(STOCK_NUM + STOCK_CAT, STOCK_LEAKAGE_FEATURES, target)
+    if horizon_days not in STOCK_TARGETS:
+        raise ValueError(f"no target for {horizon_days} days; known: {sorted(STOCK_TARGETS)}")
+    target = STOCK_TARGETS[horizon_days]
     df = inventory_history(consumo, items, restock_cap, items_unique=items_unique).withColumns(
         {
             "cobertura_bruta": X.clip_upper(X.safe_ratio("stock_inicio", "consumo_roll7"), 120.0),
@@ -172,7 +212,8 @@ def stock_features(consumo: DataFrame, items: DataFrame, horizon_days: int, rest
         }
     )
     df = df.dropna(subset=[target, "consumo_roll7"])
-    return _finish(df, STOCK_NUM, STOCK_CAT, F.col(target).cast("int"), date="fecha", class_labels=["normal", "critico"])
+    return _finish(df, STOCK_NUM, STOCK_CAT, F.col(target).cast("int"), date="fecha", class_labels=["normal", "critico"],
+                   forbidden=[*STOCK_LEAKAGE_FEATURES, *STOCK_TARGETS.values()])
 
 
 # F5 ------------------------------------------------------------------------------
@@ -221,6 +262,7 @@ def donation_features(donaciones: DataFrame) -> FeatureSet:
 
 
 def assert_not_empty(fs: FeatureSet, what: str) -> FeatureSet:
+    """a model without a single row of history is an error (an action, for the training flow)."""
     if fs.df.isEmpty():
         raise ValueError(f"not enough history to build {what}")
     return fs
@@ -228,28 +270,31 @@ def assert_not_empty(fs: FeatureSet, what: str) -> FeatureSet:
 
 # F7 ------------------------------------------------------------------------------
 def triage_features(triage: DataFrame, sample_rows: int | None = None, seed: int = 42) -> FeatureSet:
-    X.check_no_leakage(TRIAGE_NUM + TRIAGE_CAT, TRIAGE_POST_DECISION, "prioridad")
+    """``sample_rows`` bounds the rows a model is fitted on: those with the
+    smallest seeded hashes, the same for the same input."""
     df = triage.dropna(subset=["TriageGrade"]).withColumn("prioridad", X.triage_priority("TriageGrade"))
     df = df.dropna(subset=["prioridad"])
     df = keep_top_k(df, "ChiefComplaint", TRIAGE_TOP_COMPLAINTS, out="motivo_consulta")
     df = df.withColumnsRenamed({k: v for k, v in TRIAGE_RENAMES.items() if k in df.columns})
     if sample_rows is not None:
         df = exact_sample(df, sample_rows, seed)
-    return _finish(df, TRIAGE_NUM, TRIAGE_CAT, X.ordinal_encode("prioridad"), class_labels=X.PRIORITY_CLASSES)
+    return _finish(df, TRIAGE_NUM, TRIAGE_CAT, X.ordinal_encode("prioridad"), class_labels=X.PRIORITY_CLASSES,
+                   forbidden=TRIAGE_POST_DECISION)
 
 
-def exact_sample(df: DataFrame, n: int, seed: int = 42, key: str | None = None) -> DataFrame:
-    """Reproducible exact-n sample: the ``n`` smallest seeded hashes.
+def exact_sample(df: DataFrame, n: int, seed: int = 42, key: str | None = None, method: str = "xxhash") -> DataFrame:
+    """Reproducible exact-n sample: the ``n`` smallest seeded hashes
+    (``lehmer``: of one integer key, which other engines can reproduce).
 
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject (per-partition
     top-n, then a merge of n rows per partition), never a global sort.
     """
-    h = F.xxhash64(F.lit(seed), *( [F.col(key)] if key else [F.col(c) for c in df.columns] ))
-    return df.withColumn("_h", h).orderBy("_h").limit(n).drop("_h")
+    keys = [key] if key else df.columns
+    h = hash_value(keys, seed, method)
+    return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
 
 
 # F8 ------------------------------------------------------------------------------
 def sparcs_features(sparcs: DataFrame) -> FeatureSet:
-    X.check_no_leakage(SPARCS_NUM + SPARCS_CAT, SPARCS_POST_DISCHARGE, "dias_estadia")
     df = sparcs.withColumn("dias_estadia", X.censored_number("length_of_stay")).dropna(subset=["dias_estadia"])
-    return _finish(df, SPARCS_NUM, SPARCS_CAT, F.col("dias_estadia"))
+    return _finish(df, SPARCS_NUM, SPARCS_CAT, F.col("dias_estadia"), forbidden=SPARCS_POST_DISCHARGE)

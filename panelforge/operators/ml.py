@@ -1,15 +1,18 @@
 """Model pipeline on Spark ML.
 
-* M1 preprocessing: exact-median imputation (distributed quantiles, one
-  value per column reaches the driver) + StringIndexer(keep) + OneHotEncoder
+* M1 preprocessing: exact-median imputation, fitted with the pipeline, so
+  inside each fold (distributed quantiles, one value per column reaches the
+  driver) + StringIndexer(keep) + OneHotEncoder
   (dropLast drops the unknown slot, so unseen categories encode as zeros and
   every known value keeps its slot) + VectorAssembler.
 * M2-M4 candidates: decision tree, random forest, boosted trees (three
   classes -> OneVsRest over GBT, which is binary only).
-* M5 class weights ('balanced') as a weight column.
-* M6 random search: a seeded draw of parameter maps scored with macro F1 or
-  MAE through ``CrossValidator(foldCol=...)``; time folds use their own loop.
-* M8 model selection on the untouched test split; M9 registry entry;
+* M5 class weights ('balanced', positive class) as weight columns.
+* M6 random search: a seeded draw of parameter maps, all scored in one
+  ``CrossValidator(foldCol=...)`` with macro F1 or MAE; time folds use their
+  own loop.
+* M8 model selection on the cross-validation score (untuned: on the test
+  side); M9 registry entry;
   M11 scoring with label and probability map.
 """
 
@@ -18,17 +21,18 @@ from __future__ import annotations
 import json
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.evaluation import Evaluator as _Evaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
@@ -36,11 +40,12 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import strip_encoder_prefix
 from .features import FeatureSet
 from .joins import attach_row
 from .metrics import classification_metrics, regression_metrics
-from .quantiles import quantiles_long
-from .profile import to_long
+from .quantiles import quantiles_columns
+from .validation import class_from_index
 
 SEED = 42
 MAX_DEPTH = 30  # Spark's limit; stands for "unlimited"
@@ -51,17 +56,30 @@ def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Exact (interpolated) medians; one number per column comes back."""
     if not cols:
         return {}
-    long = to_long(df, cols)
-    rows = quantiles_long(long, "value", [0.5], by=["variable"]).collect()
+    rows = quantiles_columns(df, cols, [0.5]).collect()
     return {r["variable"]: r["value"] for r in rows}
 
 
+class MedianImputer(Estimator):
+    """Adds ``<column>__imp`` with NULLs replaced by the exact median of the
+    rows it is fitted on, so a pipeline inside a cross-validation never sees
+    the medians of its validation rows. A column that is all NULL there gets 0."""
+
+    def __init__(self, cols: list[str]):
+        super().__init__()
+        self.cols = cols
+
+    def _fit(self, dataset: DataFrame) -> SQLTransformer:
+        med = exact_medians(dataset, self.cols)
+        fills = [f"COALESCE(CAST(`{c}` AS DOUBLE), {float(med[c] or 0.0)!r}) AS `{c}__imp`" for c in self.cols]
+        return SQLTransformer(statement=", ".join(["SELECT *", *fills]) + " FROM __THIS__")
+
+
 def build_preprocessor(train: DataFrame, numeric: list[str], categorical: list[str]) -> tuple[list, list[str]]:
     """Stages and the kept numeric columns (all-NULL numeric columns dropped)."""
-    med = exact_medians(train, numeric)
-    kept = [c for c in numeric if med.get(c) is not None]
-    fills = ", ".join(f"COALESCE(CAST(`{c}` AS DOUBLE), {float(med[c])!r}) AS `{c}__imp`" for c in kept)
-    stages = [SQLTransformer(statement=f"SELECT *{', ' + fills if fills else ''} FROM __THIS__")]
+    counts = train.agg(*[F.count(c).alias(c) for c in numeric]).first() if numeric else {}
+    kept = [c for c in numeric if counts[c] > 0]
+    stages = [MedianImputer(kept)]
     idx_cols = [f"{c}__idx" for c in categorical]
     oh_cols = [f"{c}__oh" for c in categorical]
     if categorical:
@@ -72,82 +90,108 @@ def build_preprocessor(train: DataFrame, numeric: list[str], categorical: list[s
 
 
 # M5 ------------------------------------------------------------------------
-def with_balanced_weights(df: DataFrame, label: str = "label", col: str = "weight") -> DataFrame:
-    """n / (k * n_class) per row; the class table has k rows (broadcast)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = attach_row(counts, tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(col))
-    return df.join(F.broadcast(w), label)
+WEIGHTS = ("w_one", "w_balanced", "w_positive")
 
 
-# M2-M4 ---------------------------------------------------------------------
-def candidates(task: str, n_classes: int | None = None) -> dict:
-    """(estimator, search space) per algorithm."""
-    if task == "classification":
-        gbt = GBTClassifier(seed=SEED, featuresCol="features", labelCol="label")
-        boosted = gbt if (n_classes or 2) <= 2 else OneVsRest(classifier=gbt, featuresCol="features", labelCol="label")
-        return {
-            "decision_tree": (DecisionTreeClassifier(seed=SEED, featuresCol="features", labelCol="label"),
-                              {"maxDepth": [4, 6, 8, 12, 16, 24, MAX_DEPTH], "minInstancesPerNode": list(range(1, 40)),
-                               "balanced": [False, True]}),
-            "random_forest": (RandomForestClassifier(seed=SEED, featuresCol="features", labelCol="label"),
-                              {"numTrees": [200, 300, 500], "maxDepth": [MAX_DEPTH, 12, 18, 26],
-                               "minInstancesPerNode": list(range(1, 10)), "featureSubsetStrategy": ["sqrt", "0.5"],
-                               "balanced": [False, True]}),
-            "boosted": (boosted, {"maxIter": [200, 400, 600], "maxDepth": list(range(3, 10)),
-                                  "stepSize": ("uniform", 0.03, 0.2), "subsamplingRate": ("uniform", 0.7, 1.0),
-                                  "minInstancesPerNode": list(range(1, 10))}),
-        }
-    if task == "regression":
-        return {
-            "decision_tree": (DecisionTreeRegressor(seed=SEED, featuresCol="features", labelCol="label"),
-                              {"maxDepth": [4, 6, 8, 12, 16, MAX_DEPTH], "minInstancesPerNode": list(range(1, 40))}),
-            "random_forest": (RandomForestRegressor(seed=SEED, featuresCol="features", labelCol="label"),
-                              {"numTrees": [200, 300, 500], "maxDepth": [MAX_DEPTH, 12, 18, 26],
-                               "minInstancesPerNode": list(range(1, 10)), "featureSubsetStrategy": ["sqrt", "0.5", "all"]}),
-            "boosted": (GBTRegressor(seed=SEED, featuresCol="features", labelCol="label"),
-                        {"maxIter": [200, 400, 600], "maxDepth": list(range(3, 10)), "stepSize": ("uniform", 0.03, 0.2),
-                         "subsamplingRate": ("uniform", 0.7, 1.0), "minInstancesPerNode": list(range(1, 10))}),
-        }
-    raise ValueError(f"unknown task: {task}")
+def with_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
+    """Weight columns by class: 1, n / (k * n_class) ('balanced'), and the
+    boosted trees' n_negative / n_positive for class 1 of two (else 1).
 
+    The class table has a row for each class of a fitted label (broadcast)."""
+    n, c = F.col("_n"), F.col("_nc")
+    counts = df.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_nc"))
+    total = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
+    positive = F.when((F.col("_k") == 2) & (F.col("_class") == 1), (n - c) / c).otherwise(F.lit(1.0))
+    w = attach_row(counts, total).select(
+        "_class", F.lit(1.0).alias("w_one"), (n / (F.col("_k") * c)).alias("w_balanced"), positive.alias("w_positive")
+    )
+    return df.join(F.broadcast(w), df[label].eqNullSafe(w["_class"])).drop("_class")
 
-def draw_params(space: dict, n_iter: int, seed: int = SEED) -> list[dict]:
-    """M6: seeded random draws from the search space (driver-side, tiny)."""
-    rng = random.Random(seed)
+
+# M2-M4 ---------------------------------------------------------------------
+# ---------------------------------------------------------------------------
+# What the search draws from, by algorithm.
+# ---------------------------------------------------------------------------
+MAX_BINS = 64
+LEAF_ROWS_TREE = range(1, 40)
+LEAF_ROWS = range(1, 10)
+TREE_DEPTHS = {"classification": [4, 6, 8, 12, 16, 24, MAX_DEPTH], "regression": [4, 6, 8, 12, 16, MAX_DEPTH]}
+FOREST_TREES = [200, 300, 500]
+FOREST_DEPTHS = [MAX_DEPTH, 12, 18, 26]
+FOREST_FEATURES = {"classification": ["sqrt", "0.5"], "regression": ["sqrt", "0.5", "all"]}
+BOOST_ROUNDS = [200, 400, 600]
+BOOST_DEPTHS = range(3, 10)
+BOOST_STEP = (0.03, 0.2)
+BOOST_SAMPLE = (0.7, 1.0)
+# Untuned: single trees and forests grow without a depth limit, forests of
+# Spark's usual number of trees.
+UNTUNED_TREES = 20
+# ---------------------------------------------------------------------------
+
+_LEARNERS = {
+    "decision_tree": {"classification": DecisionTreeClassifier, "regression": DecisionTreeRegressor},
+    "random_forest": {"classification": RandomForestClassifier, "regression": RandomForestRegressor},
+    "boosted": {"classification": GBTClassifier, "regression": GBTRegressor},
+}
+
+
+@dataclass(frozen=True)
+class Candidate:
+    """An algorithm for a task: estimator, what an untuned fit sets, and what
+    a search draws (a sequence: one of it; a pair of floats: uniform)."""
+
+    name: str
+    estimator: object
+    untuned: dict
+    space: dict
+
+    @property
+    def learner(self):
+        """The estimator that has the parameters (inside a one-vs-rest)."""
+        return self.estimator.getClassifier() if isinstance(self.estimator, OneVsRest) else self.estimator
+
+    def param_map(self, values: dict, task: str) -> dict:
+        """``values`` as Spark params; the weight column follows 'balanced'."""
+        values = dict(values)
+        balanced = values.pop("balanced", False)
+        out = {self.learner.getParam(k): v for k, v in values.items()}
+        # one-vs-rest fits (three classes) are unweighted: the weight is of the positive class of two
+        if task == "classification" and not isinstance(self.estimator, OneVsRest):
+            weight = "w_positive" if self.name == "boosted" else "w_balanced" if balanced else "w_one"
+            out[self.learner.getParam("weightCol")] = weight
+        return out
+
+
+def candidates(task: str, n_classes: int | None = None) -> list[Candidate]:
+    if task not in TREE_DEPTHS:
+        raise ValueError(f"no candidates for task {task!r}")
+    spaces = {
+        "decision_tree": {"maxDepth": TREE_DEPTHS[task], "minInstancesPerNode": LEAF_ROWS_TREE},
+        "random_forest": {"numTrees": FOREST_TREES, "maxDepth": FOREST_DEPTHS, "minInstancesPerNode": LEAF_ROWS,
+                          "featureSubsetStrategy": FOREST_FEATURES[task]},
+        "boosted": {"maxIter": BOOST_ROUNDS, "maxDepth": BOOST_DEPTHS, "stepSize": BOOST_STEP,
+                    "subsamplingRate": BOOST_SAMPLE, "minInstancesPerNode": LEAF_ROWS},
+    }
+    untuned = {"decision_tree": {"maxDepth": MAX_DEPTH}, "random_forest": {"maxDepth": MAX_DEPTH, "numTrees": UNTUNED_TREES}, "boosted": {}}
     out = []
-    for _ in range(n_iter):
-        d = {}
-        for k, v in space.items():
-            if isinstance(v, tuple) and v[0] == "uniform":
-                d[k] = rng.uniform(v[1], v[2])
-            else:
-                d[k] = rng.choice(v)
-        out.append(d)
+    for name, space in spaces.items():
+        est = _LEARNERS[name][task](seed=SEED, featuresCol="features", labelCol="label", maxBins=MAX_BINS)
+        if task == "classification" and name != "boosted":
+            space = {**space, "balanced": [False, True]}
+        if name == "boosted" and task == "classification" and (n_classes or 2) > 2:
+            est = OneVsRest(classifier=est, featuresCol="features", labelCol="label")
+        out.append(Candidate(name, est, untuned[name], space))
     return out
 
 
-def _target(est):
-    return est.getClassifier() if isinstance(est, OneVsRest) else est
-
-
-def configure(est, params: dict, max_bins: int = 64):
-    """A copy of ``est`` with ``params`` applied (weights handled by the caller)."""
-    e = est.copy()
-    inner = _target(e)
-    for k, v in params.items():
-        if k == "balanced":
-            continue
-        if inner.hasParam(k):
-            inner._set(**{k: v})
-    if inner.hasParam("maxBins"):
-        inner._set(maxBins=max_bins)
-    if isinstance(e, OneVsRest):
-        e.setClassifier(inner)
-    return e
+def draw_params(space: dict, n_iter: int, seed: int = SEED) -> list[dict]:
+    """M6: seeded random draws from the search space (driver-side, tiny)."""
+    rng = random.Random(seed)
+    uniform = lambda v: isinstance(v, tuple) and len(v) == 2
+    return [{k: rng.uniform(*v) if uniform(v) else rng.choice(v) for k, v in space.items()} for _ in range(n_iter)]
 
 
-class MacroF1Evaluator(Evaluator):
+class MacroF1Evaluator(_Evaluator):
     """Spark's multiclass 'f1' is weighted; selection uses macro F1."""
 
     def _evaluate(self, dataset):
@@ -159,7 +203,7 @@ class MacroF1Evaluator(Evaluator):
         return True
 
 
-class NegMAEEvaluator(Evaluator):
+class NegMAEEvaluator(_Evaluator):
     def _evaluate(self, dataset):
         return -float(dataset.agg(F.avg(F.abs(F.col("prediction") - F.col("label")))).first()[0])
 
@@ -185,83 +229,95 @@ def _evaluate(model: PipelineModel, test: DataFrame, task: str) -> dict:
     return {k: float(v) if v is not None else None for k, v in m.first().asDict().items()}
 
 
-def _time_fold_score(pipe: Pipeline, data: DataFrame, folds: DataFrame, date: str, evaluator) -> float:
-    """H6 + M6: mean score over expanding time folds (train before ``lo``,
-    test in [lo, hi)). ``folds`` has n_splits rows, collected."""
-    scores = []
-    for f in folds.orderBy("fold").collect():
-        tr = data.where(F.col(date) < F.lit(f["lo"]))
-        te = data.where(F.col(date) >= F.lit(f["lo"]))
-        if f["hi"] is not None:
-            te = te.where(F.col(date) < F.lit(f["hi"]))
-        scores.append(evaluator.evaluate(pipe.fit(tr).transform(te)))
-    return sum(scores) / len(scores)
+def time_fold_bounds(folds: DataFrame) -> list[tuple]:
+    """(lo, hi) of each expanding fold: a few dates."""
+    return [(f["lo"], f["hi"]) for f in folds.orderBy("fold").collect()]
 
 
-def fit_candidate(name: str, est, space: dict, fs: FeatureSet, train: DataFrame, test: DataFrame, task: str,
-                  tuning: bool, n_iter: int, folds: int = 3, time_folds: DataFrame | None = None) -> Fitted:
+def _time_fold_scores(pipe: Pipeline, maps: list[dict], data: DataFrame, bounds: list[tuple], date: str, evaluator,
+                      parallelism: int = 4) -> list[float]:
+    """H6 + M6: mean score of each param map over expanding time folds (train
+    before ``lo``, test in [lo, hi)); the maps of a fold are fitted side by side."""
+    totals = [0.0] * len(maps)
+    for lo, hi in bounds:
+        train = data.where(F.col(date) < F.lit(lo))
+        test = data.where(F.col(date) >= F.lit(lo))
+        if hi is not None:
+            test = test.where(F.col(date) < F.lit(hi))
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = list(pool.map(lambda m: evaluator.evaluate(pipe.fit(train, m).transform(test)), maps))
+        totals = [t + x for t, x in zip(totals, scores, strict=True)]
+    return [t / len(bounds) for t in totals]
+
+
+def fit_candidate(cand: Candidate, fs: FeatureSet, train: DataFrame, test: DataFrame, task: str, tuning: bool,
+                  n_iter: int, folds: int = 3, time_bounds: list[tuple] | None = None,
+                  prepared: PipelineModel | None = None) -> Fitted:
+    """One candidate, tuned by a random search or with its untuned settings.
+
+    ``prepared``: a preprocessor fitted on all of ``train``, for the final fit
+    (the search refits it on each fold's training rows)."""
+    data = with_class_weights(train) if task == "classification" else train
     stages, _ = build_preprocessor(train, fs.numeric, fs.categorical)
-    if not tuning:
-        model = Pipeline(stages=stages + [est]).fit(train)
-        return Fitted(name, model, {}, None, _evaluate(model, test, task))
-    draws = draw_params(space, n_iter)
-    evaluator = MacroF1Evaluator() if task == "classification" else NegMAEEvaluator()
-    best = None
-    for params in draws:
-        e = configure(est, params)
-        data = train
-        if params.get("balanced") and task == "classification":
-            data = with_balanced_weights(train)
-            _target(e)._set(weightCol="weight")
-        pipe = Pipeline(stages=stages + [e])
-        if time_folds is not None and fs.date:
-            score = _time_fold_score(pipe, data, time_folds, fs.date, evaluator)
-        elif "fold" in data.columns:
-            cv = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=evaluator, foldCol="fold",
-                                numFolds=folds, parallelism=4, seed=SEED)
-            score = float(cv.fit(data).avgMetrics[0])
+    values, score = cand.untuned, None
+    if tuning:
+        draws = draw_params(cand.space, n_iter)
+        maps = [cand.param_map(d, task) for d in draws]
+        pipe = Pipeline(stages=[*stages, cand.estimator])
+        evaluator = MacroF1Evaluator() if task == "classification" else NegMAEEvaluator()
+        if time_bounds and fs.date:
+            scores = _time_fold_scores(pipe, maps, data, time_bounds, fs.date, evaluator)
         else:
-            cv = CrossValidator(estimator=pipe, estimatorParamMaps=[{}], evaluator=evaluator, numFolds=folds,
-                                parallelism=4, seed=SEED)
-            score = float(cv.fit(data).avgMetrics[0])
-        if best is None or score > best[0]:
-            best = (score, params, pipe, data)
-    score, params, pipe, data = best
-    model = pipe.fit(data)
-    return Fitted(name, model, params, score, _evaluate(model, test, task))
+            by = {"foldCol": "fold"} if "fold" in data.columns else {}
+            cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds,
+                                parallelism=4, seed=SEED, **by)
+            scores = [float(x) for x in cv.fit(data).avgMetrics]
+        best = max(range(len(draws)), key=lambda i: scores[i])
+        values, score = draws[best], scores[best]
+    prepared = prepared or Pipeline(stages=stages).fit(train)
+    fitted = cand.estimator.copy(cand.param_map(values, task)).fit(prepared.transform(data))
+    model = PipelineModel(stages=[*prepared.stages, fitted])
+    return Fitted(cand.name, model, values if tuning else {}, score, _evaluate(model, test, task))
 
 
 def select_model(fs: FeatureSet, train: DataFrame, test: DataFrame, task: str, tuning: bool = False, n_iter: int = 15,
-                 select_on: str = "test", time_folds: DataFrame | None = None) -> tuple[Fitted, list[Fitted]]:
-    """M8: fit the three candidates, rank by macro F1 (desc) or MAE (asc)."""
+                 select_on: str = "cv", time_folds: DataFrame | None = None) -> tuple[Fitted, list[Fitted]]:
+    """M8: fit the three candidates, rank by macro F1 (desc) or MAE (asc): of
+    the cross-validation if there was one (``select_on="test"``: of the test
+    side, as for untuned fits)."""
     n_classes = len(fs.class_labels) if fs.class_labels else None
-    fitted = []
-    for name, (est, space) in candidates(task, n_classes).items():
-        fitted.append(fit_candidate(name, est, space, fs, train, test, task, tuning, n_iter, time_folds=time_folds))
-    key = "f1_macro" if task == "classification" else "mae"
-    sign = -1 if task == "classification" else 1
+    bounds = time_fold_bounds(time_folds) if time_folds is not None else None
+    stages, _ = build_preprocessor(train, fs.numeric, fs.categorical)
+    prepared = Pipeline(stages=stages).fit(train)  # medians and vocabularies once for all candidates
+    fitted = [
+        fit_candidate(c, fs, train, test, task, tuning, n_iter, time_bounds=bounds, prepared=prepared)
+        for c in candidates(task, n_classes)
+    ]
 
-    def score(f: Fitted):
+    def loss(f: Fitted) -> float:
         if select_on == "cv" and f.cv_score is not None:
             return -f.cv_score
-        v = f.metrics.get(key)
-        return sign * (v if v is not None else math.inf * sign)
+        value = f.metrics.get("f1_macro" if task == "classification" else "mae")
+        if value is None:
+            return math.inf
+        return -value if task == "classification" else value
 
-    ranked = sorted(fitted, key=lambda f: (score(f), f.algorithm))
+    ranked = sorted(fitted, key=lambda f: (loss(f), f.algorithm))
     return ranked[0], ranked
 
 
 def comparison_frame(spark, ranked: list[Fitted]) -> DataFrame:
-    """One row per algorithm."""
+    """One row per algorithm, ``rank`` 1 the selected one."""
     keys = sorted({k for f in ranked for k in f.metrics})
-    schema = "algoritmo string, cv_score double, mejores_hiperparametros string, " + ", ".join(f"{k} double" for k in keys)
-    rows = [(f.algorithm, f.cv_score, json.dumps(f.params, default=str), *[f.metrics.get(k) for k in keys]) for f in ranked]
+    schema = "rank int, algoritmo string, cv_score double, mejores_hiperparametros string, " + ", ".join(f"{k} double" for k in keys)
+    rows = [(i, f.algorithm, f.cv_score, json.dumps(f.params, default=str), *[f.metrics.get(k) for k in keys])
+            for i, f in enumerate(ranked, 1)]
     return spark.createDataFrame(rows, schema)
 
 
 def registry_entry(name: str, task: str, description: str, split: str, best: Fitted, ranked: list[Fitted],
                    fs: FeatureSet, categorical_values: dict, n_train: int, n_test: int) -> dict:
-    """M9: the registry row (P34: only non-null metrics of the winner)."""
+    """M9: the registry row, with the metrics of all algorithms tried."""
     return {
         "name": name,
         "task": task,
@@ -270,7 +326,8 @@ def registry_entry(name: str, task: str, description: str, split: str, best: Fit
         "selection_metric": "f1_macro" if task == "classification" else "mae",
         "selected_algorithm": best.algorithm,
         "best_hyperparameters": json.dumps(best.params, default=str),
-        "metrics": {k: v for k, v in best.metrics.items() if v is not None},
+        "all_algorithms": {f.algorithm: {k: v for k, v in f.metrics.items() if v is not None} for f in ranked},
+        "metrics": best.metrics,
         "numeric_features": fs.numeric,
         "categorical_features": fs.categorical,
         "categorical_values": categorical_values,
@@ -289,46 +346,36 @@ def feature_importance(spark, model: PipelineModel, top_n: int | None = None) ->
     imp = getattr(last, "featureImportances", None)
     if imp is None:
         return spark.createDataFrame([], "variable string, importancia double")
-    attrs = []
-    sample_meta = None
-    for s in model.stages:
-        if isinstance(s, VectorAssembler):
-            sample_meta = s
-    names = sample_meta.getInputCols() if sample_meta is not None else []
-    for n in names:
-        attrs.append(n.replace("__imp", "").replace("__oh", ""))
-    # one-hot inputs expand to several slots: name them value by value
-    attrs = _expand_slots(model, attrs)
-    vals = imp.toArray().tolist()
-    rows = [(attrs[i] if i < len(attrs) else f"f{i}", float(v)) for i, v in enumerate(vals)]
-    out = spark.createDataFrame(rows, "variable string, importancia double").orderBy(F.col("importancia").desc(), "variable")
+    rows = [(n, float(v)) for n, v in zip(slot_names(model), imp.toArray().tolist(), strict=True)]
+    named = spark.createDataFrame(rows, "variable string, importancia double")
+    out = named.withColumn("variable", strip_encoder_prefix("variable")).orderBy(F.col("importancia").desc(), "variable")
     return out.limit(top_n) if top_n else out
 
 
-def _expand_slots(model: PipelineModel, attrs: list[str]) -> list[str]:
+def slot_names(model: PipelineModel) -> list[str]:
+    """Names of the assembled slots as the encoder gives them: ``num__x``, and
+    ``cat__x_value`` for each known value (the unknown one has no slot)."""
+    values = {c: v for st in model.stages if hasattr(st, "labelsArray") for c, v in zip(st.getInputCols(), st.labelsArray, strict=True)}
+    inputs = next((st.getInputCols() for st in model.stages if isinstance(st, VectorAssembler)), [])
     out = []
-    labels = {}
-    for st in model.stages:
-        if hasattr(st, "labelsArray"):
-            for col, labs in zip(st.getInputCols(), st.labelsArray):
-                labels[col] = list(labs)
-    for a in attrs:
-        if a in labels:
-            out += [f"{a}_{v}" for v in labels[a]]  # dropLast removed the unknown slot
-        else:
-            out.append(a)
+    for name in inputs:
+        base = name.removesuffix("__imp").removesuffix("__oh")
+        out += [f"cat__{base}_{v}" for v in values[base]] if base in values else [f"num__{base}"]
     return out
 
 
 # M11 -----------------------------------------------------------------------
 def predict(model: PipelineModel, rows: DataFrame, task: str, class_labels: list[str] | None = None) -> DataFrame:
     """Scored rows: ``prediccion`` (label or value), ``clase_indice``,
-    ``probabilidades`` map label -> probability."""
-    out = model.transform(rows)
+    ``probabilidades`` map label -> probability, ``error_clase`` (a class index
+    outside the labels, V7). Numbers pass through FLOAT, as the scoring tensors did."""
+    numbers = [c.removesuffix("__imp") for st in model.stages if isinstance(st, VectorAssembler) for c in st.getInputCols() if c.endswith("__imp")]
+    out = model.transform(rows.withColumns({c: F.col(c).cast("float").cast("double") for c in numbers}))
     if task != "classification":
         return out.withColumn("prediccion", F.col("prediction"))
     labels = F.array(*[F.lit(x) for x in (class_labels or [])])
     idx = F.col("prediction").cast("int")
+    label, error = class_from_index(idx, class_labels or [])
     if "probability" in out.columns:
         probs = vector_to_array(F.col("probability"))
     else:
@@ -338,7 +385,8 @@ def predict(model: PipelineModel, rows: DataFrame, task: str, class_labels: list
         probs = F.transform(p, lambda x: x / F.aggregate(p, F.lit(0.0), lambda a, b: a + b))
     return out.withColumns({
         "clase_indice": idx,
-        "prediccion": F.try_element_at(labels, idx + 1),
+        "prediccion": label,
+        "error_clase": error,
         "probabilidades": F.map_from_arrays(labels, probs),
     })
 

@@ -11,13 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
-from ..functions.exprs import pct, round_half_up
+from ..functions.exprs import numeric_columns, pct, round_half_up
 from .joins import attach_row
-from .quantiles import quantiles_long
+from .quantiles import quantiles_columns, quantiles_long
 
 
 def _const_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -87,28 +86,26 @@ def null_report(datasets: Mapping[str, DataFrame]) -> DataFrame:
 # A3 ------------------------------------------------------------------------
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """q1, q3, iqr, fences and the count of values strictly outside them."""
-    long = to_long(df, cols).where(F.col("value").isNotNull())
-    q = quantiles_long(long, "value", [0.25, 0.75], by=["variable"])
-    qs = q.groupBy("variable").agg(
+    q = quantiles_columns(df, cols, [0.25, 0.75]).groupBy("variable").agg(
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
         F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"),
-    ).withColumn("iqr", F.col("q3") - F.col("q1"))
-    qs = qs.withColumns({
+    ).where(F.col("q1").isNotNull()).withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = q.withColumns({
         "limite_inferior": F.col("q1") - F.lit(k) * F.col("iqr"),
         "limite_superior": F.col("q3") + F.lit(k) * F.col("iqr"),
     })
     # one row per column: broadcast is bounded by len(cols)
-    flagged = long.join(F.broadcast(qs.select("variable", "limite_inferior", "limite_superior")), "variable")
-    counts = flagged.groupBy("variable").agg(
-        F.sum(((F.col("value") < F.col("limite_inferior")) | (F.col("value") > F.col("limite_superior"))).cast("long")).alias("cantidad_outliers")
+    flagged = to_long(df, cols).join(F.broadcast(q), "variable")
+    outside = (F.col("value") < F.col("limite_inferior")) | (F.col("value") > F.col("limite_superior"))
+    return flagged.groupBy("variable", "q1", "q3", "iqr", "limite_inferior", "limite_superior").agg(
+        F.coalesce(F.sum(outside.cast("long")), F.lit(0)).cast("long").alias("cantidad_outliers")
     )
-    return qs.join(counts, "variable", "left").withColumn("cantidad_outliers", F.coalesce("cantidad_outliers", F.lit(0)).cast("long"))
 
 
 # A4 ------------------------------------------------------------------------
 def describe(df: DataFrame) -> DataFrame:
     """``describe(include='all')`` in long form: one row per column."""
-    num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    num = numeric_columns(df)
     txt = [f.name for f in df.schema.fields if f.name not in num]
     parts = []
     if num:
@@ -120,7 +117,7 @@ def describe(df: DataFrame) -> DataFrame:
             F.min("value").alias("min"),
             F.max("value").alias("max"),
         )
-        q = quantiles_long(long, "value", [0.25, 0.5, 0.75], by=["variable"]).groupBy("variable").agg(
+        q = quantiles_columns(df, num, [0.25, 0.5, 0.75]).groupBy("variable").agg(
             *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
         )
         parts.append(stats.join(q, "variable").select(
@@ -226,59 +223,65 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 # A18 -----------------------------------------------------------------------
 def boxplot_stats(df: DataFrame, col: str, by: str, k: float = 1.5) -> DataFrame:
     """Per group: quartiles, whiskers (extreme data inside the fences), flier count."""
-    base = df.select(by, F.col(col).cast("double").alias("_x")).where(F.col(by).isNotNull() & F.col("_x").isNotNull())
-    q = quantiles_long(base, "_x", [0.25, 0.5, 0.75], by=[by]).groupBy(by).agg(
+    return boxplots(df, [col], by, k).drop("variable")
+
+
+def boxplots(df: DataFrame, cols: Sequence[str], by: str, k: float = 1.5) -> DataFrame:
+    """``boxplot_stats`` of several columns, a row for each column and group.
+    ``by`` is a column of few fixed values, whose rows are broadcast."""
+    long = to_long(df, cols, keep=[by]).withColumnRenamed("value", "_x")
+    base = long.where(F.col(by).isNotNull() & F.col("_x").isNotNull())
+    keys = ["variable", by]
+    q = quantiles_long(base, "_x", [0.25, 0.5, 0.75], by=keys, few_groups=True).groupBy(*keys).agg(
         *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "mediana"), (0.75, "q3"))]
     )
     q = q.withColumns({
         "_lo": F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1")),
         "_hi": F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1")),
     })
-    j = base.join(q.select(by, "_lo", "_hi"), by)
+    j = base.join(F.broadcast(q), keys)
     inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
-    w = j.groupBy(by).agg(
+    return j.groupBy(*keys, "q1", "mediana", "q3").agg(
         F.min(F.when(inside, F.col("_x"))).alias("bigote_inf"),
         F.max(F.when(inside, F.col("_x"))).alias("bigote_sup"),
         F.sum((~inside).cast("long")).alias("n_atipicos"),
         F.count(F.lit(1)).alias("n"),
     )
-    return q.drop("_lo", "_hi").join(w, by)
 
 
 # A19 -----------------------------------------------------------------------
-def mutual_information(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], bins: int = 10) -> DataFrame:
-    """Plug-in mutual information (nats) of each feature with a discrete label.
-
-    Numeric features are cut into ``bins`` equal-width bins over their range,
-    NULL is a bin of its own; categorical values are used as they are. All
-    features go through one explode (numeric and text value side by side),
-    so the input is read twice (ranges, then bins) whatever the feature count.
+def mutual_information(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], bins: int = 10,
+                       regression: bool = False) -> DataFrame:
+    """Plug-in mutual information (nats) of each feature with the label.
+
+    Numeric features, and the label of a regression, are cut into ``bins``
+    bins of about equal counts (the edges are values of the data); NULL is a
+    bin of its own, categorical values are used as they are. All features go
+    through one explode, whose rows are counted map-side; the tables of counts
+    (features x bins x classes) are joined on their keys.
     """
     rows = df.where(F.col(label).isNotNull())
-    items = [F.struct(F.lit(c).alias("variable"), F.lit(True).alias("num"), F.col(c).cast("double").alias("v"),
-                      F.lit(None).cast("string").alias("s")) for c in numeric]
-    items += [F.struct(F.lit(c).alias("variable"), F.lit(False).alias("num"), F.lit(None).cast("double").alias("v"),
-                       F.col(c).cast("string").alias("s")) for c in categorical]
-    long = rows.select(F.col(label).alias("y"), F.inline(F.array(*items)))
-    # one row per numeric feature: broadcast by construction
-    rng = long.where("num").groupBy("variable").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-    j = long.join(F.broadcast(rng), "variable", "left")
-    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    b = F.least(F.floor((F.col("v") - F.col("_lo")) / width * F.lit(float(bins))), F.lit(bins - 1))
-    b = F.when(F.col("v").isNull(), F.lit(-1)).otherwise(F.coalesce(b, F.lit(0)))
-    x = F.when(F.col("num"), b.cast("string")).otherwise(F.coalesce(F.col("s"), F.lit("∅")))
-    joint = j.groupBy("variable", x.alias("x"), "y").agg(F.count(F.lit(1)).alias("nxy"))
-    wv = Window.partitionBy("variable")
-    # the joint table is features x bins x classes rows: hash it by feature
-    # once, and the three marginal windows (all keyed by feature first) reuse
-    # that partitioning instead of adding an exchange each
-    joint = joint.repartition("variable").withColumns({
-        "n": F.sum("nxy").over(wv),
-        "nx": F.sum("nxy").over(Window.partitionBy("variable", "x")),
-        "ny": F.sum("nxy").over(Window.partitionBy("variable", "y")),
-    })
+    binned = [*numeric, *([label] if regression else [])]
+    edges = quantiles_columns(rows, binned, [i / bins for i in range(1, bins)], interpolate=False)
+    # bins - 1 numbers for each numeric column: one map
+    cuts = edges.groupBy("variable").agg(F.collect_list("value").alias("v")).agg(
+        F.map_from_entries(F.collect_list(F.struct("variable", "v"))).alias("_cuts")
+    )
+
+    def bin_of(c: str) -> Column:
+        x = F.col(c).cast("double")
+        n = F.size(F.filter(F.col("_cuts")[c], lambda e: e <= x))
+        return F.when(x.isNull(), F.lit("-1")).otherwise(n.cast("string"))
+
+    values = {c: bin_of(c) for c in numeric} | {c: F.coalesce(F.col(c).cast("string"), F.lit("∅")) for c in categorical}
+    pairs = F.array(*[F.struct(F.lit(c).alias("variable"), v.alias("x")) for c, v in values.items()])
+    y = bin_of(label) if regression else F.col(label).cast("string")
+    long = attach_row(rows, cuts).select(y.alias("y"), F.inline(pairs))
+    joint = long.groupBy("variable", "x", "y").agg(F.count(F.lit(1)).alias("nxy"))
+    margin = lambda name, *by: joint.groupBy("variable", *by).agg(F.sum("nxy").alias(name))
+    full = joint.join(margin("nx", "x"), ["variable", "x"]).join(margin("ny", "y"), ["variable", "y"]).join(margin("n"), "variable")
     term = (F.col("nxy") / F.col("n")) * F.log((F.col("nxy") * F.col("n")) / (F.col("nx") * F.col("ny")))
-    return joint.groupBy("variable").agg(F.sum(term).alias("mutual_information"))
+    return full.groupBy("variable").agg(F.sum(term).alias("mutual_information"))
 
 
 # A24 -----------------------------------------------------------------------
@@ -290,8 +293,7 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 # A25 -----------------------------------------------------------------------
 def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    long = to_long(df, cols)
-    return quantiles_long(long, "value", [0.5], by=["variable"]).select("variable", F.col("value").alias("mediana"))
+    return quantiles_columns(df, cols, [0.5]).select("variable", F.col("value").alias("mediana"))
 
 
 # A26 -----------------------------------------------------------------------
@@ -300,13 +302,10 @@ def vocabulary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return to_long(df, cols, "string").where(F.col("value").isNotNull()).distinct()
 
 
-def vocabulary_arrays(df: DataFrame, cols: Sequence[str], cap: int = 10_000) -> DataFrame:
-    """Sorted value arrays per column; fails if a column has more than ``cap`` values."""
-    v = vocabulary(df, cols)
-    sizes = v.groupBy("variable").agg(F.count(F.lit(1)).alias("_n"))
-    checked = sizes.withColumn("_ok", F.when(F.col("_n") > cap, F.raise_error(F.lit(f"vocabulary above {cap} values"))).otherwise(F.lit(True)))
-    arrays = v.groupBy("variable").agg(F.sort_array(F.collect_list("value")).alias("values"))
-    return arrays.join(checked.where("_ok").select("variable"), "variable")
+def vocabulary_arrays(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Sorted value array per column (for a registry entry, which holds them
+    all; ``vocabulary`` is the long form for columns of many values)."""
+    return vocabulary(df, cols).groupBy("variable").agg(F.sort_array(F.collect_list("value")).alias("values"))
 
 
 # A29 -----------------------------------------------------------------------

@@ -4,108 +4,165 @@ Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, which does not survive a hot group. This operator stays
 exact without that buffer:
 
-1. one pass: ``count`` and ``percentile_approx`` at ``p - d`` and ``p + d``
-   per group; the approximation's rank error is below ``d * n``, so the
-   wanted order statistics lie between these two values;
-2. one pass: the values inside the band grouped to (value, count), so ties
-   of a hot value collapse into one row, plus one NULL-keyed row counting
-   the values below the band; a running count over that small table (NULL
-   row first) gives exact ranks.
-
-The band holds about ``2 d n`` rows; everything is one lazy plan and nothing
-is collected. Groups whose column is all NULL get NULL, like pandas' NaN.
+1. one pass: ``count`` and ``percentile_approx`` a little below and above each
+   probability; the margin is several times the approximation's rank error
+   and at least ``ROWS`` rows, so the wanted order statistics lie between;
+2. one pass: the values inside that band grouped to (value, count), so ties
+   of a hot value collapse into one row, plus one row counting the values
+   below the band. The band is cut into ``SLICES`` equal value ranges: the
+   running total over slices finds the one that holds a rank, and only the
+   values of that slice are ranked one by one.
+
+Columns of a table (``quantiles_columns``) take their brackets from one scalar
+array, so the rows are never shuffled; groups (``quantiles_long``) join them on
+the group keys, by broadcast if the caller knows the groups to be few. Nothing
+is collected. A group without values gives NULL, like pandas' NaN; a rank that
+isn't found is an error, never a NULL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 100_000
-BAND = 5.0 / ACCURACY
-SMALL_GROUP = int(4 / BAND)
-
-
-def _targets_literal(probs: Sequence[float], grid: list[float]):
-    """array<struct<p, lo index, hi index, lo is min, hi is max>> (1-based indices)."""
-    rows = []
-    for p in probs:
-        lo, hi = p - BAND, p + BAND
-        lo_c, hi_c = min(max(lo, 0.0), 1.0), min(max(hi, 0.0), 1.0)
-        rows.append(
-            F.struct(
-                F.lit(float(p)).alias("p"),
-                F.lit(grid.index(lo_c) + 1).alias("ilo"),
-                F.lit(grid.index(hi_c) + 1).alias("ihi"),
-                F.lit(lo <= 0.0).alias("lo_min"),
-                F.lit(hi >= 1.0).alias("hi_max"),
-            )
-        )
-    return F.array(*rows)
+#: Margins around a probability; the first that covers ROWS rows is used, else all rows.
+MARGINS = (5.0 / ACCURACY, 0.01)
+ROWS = 4
+SLICES = 1024
 
 
-def quantiles_long(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """One row per (group, p): columns ``*by, p, value``."""
-    probs = [float(p) for p in probs]
-    keys = list(by) if by else ["_g"]
-    v = F.nanvl(F.col(col).cast("double"), F.lit(None).cast("double"))
-    src = df.select(*(by or [F.lit(0).alias("_g")]), v.alias("_v"))
-    grid = sorted({min(max(p + s * BAND, 0.0), 1.0) for p in probs for s in (-1, 1)})
-
-    stats = src.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", grid, ACCURACY).alias("_edges"),
+def _grid(probs: Sequence[float]) -> list[float]:
+    """Probabilities that the approximation is asked for."""
+    return sorted({min(max(p + s * m, 0.0), 1.0) for p in probs for m in MARGINS for s in (-1, 1)})
+
+
+def _number(c) -> Column:
+    return F.nanvl((F.col(c) if isinstance(c, str) else c).cast("double"), F.lit(None).cast("double"))
+
+
+def _stats(c: Column, grid: list[float]) -> Column:
+    return F.struct(
+        F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"), F.percentile_approx(c, grid, ACCURACY).alias("edges")
+    )
+
+
+def _targets(stats: Column, probs: Sequence[float], grid: list[float]) -> Column:
+    """array<struct<p, pos, r0, r1, n, lo, hi>>: bracket and ranks (from 0) of
+    each probability; one lambda over the probabilities, whatever their number."""
+
+    def place(x: float) -> Column:
+        # where an edge stands in the approximation's answer; none beyond 0 and 1
+        return F.lit(grid.index(x) if 0 < x < 1 else None).cast("int")
+
+    wanted = F.array(*[
+        F.struct(
+            F.lit(p).alias("p"),
+            *[place(min(max(p + s * m, 0.0), 1.0)).alias(f"{side}{i}") for side, s in (("lo", -1), ("hi", 1)) for i, m in enumerate(MARGINS)],
+        )
+        for p in probs
+    ])
+
+    def edge(t: Column, side: str, otherwise: Column) -> Column:
+        # the narrowest margin that covers enough rows
+        tries = [F.when(stats["n"] * m >= ROWS, F.get(stats["edges"], t[f"{side}{i}"])) for i, m in enumerate(MARGINS)]
+        return F.coalesce(*tries, otherwise)
+
+    def target(t: Column) -> Column:
+        pos = t["p"] * (stats["n"] - 1)
+        return F.struct(
+            t["p"].alias("p"), pos.alias("pos"), F.floor(pos).cast("long").alias("r0"), F.ceil(pos).cast("long").alias("r1"),
+            stats["n"].alias("n"), edge(t, "lo", stats["lo"]).alias("lo"), edge(t, "hi", stats["hi"]).alias("hi"),
+        )
+
+    return F.transform(wanted, target)
+
+
+def _values(joined: DataFrame, targets: DataFrame, keys: list[str], interpolate: bool = True) -> DataFrame:
+    """``joined``: (*keys, _v, p, lo, hi), a row for each value and bracket;
+    ``targets``: (*keys, p, pos, r0, r1, n). One row (*keys, p, value) each."""
+    v, lo, hi = F.col("_v"), F.col("lo"), F.col("hi")
+    inside = v >= lo
+    part = F.floor((v - lo) / F.nullif(hi - lo, F.lit(0.0)) * F.lit(float(SLICES)))
+    part = F.least(F.greatest(F.coalesce(part, F.lit(0)), F.lit(0)), F.lit(SLICES - 1)).cast("int")
+    # values above the bracket are dropped, values below it are one row
+    band = joined.where(v <= hi).select(
+        *keys, "p", F.when(inside, part).otherwise(F.lit(-1)).alias("_s"), F.when(inside, v).alias("_bv")
+    ).groupBy(*keys, "p", "_s", "_bv").agg(F.count(F.lit(1)).alias("_c"))
+    slices = band.groupBy(*keys, "p", "_s").agg(F.sum("_c").alias("_sc"))
+    upto = Window.partitionBy(*keys, "p").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)
+    slices = slices.withColumn("_before", F.sum("_sc").over(upto) - F.col("_sc"))
+    holds = lambda r, first, n: (F.col(r) >= first) & (F.col(r) < first + n)
+    hit = _join(slices.where("_s >= 0"), targets, [*keys, "p"]).where(
+        holds("r0", F.col("_before"), F.col("_sc")) | holds("r1", F.col("_before"), F.col("_sc"))
     )
-    t = F.col("_t")
-    # below SMALL_GROUP rows the whole group is the band (the approximation's
-    # margin would be under a few rows)
-    small = F.col("_n") < SMALL_GROUP
-    targets = stats.select(*keys, "_n", "_min", "_max", "_edges", F.explode(_targets_literal(probs, grid)).alias("_t")).select(
-        *keys,
-        t["p"].alias("p"),
-        (t["p"] * (F.col("_n") - 1)).alias("_pos"),
-        F.when(t["lo_min"] | small, F.col("_min")).otherwise(F.element_at("_edges", t["ilo"])).alias("_lo"),
-        F.when(t["hi_max"] | small, F.col("_max")).otherwise(F.element_at("_edges", t["ihi"])).alias("_hi"),
+    rows = _join(band.where("_s >= 0"), hit.select(*keys, "p", "_s", "_before", "r0", "r1"), [*keys, "p", "_s"])
+    within = Window.partitionBy(*keys, "p", "_s").orderBy("_bv").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_first", F.col("_before") + F.sum("_c").over(within) - F.col("_c"))
+    picked = rows.groupBy(*keys, "p").agg(
+        *[F.max(F.when(holds(r, F.col("_first"), F.col("_c")), F.col("_bv"))).alias(o) for r, o in (("r0", "_v0"), ("r1", "_v1"))]
     )
-    targets = targets.withColumns({"_r0": F.floor("_pos").cast("long"), "_r1": F.ceil("_pos").cast("long")})
-
-    # groups x probabilities rows: small next to the data, joined on the group keys
-    bands = targets.select(*keys, "p", "_lo", "_hi")
-    present = src.where(F.col("_v").isNotNull())
-    if by:
-        # groups x probabilities rows, joined on the group keys
-        joined = present.join(bands, on=keys, how="inner")
-    else:
-        # ungrouped: the len(probs) brackets are one scalar array that every
-        # row expands over (no join)
-        arr = bands.agg(F.collect_list(F.struct("p", "_lo", "_hi")).alias("_b")).select("_b").scalar()
-        joined = present.select(*keys, "_v", F.inline(arr))
-    # one aggregation: values inside the band keep their value, values below
-    # it collapse into the NULL group (counted first by NULLS FIRST), values
-    # above it are dropped
-    marked = joined.where(F.col("_v") <= F.col("_hi")).select(
-        *keys, "p", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_bv"))
-    band = marked.groupBy(*keys, "p", "_bv").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys, "p").orderBy(F.col("_bv").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    band = band.withColumn("_cum", F.sum("_c").over(w)).where(F.col("_bv").isNotNull())
-    ranked = band.join(targets.select(*keys, "p", "_pos", "_r0", "_r1"), on=[*keys, "p"])
-    # value v covers ranks [cum - c, cum - 1] (0-based, rows below the band included)
-    first = F.col("_cum") - F.col("_c")
-    last = F.col("_cum") - 1
-    hit0 = (F.col("_r0") >= first) & (F.col("_r0") <= last)
-    hit1 = (F.col("_r1") >= first) & (F.col("_r1") <= last)
-    picked = ranked.groupBy(*keys, "p").agg(
-        F.max(F.when(hit0, F.col("_bv"))).alias("_v0"),
-        F.max(F.when(hit1, F.col("_bv"))).alias("_v1"),
+    out = _join(targets, picked, [*keys, "p"], "left")
+    lost = (F.col("n") > 0) & (F.col("_v0").isNull() | F.col("_v1").isNull())
+    value = F.col("_v0")
+    if interpolate:
+        value = value + (F.col("pos") - F.col("r0")) * (F.col("_v1") - F.col("_v0"))
+    value = F.when(lost, F.raise_error(F.lit("quantile: a rank lies outside its bracket")).cast("double")).otherwise(value)
+    return out.select(*keys, "p", value.alias("value"))
+
+
+def _join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be NULL; keeps the left side's keys."""
+    renamed = b.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & a[k].eqNullSafe(renamed[f"_k{i}"])
+    return a.join(renamed, same, how).drop(*[f"_k{i}" for i in range(len(keys))])
+
+
+def quantiles_columns(df: DataFrame, cols: Sequence[str], probs: Sequence[float], interpolate: bool = True) -> DataFrame:
+    """One row per column and probability: ``variable, p, value`` (without
+    ``interpolate``: the lower one of the two values around the rank).
+
+    Two passes over ``df``, no shuffle of its rows: only partial counts and
+    the values inside the brackets (about 1e-4 of them) are exchanged.
+    """
+    cols, probs = list(cols), [float(p) for p in probs]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "variable string, p double, value double")
+    grid = _grid(probs)
+    wide = df.select(*[_number(c).alias(f"_c{i}") for i, c in enumerate(cols)])
+    one = wide.agg(*[_stats(F.col(f"_c{i}"), grid).alias(f"_s{i}") for i in range(len(cols))])
+    per_column = F.array(*[F.struct(F.lit(c).alias("variable"), F.lit(i).alias("i"), F.col(f"_s{i}").alias("s")) for i, c in enumerate(cols)])
+    targets = one.select(F.inline(per_column)).select("variable", "i", F.inline(_targets(F.col("s"), probs, grid)))
+    brackets = targets.agg(F.collect_list(F.struct("variable", "i", "p", "lo", "hi")).alias("_b"))
+    values = F.array(*[F.col(f"_c{i}") for i in range(len(cols))]).alias("_values")
+    joined = wide.select(values, F.inline(brackets.scalar())).select(
+        "variable", "p", "lo", "hi", F.get("_values", F.col("i")).alias("_v")
     )
-    value = F.col("_v0") + (F.col("_pos") - F.col("_r0")) * (F.col("_v1") - F.col("_v0"))
-    out = targets.select(*keys, "p", "_pos", "_r0").join(picked, on=[*keys, "p"], how="left")
-    out = out.select(*keys, "p", value.alias("value"))
-    return out.drop("_g") if not by else out
+    return _values(joined, targets.drop("i", "lo", "hi"), ["variable"], interpolate)
+
+
+def quantiles_long(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
+                   few_groups: bool = False) -> DataFrame:
+    """One row per (group, p): columns ``*by, p, value``.
+
+    ``few_groups``: the caller knows that ``by`` has a small fixed domain, so
+    the brackets (groups x probabilities) are broadcast; otherwise rows and
+    brackets meet on the group keys.
+    """
+    probs = [float(p) for p in probs]
+    if not by:
+        return quantiles_columns(df, [col], probs).drop("variable")
+    grid, keys = _grid(probs), list(by)
+    src = df.select(*keys, _number(col).alias("_v"))
+    stats = src.groupBy(*keys).agg(_stats(F.col("_v"), grid).alias("_s"))
+    targets = stats.select(*keys, F.inline(_targets(F.col("_s"), probs, grid)))
+    brackets = targets.select(*keys, "p", "lo", "hi")
+    joined = _join(src.where(F.col("_v").isNotNull()), F.broadcast(brackets) if few_groups else brackets, keys)
+    return _values(joined, targets.drop("lo", "hi"), keys)
 
 
 def quantiles_wide(df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -113,7 +170,3 @@ def quantiles_wide(df: DataFrame, col: str, probs: Sequence[float], names: Seque
     long = quantiles_long(df, col, probs, by)
     aggs = [F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(n) for p, n in zip(probs, names)]
     return long.groupBy(*by).agg(*aggs)
-
-
-def median(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    return quantiles_wide(df, col, [0.5], [col], by)

@@ -56,7 +56,8 @@ def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_size:
 
     Per (class, bucket) counts are a small table; their running total finds
     the bucket where each class crosses its quota, and only the rows of that
-    single bucket are ranked. No class is ever sorted as a whole.
+    single bucket are ranked. No class is ever sorted as a whole. Rows without
+    a class form a class of their own.
     """
     h = hash_value(keys, seed, method)
     b = F.pmod(h, F.lit(BUCKETS))
@@ -74,8 +75,10 @@ def stratified_split(df: DataFrame, label: str, keys: Sequence[str], test_size:
         .otherwise(F.lit("none")).alias("_mode"),
         (F.col("_q") - (F.col("_cum") - F.col("_c"))).alias("_take"),
     )
-    j = rows.join(plan, [label, "_b"], "left")
-    drop = ["_h", "_b", "_mode", "_take"]
+    # a missing class is a class of its own, with its own quota
+    p = plan.select(F.col(label).alias("_label"), F.col("_b").alias("_pb"), "_mode", "_take")
+    j = rows.join(p, rows[label].eqNullSafe(p["_label"]) & (rows["_b"] == p["_pb"]), "left")
+    drop = ["_h", "_b", "_label", "_pb", "_mode", "_take"]
     whole = j.where(F.col("_mode") != "part").withColumn(
         "split", F.when(F.col("_mode") == "all", "test").otherwise("train")
     )
@@ -95,6 +98,10 @@ def hash_folds(df: DataFrame, keys: Sequence[str], k: int = 3, seed: int = SEED,
 
 def _date_positions(df: DataFrame, date: str) -> DataFrame:
     """Per distinct date (NULL sorted last): rows, rows before, rows up to it, total."""
+    kind = df.schema[date].dataType.simpleString()
+    if kind != "date":
+        # days keep the window over distinct values as small as a calendar
+        raise TypeError(f"{date} is {kind}; a split date must be a DATE")
     per = df.groupBy(F.col(date).alias("_d")).agg(F.count(F.lit(1)).alias("_c"))
     # one row per distinct date: a calendar-sized window
     w = Window.orderBy(F.col("_d").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)

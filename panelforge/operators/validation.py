@@ -91,10 +91,25 @@ def validate_items(items: DataFrame, numeric: Sequence[str], categorical: Sequen
 
 
 def derive_clinical(items: DataFrame) -> DataFrame:
-    """V6: derive the engineered clinical features from raw fields before scoring."""
+    """V6: derive the engineered clinical features from raw fields."""
     return items.withColumns(X.clinical_block())
 
 
+def validate_for_model(items: DataFrame, numeric: Sequence[str], categorical: Sequence[str], strict: bool = True) -> DataFrame:
+    """V6 before V2-V5: a request gives raw fields only. Engineered clinical
+    features of the model are not asked for; the raw fields they need are
+    checked with the other ones, and they are derived for accepted items."""
+    engineered = [c for c in X.clinical_block() if c in numeric]
+    if not engineered:
+        return validate_items(items, numeric, categorical, strict)
+    asked_num = [c for c in dict.fromkeys([*numeric, *X.CLINICAL_RAW_NUMERIC]) if c not in engineered]
+    asked_cat = list(dict.fromkeys([*categorical, *X.CLINICAL_RAW_TEXT]))
+    checked = validate_items(items, asked_num, asked_cat, strict)
+    derived = derive_clinical(checked)
+    ok = F.col("status") == 200
+    return derived.withColumns({c: F.when(ok, F.col(c)) for c in X.clinical_block()})
+
+
 def class_from_index(idx: Column, labels: Sequence[str]) -> tuple[Column, Column]:
     """V7: label for a predicted class index; out-of-range -> NULL label + error."""
     arr = F.array(*[F.lit(x) for x in labels])

@@ -39,7 +39,7 @@ SPECS = {
     s.name: s
     for s in (
         ModelSpec("prioridad_atencion", "classification", "Nivel de prioridad de atencion del paciente (Bajo/Medio/Alto)",
-                  "stratified", lambda t: FE.priority_features(t["pacientes"])),
+                  "stratified", lambda t: FE.priority_features(t["pacientes"], keys=["paciente_id"])),
         ModelSpec("stock_critico_7d", "classification", "Alerta de stock critico a 7 dias por item de inventario",
                   "temporal", lambda t: FE.stock_features(t["consumo"], t["items"], 7)),
         ModelSpec("stock_critico_14d", "classification", "Alerta de stock critico a 14 dias por item de inventario",
@@ -47,7 +47,7 @@ SPECS = {
         ModelSpec("demanda_consumo", "regression", "Consumo diario esperado por item (serie con lags de 1/7/14 dias)",
                   "temporal", lambda t: FE.demand_features(t["consumo"], t["items"])),
         ModelSpec("duracion_estadia", "regression", "Dias de hospedaje estimados del paciente al momento del ingreso",
-                  "stratified", lambda t: FE.stay_features(t["pacientes"])),
+                  "stratified", lambda t: FE.stay_features(t["pacientes"], keys=["paciente_id"])),
         ModelSpec("proyeccion_donaciones", "regression", "Valor mensual proyectado de donaciones (S/) por categoria",
                   "temporal", lambda t: FE.donation_features(t["donaciones"])),
     )
@@ -72,13 +72,15 @@ def spec(name: str) -> ModelSpec:
 
 
 def split_feature_set(s: ModelSpec, fs: FE.FeatureSet) -> tuple[DataFrame, DataFrame]:
-    """H1 / H2 / H3 by the spec's split kind; the hash key is the full feature row."""
+    """H1 / H2 / H3 by the spec's split kind; random splits hash the row id
+    (the full feature row where a set has none)."""
+    keys = fs.keys or [*fs.features, "label"]
     if s.split == "temporal":
         parts = H.temporal_split(fs.df, fs.date).drop("cutoff")
     elif s.task == "classification":
-        parts = H.stratified_split(fs.df, "label", fs.features)
+        parts = H.stratified_split(fs.df, "label", keys)
     else:
-        parts = H.hash_split(fs.df, fs.features + ["label"])
+        parts = H.hash_split(fs.df, keys)
     train = parts.where(F.col("split") == "train").drop("split")
     test = parts.where(F.col("split") == "test").drop("split")
     return train, test
@@ -91,7 +93,7 @@ def train_one(spark: SparkSession, tables: dict, name: str, tuning: bool = False
     # the feature table feeds the split, every fit and the vocabulary: write
     # it once to the shared checkpoint folder (also keeps the split's plan small)
     fs = s.build(tables)
-    fs = replace(fs, df=cut_lineage(fs.df))
+    fs = FE.assert_not_empty(replace(fs, df=cut_lineage(fs.df)), name)
     train, test = split_feature_set(s, fs)
     train, test = cut_lineage(train), cut_lineage(test)
     counts = {"train": train.count(), "test": test.count()}
@@ -99,7 +101,7 @@ def train_one(spark: SparkSession, tables: dict, name: str, tuning: bool = False
         raise ValueError(f"{name}: the split left an empty side")
     time_folds = H.expanding_folds(train, fs.date, 3) if (s.split == "temporal" and tuning) else None
     if s.split != "temporal" and tuning:
-        train = H.hash_folds(train, fs.features + ["label"])
+        train = H.hash_folds(train, fs.keys or [*fs.features, "label"])
     best, ranked = ML.select_model(fs, train, test, s.task, tuning=tuning, n_iter=n_iter, time_folds=time_folds)
     if model_dir:
         ML.save_model(best.model, os.path.join(model_dir, name))
@@ -115,14 +117,14 @@ def train(spark: SparkSession, tables: dict, names: list[str] | None = None, tun
           registry_path: str | None = None, model_dir: str | None = None) -> DataFrame:
     """Train the named models (all by default) and upsert them into the registry."""
     names = names or list(SPECS)
-    unknown = [n for n in names if n not in SPECS]
-    if unknown:
-        raise KeyError(f"unknown models {unknown}; available: {list(SPECS)}")
-    entries = [train_one(spark, tables, n, tuning, n_iter, model_dir)[0] for n in names]
-    new = REG.entries_frame(spark, entries)
+    wanted = [spec(n).name for n in names]  # a wrong name fails before any fit
+    new = REG.entries_frame(spark, [train_one(spark, tables, n, tuning, n_iter, model_dir)[0] for n in wanted])
     old = None
-    if registry_path and os.path.exists(registry_path):
-        old = REG.read_registry(spark, registry_path)
+    if registry_path:
+        try:
+            old = REG.read_registry(spark, registry_path)
+        except REG.RegistryMissing:
+            pass  # the first training run
     merged = REG.upsert(old, new)
     if registry_path:
         merged = cut_lineage(merged)
@@ -142,10 +144,14 @@ def evaluate(spark: SparkSession, tables: dict, name: str, model_dir: str) -> di
     if s.task == "classification":
         pairs = scored.select(F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
         out["metrics"] = MT.classification_metrics(pairs)
-        out["report"] = MT.class_report(pairs)
-        out["confusion"] = MT.confusion_matrix(pairs, list(range(len(fs.class_labels or [0, 1]))))
+        names = fs.class_labels or ["0", "1"]
+        named = lambda c: F.element_at(F.array(*[F.lit(n) for n in names]), F.col(c) + 1).alias(c)
+        labelled = pairs.select(named("y_true"), named("y_pred"))
+        out["report"] = MT.class_report(labelled)
+        out["confusion"] = MT.confusion_matrix(labelled, names)
     else:
         pairs = scored.select(F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"))
         out["metrics"] = MT.regression_metrics(pairs)
+        out["points"] = pairs
         out["range"] = P.prediction_range(pairs)
     return out

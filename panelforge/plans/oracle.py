@@ -8,8 +8,11 @@ from __future__ import annotations
 
 
 def R(x: str, d: int = 6) -> str:
-    """Same normalisation as ``plans.norm.R``: floor(x * 10^d + 0.5) / 10^d."""
-    return f"(FLOOR(({x}) * 1e{d} + 0.5) / 1e{d})"
+    """Same normalisation as ``functions.exprs.round_half_up``."""
+    return (
+        f"(CASE WHEN ABS(({x}) * 1e{d}) < 9e18 THEN FLOOR(({x}) * 1e{d} + 0.5) / 1e{d} "
+        f"ELSE CAST(({x}) AS DOUBLE) END)"
+    )
 
 
 PANEL = """

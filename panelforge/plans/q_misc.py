@@ -44,6 +44,26 @@ def h1_stratified_split(spark, sf):
     return s.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query(
+    "h1_stratified_split_nulls",
+    O.with_(O.PACIENTES) + f"""
+, s AS (SELECT CAST(paciente_id AS BIGINT) AS k,
+          CASE WHEN CAST(paciente_id AS BIGINT) % 7 = 0 THEN NULL ELSE nivel_prioridad_atencion END AS label FROM pacientes),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {lehmer_sql('k')} % 10000, {lehmer_sql('k')}, k) AS rk,
+             COUNT(*) OVER (PARTITION BY label) AS n FROM s)
+SELECT label, CASE WHEN rk <= FLOOR(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split, COUNT(*) AS n_rows, CAST(SUM(k) AS BIGINT) AS ids
+FROM r GROUP BY ALL""",
+    note="a seventh of the classes missing: those rows form a class of their own",
+)
+def h1_stratified_split_nulls(spark, sf):
+    k = F.col("paciente_id").cast("long")
+    p = roles.pacientes(spark, sf).select(
+        k.alias("k"), F.when(k % 7 != 0, F.col("nivel_prioridad_atencion")).alias("label")
+    )
+    s = H.stratified_split(p, "label", ["k"], method="lehmer")
+    return s.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("k").alias("ids"))
+
+
 # H2 ------------------------------------------------------------------------------
 @query(
     "h2_random_split",
@@ -247,9 +267,7 @@ ORDER BY {lehmer_sql('(l_orderkey * 8 + l_linenumber)')}, l_orderkey, l_linenumb
 def t6_exact_sample(spark, sf):
     li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
     k = li.withColumn("_k", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
-    return k.withColumn("_h", H.hash_value(["_k"], method="lehmer")).orderBy("_h", "l_orderkey", "l_linenumber").limit(1000).select(
-        "l_orderkey", "l_linenumber"
-    )
+    return FE.exact_sample(k, 1000, H.SEED, key="_k", method="lehmer").drop("_k")
 
 
 # S9 / U2 ---------------------------------------------------------------------------
@@ -264,7 +282,7 @@ def t6_exact_sample(spark, sf):
     note="yearly extracts with different column sets, filtered and tagged, union by name",
 )
 def s9_yearly_union(spark, sf):
-    from ..sources.files import union_extracts
+    from ..sources.files import filter_tag_extract, union_extracts
 
     o = read_table(spark, sf, "orders")
     pred = F.col("o_orderpriority").startswith("1-") | (F.col("o_orderstatus") == "P")
@@ -272,7 +290,7 @@ def s9_yearly_union(spark, sf):
     early = o.where(year < 1998).select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
     late = o.where(year >= 1998).select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
     tagged = [
-        e.where(pred).withColumn("anio_alta", F.year("o_orderdate").cast("int")).select(*cols)
+        filter_tag_extract(e, pred, F.year("o_orderdate").cast("int")).select(*cols)
         for e, cols in ((early, ["o_orderkey", "o_totalprice", "anio_alta"]),
                         (late, ["o_orderkey", "o_totalprice", "anio_alta", "o_orderpriority"]))
     ]
@@ -335,8 +353,9 @@ REQUEST_NUM = ["edad", "neutrofilos", "temperatura_c"]
 REQUEST_CAT = ["sexo", "seguro_salud"]
 
 
-def request_bodies(spark, sf):
-    """JSON request bodies built from the patient table, with faults injected by key."""
+def request_bodies(spark, sf, quoted: bool = False):
+    """JSON request bodies built from the patient table, with faults injected
+    by key; ``quoted``: some numbers come as text."""
     p = roles.pacientes(spark, sf)
     k = F.col("paciente_id").cast("long")
     obj = F.to_json(F.struct(
@@ -345,6 +364,8 @@ def request_bodies(spark, sf):
     ))
     obj = F.when(k % 17 == 0, F.regexp_replace(obj, r'"edad":\d+', '"edad":"diez"')).otherwise(obj)
     obj = F.when(k % 19 == 0, F.regexp_replace(obj, r'"edad":\d+', '"edad":true')).otherwise(obj)
+    if quoted:
+        obj = F.when(k % 11 == 0, F.regexp_replace(obj, r'"edad":(\d+)', '"edad":"$1"')).otherwise(obj)
     body = (F.when(k % 29 == 0, F.lit("[]"))
             .when(k % 23 == 0, F.concat(F.lit("["), obj, F.lit(","), obj, F.lit("]")))
             .when(k % 31 == 0, F.lit("42"))
@@ -352,11 +373,142 @@ def request_bodies(spark, sf):
     return p.select(F.col("paciente_id").alias("request_id"), body.alias("body"))
 
 
-@query("v1_request_validation", None, note="rows-only: checked against a Python brute force in tests/test_validation.py")
+#: The twin works out from the patient's fields what a check must say; it parses no JSON.
+REQUESTS_SQL = """
+, r AS (SELECT paciente_id AS request_id, CAST(paciente_id AS BIGINT) AS k, edad, neutrofilos, temperatura_c,
+               CASE WHEN CAST(paciente_id AS BIGINT) % 13 <> 0 THEN sexo END AS sexo, seguro_salud FROM pacientes),
+i AS (
+  SELECT *, CASE WHEN k % 29 = 0 THEN 'empty list' WHEN k % 23 <> 0 AND k % 31 = 0 THEN 'body must be an object or a list of objects' END AS body_error,
+         unnest(CASE WHEN k % 29 = 0 OR (k % 23 <> 0 AND k % 31 = 0) THEN [NULL] WHEN k % 23 = 0 THEN [0, 1] ELSE [0] END) AS item_index
+  FROM r),
+c AS (
+  SELECT *, COALESCE(body_error, concat_ws('; ',
+      CASE WHEN edad IS NULL THEN 'missing feature: edad' END,
+      CASE WHEN edad IS NOT NULL AND k % 17 = 0 THEN '''edad'' must be numeric' END,
+      CASE WHEN neutrofilos IS NULL THEN 'missing feature: neutrofilos' END,
+      CASE WHEN temperatura_c IS NULL THEN 'missing feature: temperatura_c' END,
+      CASE WHEN sexo IS NULL THEN 'missing feature: sexo' END,
+      CASE WHEN seguro_salud IS NULL THEN 'missing feature: seguro_salud' END)) AS errors
+  FROM i)
+SELECT request_id, CAST(item_index AS INTEGER) AS item_index, CASE WHEN errors = '' THEN 200 ELSE 422 END AS status, errors,
+       CASE WHEN errors = '' THEN CAST(CAST(CASE WHEN k % 19 = 0 THEN 1 ELSE edad END AS FLOAT) AS DOUBLE) END AS edad,
+       CASE WHEN errors = '' THEN CAST(CAST(neutrofilos AS FLOAT) AS DOUBLE) END AS neutrofilos,
+       CASE WHEN errors = '' THEN CAST(CAST(temperatura_c AS FLOAT) AS DOUBLE) END AS temperatura_c,
+       CASE WHEN errors = '' THEN sexo END AS sexo, CASE WHEN errors = '' THEN seguro_salud END AS seguro_salud
+FROM c"""
+
+
+def _checked(items):
+    return items.select("request_id", "item_index", "status", F.array_join("errors", "; ").alias("errors"), *REQUEST_NUM, *REQUEST_CAT)
+
+
+@query("v1_request_validation", O.with_(O.PACIENTES) + REQUESTS_SQL, note="also against a Python brute force in tests/test_validation.py")
 def v1_request_validation(spark, sf):
-    items = V.explode_bodies(request_bodies(spark, sf))
-    out = V.validate_items(items, REQUEST_NUM, REQUEST_CAT)
-    return out.select("request_id", "item_index", "status", F.array_join("errors", "; ").alias("errors"), *REQUEST_NUM, *REQUEST_CAT)
+    return _checked(V.validate_items(V.explode_bodies(request_bodies(spark, sf)), REQUEST_NUM, REQUEST_CAT))
+
+
+@query("v4_lenient_validation", O.with_(O.PACIENTES) + REQUESTS_SQL, note="numbers that come as text are accepted; words are not")
+def v4_lenient_validation(spark, sf):
+    items = V.explode_bodies(request_bodies(spark, sf, quoted=True))
+    return _checked(V.validate_items(items, REQUEST_NUM, REQUEST_CAT, strict=False))
+
+
+# V6 ----------------------------------------------------------------------------------
+def _float(c: str) -> str:
+    return f"CAST(CAST({c} AS FLOAT) AS DOUBLE)"
+
+
+def _v6_sql() -> str:
+    from .q_reports import _clinical_select
+
+    asked = ["edad", *X.CLINICAL_RAW_NUMERIC, "sexo", *X.CLINICAL_RAW_TEXT]
+    errors = ", ".join(f"CASE WHEN {c} IS NULL THEN 'missing feature: {c}' END" for c in asked)
+    raw = ", ".join(f"{_float(c)} AS {c}" for c in X.CLINICAL_RAW_NUMERIC)
+    out = ", ".join(f"CASE WHEN errors = '' THEN {c} END AS {c}" for c in FE.CLINICAL_ENGINEERED)
+    return O.with_(O.PACIENTES) + f"""
+, c AS (SELECT paciente_id AS request_id, concat_ws('; ', {errors}) AS errors, seguro_salud, {raw} FROM pacientes),
+d AS (SELECT request_id, errors, {_clinical_select()} FROM c)
+SELECT request_id, CASE WHEN errors = '' THEN 200 ELSE 422 END AS status, errors, {out} FROM d"""
+
+
+@query("v6_derived_request_features", _v6_sql(), note="requests hold raw fields; engineered ones are derived, not asked for")
+def v6_derived_request_features(spark, sf):
+    p = roles.pacientes(spark, sf)
+    raw = ["edad", *X.CLINICAL_RAW_NUMERIC, "sexo", *X.CLINICAL_RAW_TEXT]
+    bodies = p.select(F.col("paciente_id").alias("request_id"), F.to_json(F.struct(*raw)).alias("body"))
+    items = V.validate_for_model(V.explode_bodies(bodies), ["edad", *FE.CLINICAL_ENGINEERED], ["sexo"])
+    return items.select("request_id", "status", F.array_join("errors", "; ").alias("errors"), *FE.CLINICAL_ENGINEERED)
+
+
+# V8 ----------------------------------------------------------------------------------
+@query(
+    "v8_unknown_models",
+    O.with_(O.PACIENTES) + """
+SELECT paciente_id AS request_id, 404 AS status, 'unknown model ''modelo_' || CAST(CAST(paciente_id AS BIGINT) % 7 AS VARCHAR) || '''' AS errors
+FROM pacientes WHERE CAST(paciente_id AS BIGINT) % 7 >= 4""",
+    note="four of seven requested models are registered",
+)
+def v8_unknown_models(spark, sf):
+    k = F.col("paciente_id").cast("long") % 7
+    requests = roles.pacientes(spark, sf).select(F.col("paciente_id").alias("request_id"), F.concat(F.lit("modelo_"), k.cast("string")).alias("model"))
+    registry = spark.range(4).select(F.concat(F.lit("modelo_"), F.col("id").cast("string")).alias("name"))
+    bad = V.reject_unknown_model(requests, registry)
+    return bad.select("request_id", "status", F.array_join("errors", "; ").alias("errors"))
+
+
+# F7 / F8 -----------------------------------------------------------------------------
+# Triage and discharge rows over the orders table; the same text binds both engines.
+_K = "o_orderkey"
+TRIAGE_ROLE = {
+    "age": f"CAST({_K} % 95 AS DOUBLE)", "gender": f"CASE WHEN {_K} % 2 = 0 THEN 'F' ELSE 'M' END",
+    "ChiefComplaint": f"CASE WHEN {_K} % 43 <> 0 THEN 'motivo ' || CAST(o_custkey % 60 AS VARCHAR(9)) END",
+    "PainGrade": f"CAST({_K} % 11 AS DOUBLE)", "admission_month": f"CAST({_K} % 12 + 1 AS DOUBLE)",
+    "admission_weekday": f"CAST({_K} % 7 AS DOUBLE)", "admission_hour": f"CAST({_K} % 24 AS DOUBLE)",
+    "CriticalStatus": f"CAST({_K} % 2 AS DOUBLE)", "StuporStatus": f"CAST({_K} % 3 AS DOUBLE)",
+    "MentalDistress": f"CAST({_K} % 4 AS DOUBLE)", "MaterialDistress": f"CAST({_K} % 5 AS DOUBLE)",
+    "AVPU": f"CASE WHEN {_K} % 13 <> 0 THEN 'A' END", "BlooddpressurSystol": f"CASE WHEN {_K} % 9 <> 0 THEN CAST(90 + {_K} % 80 AS DOUBLE) END",
+    "BlooddpressurDiastol": f"CAST(50 + {_K} % 50 AS DOUBLE)", "PulseRate": f"CAST(60 + {_K} % 60 AS DOUBLE)",
+    "RespiratoryRate": f"CAST(12 + {_K} % 20 AS DOUBLE)", "O2Saturation": f"CAST(85 + {_K} % 15 AS DOUBLE)",
+    "TriageGrade": f"CASE WHEN {_K} % 17 = 0 THEN NULL WHEN {_K} % 19 = 0 THEN 'x' ELSE CAST({_K} % 6 + 1 AS VARCHAR(9)) || '.0' END",
+}
+DISCHARGE_ROLE = {
+    "length_of_stay": f"CASE WHEN {_K} % 50 = 0 THEN '120 +' WHEN {_K} % 51 = 0 THEN 'abc' WHEN {_K} % 53 = 0 THEN NULL "
+                      f"ELSE ' ' || CAST({_K} % 30 AS VARCHAR(9)) || ' ' END",
+    "anio_alta": "CAST(year(o_orderdate) AS DOUBLE)",
+    **{c: f"CASE WHEN {_K} % {11 + i} <> 0 THEN '{c}_' || CAST({_K} % {3 + i} AS VARCHAR(9)) END" for i, c in enumerate(FE.SPARCS_CAT)},
+}
+
+
+def _f7_sql() -> str:
+    raw = ", ".join(f"{e} AS {c}" for c, e in TRIAGE_ROLE.items())
+    back = {v: k for k, v in FE.TRIAGE_RENAMES.items()}
+    num = ", ".join(f"{back[c]} AS {c}" for c in FE.TRIAGE_NUM)
+    return f"""WITH t AS (SELECT o_orderkey, {raw} FROM orders),
+g AS (SELECT *, CASE TRY_CAST(TriageGrade AS DOUBLE) WHEN 1 THEN 2 WHEN 2 THEN 2 WHEN 3 THEN 1 WHEN 4 THEN 0 WHEN 5 THEN 0 END AS label FROM t),
+k AS (SELECT * FROM g WHERE label IS NOT NULL),
+top AS (SELECT ChiefComplaint AS m FROM k WHERE ChiefComplaint IS NOT NULL GROUP BY m ORDER BY COUNT(*) DESC, m LIMIT 40)
+SELECT {num}, COALESCE(gender, 'desconocido') AS sexo, COALESCE(top.m, 'otros') AS motivo_consulta, COALESCE(AVPU, 'desconocido') AS avpu, label
+FROM k LEFT JOIN top ON k.ChiefComplaint = top.m"""
+
+
+@query("f7_triage_features", _f7_sql(), note="grades as text with decimals, complaints beyond the top 40 pooled")
+def f7_triage_features(spark, sf):
+    o = read_table(spark, sf, "orders")
+    return FE.triage_features(o.select(*[F.expr(e).alias(c) for c, e in TRIAGE_ROLE.items()])).df
+
+
+def _f8_sql() -> str:
+    raw = ", ".join(f"{e} AS {c}" for c, e in DISCHARGE_ROLE.items())
+    cat = ", ".join(f"COALESCE({c}, 'desconocido') AS {c}" for c in FE.SPARCS_CAT)
+    return f"""WITH d AS (SELECT {raw} FROM orders)
+SELECT anio_alta, {cat}, TRY_CAST(TRIM(REPLACE(length_of_stay, ' +', '')) AS DOUBLE) AS label
+FROM d WHERE TRY_CAST(TRIM(REPLACE(length_of_stay, ' +', '')) AS DOUBLE) IS NOT NULL"""
+
+
+@query("f8_discharge_features", _f8_sql(), note="censored stays ('120 +') as numbers, others dropped")
+def f8_discharge_features(spark, sf):
+    o = read_table(spark, sf, "orders")
+    return FE.sparcs_features(o.select(*[F.expr(e).alias(c) for c, e in DISCHARGE_ROLE.items()])).df
 
 
 # S17 -------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -26,6 +27,11 @@ PROFILED = {
     "region": ["r_regionkey", "r_name"],
     "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
     "labels": ["doc_id", "quality", "toxic"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "conversations": ["conv_id", "turn", "role", "text"],
 }
 
 
@@ -424,39 +430,85 @@ SELECT f.g AS nivel_prioridad_atencion, {SR('f.q1', 9)} AS q1, {SR('f.mediana',
 FROM f JOIN b ON f.g = b.g GROUP BY f.g, f.q1, f.mediana, f.q3""",
 )
 def a18_boxplot_by_priority(spark, sf):
-    out = P.boxplot_stats(materialise(roles.pacientes(spark, sf)), "hemoglobina_g_dl", "nivel_prioridad_atencion")
+    out = P.boxplot_stats(roles.pacientes(spark, sf), "hemoglobina_g_dl", "nivel_prioridad_atencion")
     return normalise(out, ["q1", "mediana", "q3", "bigote_inf", "bigote_sup"], 9)
 
 
-MI_NUM = ["consumo_roll7", "consumo_std7", "ingreso_roll7", "stock_inicio", "ocupacion_familias", "dias_sin_ingreso"]
-MI_CAT = ["categoria", "item_id"]
+#: Columns of the box plots by priority.
+BOXPLOT_COLS = ["hemoglobina_g_dl", "neutrofilos", "plaquetas", "temperatura_c", "imc", "ingreso_familiar_mensual"]
 
 
-def _a19_sql():
-    num_long = " UNION ALL ".join(f"SELECT label, '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM s" for c in MI_NUM)
-    cat_long = " UNION ALL ".join(f"SELECT label, '{c}' AS variable, CAST({c} AS VARCHAR) AS value FROM s" for c in MI_CAT)
-    return O.with_(O.CONSUMO, O.history(60)) + f"""
-, s AS (SELECT *, CAST(stock_critico_7d AS INTEGER) AS label FROM hist WHERE stock_critico_7d IS NOT NULL),
-nl AS ({num_long}),
-rg AS (SELECT variable, MIN(value) AS lo, MAX(value) AS hi FROM nl GROUP BY variable),
-nb AS (SELECT nl.label, nl.variable,
-         CAST(CASE WHEN nl.value IS NULL THEN -1 ELSE COALESCE(LEAST(FLOOR((nl.value - rg.lo) / NULLIF(rg.hi - rg.lo, 0) * 10.0), 9), 0) END AS BIGINT) AS xb
-       FROM nl JOIN rg ON nl.variable = rg.variable),
-allp AS (SELECT label, variable, CAST(xb AS VARCHAR) AS x FROM nb
-         UNION ALL SELECT label, variable, COALESCE(value, '∅') AS x FROM ({cat_long}) cl),
-j AS (SELECT variable, x, label AS y, COUNT(*) AS nxy FROM allp GROUP BY ALL),
+@query(
+    "a18_boxplots",
+    O.with_(O.PACIENTES) + f"""
+, b AS (SELECT nivel_prioridad_atencion AS g, variable, value AS x FROM
+          ({_long_sql('pacientes', BOXPLOT_COLS, keep='nivel_prioridad_atencion')}) l
+        WHERE nivel_prioridad_atencion IS NOT NULL AND value IS NOT NULL),
+q AS (SELECT g, variable, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS mediana, quantile_cont(x, 0.75) AS q3 FROM b GROUP BY ALL),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT f.variable, f.g AS nivel_prioridad_atencion, {SR('f.q1', 9)} AS q1, {SR('f.mediana', 9)} AS mediana, {SR('f.q3', 9)} AS q3,
+       {SR('MIN(CASE WHEN b.x >= f.lo AND b.x <= f.hi THEN b.x END)', 9)} AS bigote_inf,
+       {SR('MAX(CASE WHEN b.x >= f.lo AND b.x <= f.hi THEN b.x END)', 9)} AS bigote_sup,
+       CAST(SUM(CASE WHEN b.x >= f.lo AND b.x <= f.hi THEN 0 ELSE 1 END) AS BIGINT) AS n_atipicos, COUNT(*) AS n
+FROM f JOIN b ON f.g = b.g AND f.variable = b.variable GROUP BY f.variable, f.g, f.q1, f.mediana, f.q3""",
+    note="six clinical columns in one pass over a long table",
+)
+def a18_boxplots(spark, sf):
+    out = P.boxplots(roles.pacientes(spark, sf), BOXPLOT_COLS, "nivel_prioridad_atencion")
+    return normalise(out, ["q1", "mediana", "q3", "bigote_inf", "bigote_sup"], 9)
+
+
+#: Feature sets of the signal ranking: model, registered feature query, numbers, categories, continuous label.
+SIGNAL_SETS = [
+    ("prioridad_atencion", "f1_priority_features", FE.PRIORITY_NUM, FE.CLINICAL_CAT, False),
+    ("stock_critico_7d", "f4_stock_features_7d", FE.STOCK_NUM, FE.STOCK_CAT, False),
+    ("stock_critico_14d", "f4_stock_features_14d", FE.STOCK_NUM, FE.STOCK_CAT, False),
+    ("demanda_consumo", "f5_demand_features", FE.DEMAND_NUM, FE.DEMAND_CAT, True),
+    ("duracion_estadia", "f2_stay_features", FE.STAY_NUM, FE.CLINICAL_CAT, True),
+    ("proyeccion_donaciones", "f6_donation_features", FE.DONATION_NUM, ["categoria"], True),
+]
+
+
+def _signal_sql(model: str, features_sql: str, num, cat, regression: bool) -> str:
+    binned = [*num, *(["label"] if regression else [])]
+    num_long = " UNION ALL ".join(f"SELECT rid, '{c}' AS variable, CAST({c} AS DOUBLE) AS value FROM f" for c in binned)
+    cat_long = " UNION ALL ".join(f"SELECT rid, '{c}' AS variable, COALESCE(CAST({c} AS VARCHAR), '∅') AS x FROM f" for c in cat)
+    probs = ", ".join(repr(i / 10) for i in range(1, 10))
+    label = "SELECT rid, x AS y FROM b WHERE variable = 'label'" if regression else "SELECT rid, CAST(label AS VARCHAR) AS y FROM f"
+    return f"""SELECT '{model}' AS modelo, * FROM (
+WITH f AS (SELECT *, ROW_NUMBER() OVER () AS rid FROM ({features_sql}) q WHERE label IS NOT NULL),
+l AS ({num_long}),
+srt AS (SELECT variable, list_sort(list(value) FILTER (value IS NOT NULL)) AS v, COUNT(value) AS n FROM l GROUP BY variable),
+e AS (SELECT variable, list_transform(CAST([{probs}] AS DOUBLE[]), lambda p: v[1 + CAST(floor(p * (n - 1)) AS BIGINT)]) AS e FROM srt),
+b AS (SELECT rid, l.variable, CASE WHEN value IS NULL THEN '-1'
+             ELSE CAST(len(list_filter(e.e, lambda c: c <= value)) AS VARCHAR) END AS x FROM l JOIN e ON l.variable = e.variable),
+yy AS ({label}),
+j AS (SELECT variable, x, y, COUNT(*) AS nxy FROM (SELECT * FROM b WHERE variable <> 'label' UNION ALL {cat_long}) a JOIN yy USING (rid) GROUP BY ALL),
 j2 AS (SELECT *, SUM(nxy) OVER (PARTITION BY variable) AS n, SUM(nxy) OVER (PARTITION BY variable, x) AS nx,
               SUM(nxy) OVER (PARTITION BY variable, y) AS ny FROM j)
 SELECT variable, {SR('SUM((CAST(nxy AS DOUBLE) / n) * ln((CAST(nxy AS DOUBLE) * n) / (CAST(nx AS DOUBLE) * ny)))')} AS mutual_information
-FROM j2 GROUP BY variable"""
+FROM j2 GROUP BY variable)"""
+
+
+def _a19_sql():
+    from .registry import QUERIES
 
+    parts = [_signal_sql(m, QUERIES[q].sql, num, cat, reg) for m, q, num, cat, reg in SIGNAL_SETS]
+    every = "\nUNION ALL\n".join(parts)
+    return f"SELECT *, ROW_NUMBER() OVER (PARTITION BY modelo ORDER BY mutual_information DESC, variable) AS posicion FROM ({every}) s"
 
-@query("a19_mutual_information", _a19_sql(), note="binned plug-in MI on the stock-7d feature table")
-def a19_mutual_information(spark, sf):
-    h = FE.inventory_history(roles.consumo(spark, sf), roles.catalogue(spark, sf), items_unique=True)
-    s = h.where(F.col("stock_critico_7d").isNotNull()).withColumn("label", F.col("stock_critico_7d").cast("int"))
-    s = materialise(s.select("label", *MI_NUM, *MI_CAT))
-    return normalise(P.mutual_information(s, "label", MI_NUM, MI_CAT), ["mutual_information"])
+
+def a19_signal(spark, sf):
+    from .registry import QUERIES
+
+    out = None
+    for model, name, num, cat, regression in SIGNAL_SETS:
+        # three passes over a derived table: written once
+        rows = materialise(QUERIES[name].build(spark, sf).select(*num, *cat, "label"))
+        one = P.mutual_information(rows, "label", num, cat, regression=regression).select(F.lit(model).alias("modelo"), "*")
+        out = one if out is None else out.unionByName(one)
+    order = Window.partitionBy("modelo").orderBy(F.col("mutual_information").desc(), "variable")  # a row for each feature
+    return normalise(out, ["mutual_information"]).withColumn("posicion", F.row_number().over(order).cast("long"))
 
 
 @query(
@@ -551,7 +603,7 @@ MEDIAN_COLS = ["hemoglobina_g_dl", "neutrofilos", "plaquetas", "imc", "ingreso_f
 SELECT variable, {SR('quantile_cont(value, 0.5)', 9)} AS mediana FROM long GROUP BY variable""",
 )
 def a25_medians(spark, sf):
-    return normalise(P.medians(materialise(roles.pacientes(spark, sf)), MEDIAN_COLS), ["mediana"], 9)
+    return normalise(P.medians(roles.pacientes(spark, sf), MEDIAN_COLS), ["mediana"], 9)
 
 
 @query(
@@ -629,3 +681,59 @@ SELECT paciente_id, nivel_prioridad_atencion FROM pacientes""",
 )
 def p26_quantile_band(spark, sf):
     return roles.pacientes(spark, sf).select("paciente_id", "nivel_prioridad_atencion")
+
+
+# A6 (second table) -----------------------------------------------------------------
+@query(
+    "a6_crosstab_diagnosis_priority",
+    O.with_(O.PACIENTES) + """
+SELECT diagnostico_general,
+  COUNT(*) FILTER (WHERE nivel_prioridad_atencion = 'Bajo') AS Bajo,
+  COUNT(*) FILTER (WHERE nivel_prioridad_atencion = 'Medio') AS Medio,
+  COUNT(*) FILTER (WHERE nivel_prioridad_atencion = 'Alto') AS Alto
+FROM pacientes WHERE diagnostico_general IS NOT NULL AND nivel_prioridad_atencion IS NOT NULL
+GROUP BY diagnostico_general""",
+)
+def a6_crosstab_diagnosis_priority(spark, sf):
+    return P.crosstab(roles.pacientes(spark, sf), "diagnostico_general", "nivel_prioridad_atencion", X.PRIORITY_CLASSES)
+
+
+# A4 over the domain tables -----------------------------------------------------------
+DESCRIBED = {
+    "pacientes": (["edad", "dias_hospedaje", "num_controles_mes", "num_quimios_mes", "hemoglobina_g_dl", "neutrofilos", "plaquetas"],
+                  ["sexo", "region_origen", "diagnostico_general", "seguro_salud", "nivel_prioridad_atencion"]),
+    "consumo": (["ocupacion_familias", "stock_inicio", "ingreso_stock", "consumo_real", "stock_fin"], ["item_id", "categoria", "unidad_medida"]),
+    "donaciones": (["cantidad_donada", "valor_estimado_soles"], ["tipo_donante", "categoria", "campania"]),
+    "capturas": (["confianza_ocr", "requiere_revision_manual"], ["tipo_documento", "calidad_imagen", "origen_captura"]),
+}
+
+
+def _describe_sql(table: str, num, txt) -> str:
+    return f"""SELECT '{table}' AS dataset, * FROM (
+WITH num AS ({_long_sql(table, num)}), txt AS ({_long_sql(table, txt, 'VARCHAR')}),
+vc AS (SELECT variable, value, COUNT(*) AS c FROM txt WHERE value IS NOT NULL GROUP BY ALL)
+SELECT variable, COUNT(value) AS count, CAST(NULL AS BIGINT) AS "unique", CAST(NULL AS VARCHAR) AS top,
+       CAST(NULL AS BIGINT) AS freq, {SR('AVG(value)')} AS mean, {SR('STDDEV_SAMP(value)')} AS std, {SR('MIN(value)', 9)} AS min,
+       {SR('quantile_cont(value, 0.25)', 9)} AS q25, {SR('quantile_cont(value, 0.5)', 9)} AS q50,
+       {SR('quantile_cont(value, 0.75)', 9)} AS q75, {SR('MAX(value)', 9)} AS max
+FROM num GROUP BY variable
+UNION ALL
+SELECT variable, CAST(SUM(c) AS BIGINT), CAST(COUNT(*) AS BIGINT), first(value ORDER BY c DESC, value ASC), CAST(MAX(c) AS BIGINT),
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM vc GROUP BY variable)"""
+
+
+@query(
+    "a4_describe_domains",
+    O.with_(O.PACIENTES, O.CONSUMO, O.DONACIONES, O.CAPTURAS) + "\n" + "\nUNION ALL\n".join(_describe_sql(t, *c) for t, c in DESCRIBED.items()),
+    note="numbers and texts of the four domain tables in one report",
+)
+def a4_describe_domains(spark, sf):
+    tables = {"pacientes": roles.pacientes, "consumo": roles.consumo, "donaciones": roles.donaciones, "capturas": roles.capturas}
+    out = None
+    for name, (num, txt) in DESCRIBED.items():
+        # four passes over a derived table: written once, these columns only
+        rows = materialise(tables[name](spark, sf).select(*num, *txt))
+        one = P.describe(rows).select(F.lit(name).alias("dataset"), "*")
+        out = one if out is None else out.unionByName(one)
+    return normalise(normalise(out, ["mean", "std"]), ["min", "q25", "q50", "q75", "max"], 9)

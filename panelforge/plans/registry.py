@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import round_half_up
+
 
 @dataclass(frozen=True)
 class Query:
@@ -31,10 +33,8 @@ def query(name: str, sql: str | None = None, note: str = ""):
 
 
 def R(c, d: int = 6) -> Column:
-    """Output normalisation shared with the SQL twins: floor(x*10^d + 0.5)/10^d."""
-    x = F.col(c) if isinstance(c, str) else c
-    scale = float(10**d)
-    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    """Output normalisation shared with the SQL twins (``round_half_up``)."""
+    return round_half_up(c, d)
 
 
 def normalise(df: DataFrame, cols, d: int = 6) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -68,8 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Uses ``spark.checkpoint.dir`` from the session. Only a local master with
-    the setting unset (tests, laptops) gets a private folder; a cluster
-    without the setting is an error.
+    the setting unset (tests, laptops) gets a private folder, removed when the
+    process ends; a cluster without the setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -81,6 +83,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
             "(a machine-local folder would not survive executor loss)"
         )
     local = tempfile.mkdtemp(prefix="panelforge-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -10,30 +10,38 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ..schema import DATE_COLUMNS, DOMAIN_SCHEMAS, FILE_NAMES, OPTIONAL_REQUIRED
+from ..schema import DATE_COLUMNS, DOMAIN_SCHEMAS, FILE_NAMES, OPTIONAL_NUMBERS, OPTIONAL_REQUIRED
 
 
-class DataValidationError(Exception):
-    """The file exists but does not match the expected schema."""
+class InvalidTableError(ValueError):
+    """A source that was read lacks required columns, or has no rows."""
 
 
 class MissingDataError(FileNotFoundError):
     """A required data file is absent."""
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
+@contextmanager
+def _existing(path: str):
+    """Spark's own answer decides whether a path exists, on any file system."""
     try:
-        first = spark.read.option("header", False).csv(path).limit(1).collect()
+        yield
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise MissingDataError(f"data file not found: {path}") from exc
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            raise MissingDataError(f"data not found: {path}") from exc
         raise
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    with _existing(path):
+        first = spark.read.option("header", False).csv(path).limit(1).collect()
     if not first:
         return []
     return [(c or "").lstrip("﻿").strip() for c in first[0]]
@@ -43,12 +51,10 @@ def read_validated_csv(spark: SparkSession, path: str, schema: StructType, requi
                        date_columns: Sequence[str] = ()) -> DataFrame:
     """Header + UTF-8 BOM CSV; required columns checked (extras allowed);
     empty table rejected; bad dates become NULL; text 'NaN' in numbers -> NULL."""
-    if not os.path.exists(path) and "://" not in path:
-        raise MissingDataError(f"data file not found: {path}")
     header = _header(spark, path)
     missing = [c for c in required if c not in header]
     if missing:
-        raise DataValidationError(f"{os.path.basename(path)}: missing expected columns {missing}")
+        raise InvalidTableError(f"{os.path.basename(path)}: missing expected columns {missing}")
     known = {f.name: f for f in schema.fields}
     # read every present column as text in header order, then type it
     text_schema = StructType([StructField(c, StringType(), True) for c in header])
@@ -67,7 +73,7 @@ def read_validated_csv(spark: SparkSession, path: str, schema: StructType, requi
             cols.append(typed.alias(c))
     df = raw.select(*cols)
     if df.isEmpty():
-        raise DataValidationError(f"{os.path.basename(path)}: the file has no rows")
+        raise InvalidTableError(f"{os.path.basename(path)}: the file has no rows")
     return df
 
 
@@ -86,13 +92,10 @@ def load_all(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
 
 
 def load_optional(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Triage / discharge extracts; all columns text except the checked ones."""
-    required = OPTIONAL_REQUIRED[name]
-    header = _header(spark, path)
-    missing = [c for c in required if c not in header]
-    if missing:
-        raise DataValidationError(f"{name}: missing expected columns {missing}")
-    return spark.read.option("header", True).csv(path)
+    """Triage / discharge extracts. Number columns are doubles (text that
+    is no number becomes NULL), the others text; extra columns are allowed."""
+    numbers = StructType([StructField(c, DoubleType(), True) for c in OPTIONAL_NUMBERS[name]])
+    return read_validated_csv(spark, path, numbers, OPTIONAL_REQUIRED[name])
 
 
 def union_extracts(frames: Sequence[DataFrame]) -> DataFrame:
@@ -103,9 +106,9 @@ def union_extracts(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def filter_tag_extract(df: DataFrame, predicate, year: int, col: str = "anio_alta") -> DataFrame:
-    """Keep the rows of interest of one yearly extract and tag its year."""
-    return df.where(predicate).withColumn(col, F.lit(year))
+def filter_tag_extract(df: DataFrame, predicate: Column, year: int | Column, col: str = "anio_alta") -> DataFrame:
+    """Keep the rows of interest of one yearly extract and tag their year."""
+    return df.where(predicate).withColumn(col, year if isinstance(year, Column) else F.lit(year))
 
 
 def save_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
@@ -123,12 +126,11 @@ def save_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Seq
 
 def load_json(spark: SparkSession, path: str, schema: StructType | None = None, multiline: bool = True) -> DataFrame:
     """JSON file (an object or a list of objects); missing -> error."""
-    if not os.path.exists(path) and "://" not in path:
-        raise MissingDataError(f"JSON file not found: {path}")
     r = spark.read.option("multiLine", multiline)
     if schema is not None:
         r = r.schema(schema)
-    return r.json(path)
+    with _existing(path):
+        return r.json(path)
 
 
 def load_requests(spark: SparkSession, path: str) -> DataFrame:
@@ -137,9 +139,8 @@ def load_requests(spark: SparkSession, path: str) -> DataFrame:
     Every file is one body (``wholetext``), keyed by its path; the bodies go
     through ``operators.validation.explode_bodies``.
     """
-    if not os.path.exists(path) and "://" not in path:
-        raise MissingDataError(f"request path not found: {path}")
-    raw = spark.read.text(path, wholetext=True)
+    with _existing(path):
+        raw = spark.read.text(path, wholetext=True)
     return raw.select(F.input_file_name().alias("request_id"), F.col("value").alias("body"))
 
 

@@ -7,13 +7,13 @@ by name (left anti join + union), never a driver-side dict merge of data.
 
 from __future__ import annotations
 
-import json
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, MapType, StringType, StructField, StructType
 
+from ..functions.exprs import drop_null_entries
+
 REGISTRY_SCHEMA = StructType([
     StructField("name", StringType(), False),
     StructField("task", StringType(), False),
@@ -21,6 +21,7 @@ REGISTRY_SCHEMA = StructType([
     StructField("split", StringType(), True),
     StructField("selection_metric", StringType(), False),
     StructField("selected_algorithm", StringType(), False),
+    StructField("all_algorithms", MapType(StringType(), MapType(StringType(), DoubleType())), True),
     StructField("best_hyperparameters", StringType(), True),
     StructField("metrics", MapType(StringType(), DoubleType()), False),
     StructField("numeric_features", ArrayType(StringType()), False),
@@ -38,8 +39,13 @@ class RegistryError(ValueError):
     """Registry missing, empty or malformed."""
 
 
+class RegistryMissing(RegistryError):
+    """Nothing lies at the registry's path."""
+
+
 def entries_frame(spark: SparkSession, entries: list[dict]) -> DataFrame:
-    return spark.createDataFrame(entries, REGISTRY_SCHEMA)
+    """Rows of the registry; metrics without a value are left out."""
+    return spark.createDataFrame(entries, REGISTRY_SCHEMA).withColumn("metrics", drop_null_entries("metrics"))
 
 
 def upsert(old: DataFrame | None, new: DataFrame) -> DataFrame:
@@ -55,9 +61,12 @@ def write_registry(df: DataFrame, path: str) -> None:
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """Typed read; missing or empty registry and missing fields are errors."""
-    if not os.path.exists(path) and "://" not in path:
-        raise RegistryError(f"registry not found: {path}")
-    df = spark.read.schema(REGISTRY_SCHEMA).json(path)
+    try:
+        df = spark.read.schema(REGISTRY_SCHEMA).json(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise RegistryMissing(f"registry not found: {path}") from e
+        raise
     if df.isEmpty():
         raise RegistryError("registry has no models")
     bad = df.where(" OR ".join(f"{c} IS NULL" for c in REQUIRED)).limit(1).collect()
@@ -77,11 +86,9 @@ def overview(registry: DataFrame) -> DataFrame:
 def lookup(registry: DataFrame, name: str) -> dict:
     """One entry by name; unknown names raise with the known list."""
     rows = registry.where(F.col("name") == name).limit(2).collect()
+    if len(rows) > 1:
+        raise RegistryError(f"registry has more than one entry {name!r}")
     if not rows:
         known = [r["name"] for r in registry.select("name").collect()]
         raise KeyError(f"unknown model {name!r}; available: {known}")
     return rows[0].asDict(recursive=True)
-
-
-def to_json_text(entries: list[dict]) -> str:
-    return json.dumps(entries, indent=2, ensure_ascii=False, default=str)

@@ -24,9 +24,3 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Temp views under the table names, for ``spark.sql``."""
-    for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)

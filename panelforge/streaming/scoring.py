@@ -18,25 +18,49 @@ from ..operators import ml as ML
 from ..operators import validation as V
 
 
-def score_batch(batch: DataFrame, model: PipelineModel, task: str, numeric, categorical, class_labels=None,
-                derive=None) -> tuple[DataFrame, DataFrame]:
-    items = V.explode_bodies(batch)
-    checked = V.validate_items(items, numeric, categorical)
-    ok = checked.where(F.col("status") == 200)
-    if derive is not None:
-        ok = derive(ok)
-    bad = checked.where(F.col("status") != 200).select("request_id", "item_index", "status", "errors")
-    scored = ML.predict(model, ok, task, class_labels)
-    keep = ["request_id", "item_index", "prediccion"] + (["clase_indice", "probabilidades"] if task == "classification" else [])
+def check_batch(batch: DataFrame, numeric, categorical, registry: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(checked items, requests for models that the registry doesn't know)."""
+    unknown = None
+    if registry is not None and "model" in batch.columns:
+        unknown = V.reject_unknown_model(batch, registry)
+        batch = batch.join(registry.select(F.col("name").alias("model")), "model", "left_semi")
+    return V.validate_for_model(V.explode_bodies(batch), numeric, categorical), unknown
+
+
+def score_checked(checked: DataFrame, unknown: DataFrame | None, model: PipelineModel, task: str,
+                  class_labels=None) -> tuple[DataFrame, DataFrame]:
+    """(scored items, rejected items): 422 for items that fail the checks, 404
+    for unknown models, 500 for a class index outside the labels (V7)."""
+    rejected = ["request_id", "item_index", "status", "errors"]
+    scored = ML.predict(model, checked.where(F.col("status") == 200), task, class_labels)
+    bad = checked.where(F.col("status") != 200).select(*rejected)
+    keep = ["request_id", "item_index", "prediccion"]
+    if task == "classification":
+        keep += ["clase_indice", "probabilidades"]
+        odd = scored.where(F.col("error_clase").isNotNull())
+        bad = bad.unionByName(odd.select("request_id", "item_index", F.lit(500).alias("status"), F.array("error_clase").alias("errors")))
+        scored = scored.where(F.col("error_clase").isNull())
+    if unknown is not None:
+        bad = bad.unionByName(unknown.withColumn("item_index", F.lit(None).cast("int")).select(*rejected))
     return scored.select(*keep), bad
 
 
+def score_batch(batch: DataFrame, model: PipelineModel, task: str, numeric, categorical, class_labels=None,
+                registry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    return score_checked(*check_batch(batch, numeric, categorical, registry), model, task, class_labels)
+
+
 def start_scoring(stream: DataFrame, model: PipelineModel, task: str, numeric, categorical, out_dir: str, checkpoint: str,
-                  class_labels=None, derive=None, trigger_once: bool = False):
+                  class_labels=None, registry: DataFrame | None = None, trigger_once: bool = False):
     def handle(batch: DataFrame, batch_id: int):
-        scored, bad = score_batch(batch, model, task, numeric, categorical, class_labels, derive)
-        scored.write.mode("overwrite").parquet(os.path.join(out_dir, "accepted", f"batch_id={batch_id}"))
-        bad.write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", f"batch_id={batch_id}"))
+        checked, unknown = check_batch(batch, numeric, categorical, registry)
+        checked = checked.persist()  # parsed and checked once for both sinks
+        try:
+            scored, bad = score_checked(checked, unknown, model, task, class_labels)
+            scored.write.mode("overwrite").parquet(os.path.join(out_dir, "accepted", f"batch_id={batch_id}"))
+            bad.write.mode("overwrite").parquet(os.path.join(out_dir, "rejected", f"batch_id={batch_id}"))
+        finally:
+            checked.unpersist()
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if trigger_once:

@@ -28,7 +28,8 @@ def canon(v):
             return "nan"
         return repr(round(v, 9))
     if hasattr(v, "isoformat"):
-        return v.isoformat()[:10] if len(v.isoformat()) >= 10 else v.isoformat()
+        # a midnight and its date are the same; any other time of day shows
+        return v.isoformat().removesuffix("T00:00:00")
     return str(v)
 
 

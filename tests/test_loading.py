@@ -36,14 +36,14 @@ def test_missing_file(spark, tmpdir_path):
 
 def test_wrong_schema(spark, tmpdir_path):
     _write(os.path.join(tmpdir_path, FILE_NAMES["items"]), "a,b\n1,2\n")
-    with pytest.raises(S.DataValidationError, match="missing expected columns"):
+    with pytest.raises(S.InvalidTableError, match="missing expected columns"):
         S.load_table(spark, "items", tmpdir_path)
 
 
 def test_header_only(spark, tmpdir_path):
     header = ",".join(f.name for f in DOMAIN_SCHEMAS["items"].fields)
     _write(os.path.join(tmpdir_path, FILE_NAMES["items"]), header + "\n")
-    with pytest.raises(S.DataValidationError, match="no rows"):
+    with pytest.raises(S.InvalidTableError, match="no rows"):
         S.load_table(spark, "items", tmpdir_path)
 
 
@@ -130,5 +130,5 @@ def test_optional_extracts(spark, tmpdir_path):
     assert S.load_optional(spark, "triage", p).count() == 1
     q = os.path.join(tmpdir_path, "sparcs.csv")
     _write(q, "length_of_stay,gender\n3,F\n", bom=False)
-    with pytest.raises(S.DataValidationError):
+    with pytest.raises(S.InvalidTableError):
         S.load_optional(spark, "sparcs", q)

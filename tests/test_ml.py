@@ -56,15 +56,56 @@ def test_tuned_search_with_folds(spark):
     from panelforge.operators import splits as H
 
     train = H.hash_folds(fs.df.withColumn("k", F.monotonically_increasing_id()), ["a", "b", "c"])
-    est, space = ML.candidates("classification", 3)["decision_tree"]
-    f = ML.fit_candidate("decision_tree", est, space, fs, train, fs.df, "classification", tuning=True, n_iter=2)
+    tree = ML.candidates("classification", 3)[0]
+    f = ML.fit_candidate(tree, fs, train, fs.df, "classification", tuning=True, n_iter=2)
     assert f.cv_score is not None and 0 <= f.cv_score <= 1
 
 
 def test_balanced_weights(spark):
     df = spark.createDataFrame([(0,)] * 3 + [(1,)], "label int")
-    w = {r.label: r.weight for r in ML.with_balanced_weights(df).distinct().collect()}
-    assert w == {0: pytest.approx(4 / 6), 1: pytest.approx(2.0)}
+    w = {r.label: (r.w_one, r.w_balanced, r.w_positive) for r in ML.with_class_weights(df).distinct().collect()}
+    assert w == {0: (1.0, pytest.approx(4 / 6), 1.0), 1: (1.0, pytest.approx(2.0), pytest.approx(3.0))}
+
+
+def test_medians_are_of_the_rows_fitted_on(spark):
+    df = spark.createDataFrame([(1.0, 0), (3.0, 0), (100.0, 1), (None, 1)], "x double, fold int")
+    imputer = ML.MedianImputer(["x"])
+    part, whole = imputer.fit(df.where("fold = 0")), imputer.fit(df)
+    missing = df.where("x IS NULL")
+    assert part.transform(missing).first()["x__imp"] == 2.0 and whole.transform(missing).first()["x__imp"] == 3.0
+
+
+def test_search_maps_and_weights(spark):
+    boosted = ML.candidates("classification", 2)[2]
+    m = {p.name: v for p, v in boosted.param_map({"maxIter": 7}, "classification").items()}
+    assert m == {"maxIter": 7, "weightCol": "w_positive"}
+    tree = ML.candidates("classification", 2)[0]
+    assert {p.name: v for p, v in tree.param_map({"balanced": True}, "classification").items()} == {"weightCol": "w_balanced"}
+    forest = ML.candidates("regression")[1]
+    assert forest.untuned["maxDepth"] == ML.MAX_DEPTH and "balanced" not in forest.space
+
+
+def test_selection_follows_the_cross_validation(spark, monkeypatch):
+    scores = {"decision_tree": (0.9, 0.1), "random_forest": (0.5, 0.8), "boosted": (0.7, 0.9)}
+    monkeypatch.setattr(ML, "fit_candidate", lambda c, *a, **k: ML.Fitted(c.name, None, {}, scores[c.name][0], {"f1_macro": scores[c.name][1]}))
+    fs = _toy(spark)
+    best, _ = ML.select_model(fs, fs.df, fs.df, "classification", tuning=True)
+    assert best.algorithm == "decision_tree"
+    best, _ = ML.select_model(fs, fs.df, fs.df, "classification", tuning=True, select_on="test")
+    assert best.algorithm == "boosted"
+
+
+def test_time_folds_score_every_map(spark):
+    import datetime as dt
+
+    from panelforge.operators import splits as H
+
+    day = F.date_add(F.lit(dt.date(2025, 1, 1)), (F.col("a") * 3).cast("int"))
+    fs = FE.FeatureSet(_toy(spark, 300).df.withColumn("split_date", day), ["a", "b"], ["c"], date="split_date", class_labels=["p", "q", "r"])
+    folds = H.expanding_folds(fs.df, "split_date", 3)
+    tree = ML.candidates("classification", 3)[0]
+    f = ML.fit_candidate(tree, fs, fs.df, fs.df, "classification", tuning=True, n_iter=2, time_bounds=ML.time_fold_bounds(folds))
+    assert 0 <= f.cv_score <= 1
 
 
 def test_train_registry_and_evaluate(spark, sf, tmpdir_path):
@@ -72,7 +113,8 @@ def test_train_registry_and_evaluate(spark, sf, tmpdir_path):
     from panelforge.sources import registry as REG
 
     tables = MOD.domain_tables(spark, sf)
-    reg_path, model_dir = os.path.join(tmpdir_path, "registry"), os.path.join(tmpdir_path, "models")
+    # a file:// path: what lies there must not depend on the driver's own disk functions
+    reg_path, model_dir = "file://" + os.path.join(tmpdir_path, "registry"), os.path.join(tmpdir_path, "models")
     MOD.train(spark, tables, ["proyeccion_donaciones"], registry_path=reg_path, model_dir=model_dir)
     MOD.train(spark, tables, ["prioridad_atencion"], registry_path=reg_path, model_dir=model_dir)
     reg = REG.read_registry(spark, reg_path)
@@ -83,7 +125,9 @@ def test_train_registry_and_evaluate(spark, sf, tmpdir_path):
     assert "sexo" in entry["categorical_values"]
     ev = MOD.evaluate(spark, tables, "prioridad_atencion", model_dir)
     cm = ev["confusion"].collect()
-    assert len(cm) == 3 and sum(r.Pred_0 + r.Pred_1 + r.Pred_2 for r in cm) == entry["n_test"]
+    assert [r.real for r in sorted(cm, key=lambda r: r.pos)] == ["Real_Bajo", "Real_Medio", "Real_Alto"]
+    assert sum(r.Pred_Bajo + r.Pred_Medio + r.Pred_Alto for r in cm) == entry["n_test"]
+    assert set(entry["all_algorithms"]) == {"decision_tree", "random_forest", "boosted"}
     with pytest.raises(KeyError):
         MOD.spec("nope")
 
@@ -130,3 +174,49 @@ def test_feature_importance_top_n(spark):
     assert len(imp) == 2 and imp[0].importancia >= imp[1].importancia
     names = {r.variable for r in ML.feature_importance(spark, model).collect()}
     assert names == {"a", "b", "c_x", "c_y"}
+
+
+def test_optional_csv_to_features(spark, tmpdir_path):
+    from panelforge.sources import files as S
+
+    raw = ["age", "gender", "ChiefComplaint", "PainGrade", "TriageGrade", "AVPU", "admission_month", "admission_weekday",
+           "admission_hour", "CriticalStatus", "StuporStatus", "MentalDistress", "MaterialDistress", "BlooddpressurSystol",
+           "BlooddpressurDiastol", "PulseRate", "RespiratoryRate", "O2Saturation"]
+    path = os.path.join(tmpdir_path, "triage.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(",".join(raw) + "\n")
+        for grade in ("2.0", "3", "", "2.5", "x", "9"):
+            f.write(",".join(["31.5", "F", "fever", "", grade, "A", *["1"] * 12]) + "\n")
+    fs = FE.triage_features(S.load_optional(spark, "triage", path))
+    assert dict(fs.df.dtypes)["edad"] == "double"
+    assert sorted(r.label for r in fs.df.collect()) == [1, 2]
+    empty = os.path.join(tmpdir_path, "empty.csv")
+    with open(empty, "w", encoding="utf-8") as f:
+        f.write(",".join(raw) + "\n")
+    with pytest.raises(S.InvalidTableError, match="no rows"):
+        S.load_optional(spark, "triage", empty)
+
+
+def test_features_are_what_was_declared(spark):
+    df = spark.createDataFrame([(1.0, "x", 0)], "a double, c string, label int")
+    with pytest.raises(FE.FeatureError) as e:
+        FE.FeatureSet(df.withColumn("more", F.lit(1)), ["a", "b"], ["c"])
+    assert e.value.problems == {"absent": ["b"], "undeclared": ["more"]}
+    with pytest.raises(FE.FeatureError) as e:
+        FE.FeatureSet(df, ["a"], ["c"], forbidden=["a", "z"])
+    assert e.value.problems == {"forbidden": ["a"]}
+    assert FE.FeatureSet(df, ["a"], ["c"]).features == ["a", "c"]
+    assert {"length_of_stay", "apr_severity_of_illness"} <= set(FE.SPARCS_POST_DISCHARGE)
+    empty = FE.FeatureSet(df.limit(0), ["a"], ["c"])
+    with pytest.raises(ValueError, match="not enough history"):
+        FE.assert_not_empty(empty, "m")
+
+
+def test_signal_of_independent_numbers_is_small(spark):
+    from panelforge.operators import profile as P
+
+    df = spark.range(4000).select(F.rand(1).alias("x"), F.rand(2).alias("label"), F.col("id").cast("double").alias("n"))
+    df = df.withColumn("twice", F.col("label") * 2)
+    got = {r.variable: r.mutual_information for r in P.mutual_information(df, "label", ["x", "n", "twice"], [], regression=True).collect()}
+    assert got["x"] < 0.05 and got["n"] < 0.05
+    assert got["twice"] == pytest.approx(2.302, abs=0.02)

@@ -9,7 +9,7 @@ from panelforge.plans import load_all
 from panelforge.sources.tables import TABLES
 
 QUERIES = load_all()
-SLOW = {"m8_model_selection", "m11_batch_scoring"}
+SLOW = {"m8_model_selection"}
 
 
 def _canon(v):
@@ -18,7 +18,7 @@ def _canon(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else repr(round(v, 9))
     if hasattr(v, "isoformat"):
-        return v.isoformat()[:10]
+        return v.isoformat().removesuffix("T00:00:00")  # a midnight and its date are the same
     return str(v)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators import features as FE
 from panelforge.operators import profile as P
-from panelforge.operators.quantiles import quantiles_wide
+from panelforge.operators.quantiles import quantiles_columns, quantiles_long, quantiles_wide
 
 
 def test_iqr_fixture(spark):
@@ -72,19 +72,43 @@ def test_quantiles_match_pandas(spark, values, p):
         assert got == pytest.approx(want)
 
 
-def test_quantiles_large_group_band(spark):
-    """Above the small-group size the band path (approx edges + exact ranks) is used."""
-    n = 400_000  # 200,000 per group: above SMALL_GROUP, so the approximate bracket is used
-    df = spark.range(n).select(((F.col("id") * 7919) % 100_003).cast("double").alias("x"), (F.col("id") % 2).alias("g"))
-    from panelforge.operators.quantiles import SMALL_GROUP
-
-    assert n // 2 > SMALL_GROUP
-    got = {r.g: (r.a, r.b, r.c) for r in quantiles_wide(df, "x", [0.25, 0.5, 0.999], ["a", "b", "c"], by=["g"]).collect()}
+@pytest.mark.parametrize("n", [1, 3, 10, 399, 401, 79_999, 80_001, 200_000])
+def test_quantiles_of_any_group_size(spark, n):
+    """Sizes on either side of where a margin of the bracket begins to hold."""
+    probs = [0.0, 0.25, 0.5, 0.999, 1.0]
+    x = ((F.col("id") * 7919) % 100_003).cast("double")
+    df = spark.range(2 * n).select(x.alias("x"), (F.col("id") % 2).alias("g"))
+    names = list("abcde")
     pdf = df.toPandas()
-    for g, grp in pdf.groupby("g"):
-        assert got[g][0] == pytest.approx(grp.x.quantile(0.25))
-        assert got[g][1] == pytest.approx(grp.x.quantile(0.5))
-        assert got[g][2] == pytest.approx(grp.x.quantile(0.999))
+    for r in quantiles_wide(df, "x", probs, names, by=["g"]).collect():
+        assert [r[c] for c in names] == pytest.approx(pdf[pdf.g == r.g].x.quantile(probs).tolist())
+    got = {(r.variable, r.p): r.value for r in quantiles_columns(df, ["x", "g"], probs).collect()}
+    for c in ("x", "g"):
+        assert [got[(c, p)] for p in probs] == pytest.approx(pdf[c].quantile(probs).tolist())
+
+
+def test_quantiles_of_ties_nulls_and_missing_groups(spark):
+    rows = [(None, 1.0), (None, 3.0), ("a", None), ("b", 5.0), ("b", 5.0), ("b", float("nan")), ("c", 1.0)] + [("t", 7.0)] * 900 + [("t", 8.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r.g, r.p): r.value for r in quantiles_long(df, "x", [0.5, 1.0], by=["g"]).collect()}
+    assert got == {
+        (None, 0.5): 2.0, (None, 1.0): 3.0, ("a", 0.5): None, ("a", 1.0): None, ("b", 0.5): 5.0, ("b", 1.0): 5.0,
+        ("c", 0.5): 1.0, ("c", 1.0): 1.0, ("t", 0.5): 7.0, ("t", 1.0): 8.0,
+    }
+    same = quantiles_long(df, "x", [0.5, 1.0], by=["g"], few_groups=True).collect()
+    assert {(r.g, r.p): r.value for r in same} == got
+    empty = quantiles_columns(df.limit(0), ["x"], [0.5]).collect()
+    assert [(r.variable, r.value) for r in empty] == [("x", None)]
+
+
+def test_rank_outside_its_bracket_is_an_error(spark, monkeypatch):
+    from panelforge.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "MARGINS", (0.0,))
+    monkeypatch.setattr(Q, "ROWS", 0)
+    df = spark.range(100).select(F.col("id").cast("double").alias("x"))
+    with pytest.raises(Exception, match="outside its bracket"):
+        Q.quantiles_columns(df, ["x"], [0.25]).collect()
 
 
 def test_histogram_matches_numpy(spark):

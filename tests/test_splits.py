@@ -103,3 +103,18 @@ def test_expanding_folds_vs_positions(spark):
     roles = H.assign_expanding(df, "d", H.expanding_folds(df, "d", 3)).groupBy("fold", "role").count().collect()
     got = {(r.fold, r.role): r["count"] for r in roles}
     assert got[(1, "train")] == 30 and got[(1, "test")] == 30 and got[(3, "train")] == 90
+
+
+def test_stratified_split_keeps_rows_without_a_class(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 10 != 0, F.col("id") % 3).alias("label"))
+    got = {}
+    for r in H.stratified_split(df, "label", ["k"]).groupBy("label", "split").count().collect():
+        got.setdefault(r["label"], {})[r["split"]] = r["count"]
+    assert {k: sum(v.values()) for k, v in got.items()} == {None: 100, 0: 300, 1: 300, 2: 300}
+    assert {k: v["test"] for k, v in got.items()} == {None: 20, 0: 60, 1: 60, 2: 60}
+
+
+def test_split_dates_must_be_days(spark):
+    df = spark.range(3).select(F.timestamp_seconds("id").alias("t"))
+    with pytest.raises(TypeError):
+        H.temporal_cutoff(df, "t")
