@@ -160,6 +160,7 @@ def _piece_batches(path: str, capacity: int, keep_ids: bool):
                     data.append(pa.ListArray.from_arrays(pa.array(at), pa.array(flat)))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(data, names=names)
+        pa.default_memory_pool().release_unused()  # the worker stays for other stages
 
     return run
 

@@ -147,7 +147,7 @@ class Cache:
     a full half is set aside, and dropped when the next one is full; what is
     used meanwhile moves on."""
 
-    def __init__(self, limit: int = 100_000):
+    def __init__(self, limit: int = 60_000):
         self.limit, self.new, self.old = limit, {}, {}
 
     def values_of(self, keys: list[bytes], make) -> list:

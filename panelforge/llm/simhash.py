@@ -92,6 +92,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             values = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
             fp = majority(values, (offsets[1:] - offsets[0]).astype(np.int64))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+    pa.default_memory_pool().release_unused()  # the worker stays for other stages
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
