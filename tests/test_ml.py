@@ -82,7 +82,7 @@ def test_search_maps_and_weights(spark):
     tree = ML.candidates("classification", 2)[0]
     assert {p.name: v for p, v in tree.param_map({"balanced": True}, "classification").items()} == {"weightCol": "w_balanced"}
     forest = ML.candidates("regression")[1]
-    assert forest.untuned["maxDepth"] == ML.MAX_DEPTH and "balanced" not in forest.space
+    assert ML.MAX_DEPTH in forest.space["maxDepth"] and "balanced" not in forest.space
 
 
 def test_selection_follows_the_cross_validation(spark, monkeypatch):
