@@ -5,11 +5,19 @@ Two multinomials over the cells are counted: one over trusted documents (a
 documented, bounded sample of rows labelled as good), one over all documents
 of the input. A document's score is the mean over its n-grams of
 ``ln(p_trusted / p_raw)``, both smoothed by adding ``alpha`` to each cell.
-Documents with a score under ``threshold`` are rejected; there is no random
-draw, the same input always gives the same verdicts.
+Documents with a score under a limit are rejected; there is no random draw,
+the same input always gives the same verdicts.
 
-Only DataFrame functions; the corpus is read twice (count, score) and never
-shuffled: the counting pass sends at most ``buckets`` rows per task.
+The limit comes from the data: every ``HELD_PART``-th good-labelled document
+(by hash of its id) is left out of the trusted counts, and the limit is the
+highest multiple of 1 / ``GRID`` under which at most ``HELD_SHARE`` of those
+that pass the fixed rules score. With fewer than ``HELD_LEAST`` good labels
+nothing is left out and the limit is ``THRESHOLD``. A caller may give a
+``threshold`` instead.
+
+Only DataFrame functions; the corpus is read three times (count, score of the
+documents left out, score) and never shuffled: the counting pass sends at most
+``buckets`` rows per task.
 
 Defined results: a null or empty text has no words, so its counts are 0, its
 score is 0 and it fails the rules (fewer than 20 words). Rows are judged one
@@ -24,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, upto, words
+from .common import let, shared, upto, words
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
@@ -35,8 +43,15 @@ BUCKETS = 10_000
 ALPHA = 1.0
 #: Bound on the sample of trusted rows (those with the smallest hashes of doc_id).
 TRUSTED_ROWS = 20_000
-#: Mean log ratio per n-gram under which a document is rejected.
+#: Mean log ratio per n-gram under which a document is rejected if there are
+#: fewer than HELD_LEAST good labels.
 THRESHOLD = -0.15
+HELD_LEAST = 250
+#: One of so many good-labelled documents is left out of the trusted counts.
+HELD_PART = 5
+#: Share of the documents left out that the limit may reject, and its steps in a unit of score.
+HELD_SHARE = 0.005
+GRID = 10_000
 
 
 def repeated_words(w: Column, window: int = WINDOW) -> Column:
@@ -153,21 +168,13 @@ def log_ratios(
     )
 
 
-def judge(
-    docs: DataFrame,
-    labels: DataFrame,
-    buckets: int = BUCKETS,
-    alpha: float = ALPHA,
-    threshold: float = THRESHOLD,
-    trusted_rows: int = TRUSTED_ROWS,
-    name: str = "verdict",
-) -> DataFrame:
-    """The input's rows with the column ``name``: a struct of the rule counts,
-    ``base_failed``, ``score`` and ``kept``. It is new or replaces one of that
-    name."""
-    ratios = log_ratios(docs.select("doc_id", "text"), trusted_ids(labels, trusted_rows), buckets, alpha)
-    model = F.col("_ratios")
-    text = F.col("text")
+def held_out(doc_id: Column) -> Column:
+    """Good-labelled documents that the limit is set with, not the counts."""
+    return F.pmod(F.xxhash64(doc_id, F.lit("held")), F.lit(HELD_PART)) == 0
+
+
+def measured(text: Column, model: Column, buckets: int) -> Column:
+    """Struct of the rule counts, ``base_failed`` and ``score``; ``model``: the ratios."""
 
     def mean_ratio(w: Column) -> Column:
         return let(
@@ -183,14 +190,56 @@ def judge(
         F.lit(100) * v["n_repeat_words"] > F.lit(MAX_REPEAT_PERCENT) * v["n_words"]
     )
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    verdict = let(
+    return let(
         counted,
-        lambda v: F.struct(
-            *[v[n].alias(n) for n in names],
-            failed(v).alias("base_failed"),
-            v["score"].alias("score"),
-            (~failed(v) & (v["score"] >= F.lit(threshold))).alias("kept"),
-        ),
+        lambda v: F.struct(*[v[n].alias(n) for n in names], failed(v).alias("base_failed"), v["score"].alias("score")),
+    )
+
+
+def limit_from(docs: DataFrame, held: DataFrame, ratios: DataFrame, buckets: int) -> float:
+    """The limit that at most ``HELD_SHARE`` of the ``held`` documents miss;
+    ``THRESHOLD`` if none of them passes the rules."""
+    known = docs.join(F.broadcast(held), F.col("doc_id") == F.col("trusted_id"))
+    # No filter on what is measured: it would be moved below the join, to all documents.
+    step = let(
+        measured(F.col("text"), F.col("_ratios"), buckets),
+        lambda v: F.when(~v["base_failed"], F.floor(v["score"] * GRID)),
+    )
+    # as many rows as the scores have steps, whatever the number of documents
+    steps = known.withColumn("_ratios", ratios.scalar()).groupBy(step.alias("step")).count()
+    found = sorted((r["step"], r["count"]) for r in steps.collect() if r["step"] is not None)
+    most, below = HELD_SHARE * sum(n for _, n in found), 0
+    for step, n in found:
+        below += n
+        if below > most:
+            return step / GRID
+    return THRESHOLD
+
+
+def judge(
+    docs: DataFrame,
+    labels: DataFrame,
+    buckets: int = BUCKETS,
+    alpha: float = ALPHA,
+    threshold: float | None = None,
+    trusted_rows: int = TRUSTED_ROWS,
+    name: str = "verdict",
+) -> DataFrame:
+    """The input's rows with the column ``name``: a struct of the rule counts,
+    ``base_failed``, ``score`` and ``kept``. It is new or replaces one of that
+    name. Without a ``threshold`` the limit is set from the data."""
+    texts = docs.select("doc_id", "text")
+    trusted = shared(trusted_ids(labels, trusted_rows), "trusted")
+    if threshold is None and trusted.count() >= HELD_LEAST:
+        held = held_out(F.col("trusted_id"))
+        ratios = shared(log_ratios(texts, trusted.filter(~held), buckets, alpha), "ratios")
+        threshold = limit_from(texts, trusted.filter(held), ratios, buckets)
+    else:
+        ratios = log_ratios(texts, trusted, buckets, alpha)
+        threshold = THRESHOLD if threshold is None else threshold
+    verdict = let(
+        measured(F.col("text"), F.col("_ratios"), buckets),
+        lambda v: v.withField("kept", ~v["base_failed"] & (v["score"] >= F.lit(threshold))),
     )
     return docs.withColumn("_ratios", ratios.scalar()).withColumn(name, verdict).drop("_ratios")
 

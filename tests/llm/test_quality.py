@@ -64,3 +64,13 @@ def test_good_documents_stay_and_bad_ones_go(spark):
     bad = [r["kept"] for r in judged if r["quality"] == 0]
     assert all(good)
     assert sum(bad) < 0.5 * len(bad)
+
+
+def test_limit_from_the_data_rejects_bad_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality.judge(docs, labels).join(labels, "doc_id").filter("NOT verdict.base_failed").select("quality", "verdict.kept").collect()
+    good = [r["kept"] for r in judged if r["quality"] == 1]
+    bad = [r["kept"] for r in judged if r["quality"] == 0]
+    assert sum(bad) <= 0.02 * len(bad)
+    assert sum(good) >= 0.99 * len(good)
