@@ -1,9 +1,8 @@
 """Quality rules: fixed text rules, then a hashed n-gram log-likelihood ratio.
 
 Words and pairs of neighbouring words are hashed into ``buckets`` cells.
-Two multinomials over the cells are counted: one over trusted documents (a
-documented, bounded sample of rows labelled as good), one over all documents
-of the input. A document's score is the mean over its n-grams of
+Two multinomials over the cells are counted: one over trusted documents (those
+labelled as good), one over all documents of the input. A document's score is the mean over its n-grams of
 ``ln(p_trusted / p_raw)``, both smoothed by adding ``alpha`` to each cell.
 Documents with a score under a limit are rejected; there is no random draw,
 the same input always gives the same verdicts.
@@ -16,7 +15,8 @@ nothing is left out and the limit is ``THRESHOLD``. A caller may give a
 ``threshold`` instead.
 
 Only DataFrame functions; the corpus is read three times (count, score of the
-documents left out, score) and never shuffled: the counting pass sends at most
+documents left out, score). It is shuffled, on ``doc_id``, only if there are
+too many good labels for a broadcast; the counting pass sends at most
 ``buckets`` rows per task.
 
 Defined results: a null or empty text has no words, so its counts are 0, its
@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, shared, upto, words
+from .common import let, shared, small, upto, words
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
@@ -41,8 +41,6 @@ MAX_REPEAT_PERCENT = 30
 
 BUCKETS = 10_000
 ALPHA = 1.0
-#: Bound on the sample of trusted rows (those with the smallest hashes of doc_id).
-TRUSTED_ROWS = 20_000
 #: Mean log ratio per n-gram under which a document is rejected if there are
 #: fewer than HELD_LEAST good labels.
 THRESHOLD = -0.15
@@ -121,15 +119,15 @@ def cells(w: Column, buckets: int) -> Column:
     )
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_ROWS) -> DataFrame:
-    """At most ``limit`` ids of rows labelled as good (those with the smallest hashes)."""
-    return (
+def trusted_ids(labels: DataFrame, limit: int | None = None) -> DataFrame:
+    """The ids of rows labelled as good; with a ``limit`` at most so many
+    (those with the smallest hashes)."""
+    ids = (
         labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
         .select(F.col("doc_id").alias("trusted_id"))
         .distinct()
-        .orderBy(F.xxhash64("trusted_id"), "trusted_id")
-        .limit(limit)
     )
+    return ids if limit is None else ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(limit)
 
 
 def log_ratios(
@@ -137,14 +135,12 @@ def log_ratios(
 ) -> DataFrame:
     """One row with ``ratios``: ln(p_trusted / p_raw) of each cell, in order.
 
-    ``trusted`` has at most ``TRUSTED_ROWS`` rows, which bounds its broadcast.
+    ``trusted`` should be a written table (its rows are counted for the join).
     """
     spark = docs.sparkSession
-    grams = docs.select(
-        "doc_id", F.explode(cells(words(F.col("text")), buckets)).alias("cell")
-    )
     counts = (
-        grams.join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
+        docs.join(small(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
+        .select("trusted_id", F.explode(cells(words(F.col("text")), buckets)).alias("cell"))
         .groupBy("cell")
         .agg(F.count(F.lit(1)).alias("n_raw"), F.count("trusted_id").alias("n_trusted"))
     )
@@ -199,7 +195,7 @@ def measured(text: Column, model: Column, buckets: int) -> Column:
 def limit_from(docs: DataFrame, held: DataFrame, ratios: DataFrame, buckets: int) -> float:
     """The limit that at most ``HELD_SHARE`` of the ``held`` documents miss;
     ``THRESHOLD`` if none of them passes the rules."""
-    known = docs.join(F.broadcast(held), F.col("doc_id") == F.col("trusted_id"))
+    known = docs.join(small(held), F.col("doc_id") == F.col("trusted_id"))
     # No filter on what is measured: it would be moved below the join, to all documents.
     step = let(
         measured(F.col("text"), F.col("_ratios"), buckets),
@@ -222,7 +218,7 @@ def judge(
     buckets: int = BUCKETS,
     alpha: float = ALPHA,
     threshold: float | None = None,
-    trusted_rows: int = TRUSTED_ROWS,
+    trusted_rows: int | None = None,
     name: str = "verdict",
 ) -> DataFrame:
     """The input's rows with the column ``name``: a struct of the rule counts,

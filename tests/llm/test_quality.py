@@ -1,6 +1,6 @@
 import brute
 import pytest
-from conftest import TEXTS, rows
+from conftest import PROSE, TEXTS, rows
 
 from panelforge.llm import quality
 
@@ -74,3 +74,11 @@ def test_limit_from_the_data_rejects_bad_documents(spark):
     bad = [r["kept"] for r in judged if r["quality"] == 0]
     assert sum(bad) <= 0.02 * len(bad)
     assert sum(good) >= 0.99 * len(good)
+
+
+def test_all_good_labels_are_trusted(spark):
+    labels = spark.range(30_000).selectExpr("id AS doc_id", "1 AS quality")
+    assert quality.trusted_ids(labels).count() == 30_000
+    docs = spark.createDataFrame([(i, PROSE) for i in (5, 29_999)], "doc_id long, text string")
+    many = quality.judge(docs, labels, threshold=0.0).select("doc_id", "verdict.score").collect()
+    assert {r["score"] for r in many} == {0.0}  # both are trusted, so the ratios are even
