@@ -1,3 +1,6 @@
+import random
+import string
+
 import brute
 from conftest import HEX40, LONG, TEXTS, rows
 from pyspark.sql import functions as F
@@ -48,3 +51,28 @@ def test_empty_table_and_long_run(spark, no_docs):
     df = spark.createDataFrame([(1, LONG + blob)], "doc_id long, text string")
     base, every = spans(LONG + blob)
     assert rows(S.report(df))[0][5] == brute.listed(every)
+
+
+def test_recall_on_random_tokens(spark):
+    rng = random.Random(7)
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    least = {
+        (low + digits, 12): 0.85, (low + digits, 16): 0.9, (low + digits, 24): 0.97, (low + digits, 32): 0.97, (up + digits, 16): 0.9,
+        (up + digits, 24): 0.97, (up + "234567", 16): 0.8, (up + "234567", 24): 0.95, (up + "234567", 32): 0.97, (low + up + digits, 16): 0.85,
+    }
+    made = [(k, "kept at " + "".join(rng.choice(k[0]) for _ in range(k[1])) + " since") for k in least for _ in range(400)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(made)], "doc_id long, text string")
+    hit = {r["doc_id"] for r in S.report(df).filter("spans <> ''").select("doc_id").collect()}
+    share = {k: sum(i in hit for i, (of, _) in enumerate(made) if of == k) / 400 for k in least}
+    assert all(share[k] >= least[k] for k in least)
+
+
+def test_no_hits_on_harmless_runs(spark, sf):
+    harmless = [
+        "internationalisation administrators", "windows11 version20240101 20240101release", "550e8400-e29b-41d4-a716-446655440000",
+        "see chapter12 and 123456789012345", "https://example.com/some/long/path-of-words/index.html", "CamelCaseIdentifierOfManyWords",
+    ]
+    df = spark.createDataFrame(list(enumerate(harmless)), "doc_id int, text string")
+    assert [r["spans"] for r in S.report(df).filter("spans <> ''").collect()] == []
+    new = S.scan(spark.read.parquet(f"{sf}/documents.parquet")).filter("exists(spans, x -> x.k > 4) AND NOT exists(spans, x -> x.k < 3)")
+    assert new.count() == 0
