@@ -6,7 +6,9 @@ characters than letters and digits one space. The SHA-256 of the canonical
 form of an entire text is joined to the digests of known licence texts; the
 same is done for entire paragraphs (between blank lines) and entire lines, so
 that a licence notice inside a document is found too. A part of a licence is
-no match: what is looked up is always a whole unit.
+no match: what is looked up is always a whole unit. Known are the texts in
+``license_texts`` with their usual titles and short forms, MIT, ISC and some
+one-line notices.
 
 Only DataFrame functions, row by row. The known digests are a fixed table
 (``KNOWN``, or one of at most ``MOST_KNOWN`` texts that the caller gives), so
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +35,9 @@ MOST_KNOWN = 10_000
 
 #: A line that states a copyright.
 COPYRIGHT_LINE = r"(^|\n)[ \t*#/;-]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|<)|\(c\)[ \t]*[0-9]{4}|©)[^\n]*"
+#: A line that names a holder after the word alone; read before letters are
+#: made small, so that a wrapped "copyright holder" or "COPYRIGHT OWNER" is none.
+NAMED_LINE = r"(^|\n)[ \t*#/;-]*Copyright:?[ \t]+(?:by[ \t]+)?(?!(?:Holder|Owner|Licen[cs]e|Notice|Law|Act|Statement)s?\b)[A-Z][^\n]*"
 #: Runs that become one space.
 BETWEEN = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
 # Equivalent spellings, after punctuation is gone.
@@ -61,15 +67,54 @@ http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
+_TITLES = {
+    "Apache-2.0": ("Apache License 2.0",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "BSD 2-Clause \"Simplified\" License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License", "BSD License", "The BSD License"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "ISC"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+
+
+def _read(name: str) -> str:
+    return resources.files(__package__).joinpath("license_texts", f"{name}.txt").read_text(encoding="utf-8")
+
+
+def _bsd() -> list[tuple[str, str]]:
+    """The BSD licences with three and two clauses, numbered or with other marks."""
+    three = _read("BSD-3-Clause")
+    start, end = three.index("3. Neither"), three.index("THIS SOFTWARE IS PROVIDED")
+    out = []
+    for name, text in (("BSD-3-Clause", three), ("BSD-2-Clause", three[:start] + three[end:])):
+        for holders in (text, text.replace("copyright holder nor", "copyright holders nor")):
+            of_all = re.sub(r"COPYRIGHT\s+HOLDER\s+OR", "COPYRIGHT OWNER OR", holders)
+            for form in (holders, of_all):
+                marks = re.sub(r"(?m)^[123]\.", "*", form)
+                letters = re.sub(r"(?m)^([123])\.", lambda m: "abc"[int(m[1]) - 1] + ".", form)
+                out += [(name, form), (name, marks), (name, letters)]
+    return out
+
+
+def _complete() -> list[tuple[str, str]]:
+    """Complete licence texts, without and with a title."""
+    plain = [("MIT", _MIT), ("ISC", _ISC), ("ISC", _ISC.replace("and/or distribute", "and distribute")), *_bsd()]
+    for name in ("Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0", "Unlicense"):
+        text = _read(name)
+        plain.append((name, text))
+        # without what follows the terms, with and without the line that ends them
+        for end in re.finditer("END OF TERMS AND CONDITIONS", text):
+            plain += [(name, text[: end.end()]), (name, text[: end.start()])]
+    unlicense = _read("Unlicense")
+    plain += [("Unlicense", unlicense.replace("https://unlicense.org", u)) for u in ("http://unlicense.org", "http://unlicense.org/", "https://unlicense.org/")]
+    return plain + [(name, f"{title}\n\n{text}") for name, text in plain for title in _TITLES.get(name, ())]
+
+
 # Licence texts and notices by identifier.
 KNOWN = (
     ("MIT", "MIT License\n\n" + _MIT),
-    ("MIT", _MIT),
-    ("MIT", "The MIT License (MIT)\n\n" + _MIT),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
-    ("ISC", "ISC License\n\n" + _ISC),
-    ("ISC", _ISC),
     ("Apache-2.0", _APACHE_NOTICE),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
@@ -77,14 +122,16 @@ KNOWN = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright to this work to the public domain under the CC0 1.0 license."),
+    *_complete(),
 )
 
 #: Every known text has one of these words, in any spelling; others are skipped.
-ANCHOR = r"(?i)licen[cs]|permission"
+ANCHOR = r"(?i)licen[cs]|permission|redistribution"
 
 
 def canonical(text: Column) -> Column:
-    c = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "$1")
+    c = F.regexp_replace(text, NAMED_LINE, "$1")
+    c = F.regexp_replace(F.lower(c), COPYRIGHT_LINE, "$1")
     c = F.regexp_replace(c, BETWEEN, " ")
     for odd, usual in SPELLINGS:
         c = F.regexp_replace(c, rf"\b{odd}\b", usual)
@@ -93,7 +140,7 @@ def canonical(text: Column) -> Column:
 
 def canonical_text(text: str) -> str:
     """``canonical`` of one Python string (for the table of known texts)."""
-    c = re.sub(COPYRIGHT_LINE, r"\1", text.lower())
+    c = re.sub(COPYRIGHT_LINE, r"\1", re.sub(NAMED_LINE, r"\1", text).lower())
     c = re.sub("[^0-9a-z\x80-\U0010ffff]+", " ", c)
     for odd, usual in SPELLINGS:
         c = re.sub(rf"\b{odd}\b", usual, c)
@@ -108,7 +155,23 @@ def known_digests(texts: tuple[tuple[str, str], ...] = KNOWN) -> dict[str, str]:
     return {d: name for d, name in reversed(found)}
 
 
-def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, anchor: str = ANCHOR) -> DataFrame:
+def anchor_of(texts: tuple[tuple[str, str], ...]) -> str | None:
+    """A pattern that the lower-case form of every document with one of
+    ``texts`` matches: ``ANCHOR``, and for each text without it its longest
+    word that no other spelling leads to. None if a text has no such word."""
+    made = {w for _, usual in SPELLINGS for w in usual.split()}
+    more = set()
+    for _, t in texts:
+        c = canonical_text(t)
+        if not re.search(ANCHOR, c):
+            usable = [w for w in c.split(" ") if re.fullmatch("[a-z0-9]+", w) and w not in made]
+            if not usable:
+                return None
+            more.add(max(usable, key=lambda w: (len(w), w)))
+    return "|".join([ANCHOR, *sorted(more)])
+
+
+def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """The rows with ``license_id`` (the licence that the entire text is),
     ``notices`` (sorted identifiers of all whole units that are one) and
     ``n_notices`` (such units)."""
@@ -117,7 +180,8 @@ def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN, anchor: st
     table = spark.createDataFrame(sorted(known.items()), "known_digest string, known_id string")
     lengths = sorted({len(canonical_text(t)) for _, t in texts})
     text = F.coalesce("text", F.lit(""))
-    has = text.rlike(anchor)
+    anchor = anchor_of(texts)
+    has = F.lit(True) if anchor is None else F.lower(text).rlike(anchor)
     digest = lambda c: F.sha2(c, 256)
     units = F.concat(F.split(text, r"\n[ \t\r]*\n", -1), F.split(text, "\n", -1))
     # of the whole units only those as long as a known text are digested

@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import TEXTS, rows
@@ -102,3 +103,27 @@ def test_scan_keeps_columns(docs, no_docs):
     out = licenses.scan(docs)
     assert out.columns == [*docs.columns, "license_id", "notices", "n_notices"]
     assert licenses.scan(no_docs).count() == 0
+
+
+def test_complete_texts_are_found(spark):
+    folder = Path(licenses.__file__).parent / "license_texts"
+    texts = {f.stem: f.read_text() for f in folder.glob("*.txt")}
+    bsd3 = texts["BSD-3-Clause"]
+    texts["BSD-2-Clause"] = bsd3[: bsd3.index("3. Neither")] + bsd3[bsd3.index("THIS SOFTWARE") :]
+    mit = MIT.split("\n\n", 1)[1]
+    cases = [(k, "Copyright Jane Doe\n\n" + t) for k, t in texts.items()] + [
+        ("MIT", "The MIT License\n\nCopyright Jane Doe\n\n" + mit), ("MIT", "Copyright 2020 Jane Doe\nCopyright John Roe\n\n" + mit),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + " ".join(bsd3.split())),
+        ("Apache-2.0", texts["Apache-2.0"].split("END OF TERMS")[0]), ("MIT", mit.replace(" OR COPYRIGHT HOLDERS", " OR\nCOPYRIGHT HOLDERS")),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license_id"] for r in licenses.report(df).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(cases)}
+    assert {"BSD-2-Clause", "Apache-2.0", "GPL-3.0-only", "GPL-2.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "Unlicense"} <= set(got.values())
+
+
+def test_texts_of_a_caller_are_never_skipped(spark):
+    texts = (("own-1", "Anyone may copy this freely."), ("own-2", "© 2020 X\n\nDo as you like."), ("own-3", "v2.0"))
+    for given in (texts, texts[:2]):
+        df = spark.createDataFrame([(n, t) for n, t in given], "doc_id string, text string")
+        assert all(r["license_id"] == r["doc_id"] for r in licenses.scan(df, texts=given).collect())
