@@ -323,16 +323,19 @@ def report(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> Da
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The documents with the least doc_id of their class, once each. A row
-    without doc_id can't be named, so it stays."""
-    found = shared(near_duplicates(docs, size, distance), "found")
-    id_ = F.col("doc_id")
+    """The documents with the least doc_id of their class, once each. If
+    doc_ids repeat, documents are told apart by a digest of the text too, and
+    of rows equal in both the least one stays. A row without doc_id can't be
+    named, so it stays."""
+    id_, at = F.col("doc_id"), F.col("_at")
+    unique = docs.filter(id_.isNotNull()).groupBy("doc_id").count().filter("count > 1").isEmpty()
+    name = id_ if unique else F.when(id_.isNotNull(), F.struct(id_, F.xxhash64("text").alias("key")))
+    found = near_duplicates(docs.select(name.alias("doc_id"), "text"), size, distance)
     gone = shared(
         found.filter(id_ != F.col("component_id")).select(id_.alias("gone_id")).distinct(), "gone"
     )
-    kept = docs.join(small(gone), docs["doc_id"] == gone["gone_id"], "left_anti")
-    repeated = found.filter(id_.isNotNull()).groupBy("doc_id").count().filter("count > 1")
-    if repeated.isEmpty():
-        return kept
-    named = kept.filter(id_.isNotNull()).dropDuplicates(["doc_id"])
-    return named.unionByName(kept.filter(id_.isNull()))
+    kept = docs.withColumn("_at", name).join(small(gone), at == F.col("gone_id"), "left_anti")
+    if unique:
+        return kept.drop("_at")
+    least = kept.filter(at.isNotNull()).groupBy("_at").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return least.select("_row.*").unionByName(kept.filter(at.isNull()).drop("_at"))

@@ -4,6 +4,7 @@ import brute
 import numpy as np
 import pytest
 from conftest import TEXTS, rows
+from pyspark.sql import functions as F
 
 from panelforge.llm import simhash
 
@@ -103,3 +104,12 @@ def test_majority_over_chunks(monkeypatch):
     want = simhash.majority(h, ends)
     monkeypatch.setattr(simhash, "CHUNK", 64)
     assert (simhash.majority(h, ends) == want).all() and want[0] == 0
+
+
+def test_keep_one_with_repeated_ids(spark):
+    alone, pair = "quite another text about glass and iron and salt " * 3, "the boats came home before the storm broke over the bay " * 3
+    table = [(1, pair, "a"), (5, pair, "b"), (5, alone, "d"), (5, alone, "c"), (9, "short one", "e"), (9, "gulls over the far hills at noon", "f")]
+    df = spark.createDataFrame(table, "doc_id long, text string, source string")
+    want = [(1, pair, "a"), (5, alone, "c"), (9, "gulls over the far hills at noon", "f"), (9, "short one", "e")]
+    assert rows(simhash.keep_one(df)) == want
+    assert rows(simhash.keep_one(df.orderBy(F.desc("source")).repartition(2))) == want
