@@ -179,7 +179,8 @@ def fit(
 
 
 def training_sample(labelled: DataFrame, sample: int = SAMPLE) -> list[tuple[str, str]]:
-    """At most ``sample`` rows (text, lang) of each language, by least hash of the id."""
+    """At most ``sample`` rows (text, lang) of each language, by least hash of
+    the id; of rows with the same id and language the least text."""
     some = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     # Ids only are ranked, then texts are looked up. The first round ranks SALTS
     # parts of each language, so the second sees SALTS * sample rows of one at most.
@@ -192,7 +193,7 @@ def training_sample(labelled: DataFrame, sample: int = SAMPLE) -> list[tuple[str
         F.broadcast(chosen.withColumnRenamed("lang", "of")),
         (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")),
     )
-    rows = texts.select("text", "lang", "doc_id").collect()
+    rows = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["lang"], r["doc_id"], r["text"]))
     return [(r["text"], r["lang"]) for r in rows]
 

@@ -80,3 +80,9 @@ def test_index_of_grams(n):
     known = set(keys.tolist())
     assert sorted(where) == [i for i, k in enumerate(asked.tolist()) if k in known]
     assert (index.keys[number] == asked[where]).all()
+
+
+def test_sample_takes_one_row_of_a_repeated_id(spark):
+    table = [(1, f"text {i:02d}", "en") for i in range(50)] + [(1, "texte", "fr"), (2, "other", "en")]
+    df = spark.createDataFrame(table, "doc_id long, text string, lang string")
+    assert langid.training_sample(df) == [("text 00", "en"), ("other", "en"), ("texte", "fr")]
