@@ -220,3 +220,11 @@ def test_signal_of_independent_numbers_is_small(spark):
     got = {r.variable: r.mutual_information for r in P.mutual_information(df, "label", ["x", "n", "twice"], [], regression=True).collect()}
     assert got["x"] < 0.05 and got["n"] < 0.05
     assert got["twice"] == pytest.approx(2.302, abs=0.02)
+
+
+def test_untuned_trees_and_forests_have_no_depth_of_five(spark):
+    from panelforge.operators import ml
+
+    for task in ("classification", "regression"):
+        depth = {c.name: c.untuned.get("maxDepth") for c in ml.candidates(task)}
+        assert depth == {"decision_tree": 30, "random_forest": 30, "boosted": None}
