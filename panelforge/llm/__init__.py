@@ -1,4 +1,4 @@
-"""Corpus operators for training data: ten operators, their queries and SQL twins.
+"""Corpus operators for training data: thirteen operators, their queries and SQL twins.
 
 Functions that run in Python workers travel by value, so executors need no
 installed copy of this package.

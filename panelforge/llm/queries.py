@@ -1,4 +1,4 @@
-"""The ten queries over the driver tables, with SQL twins where SQL can say it."""
+"""The queries over the driver tables, with SQL twins where SQL can say it."""
 
 from __future__ import annotations
 
@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontaminate, langid, licenses, packing, quality, secretscan, simhash, tokencount, urlfilter, warc
+from . import (
+    decontaminate, divergence, fim, langid, licenses, packing, quality, rangejoin, secretscan, simhash, tokencount, urlfilter, warc,
+)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,10 +94,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(read_table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.report(read_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rangejoin.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_packing, op3_decontamination, op4_simhash, op5_url_filter,
         op6_secrets, op7_token_counts, op8_quality, op9_licenses, op10_warc,
+        op11_fill_in_middle, op12_source_divergence, op13_embedding_dedup,
     )
 }

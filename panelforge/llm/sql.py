@@ -206,10 +206,55 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
 FROM d
 """
 
+_OP12 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+word AS (SELECT d, lang, source, unnest(w) AS term FROM doc),
+kept AS (SELECT lang, term FROM word GROUP BY lang, term HAVING count(DISTINCT d) >= 3),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+cnt AS (SELECT lang, source, term, count(*) AS c FROM word SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+gtotal AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM grp LEFT JOIN cnt USING (lang, source) GROUP BY ALL),
+ltotal AS (SELECT lang, sum(n) AS n FROM gtotal GROUP BY lang),
+share AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 1) // CAST(g.n + s.v AS HUGEINT) AS p
+  FROM gtotal g JOIN kept k ON g.lang = k.lang JOIN size s ON g.lang = s.lang
+  LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+whole AS (
+  SELECT k.lang, k.term, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(sum(c.c), 0) + 1) // CAST(any_value(l.n + s.v) AS HUGEINT) AS q
+  FROM kept k JOIN ltotal l ON k.lang = l.lang JOIN size s ON k.lang = s.lang LEFT JOIN cnt c ON c.lang = k.lang AND c.term = k.term
+  GROUP BY k.lang, k.term
+),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(p.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+),
+term AS (
+  SELECT s.lang, s.source, s.term AS item, (p - q) * (p - q) // q AS value
+  FROM share s JOIN whole w ON s.lang = w.lang AND s.term = w.term WHERE s.c > 0 AND p > q
+),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS r FROM pairs
+  UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM term
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 200
+"""
+
 SQL: dict[str, str] = {
     "op3_decontamination": _OP3.strip(),
     "op5_url_filter": _OP5.strip(),
     "op6_secrets": secrets_sql(),
     "op9_licenses": licenses_sql().strip(),
     "op10_warc": _OP10.strip(),
+    "op12_source_divergence": _OP12.strip(),
 }

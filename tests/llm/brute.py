@@ -208,3 +208,80 @@ def archive_rows(pages):
         own = k == first[p]
         out.append((k, len(p), digest, "response" if own else "revisit", None if own else first[p]))
     return out
+
+
+# ---- fill in the middle
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def fill_in_middle(doc_id, text):
+    text = text or ""
+    parts = [m[0] for m in UNIT.finditer(text)]
+    n, digest = len(parts), sha(f"42:{'' if doc_id is None else doc_id}")
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    if text == "" or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = ("".join(x) for x in (parts[:a], parts[a:b], parts[b:]))
+    if h[3] % 100 < 80:
+        return n, "spm", len(p), len(m), "<S>" + s + "<P>" + p + "<M>" + m
+    return n, "psm", len(p), len(m), "<P>" + p + "<S>" + s + "<M>" + m
+
+
+# ---- source divergence
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def divergence(table, min_docs=3, top=200):
+    """Rows (lang, source, part, item, value, rank) of rows (text, lang, source)."""
+    table = [tuple(v or "" for v in r) for r in table]
+    counts, in_docs = {}, Counter()
+    for text, lang, source in table:
+        words = TERM.findall(ascii_lower(text))
+        counts.setdefault((lang, source), Counter()).update(words)
+        in_docs.update({(lang, w) for w in words})
+    out = []
+    for lang in {k[0] for k in counts}:
+        kept = [w for (of, w), n in in_docs.items() if of == lang and n >= min_docs]
+        groups = {s: c for (of, s), c in counts.items() if of == lang}
+        whole = Counter()
+        for c in groups.values():
+            whole.update({w: c[w] for w in kept})
+
+        def shares(c, kept=kept):
+            total = sum(c[w] for w in kept)
+            return {w: 1 + 10**9 * (c[w] + 1) // (total + len(kept)) for w in kept}
+
+        q, p = shares(whole), {s: shares(c) for s, c in groups.items()}
+        for s in groups:
+            pairs = [(sum((p[s][w] - p[t][w]) ** 2 // p[t][w] for w in kept), t) for t in groups if t != s]
+            terms = [((p[s][w] - q[w]) ** 2 // q[w], w) for w in kept if groups[s][w] and p[s][w] > q[w]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+                order = sorted(found, key=lambda x: (-x[0], x[1].encode()))[:most]
+                out += [(lang, s, part, item, v, k) for k, (v, item) in enumerate(order, 1)]
+    return sorted(out)
+
+
+# ---- embedding near-duplicates
+
+
+def embedding_links(rows, threshold=0.9):
+    """Rows (vec_id, n_links, component_id, kept) of (vec_id, vector)."""
+    ok = [v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(v) for _, v in rows]
+    links = [set() for _ in rows]
+    for i, j in itertools.combinations([k for k, x in enumerate(ok) if x], 2):
+        a, b = rows[i][1], rows[j][1]
+        if len(a) == len(b) and math.fsum(x * y for x, y in zip(a, b, strict=True)) / (math.hypot(*a) * math.hypot(*b)) >= threshold:
+            links[i].add(j)
+            links[j].add(i)
+    name = [None] * len(rows)
+    for i in range(len(rows)):
+        seen, todo = {i}, [i]
+        while todo:
+            new = links[todo.pop()] - seen
+            seen |= new
+            todo += new
+        name[i] = min((rows[k][0] for k in seen if rows[k][0] is not None), default=None)
+    return [(r[0], len(k), c, r[0] == c) for r, k, c in zip(rows, links, name, strict=True)]
