@@ -73,3 +73,11 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     it is (the join then shuffles). ``df`` should be a written table: its
     rows are counted first, ``limit + 1`` at most."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def unused(name: str, *tables: DataFrame) -> str:
+    """``name``, or the next like it that no column of the ``tables`` has."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -56,6 +56,8 @@ TOP_TERMS = 200
 HELD_TERMS = 400_000
 #: Node-ancestor combinations that are worked out together.
 CHUNK = 200_000
+#: Items of a path that it is dealt by.
+HEAD = 6
 #: Shares of a pair's group where the sources' table is too large to broadcast.
 SALTS = 64
 
@@ -218,8 +220,10 @@ def tree_corrections(rows: DataFrame) -> DataFrame:
     """(lang, s, t, x): the sums of ``x`` over all terms in both sources.
     ``rows``: (lang, path) of each term, path an array of (sid, n, p, z)."""
     paths = rows.filter(F.size("path") > 1).groupBy("lang", "path").agg(F.count(F.lit(1)).alias("times"))
+    # dealt by the first items, so that the sample for the ranges stays small, and a hash where many share them
+    head = F.transform(F.slice("path", 1, HEAD), lambda x: F.struct(x["sid"], x["n"]))
     found = (
-        paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+        paths.repartitionByRange("lang", head, F.xxhash64("path")).sortWithinPartitions("lang", "path")
         .mapInArrow(_tree_batches, "lang string, s long, t long, hi long, lo long")
     )
     wide = F.lit(2**32).cast("decimal(11,0)")

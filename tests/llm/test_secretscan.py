@@ -1,7 +1,9 @@
 import random
 import string
+import time
 
 import brute
+import pytest
 from conftest import HEX40, LONG, TEXTS, rows
 from pyspark.sql import functions as F
 
@@ -76,3 +78,25 @@ def test_no_hits_on_harmless_runs(spark, sf):
     assert [r["spans"] for r in S.report(df).filter("spans <> ''").collect()] == []
     new = S.scan(spark.read.parquet(f"{sf}/documents.parquet")).filter("exists(spans, x -> x.k > 4) AND NOT exists(spans, x -> x.k < 3)")
     assert new.count() == 0
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["ab-" * 350_000, (HEX40[:16] + " ") * 20_000, (HEX40 + "Zq9-") * 4_000, "token=" + "x9Qm3vT7bK1z" * 10_000, ("é" + HEX40[:20] + "\n") * 5_000, "a/b=c_" * 160_000, "AKIA" * 250_000],
+    ids=["dashes", "hex", "base64", "assign", "accents", "path", "access"],
+)
+def test_long_texts(spark, text):
+    """Long texts neither end the JVM nor take the square of the time."""
+    df = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")
+    began = time.time()
+    got = S.scan(df).select("spans").first()["spans"]
+    new = S.redact(df).first()
+    assert time.time() - began < 60
+    assert [x[:3] for x in got if x["k"] < 3] == [(s, k, e) for s, k, e, *_ in brute.base_spans(text)]
+    assert new["text"] == (brute.redacted(text, [(x["s"], x["k"], x["e"], x["kind"]) for x in got]) if got else text) and new["n_chars"] == len(new["text"])
+
+
+def test_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, f"token = '{HEX40}'", "a", "b")], "doc_id long, text string, _old string, old string").withColumn("spans", F.lit("c"))
+    out = S.redact(df)
+    assert out.columns == df.columns and tuple(out.first())[2:] == ("a", "b", "c") and HEX40 not in str(out.first())
