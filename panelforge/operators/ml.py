@@ -5,8 +5,8 @@
   driver) + StringIndexer(keep) + OneHotEncoder
   (dropLast drops the unknown slot, so unseen categories encode as zeros and
   every known value keeps its slot) + VectorAssembler.
-* M2-M4 candidates: decision tree, random forest, boosted trees (three
-  classes -> OneVsRest over GBT, which is binary only).
+* M2-M4 candidates: decision tree, random forest, boosted trees (several
+  classes: the softmax booster of ``operators.boosting``, GBT is binary only).
 * M5 class weights ('balanced', positive class) as weight columns.
 * M6 random search: a seeded draw of parameter maps, all scored in one
   ``CrossValidator(foldCol=...)`` with macro F1 or MAE; time folds use their
@@ -29,7 +29,7 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
-    OneVsRest,
+    OneVsRestModel,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import Evaluator as _Evaluator
@@ -37,10 +37,12 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import strip_encoder_prefix
+from ..session import cut_lineage
+from .boosting import SoftmaxBooster
 from .features import FeatureSet
 from .joins import attach_row
 from .metrics import classification_metrics, regression_metrics
@@ -123,6 +125,8 @@ BOOST_ROUNDS = [200, 400, 600]
 BOOST_DEPTHS = range(3, 10)
 BOOST_STEP = (0.03, 0.2)
 BOOST_SAMPLE = (0.7, 1.0)
+BOOST_COLUMNS = (0.7, 1.0)
+BOOST_CHILD_WEIGHT = range(1, 10)
 # Untuned trees and forests grow as deep as Spark allows. A caller can set others here.
 UNTUNED: dict[str, dict] = {"decision_tree": {"maxDepth": MAX_DEPTH}, "random_forest": {"maxDepth": MAX_DEPTH}, "boosted": {}}
 # ---------------------------------------------------------------------------
@@ -144,20 +148,15 @@ class Candidate:
     untuned: dict
     space: dict
 
-    @property
-    def learner(self):
-        """The estimator that has the parameters (inside a one-vs-rest)."""
-        return self.estimator.getClassifier() if isinstance(self.estimator, OneVsRest) else self.estimator
-
     def param_map(self, values: dict, task: str) -> dict:
-        """``values`` as Spark params; the weight column follows 'balanced'."""
+        """``values`` as Spark params; the weight column follows 'balanced'
+        (boosted trees of two classes weigh the positive one)."""
         values = dict(values)
         balanced = values.pop("balanced", False)
-        out = {self.learner.getParam(k): v for k, v in values.items()}
-        # one-vs-rest fits (three classes) are unweighted: the weight is of the positive class of two
-        if task == "classification" and not isinstance(self.estimator, OneVsRest):
-            weight = "w_positive" if self.name == "boosted" else "w_balanced" if balanced else "w_one"
-            out[self.learner.getParam("weightCol")] = weight
+        out = {self.estimator.getParam(k): v for k, v in values.items()}
+        if task == "classification":
+            two = self.name == "boosted" and not isinstance(self.estimator, SoftmaxBooster)
+            out[self.estimator.getParam("weightCol")] = "w_positive" if two else "w_balanced" if balanced else "w_one"
         return out
 
 
@@ -174,10 +173,12 @@ def candidates(task: str, n_classes: int | None = None) -> list[Candidate]:
     out = []
     for name, space in spaces.items():
         est = _LEARNERS[name][task](seed=SEED, featuresCol="features", labelCol="label", maxBins=MAX_BINS)
-        if task == "classification" and name != "boosted":
-            space = {**space, "balanced": [False, True]}
         if name == "boosted" and task == "classification" and (n_classes or 2) > 2:
-            est = OneVsRest(classifier=est, featuresCol="features", labelCol="label")
+            est = SoftmaxBooster(seed=SEED, maxBins=MAX_BINS, classes=n_classes)
+            space = {k: v for k, v in space.items() if k != "minInstancesPerNode"}
+            space |= {"columnRate": BOOST_COLUMNS, "minChildWeight": BOOST_CHILD_WEIGHT, "balanced": [False, True]}
+        elif task == "classification" and name != "boosted":
+            space = {**space, "balanced": [False, True]}
         out.append(Candidate(name, est, UNTUNED[name], space))
     return out
 
@@ -337,19 +338,70 @@ def registry_entry(name: str, task: str, description: str, split: str, best: Fit
 
 
 # A27 -----------------------------------------------------------------------
+def slot_importances(last) -> list[float]:
+    """Importance of each assembled slot: the model's own, or of a
+    one-vs-rest model the mean over its classes."""
+    if isinstance(last, OneVsRestModel):
+        each = [m.featureImportances.toArray() for m in last.models]
+        return (sum(each) / len(each)).tolist()
+    own = getattr(last, "featureImportances", None)
+    if own is None:
+        raise ValueError(f"{type(last).__name__} has no importances; use permutation_importance")
+    return own.toArray().tolist()
+
+
 def feature_importance(spark, model: PipelineModel, top_n: int | None = None) -> DataFrame:
     """Importances per assembled slot with the encoder's slot names (T3: the
     ``top_n`` largest when given)."""
-    last = model.stages[-1]
-    imp = getattr(last, "featureImportances", None)
-    if imp is None:
-        return spark.createDataFrame([], "variable string, importancia double")
-    rows = [(n, float(v)) for n, v in zip(slot_names(model), imp.toArray().tolist(), strict=True)]
+    rows = [(n, float(v)) for n, v in zip(slot_names(model), slot_importances(model.stages[-1]), strict=True)]
     named = spark.createDataFrame(rows, "variable string, importancia double")
     out = named.withColumn("variable", strip_encoder_prefix("variable")).orderBy(F.col("importancia").desc(), "variable")
     return out.limit(top_n) if top_n else out
 
 
+#: Rows within which a column's values are permuted.
+PERMUTED_ROWS = 10_000
+
+
+def permutation_importance(model: PipelineModel, rows: DataFrame, columns: list[str], task: str, seed: int = SEED) -> DataFrame:
+    """(variable, importancia): what a column's permutation costs in macro F1
+    or adds to the MAE, for any model.
+
+    Rows are put in the order of a seeded hash inside blocks of about
+    ``PERMUTED_ROWS``; each takes the next one's value. All columns are
+    scored in one pass: a row goes in once as it is and once for each column.
+    """
+    rows = cut_lineage(rows.select("label", *columns).withColumn("_row", F.monotonically_increasing_id()))
+    blocks = max(1, math.ceil(rows.count() / PERMUTED_ROWS))
+    block = F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(blocks))
+    # a row's place is another hash than its block, or the order would be the same in all runs
+    placed = rows.withColumn("_block", block).withColumn("_at", F.xxhash64(F.lit(seed), "_row"))
+    by = Window.partitionBy("_block").orderBy("_at", "_row")
+    own = F.struct(*columns)
+    first = F.first(own).over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    moved = placed.withColumn("_next", F.coalesce(F.lead(own).over(by), first))
+    variant = lambda c: F.struct(F.lit(c).alias("_variant"), *[F.col(f"_next.{x}" if x == c else x).alias(x) for x in columns])
+    each = moved.select("label", F.explode(F.array(*[variant(c) for c in [None, *columns]])).alias("_v")).select("label", "_v.*")
+    scored = model.transform(each).select("_variant", F.col("label").cast("double").alias("y"), F.col("prediction").alias("p"))
+    if task != "classification":
+        scores = scored.groupBy("_variant").agg((-F.avg(F.abs(F.col("p") - F.col("y")))).alias("score"))
+    else:
+        scores = macro_f1_by(scored, "_variant")
+    base = scores.filter("_variant IS NULL").select(F.col("score").alias("_base"))
+    out = attach_row(scores.filter("_variant IS NOT NULL"), base)
+    return out.select(F.col("_variant").alias("variable"), (F.col("_base") - F.col("score")).alias("importancia"))
+
+
+def macro_f1_by(pairs: DataFrame, by: str) -> DataFrame:
+    """(by, score): macro F1 of (y, p) over the classes that occur in either."""
+    cells = pairs.groupBy(by, "y", "p").agg(F.count(F.lit(1)).alias("n"))
+    hit = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)
+    as_true = cells.select(by, F.col("y").alias("c"), F.col("n").alias("t"), F.lit(0).alias("q"), hit.alias("h"))
+    as_said = cells.select(by, F.col("p").alias("c"), F.lit(0).alias("t"), F.col("n").alias("q"), F.lit(0).alias("h"))
+    classes = as_true.unionByName(as_said).groupBy(by, "c").agg(F.sum("t").alias("t"), F.sum("q").alias("q"), F.sum("h").alias("h"))
+    return classes.groupBy(by).agg(F.avg(F.lit(2.0) * F.col("h") / (F.col("t") + F.col("q"))).alias("score"))
+
+
 def slot_names(model: PipelineModel) -> list[str]:
     """Names of the assembled slots as the encoder gives them: ``num__x``, and
     ``cat__x_value`` for each known value (the unknown one has no slot)."""
@@ -395,7 +447,8 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model(path: str) -> PipelineModel:
-    try:
-        return PipelineModel.load(path)
-    except Exception as exc:  # noqa: BLE001 - Spark raises several kinds here
-        raise FileNotFoundError(f"no trained model at {path}; train it first") from exc
+    spark = SparkSession.active()
+    there = spark._jvm.org.apache.hadoop.fs.Path(path, "metadata")
+    if not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+        raise FileNotFoundError(f"no trained model at {path}; train it first")
+    return PipelineModel.load(path)

@@ -2,16 +2,19 @@
 
 Each report is one lazy DataFrame. Wide tables are reshaped to long
 (variable, value) once, so a report over k columns is one grouped
-aggregation keyed by ``variable`` rather than k separate jobs. Small
+aggregation keyed by ``variable`` rather than k separate jobs (correlation:
+matrix products of Arrow batches). Small
 constant-size sides (a 1-row total, k limit rows) are broadcast by
 construction; nothing is collected.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import numeric_columns, pct, round_half_up
@@ -160,32 +163,62 @@ def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str]) -> DataFr
 
 
 # A7 ------------------------------------------------------------------------
+def _cross_products(cols: Sequence[str]):
+    """Per task and pair of columns, over the rows where both are present: their
+    number, means and central products; ``odd`` counts rows with a value that is no number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, shift, sums = len(cols), None, None
+        for b in batches:
+            present = np.stack([~np.asarray(c.is_null()) for c in b.columns], 1)
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], 1).astype(np.float64)
+            odd = present & ~np.isfinite(x)
+            m = (present & ~odd).astype(np.float64)
+            x = np.where(m > 0, x, 0.0)
+            if sums is None:
+                shift, sums = x.sum(axis=0) / np.maximum(m.sum(axis=0), 1), np.zeros((5, k, k))
+            x = np.where(m > 0, x - shift, 0.0)
+            # number; sum and square sum of the first; product; odd rows
+            sums += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x, odd.T.astype(float) @ present + present.T.astype(float) @ odd])
+        if sums is None:
+            return
+        n, s, ss, xy, odd = sums
+        i, j = np.triu_indices(k)
+        some = np.maximum(n, 1)
+        central = {
+            "n": n, "ma": shift[:, None] + s / some, "mb": shift[None, :] + s.T / some, "caa": ss - s * s / some,
+            "cbb": ss.T - s.T * s.T / some, "cab": xy - s * s.T / some, "odd": odd,
+        }
+        names = [pa.array([cols[v] for v in at]) for at in (i, j)]
+        yield pa.RecordBatch.from_arrays([*names, *(pa.array(v[i, j]) for v in central.values())], names=["var_a", "var_b", *central])
+
+    return run
+
+
 def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation, long (var_a, var_b, corr).
 
-    Each row is expanded to its k(k+1)/2 column pairs (masked to the rows
-    where both are present) and one small grouped aggregate computes
-    covar_pop / (sd_a * sd_b) per pair; partial aggregation keeps the
-    expansion inside the scan stage, and the generated code stays small
-    whatever k is. A constant column gives NULL (pandas NaN), not an error.
+    One pass: a task adds the cross-products of its rows up as matrices (of the
+    number of columns squared, whatever the number of rows) and sends one row
+    for each pair; those are joined about the common mean. A constant column
+    gives NULL, not an error; a pair with a value that is no number gives NaN.
     """
-    # built as one SQL expression: a k(k+1)/2-pair expansion written with
-    # Column objects costs thousands of driver round trips to assemble
-    pairs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            both = f"`{a}` IS NOT NULL AND `{b}` IS NOT NULL"
-            pairs.append(
-                f"named_struct('var_a', '{a}', 'var_b', '{b}', "
-                f"'_x', CASE WHEN {both} THEN CAST(`{a}` AS DOUBLE) END, "
-                f"'_y', CASE WHEN {both} THEN CAST(`{b}` AS DOUBLE) END)"
-            )
-    long = df.selectExpr(f"inline(array({', '.join(pairs)}))")
-    r = F.covar_pop("_x", "_y") / F.nullif(F.stddev_pop("_x") * F.stddev_pop("_y"), F.lit(0.0))
-    half = long.groupBy("var_a", "var_b").agg(r.alias("corr"))
-    mirrored = half.where(F.col("var_a") != F.col("var_b")).select(
-        F.col("var_b").alias("var_a"), F.col("var_a").alias("var_b"), "corr")
-    return half.unionByName(mirrored)
+    wanted = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    parts = wanted.mapInArrow(
+        _cross_products(list(cols)), "var_a string, var_b string, " + ", ".join(f"{c} double" for c in ("n", "ma", "mb", "caa", "cbb", "cab", "odd"))
+    )
+    pair = Window.partitionBy("var_a", "var_b")
+    mean = lambda m: F.sum(F.col("n") * F.col(m)).over(pair) / F.nullif(F.sum("n").over(pair), F.lit(0.0))
+    apart = parts.withColumns({"da": F.col("ma") - mean("ma"), "db": F.col("mb") - mean("mb")})
+    total = lambda c, a, b: F.sum(F.col(c) + F.coalesce(F.col("n") * F.col(a) * F.col(b), F.lit(0.0)))
+    # of a column with itself the product of roots would miss 1 by a rounding error
+    spread = F.when(F.first("var_a") == F.first("var_b"), total("caa", "da", "da")).otherwise(F.sqrt(total("caa", "da", "da")) * F.sqrt(total("cbb", "db", "db")))
+    r = F.when(F.sum("odd") > 0, F.lit(float("nan"))).otherwise(total("cab", "da", "db") / F.nullif(spread, F.lit(0.0)))
+    half = apart.groupBy("var_a", "var_b").agg(r.alias("corr"))
+    both = F.when(F.col("var_a") == F.col("var_b"), F.array(F.struct("var_a", "var_b"))).otherwise(
+        F.array(F.struct("var_a", "var_b"), F.struct(F.col("var_b").alias("var_a"), F.col("var_a").alias("var_b")))
+    )
+    return half.select(F.explode(both).alias("v"), "corr").select("v.*", "corr")
 
 
 # A8 ------------------------------------------------------------------------

@@ -140,7 +140,10 @@ def evaluate(spark: SparkSession, tables: dict, name: str, model_dir: str) -> di
     _, test = split_feature_set(s, fs)
     model = ML.load_model(os.path.join(model_dir, name))
     scored = ML.predict(model, test, s.task, fs.class_labels)
-    out = {"importance": ML.feature_importance(spark, model)}
+    out = {
+        "importance": ML.feature_importance(spark, model),
+        "permutation": ML.permutation_importance(model, test, fs.features, s.task),
+    }
     if s.task == "classification":
         pairs = scored.select(F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
         out["metrics"] = MT.classification_metrics(pairs)

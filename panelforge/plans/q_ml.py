@@ -3,13 +3,14 @@ here and invariant tests in tests/test_ml.py."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.sql import functions as F
 
 from ..operators import features as FE
 from ..operators import ml as ML
 from ..operators import splits as H
+from ..operators.boosting import SoftmaxBooster
 from ..operators.joins import attach_row
 from ..session import cut_lineage
 from . import oracle as O
@@ -133,3 +134,22 @@ def m5_class_weights(spark, sf):
 def a27_feature_importance(spark, sf):
     _, _, _, model = _priority_tree(spark, sf)
     return ML.feature_importance(spark, model)
+
+
+@query("a27_permutation_importance", None, note="macro F1 lost on the test side when a column's values are permuted, for any model")
+def a27_permutation_importance(spark, sf):
+    fs, _, test, model = _priority_tree(spark, sf)
+    return normalise(ML.permutation_importance(model, test, fs.features, "classification"), ["importancia"], 9)
+
+
+@query("m4_softmax_boosting", None, note="three-class boosted trees with class weights on the priority features: scored test rows by class")
+def m4_softmax_boosting(spark, sf):
+    fs, train, test, model = _priority_tree(spark, sf)
+    booster = SoftmaxBooster(maxIter=5, maxDepth=3, maxBins=ML.MAX_BINS, weightCol="w_balanced", classes=len(fs.class_labels))
+    fitted = booster.fit(PipelineModel(model.stages[:-1]).transform(ML.with_class_weights(train)))
+    scored = ML.predict(PipelineModel([*model.stages[:-1], fitted]), test, "classification", fs.class_labels)
+    p = F.map_values("probabilidades")
+    out = scored.groupBy("label", "prediccion").agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(F.get(p, F.lit(k))).alias(f"p{k}") for k in range(len(fs.class_labels))]
+    )
+    return normalise(out, [f"p{k}" for k in range(len(fs.class_labels))], 4)

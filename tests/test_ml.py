@@ -228,3 +228,38 @@ def test_untuned_trees_and_forests_have_no_depth_of_five(spark):
     for task in ("classification", "regression"):
         depth = {c.name: c.untuned.get("maxDepth") for c in ml.candidates(task)}
         assert depth == {"decision_tree": 30, "random_forest": 30, "boosted": None}
+
+
+def test_importances_of_any_model(spark):
+    """Several classes: own importances, the mean over a one-vs-rest, and permutation."""
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
+
+    fs = _toy(spark)
+    df = fs.df.withColumn("label", (F.col("a") > 4).cast("int") + (F.col("a") > 7).cast("int"))
+    stages, _ = ML.build_preprocessor(df, fs.numeric, fs.categorical)
+    last = [ML.SoftmaxBooster(maxIter=2, maxDepth=2, classes=3), OneVsRest(classifier=GBTClassifier(maxIter=2), labelCol="label"), LogisticRegression(labelCol="label")]
+    for est in last:
+        model = Pipeline(stages=[*stages, est]).fit(df)
+        perm = {r.variable: r.importancia for r in ML.permutation_importance(model, df, ["a", "b", "c"], "classification").collect()}
+        assert set(perm) == {"a", "b", "c"} and max(perm, key=perm.get) == "a" and perm["a"] > 0.2
+        if isinstance(est, LogisticRegression):
+            with pytest.raises(ValueError, match="permutation_importance"):
+                ML.feature_importance(spark, model)
+        else:
+            imp = ML.feature_importance(spark, model).collect()
+            assert imp[0].variable == "a" and sum(r.importancia for r in imp) == pytest.approx(1.0)
+
+
+def test_boosted_candidate_of_three_classes(spark):
+    cand = ML.candidates("classification", 3)[2]
+    assert isinstance(cand.estimator, ML.SoftmaxBooster) and {"columnRate", "minChildWeight"} <= set(cand.space)
+    drawn = ML.draw_params(cand.space, 3)
+    maps = [{p.name: v for p, v in cand.param_map(d, "classification").items()} for d in drawn]
+    assert {m["weightCol"] for m in maps} <= {"w_balanced", "w_one"} and all(0.7 <= m["columnRate"] <= 1 for m in maps)
+
+
+def test_a_broken_model_is_not_a_missing_one(tmpdir_path, spark):
+    os.makedirs(os.path.join(tmpdir_path, "broken", "metadata"))
+    with pytest.raises(Exception) as e:
+        ML.load_model(os.path.join(tmpdir_path, "broken"))
+    assert not isinstance(e.value, FileNotFoundError)

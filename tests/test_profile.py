@@ -136,3 +136,30 @@ def test_mutual_information_independent_is_zero(spark):
     df = spark.createDataFrame(rows, "c string, label int")
     r = P.mutual_information(df, "label", [], ["c"]).first()
     assert r.mutual_information == pytest.approx(0.0, abs=1e-12)
+
+
+def test_correlation_of_many_columns(spark):
+    """200 columns with gaps and far-off means, against numpy; the rows aren't expanded."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(120, 200)) + rng.normal(size=(120, 1)) + 1e6 * rng.normal(size=200)
+    gone = rng.random(x.shape) < 0.1
+    names = [f"v{i}" for i in range(200)]
+    rows = [tuple(None if g else float(v) for v, g in zip(a, b, strict=True)) for a, b in zip(x, gone, strict=True)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(5)
+    out = P.correlation_long(df, names)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("MapInArrow") and plan.count("Generate") == 1  # pairs are mirrored, after the sums
+    got = {(r.var_a, r.var_b): r.corr for r in out.collect()}
+    assert len(got) == 200 * 200
+    for i, j in [(0, 0), (0, 1), (17, 150), (199, 3), *rng.integers(0, 200, (300, 2))]:
+        both = ~gone[:, i] & ~gone[:, j]
+        assert abs(got[names[i], names[j]] - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-7
+
+
+def test_correlation_of_odd_values(spark):
+    df = spark.createDataFrame([(1.0, 2.0, None), (2.0, float("nan"), None), (3.0, 5.0, None)], "a double, b double, c double")
+    got = {(r.var_a, r.var_b): r.corr for r in P.correlation_long(df, ["a", "b", "c"]).collect()}
+    assert got["a", "a"] == 1.0 and str(got["a", "b"]) == "nan" and got["a", "c"] is None and got["c", "c"] is None
+    assert P.correlation_long(df.limit(0), ["a", "b"]).count() == 0
