@@ -119,17 +119,7 @@ def train(spark: SparkSession, tables: dict, names: list[str] | None = None, tun
     names = names or list(SPECS)
     wanted = [spec(n).name for n in names]  # a wrong name fails before any fit
     new = REG.entries_frame(spark, [train_one(spark, tables, n, tuning, n_iter, model_dir)[0] for n in wanted])
-    old = None
-    if registry_path:
-        try:
-            old = REG.read_registry(spark, registry_path)
-        except REG.RegistryMissing:
-            pass  # the first training run
-    merged = REG.upsert(old, new)
-    if registry_path:
-        merged = cut_lineage(merged)
-        REG.write_registry(merged, registry_path)
-    return merged
+    return REG.commit_entries(new, registry_path) if registry_path else new
 
 
 def evaluate(spark: SparkSession, tables: dict, name: str, model_dir: str) -> dict[str, DataFrame]:

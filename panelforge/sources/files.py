@@ -1,15 +1,17 @@
 """File sources and sinks: validated CSV tables (S1-S8), extract unions (S9),
 CSV / JSON / parquet sinks (S10, S11).
 
-Schemas are explicit ``StructType``s; the header is checked against the
+Schemas are explicit ``StructType``s; each file's header is checked against the
 required names before the typed read, so a wrong file fails fast with the
 missing names rather than with NULL columns.
 """
 
 from __future__ import annotations
 
+import csv
 import os
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -39,35 +41,71 @@ def _existing(path: str):
         raise
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
+#: Files whose first lines are fetched at a time.
+HEADER_THREADS = 16
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file on any file system; None if it is empty."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``path`` by their header; empty files are left out."""
     with _existing(path):
-        first = spark.read.option("header", False).csv(path).limit(1).collect()
-    if not first:
-        return []
-    return [(c or "").lstrip("﻿").strip() for c in first[0]]
+        files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f), files))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines, strict=True):
+        if line is not None:
+            names = next(csv.reader([line.removeprefix("\ufeff")]), [])
+            found.setdefault(tuple(c.strip() for c in names), []).append(file)
+    return found
 
 
 def read_validated_csv(spark: SparkSession, path: str, schema: StructType, required: Sequence[str],
-                       date_columns: Sequence[str] = ()) -> DataFrame:
+                       date_columns: Sequence[str] = (), multiline: bool = True) -> DataFrame:
     """Header + UTF-8 BOM CSV; required columns checked (extras allowed);
-    empty table rejected; bad dates become NULL; text 'NaN' in numbers -> NULL."""
-    header = _header(spark, path)
-    missing = [c for c in required if c not in header]
-    if missing:
-        raise InvalidTableError(f"{os.path.basename(path)}: missing expected columns {missing}")
+    empty table rejected; bad dates become NULL; text 'NaN' in numbers -> NULL.
+
+    ``path`` is a file or a folder. Each file is read by its own header, so
+    columns may stand in another order from file to file, and one that only some
+    files have is NULL in the others. Quotes inside quotes are doubled, and a
+    quoted field may hold line breaks; ``multiline=False`` gives that up, so that
+    large files can be split among tasks."""
+    headers = _headers(spark, path)
+    for header, files in headers.items() or [((), [path])]:
+        missing = [c for c in required if c not in header]
+        if missing:
+            raise InvalidTableError(f"{os.path.basename(files[0])}: missing expected columns {missing}")
+        if len(set(header)) < len(header):
+            raise InvalidTableError(f"{os.path.basename(files[0])}: columns that occur twice {sorted({c for c in header if header.count(c) > 1})}")
+    options = {"header": True, "encoding": "UTF-8", "escape": '"', "multiLine": multiline}
+    parts = []
+    for header, files in headers.items():
+        # every present column as text in header order, typed afterwards
+        text_schema = StructType([StructField(c, StringType(), True) for c in header])
+        parts.append(spark.read.options(**options).schema(text_schema).csv(files))
+    raw = union_extracts(parts)
     known = {f.name: f for f in schema.fields}
-    # read every present column as text in header order, then type it
-    text_schema = StructType([StructField(c, StringType(), True) for c in header])
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").schema(text_schema).csv(path)
     cols = []
-    for c in header:
+    for c in raw.columns:
+        name = F.col(f"`{c}`")
         f = known.get(c)
         if f is None:
-            cols.append(F.col(c))
+            cols.append(name)
         elif c in date_columns:
-            cols.append(F.try_to_date(F.col(c), "yyyy-MM-dd").alias(c))
+            cols.append(F.try_to_date(name, "yyyy-MM-dd").alias(c))
         else:
-            typed = F.col(c).try_cast(f.dataType)
+            typed = name.try_cast(f.dataType)
             if isinstance(f.dataType, DoubleType):
                 typed = F.nanvl(typed, F.lit(None).cast("double"))
             cols.append(typed.alias(c))

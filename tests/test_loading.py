@@ -132,3 +132,73 @@ def test_optional_extracts(spark, tmpdir_path):
     _write(q, "length_of_stay,gender\n3,F\n", bom=False)
     with pytest.raises(S.InvalidTableError):
         S.load_optional(spark, "sparcs", q)
+
+
+def test_folder_of_files_with_their_own_headers(spark, tmpdir_path):
+    """Another column order and a BOM in the second file, a line break, doubled quotes and a comma in fields."""
+    d = os.path.join(tmpdir_path, "folder")
+    os.makedirs(d)
+    names = [f.name for f in DOMAIN_SCHEMAS["items"].fields]
+    one = ["IT01", '"arroz\n""extra"", largo"', "alimentos", "kg", "0.5", "20", "200", "1"]
+    two = ["IT02", "jabon", "higiene", "unidad", "NaN", "10", "100", "0"]
+    _write(os.path.join(d, "a.csv"), ",".join(names) + "\n" + ",".join(one) + "\n", bom=False)
+    _write(os.path.join(d, "b.csv"), ",".join(names[::-1]) + ",nota\n" + ",".join(two[::-1]) + ",n\n", bom=True)
+    _write(os.path.join(d, "c.csv"), "", bom=False)
+    df = S.read_validated_csv(spark, d, DOMAIN_SCHEMAS["items"], names)
+    a, b = df.orderBy("item_id").collect()
+    assert (a.item_id, a.nombre_item, a.stock_seguridad_7d, a.es_critico, a.nota) == ("IT01", 'arroz\n"extra", largo', 20, 1, None)
+    assert (b.item_id, b.nombre_item, b.consumo_base_por_familia, b.stock_maximo_referencial, b.nota) == ("IT02", "jabon", None, 100, "n")
+    _write(os.path.join(d, "d.csv"), "item_id,categoria\nIT03,x\n")
+    with pytest.raises(S.InvalidTableError, match="d.csv: missing expected columns"):
+        S.read_validated_csv(spark, d, DOMAIN_SCHEMAS["items"], names)
+    twice = os.path.join(tmpdir_path, "twice.csv")
+    _write(twice, ",".join([*names, names[0]]) + "\n")
+    with pytest.raises(S.InvalidTableError, match="twice"):
+        S.read_validated_csv(spark, twice, DOMAIN_SCHEMAS["items"], names)
+
+
+def test_registry_write_that_stops_half_way(spark, tmpdir_path, monkeypatch):
+    p = os.path.join(tmpdir_path, "registry")
+    with pytest.raises(RuntimeError):
+        with monkeypatch.context() as m:
+            m.setattr(REG, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+            REG.commit_entries(REG.entries_frame(spark, [_entry("m0")]), p)
+    with pytest.raises(REG.RegistryMissing):
+        REG.read_registry(spark, p)  # nothing was ever committed
+    REG.commit_entries(REG.entries_frame(spark, [_entry("m1")]), p)
+    with pytest.raises(RuntimeError):
+        with monkeypatch.context() as m:
+            m.setattr(REG, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+            REG.commit_entries(REG.entries_frame(spark, [_entry("m1", f1=0.1), _entry("m2")]), p)
+    assert [(r.name, r.metrics["f1_macro"]) for r in REG.read_registry(spark, p).collect()] == [("m1", 0.8)]
+    out = REG.commit_entries(REG.entries_frame(spark, [_entry("m2")]), p)
+    assert sorted(r.name for r in out.collect()) == ["m1", "m2"] and REG.committed(spark, p)[0] == 2
+
+
+def test_registry_with_two_writers(spark, tmpdir_path, monkeypatch):
+    """The other writer commits between this one's read and its commit."""
+    p = os.path.join(tmpdir_path, "registry")
+    REG.commit_entries(REG.entries_frame(spark, [_entry("m0")]), p)
+    real, tries = REG._commit, []
+
+    def late(spark_, path, number, folder):
+        tries.append(number)
+        if len(tries) == 1:
+            monkeypatch.setattr(REG, "_commit", real)
+            REG.commit_entries(REG.entries_frame(spark, [_entry("other"), _entry("m0", f1=0.5)]), p)
+            monkeypatch.setattr(REG, "_commit", late)
+        return real(spark_, path, number, folder)
+
+    monkeypatch.setattr(REG, "_commit", late)
+    REG.commit_entries(REG.entries_frame(spark, [_entry("mine")]), p)
+    got = {r.name: r.metrics["f1_macro"] for r in REG.read_registry(spark, p).collect()}
+    assert got == {"m0": 0.5, "other": 0.8, "mine": 0.8} and tries == [2, 3]
+    assert [n for n in os.listdir(os.path.join(p, "commits")) if n.isdigit()] and not [n for n in os.listdir(os.path.join(p, "commits")) if n.startswith(".") and not n.endswith(".crc")]
+
+
+def test_registry_of_an_earlier_release(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "registry")
+    REG.entries_frame(spark, [_entry("old")]).coalesce(1).write.json(p)
+    assert [r.name for r in REG.read_registry(spark, p).collect()] == ["old"]
+    REG.commit_entries(REG.entries_frame(spark, [_entry("new")]), p)
+    assert sorted(r.name for r in REG.read_registry(spark, p).collect()) == ["new", "old"]
