@@ -33,6 +33,12 @@ REGRESSION_CARDS = {
     "demanda_consumo": ("Estimado", 1, "", " unidades"),
     "proyeccion_donaciones": ("Proyección", 2, "S/ ", ""),
 }
+REGRESSION_MESSAGES = {
+    # model: (before the value, after it); the value as in the headline
+    "duracion_estadia": ("Se estima que este paciente necesitará aproximadamente ", " días de hospedaje."),
+    "demanda_consumo": ("Se estima un consumo de aproximadamente ", " unidades para este ítem."),
+    "proyeccion_donaciones": ("Se proyecta un valor de donaciones de aproximadamente S/ ", " para esta categoría el próximo mes."),
+}
 MODEL_DISPLAY_NAMES = {
     "prioridad_atencion": "Prioridad de atención del paciente",
     "duracion_estadia": "Días de hospedaje estimados",
@@ -82,6 +88,20 @@ def regression_headline(model: Column | str, value: Column | str) -> Column:
     return expr
 
 
+def regression_cards(scored: DataFrame, model: str, value: str) -> DataFrame:
+    """P30 (regression): color / eyebrow / headline / message per scored row.
+    A model without a card gets the neutral one; a row without a value has no headline and message."""
+    v, m = F.col(value), F.col(model)
+    eyebrow, message = F.lit("Resultado"), F.when(v.isNotNull(), F.lit("Resultado de la evaluación."))
+    for name, (brow, decimals, _, _) in REGRESSION_CARDS.items():
+        before, after = REGRESSION_MESSAGES[name]
+        eyebrow = F.when(m == name, F.lit(brow)).otherwise(eyebrow)
+        text = F.when(v.isNotNull(), F.concat(F.lit(before), F.format_string(f"%.{decimals}f", v), F.lit(after)))
+        message = F.when(m == name, text).otherwise(message)
+    headline = F.when(v.isNotNull(), regression_headline(m, v))
+    return scored.select("*", F.lit("teal").alias("color"), eyebrow.alias("eyebrow"), headline.alias("headline"), message.alias("message"))
+
+
 def category_label(field: str, col: str) -> Column:
     """Display label of a category value, raw value as fallback."""
     return display_label(col, CATEGORY_VALUE_LABELS.get(field, {}))

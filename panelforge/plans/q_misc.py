@@ -335,6 +335,33 @@ def p30_result_cards(spark, sf):
     return result_cards(scored, "model", "prediccion", "prob").select("paciente_id", "color", "eyebrow", "headline", "confianza")
 
 
+@query(
+    "p30_regression_cards",
+    """
+WITH v AS (SELECT c_custkey, c_custkey % 4 AS m, CAST(abs(c_acctbal) AS DECIMAL(18, 2)) AS x FROM customer),
+t AS (SELECT c_custkey, m, CASE m WHEN 0 THEN CAST(CAST(round(x, 0) AS DECIMAL(18, 0)) AS VARCHAR)
+        WHEN 1 THEN CAST(CAST(round(x, 1) AS DECIMAL(18, 1)) AS VARCHAR) ELSE CAST(x AS VARCHAR) END AS n FROM v)
+SELECT c_custkey, 'teal' AS color, CASE m WHEN 2 THEN 'Proyección' WHEN 3 THEN 'Resultado' ELSE 'Estimado' END AS eyebrow,
+       CASE m WHEN 0 THEN n || ' días de hospedaje' WHEN 1 THEN n || ' unidades' WHEN 2 THEN 'S/ ' || n END AS headline,
+       CASE m WHEN 0 THEN 'Se estima que este paciente necesitará aproximadamente ' || n || ' días de hospedaje.'
+              WHEN 1 THEN 'Se estima un consumo de aproximadamente ' || n || ' unidades para este ítem.'
+              WHEN 2 THEN 'Se proyecta un valor de donaciones de aproximadamente S/ ' || n || ' para esta categoría el próximo mes.'
+              ELSE 'Resultado de la evaluación.' END AS message
+FROM t""",
+    note="account balances shown as values of the three regression models, and of one without a card",
+)
+def p30_regression_cards(spark, sf):
+    from ..functions.labels import REGRESSION_CARDS, regression_cards
+
+    names = F.array(*[F.lit(n) for n in REGRESSION_CARDS], F.lit("otro"))
+    c = read_table(spark, sf, "customer").select(
+        "c_custkey", F.get(names, (F.col("c_custkey") % 4).cast("int")).alias("model"), F.abs("c_acctbal").alias("value")
+    )
+    out = regression_cards(c, "model", "value")
+    headline = F.when(F.col("model") != "otro", F.col("headline")).alias("headline")
+    return out.select("c_custkey", "color", "eyebrow", headline, "message")
+
+
 @query(
     "p31_display_labels",
     O.with_(O.ITEMS) + """

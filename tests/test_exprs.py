@@ -99,3 +99,15 @@ def test_rounding_of_large_values(spark):
         want = [duckdb.sql(f"SELECT {twin('x', d)} FROM (SELECT CAST({'NULL' if v is None else repr(v)} AS DOUBLE) AS x)").fetchall()[0][0] for v in values]
         assert got == want
         assert all(g == pytest.approx(v) for g, v in zip(got, values) if v is not None and abs(v) > 1)
+
+
+def test_regression_cards(spark):
+    from panelforge.functions.labels import regression_cards
+
+    rows = [("duracion_estadia", 12.5), ("demanda_consumo", 3.25), ("proyeccion_donaciones", 1.5), ("otro", 2.0), ("demanda_consumo", None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "model string, value double")
+    got = [tuple(r)[2:] for r in regression_cards(df, "model", "value").collect()]
+    assert got[0] == ("teal", "Estimado", "13 días de hospedaje", "Se estima que este paciente necesitará aproximadamente 13 días de hospedaje.")
+    assert got[1][2] == "3.3 unidades" and got[2][1:3] == ("Proyección", "S/ 1.50")
+    assert got[3] == ("teal", "Resultado", "2.00", "Resultado de la evaluación.") and got[4] == ("teal", "Estimado", None, None)
+    assert got[5][:2] == ("teal", "Resultado")
