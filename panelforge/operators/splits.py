@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .joins import attach_row
 
 SEED = 42
@@ -96,6 +97,51 @@ def hash_folds(df: DataFrame, keys: Sequence[str], k: int = 3, seed: int = SEED,
     return df.withColumn(col, F.pmod(hash_value(keys, seed + 1, method), F.lit(k)).cast("int"))
 
 
+def _fold_at(position: Column, n: Column, k: int) -> Column:
+    """Fold of a row position: the first n % k folds have one row more."""
+    size, longer = F.floor(n / F.lit(k)), n % F.lit(k)
+    border = longer * (size + 1)
+    after = longer + F.floor((position - border) / F.greatest(size, F.lit(1)))
+    return F.when(position < border, F.floor(position / (size + 1))).otherwise(after).cast("int")
+
+
+def contiguous_folds(df: DataFrame, order_by: Sequence[str], k: int = 3, col: str = "fold") -> DataFrame:
+    """H5, unshuffled: ``k`` folds of neighbouring rows in ascending
+    ``order_by`` order (NULL first), sizes differing by one row at most.
+
+    The rows are range-partitioned and written once; the counts of the
+    partitions (a row each) give the positions they span. A partition inside
+    one fold needs no order; only those that hold a fold's border, fewer than
+    ``k``, are ranked. Rows with equal ``order_by`` are ordered by a digest of
+    their other columns, so a hot value is spread over many partitions; rows
+    equal in every column are interchangeable and stay together. Fewer rows
+    than ``k`` leave the last folds empty; an empty table stays empty.
+    """
+    tie, part = "_tie", "_part"
+    rows = df.withColumn(tie, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    keys = [*order_by, tie]
+    # written: the partition of a row must not change between the passes
+    rows = cut_lineage(rows.repartitionByRange(*keys).withColumn(part, F.spark_partition_id()))
+    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("_c"))
+    # one row per partition
+    w = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("_before", F.sum("_c").over(w) - F.col("_c"))
+    counts = attach_row(counts, counts.agg(F.sum("_c").alias("_n")))
+    spans = counts.select(
+        F.col(part).alias("_span"), "_before", "_n",
+        _fold_at(F.col("_before"), F.col("_n"), k).alias("_first"),
+        _fold_at(F.col("_before") + F.col("_c") - 1, F.col("_n"), k).alias("_last"),
+    )
+    placed = rows.join(F.broadcast(spans), F.col(part) == F.col("_span"))
+    drop = [tie, part, "_span", "_before", "_n", "_first", "_last"]
+    inside = placed.where(F.col("_first") == F.col("_last")).withColumn(col, F.col("_first"))
+    rank = F.row_number().over(Window.partitionBy(part).orderBy(*keys))
+    border = placed.where(F.col("_first") != F.col("_last")).withColumn(
+        col, _fold_at(F.col("_before") + rank - 1, F.col("_n"), k)
+    )
+    return inside.drop(*drop).unionByName(border.drop(*drop))
+
+
 def _date_positions(df: DataFrame, date: str) -> DataFrame:
     """Per distinct date (NULL sorted last): rows, rows before, rows up to it, total."""
     kind = df.schema[date].dataType.simpleString()

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from ..operators import metrics as MT
 from ..operators import ml as ML
 from ..operators import profile as P
 from ..operators import splits as H
+from ..operators.joins import attach_row
 from ..session import cut_lineage
 from ..sources import registry as REG
 from . import roles
@@ -147,4 +149,34 @@ def evaluate(spark: SparkSession, tables: dict, name: str, model_dir: str) -> di
         out["metrics"] = MT.regression_metrics(pairs)
         out["points"] = pairs
         out["range"] = P.prediction_range(pairs)
+    out["n_test"] = scored.agg(F.count(F.lit(1)).alias("n_test"))
     return out
+
+
+def evaluate_all(spark: SparkSession, tables: dict, registry: DataFrame, model_dir: str,
+                 names: list[str] | None = None) -> tuple[DataFrame, dict[str, dict[str, DataFrame]]]:
+    """A28 over all models of the registry (or the named ones): (summary, reports).
+
+    The summary has a row per model: its name, task, algorithm, test rows and
+    metrics; a metric of the other task is NULL. A name that the registry
+    doesn't have is an error before anything is evaluated."""
+    known = {r["name"]: r for r in registry.select("name", "task", "selected_algorithm").collect()}
+    names = list(known) if names is None else names
+    if wrong := [n for n in names if n not in known]:
+        raise KeyError(f"not in the registry: {wrong}; available: {sorted(known)}")
+    if not names:
+        raise ValueError("no model to evaluate")
+    reports = {n: evaluate(spark, tables, n, model_dir) for n in names}
+    rows = [
+        attach_row(
+            reports[n]["metrics"].select(
+                F.lit(n).alias("modelo"), F.lit(known[n]["task"]).alias("tarea"),
+                F.lit(known[n]["selected_algorithm"]).alias("algoritmo"), "*",
+            ),
+            reports[n]["n_test"],
+        )
+        for n in names
+    ]
+    summary = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    first = ["modelo", "tarea", "algoritmo", "n_test"]
+    return summary.select(*first, *[c for c in summary.columns if c not in first]), reports

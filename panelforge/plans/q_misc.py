@@ -110,6 +110,20 @@ def h4_hash_folds(spark, sf):
     return H.hash_folds(o, ["o_orderkey"], method="lehmer").groupBy("fold", "o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query(
+    "h5_contiguous_folds",
+    """SELECT fold, o_orderstatus, COUNT(*) AS n_rows, CAST(SUM(o_orderkey) AS BIGINT) AS ids
+FROM (SELECT o_orderkey, o_orderstatus, CAST(NTILE(3) OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey) - 1 AS INTEGER) AS fold FROM orders)
+GROUP BY ALL""",
+    note="neighbouring rows in date order; sizes differ by one row at most",
+)
+def h5_contiguous_folds(spark, sf):
+    o = read_table(spark, sf, "orders").select("o_orderdate", "o_orderkey", "o_orderstatus")
+    return H.contiguous_folds(o, ["o_orderdate", "o_orderkey"]).groupBy("fold", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("ids")
+    )
+
+
 # H6 ------------------------------------------------------------------------------
 def _h6_sql() -> str:
     feats = _stock_sql(7)

@@ -4,6 +4,9 @@ Each micro-batch is validated with the batch operators (V1-V6) and scored
 with a fitted PipelineModel (M11) inside ``foreachBatch``; both sinks are
 idempotent per batch id (overwrite of a batch-id partition), so a retried
 batch after an executor loss does not duplicate rows.
+
+A request that is sent again is scored once: the ids seen are kept as keyed
+state until they expire (``first_requests``).
 """
 
 from __future__ import annotations
@@ -18,6 +21,24 @@ from ..operators import ml as ML
 from ..operators import validation as V
 
 
+ARRIVED = "_arrived"
+
+
+def first_requests(stream: DataFrame, expiry: str = "1 hour") -> DataFrame:
+    """The stream without requests whose ``request_id`` (and ``model``, where
+    there is one) came before, in this batch, an earlier one or before a
+    restart. Of requests with one id in one batch any one stays.
+
+    Ids are forgotten ``expiry`` after their arrival, which bounds the state
+    by the ids of that time. Arrival is the time of the batch, so no request
+    is ever late and dropped for it. Requests without an id all stay.
+    """
+    keys = [c for c in ("request_id", "model") if c in stream.columns]
+    named = stream.where(F.col("request_id").isNotNull()).withColumn(ARRIVED, F.current_timestamp())
+    first = named.withWatermark(ARRIVED, expiry).dropDuplicatesWithinWatermark(keys).drop(ARRIVED)
+    return first.unionByName(stream.where(F.col("request_id").isNull()))
+
+
 def check_batch(batch: DataFrame, numeric, categorical, registry: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(checked items, requests for models that the registry doesn't know)."""
     unknown = None
@@ -51,7 +72,13 @@ def score_batch(batch: DataFrame, model: PipelineModel, task: str, numeric, cate
 
 
 def start_scoring(stream: DataFrame, model: PipelineModel, task: str, numeric, categorical, out_dir: str, checkpoint: str,
-                  class_labels=None, registry: DataFrame | None = None, trigger_once: bool = False):
+                  class_labels=None, registry: DataFrame | None = None, trigger_once: bool = False,
+                  once_within: str | None = None):
+    """``once_within``: how long a request's id is remembered (``"1 hour"``), so
+    that a resent one is not scored again; None scores every request."""
+    if once_within:
+        stream = first_requests(stream, once_within)
+
     def handle(batch: DataFrame, batch_id: int):
         checked, unknown = check_batch(batch, numeric, categorical, registry)
         checked = checked.persist()  # parsed and checked once for both sinks

@@ -128,6 +128,16 @@ def test_train_registry_and_evaluate(spark, sf, tmpdir_path):
     assert [r.real for r in sorted(cm, key=lambda r: r.pos)] == ["Real_Bajo", "Real_Medio", "Real_Alto"]
     assert sum(r.Pred_Bajo + r.Pred_Medio + r.Pred_Alto for r in cm) == entry["n_test"]
     assert set(entry["all_algorithms"]) == {"decision_tree", "random_forest", "boosted"}
+    summary, reports = MOD.evaluate_all(spark, tables, reg, model_dir)
+    assert summary.columns[:4] == ["modelo", "tarea", "algoritmo", "n_test"] and set(reports) == names
+    rows = {r.modelo: r for r in summary.collect()}
+    assert set(rows) == names
+    one, other = rows["prioridad_atencion"], rows["proyeccion_donaciones"]
+    assert (one.algoritmo, one.n_test) == (entry["selected_algorithm"], entry["n_test"])
+    assert one.f1_macro == pytest.approx(entry["metrics"]["f1_macro"]) and one.mae is None
+    assert other.tarea == "regression" and other.mae > 0 and other.f1_macro is None
+    with pytest.raises(KeyError):
+        MOD.evaluate_all(spark, tables, reg, model_dir, ["prioridad_atencion", "nope"])
     with pytest.raises(KeyError):
         MOD.spec("nope")
 

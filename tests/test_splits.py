@@ -118,3 +118,22 @@ def test_split_dates_must_be_days(spark):
     df = spark.range(3).select(F.timestamp_seconds("id").alias("t"))
     with pytest.raises(TypeError):
         H.temporal_cutoff(df, "t")
+
+
+@pytest.mark.parametrize("n,k", [(0, 3), (2, 3), (7, 3), (300, 3), (301, 4)])
+def test_contiguous_folds_against_sorting(spark, n, k):
+    # a third of the rows shares one value, some have none
+    rows = [(None if i % 11 == 0 else 5 if i % 3 == 0 else (i * 37) % 101, i) for i in range(n)]
+    df = spark.createDataFrame(rows, "v int, i int")
+    got = H.contiguous_folds(df, ["v", "i"], k)
+    assert got.columns == ["v", "i", "fold"]
+    in_order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    sizes = [n // k + (f < n % k) for f in range(k)]
+    want = [f for f, size in enumerate(sizes) for _ in range(size)]
+    assert {(r.v, r.i, r.fold) for r in got.collect()} == {(*r, f) for r, f in zip(in_order, want, strict=True)}
+
+
+def test_contiguous_folds_ties_and_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "a")] * 50 + [(1, f"b{i}") for i in range(50)], "v int, t string")
+    got = [r.fold for r in H.contiguous_folds(df, ["v"], 3).collect()]
+    assert [got.count(f) for f in range(3)] == [34, 33, 33]

@@ -58,3 +58,22 @@ def test_scoring_stream_splits_accepted_and_rejected(spark, tmpdir_path):
     rej = spark.read.parquet(os.path.join(out, "rejected"))
     assert acc.count() == 2 and rej.count() == 2
     assert {r.prediccion for r in acc.collect()} <= {"normal", "critico"}
+
+
+def test_resent_requests_are_scored_once(spark, tmpdir_path):
+    train = spark.range(40).select((F.col("id") % 10).cast("double").alias("edad"), (F.col("id") % 10 > 4).cast("int").alias("label"))
+    stages, _ = ML.build_preprocessor(train, ["edad"], [])
+    model = Pipeline(stages=stages + [DecisionTreeClassifier(labelCol="label")]).fit(train)
+    src, out, ck = (os.path.join(tmpdir_path, d) for d in ("req", "out", "ck"))
+
+    def send_and_score(*requests):
+        schema = "request_id int, body string"
+        spark.createDataFrame([(i, f'{{"edad": {x}}}') for i, x in requests], schema).repartition(2).write.mode("append").parquet(src)
+        # a new query on the same checkpoint, as after a restart
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        ST1.start_scoring(stream, model, "classification", ["edad"], [], out, ck, ["no", "si"], trigger_once=True,
+                          once_within="1 hour").awaitTermination(120)
+        return sorted((r.request_id is None, r.request_id) for r in spark.read.parquet(os.path.join(out, "accepted")).collect())
+
+    assert send_and_score((1, 7), (1, 7), (2, 3), (1, 7)) == [(False, 1), (False, 2)]
+    assert send_and_score((2, 3), (3, 1), (1, 7), (None, 4), (None, 4)) == [(False, 1), (False, 2), (False, 3), (True, None), (True, None)]
