@@ -3,13 +3,15 @@
 Test items and documents are normalised alike (A-Z lower-cased, words are
 runs of digits, a-z and characters beyond ASCII). Each item gives its
 windows of ``n`` consecutive words; an item of fewer words is one window.
-Every window of every document is hashed (over its first, middle and last
-word); a broadcast join finds hashes of test windows, and a hit counts only
-if all words are equal. The documents are scanned in place: only hits are
-shuffled.
+Every window of every document is hashed over all its words: hashes of 1, 2,
+4, ... neighbouring words are built on each other, and two of them cover a
+window. A broadcast join on that one number finds hashes of test windows;
+then the words of documents with such a hash are fetched and a hit counts
+only if all words of the window are equal. What is joined or shuffled for a
+window is its hash and place, never its words or its document.
 
-The set of test windows is broadcast when it has at most
-``BROADCAST_ROWS`` rows; a larger one goes through a shuffled join.
+The set of hashes is broadcast when it has at most ``BROADCAST_HASHES``
+rows; a larger one goes through a shuffled join.
 
 Defined results: a null or empty text has no words and no hits. Rows of
 equal ``doc_id`` and text are judged alike, each keeping its row; a null
@@ -28,20 +30,49 @@ from .common import ascii_lower, let, shared, small, upto, words
 #: What stands between words of items and documents: ASCII but digits and letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
+#: So many hashes of test windows (16 bytes each and the table's own need) may be broadcast.
+BROADCAST_HASHES = 2_000_000
 
 
 def item_words(text: Column) -> Column:
     return words(ascii_lower(text), BETWEEN)
 
 
-def window_hash(w: Column, start: Column, n: Column) -> Column:
-    """Of the window's first, middle and last word."""
-    return F.xxhash64(F.get(w, start), F.get(w, start + F.floor(n / 2).cast("int")), F.get(w, start + n - 1))
+def hashed_windows(w: Column, lengths: Column, n: int) -> Column:
+    """Array of (h, pos, ln): each window of ``w`` with one of the ``lengths``
+    (an array of numbers from 1 to ``n``), hashed over all its words and its
+    length."""
+
+    def grown(levels: list[Column]) -> Column:
+        span = 1 << (len(levels) - 1)
+        if 2 * span <= n:
+            last = levels[-1]
+            pairs = F.transform(upto(F.size(last) - span), lambda i: F.xxhash64(F.get(last, i), F.get(last, i + span)))
+            return let(pairs, lambda p: grown([*levels, p]))
+        return F.flatten(F.transform(lengths, lambda ln: of_length(levels, ln)))
+
+    def of_length(levels: list[Column], ln: Column) -> Column:
+        # the widest hashes that fit: one from the window's start, one up to its end
+        fitting = None
+        for k, level in reversed(list(enumerate(levels))):
+            wide = F.struct(level.alias("a"), (ln - (1 << k)).alias("gap"))
+            fitting = F.when(ln >= 1 << k, wide) if fitting is None else fitting.when(ln >= 1 << k, wide)
+        return let(
+            fitting,
+            lambda f: F.transform(
+                upto(F.size(f["a"]) - f["gap"]),
+                lambda i: F.struct(
+                    F.xxhash64(F.get(f["a"], i), F.get(f["a"], i + f["gap"]), ln).alias("h"), i.alias("pos"), ln.alias("ln")
+                ),
+            ),
+        )
+
+    return let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: grown([h]))
 
 
 def item_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
-    """(hash, len, gram, name, item_id): the distinct windows of the items;
-    ``gram`` is the words, ``name`` the words joined."""
+    """(hash, len, name, item_id): the distinct windows of the items; ``name``
+    is the words, joined."""
     grams = let(
         item_words(F.col("text")),
         lambda w: F.when(F.size(w) == 0, F.array().cast("array<array<string>>"))
@@ -51,9 +82,8 @@ def item_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
     return (
         items.select("item_id", F.explode(grams).alias("gram"))
         .select(
-            window_hash(F.col("gram"), F.lit(0), F.size("gram")).alias("hash"),
+            hashed_windows(F.col("gram"), F.array(F.size("gram")), n)[0]["h"].alias("hash"),
             F.size("gram").alias("len"),
-            "gram",
             F.array_join("gram", " ").alias("name"),
             "item_id",
         )
@@ -61,32 +91,61 @@ def item_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
     )
 
 
-def document_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
+def probed(docs: DataFrame, windows: DataFrame, n: int = WINDOW) -> DataFrame:
+    """(doc_id, key, hash, pos, len) of the windows of ``docs`` with the hash
+    of a test window. ``windows`` is a written table."""
+    # window lengths that occur: n, and those of shorter items (n values at most)
+    lengths = windows.agg(F.array_sort(F.collect_set("len")).alias("l")).scalar()
+    known = small(windows.select("hash").distinct(), BROADCAST_HASHES)
+    worded = docs.select(
+        "doc_id", F.xxhash64("text").alias("key"), item_words(F.col("text")).alias("w"), lengths.alias("lengths")
+    )
+    scanned = worded.select("doc_id", "key", F.inline(hashed_windows(F.col("w"), F.col("lengths"), n)))
+    return scanned.join(known, F.col("h") == F.col("hash")).select(
+        "doc_id", "key", "hash", "pos", F.col("ln").alias("len")
+    )
+
+
+def document_hits(docs: DataFrame, windows: DataFrame, n: int = WINDOW) -> DataFrame:
     """(doc_id, key, pos, len, name) of every occurrence of a test window.
     ``key`` is a digest of the text, so that rows that share a ``doc_id`` but
     not the text stay apart. ``windows`` is a written table."""
-    grams = windows.select("hash", "len", "gram", "name").distinct()
-    # window lengths that occur: n, and those of shorter items (n values at most)
-    lengths = windows.agg(F.array_sort(F.collect_set("len")).alias("l")).scalar()
-    at = let(
-        F.col("lengths"),
-        lambda ls: F.flatten(
-            F.transform(
-                ls,
-                lambda ln: F.transform(
-                    upto(F.size("w") - ln + 1),
-                    lambda i: F.struct(window_hash(F.col("w"), i, ln).alias("h"), i.alias("pos"), ln.alias("ln")),
+    # an array is no longer than the document: a place for each word and length
+    places = shared(
+        probed(docs, windows, n)
+        .groupBy(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key"))
+        .agg(F.collect_set(F.struct("hash", "pos", "len")).alias("places")),
+        "places",
+    )
+    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text").join(
+        small(places.select("hit_id", "hit_key")),
+        F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("key") == F.col("hit_key")),
+        "left_semi",
+    )
+    # rows that repeat are looked at once
+    words_of = texts.dropDuplicates(["doc_id", "key"]).select("doc_id", "key", item_words(F.col("text")).alias("w"))
+    found = words_of.join(
+        places, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("key") == F.col("hit_key"))
+    ).select(
+        "doc_id",
+        "key",
+        F.inline(
+            let(
+                F.col("w"),
+                lambda w: F.transform(
+                    "places",
+                    lambda x: F.struct(
+                        x["hash"].alias("h"), x["pos"].alias("pos"), x["len"].alias("len"),
+                        F.array_join(F.slice(w, x["pos"] + 1, x["len"]), " ").alias("found"),
+                    ),
                 ),
             )
         ),
     )
-    scanned = docs.select(
-        "doc_id", F.xxhash64("text").alias("key"), item_words(F.col("text")).alias("w"), lengths.alias("lengths")
-    ).select("doc_id", "key", "w", F.explode(at).alias("x"))
-    verified = F.slice("w", F.col("x.pos") + 1, F.col("x.ln")) == F.col("gram")
-    return scanned.join(
-        small(grams), (F.col("x.h") == F.col("hash")) & (F.col("x.ln") == F.col("len")) & verified
-    ).select("doc_id", "key", F.col("x.pos").alias("pos"), "len", "name")
+    grams = windows.select("hash", "name").distinct()
+    return found.join(small(grams), (F.col("h") == F.col("hash")) & (F.col("found") == F.col("name"))).select(
+        "doc_id", "key", "pos", "len", "name"
+    )
 
 
 def covered(spans: Column) -> Column:
@@ -108,7 +167,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFra
     ``spans`` the sorted (pos, len) of hits in words, ``n_hit`` the words they
     cover, ``item_ids`` the items with occurring windows, sorted as strings."""
     windows = shared(item_windows(items, n), "windows")
-    hits = shared(document_hits(docs, windows), "hits")
+    hits = shared(document_hits(docs, windows, n), "hits")
     # a hit stands once per (document, place), however often its row repeats
     spans = (
         hits.groupBy("doc_id", "key")
@@ -157,8 +216,8 @@ def report(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     """The documents without any hit, as they are."""
-    found = shared(
-        contamination(docs, items, n).select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key")), "found"
-    )
+    windows = shared(item_windows(items, n), "windows")
+    hits = document_hits(docs, windows, n).select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key"))
+    found = shared(hits.distinct(), "found")
     same = docs["doc_id"].eqNullSafe(found["hit_id"]) & (F.xxhash64(docs["text"]) == found["hit_key"])
     return docs.join(small(found), same, "left_anti")

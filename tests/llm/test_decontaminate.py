@@ -38,3 +38,31 @@ def test_empty_tables(docs, no_docs, items):
     assert decontaminate.report(no_docs, items).count() == 0
     assert not any(r["contaminated"] for r in decontaminate.report(docs, items.limit(0)).collect())
     assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == len(TEXTS)
+
+
+def test_no_words_in_what_is_joined_for_each_window(docs, items, monkeypatch):
+    monkeypatch.setattr(decontaminate, "small", lambda df, limit=0: df)
+    windows = decontaminate.shared(decontaminate.item_windows(items), "windows")
+    plan = decontaminate.probed(docs, windows)._jdf.queryExecution().optimizedPlan().toString()
+    join, above_scan = plan.split("Generate")[0], plan.split("Generate")[1]
+    assert "Join Inner, (h#" in join and "AND" not in join.split("Join Inner")[1].split("\n")[0]
+    assert " w#" not in above_scan.split("\n")[0] and "text#" not in above_scan.split("\n")[0]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 10, 13])
+def test_windows_of_any_length(docs, items, n):
+    got = rows(decontaminate.report(docs, items, n))
+    want = sorted(brute.contamination(TEXTS, ITEMS, n), key=lambda r: tuple((v is None, str(type(v)), v) for v in r))
+    assert got == want
+
+
+def test_equal_hashes_of_other_words_are_no_hits(docs, items, monkeypatch):
+    want = rows(decontaminate.report(docs, items))
+    real = decontaminate.hashed_windows
+    one = decontaminate.F.lit(1).cast("long")
+    monkeypatch.setattr(
+        decontaminate, "hashed_windows", lambda w, ls, n: decontaminate.F.transform(real(w, ls, n), lambda x: x.withField("h", one))
+    )
+    short = docs.filter("length(text) < 1000 OR text IS NULL")
+    ids = {r[0] for r in rows(short, "doc_id")}
+    assert rows(decontaminate.report(short, items)) == [r for r in want if r[0] in ids]
