@@ -7,15 +7,15 @@ labelled as good), one over all documents of the input. A document's score is th
 Documents with a score under a limit are rejected; there is no random draw,
 the same input always gives the same verdicts.
 
-The limit comes from the data: every ``HELD_PART``-th good-labelled document
-(by hash of its id) is left out of the trusted counts, and the limit is the
-highest multiple of 1 / ``GRID`` under which at most ``HELD_SHARE`` of those
-that pass the fixed rules score. With fewer than ``HELD_LEAST`` good labels
-nothing is left out and the limit is ``THRESHOLD``. A caller may give a
-``threshold`` instead.
+The limit comes from the data, by one rule for any number of labels: the
+trusted documents are dealt into ``PARTS`` parts (by hash of their id), each is
+scored by a ratio that leaves its own part out, and the limit is the highest
+multiple of 1 / ``GRID`` under which at most ``MISSED_SHARE`` of those that
+pass the fixed rules score. If none of them passes (no labels, say) the ratio
+says nothing and rejects nothing. A caller may give a ``threshold`` instead.
 
 Only DataFrame functions; the corpus is read three times (count, score of the
-documents left out, score). It is shuffled, on ``doc_id``, only if there are
+trusted documents, score). It is shuffled, on ``doc_id``, only if there are
 too many good labels for a broadcast; the counting pass sends at most
 ``buckets`` rows per task.
 
@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, shared, small, upto, words
+from .common import let, shared, small, unused, upto, words
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
@@ -41,14 +41,10 @@ MAX_REPEAT_PERCENT = 30
 
 BUCKETS = 10_000
 ALPHA = 1.0
-#: Mean log ratio per n-gram under which a document is rejected if there are
-#: fewer than HELD_LEAST good labels.
-THRESHOLD = -0.15
-HELD_LEAST = 250
-#: One of so many good-labelled documents is left out of the trusted counts.
-HELD_PART = 5
-#: Share of the documents left out that the limit may reject, and its steps in a unit of score.
-HELD_SHARE = 0.005
+#: Parts of the trusted documents, each scored by a ratio without it.
+PARTS = 5
+#: Share of the trusted documents that the limit may reject, and its steps in a unit of score.
+MISSED_SHARE = 0.005
 GRID = 10_000
 
 
@@ -130,43 +126,54 @@ def trusted_ids(labels: DataFrame, limit: int | None = None) -> DataFrame:
     return ids if limit is None else ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(limit)
 
 
+def part_of(trusted_id: Column) -> Column:
+    return F.pmod(F.xxhash64(trusted_id, F.lit("held")), F.lit(PARTS)).cast("int")
+
+
 def log_ratios(
     docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alpha: float = ALPHA
 ) -> DataFrame:
-    """One row with ``ratios``: ln(p_trusted / p_raw) of each cell, in order.
+    """One row with ``ratios``: ln(p_trusted / p_raw) of each cell, in order,
+    and ``without``: for each part the same without its trusted documents.
 
     ``trusted`` should be a written table (its rows are counted for the join).
     """
     spark = docs.sparkSession
+    parts = range(PARTS)
     counts = (
         docs.join(small(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
-        .select("trusted_id", F.explode(cells(words(F.col("text")), buckets)).alias("cell"))
+        .select(
+            F.when(F.col("trusted_id").isNotNull(), part_of(F.col("trusted_id"))).alias("part"),
+            F.explode(cells(words(F.col("text")), buckets)).alias("cell"),
+        )
         .groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("n_raw"), F.count("trusted_id").alias("n_trusted"))
+        .agg(F.count(F.lit(1)).alias("r"), *[F.count(F.when(F.col("part") == p, 1)).alias(f"t{p}") for p in parts])
     )
+    number = lambda c: F.coalesce(c, F.lit(0))
     every = (
         spark.range(buckets)
         .select(F.col("id").cast("int").alias("cell"))
         .join(counts, "cell", "left")
-        .select("cell", F.coalesce("n_raw", F.lit(0)).alias("r"), F.coalesce("n_trusted", F.lit(0)).alias("t"))
+        .select("cell", number("r").alias("r"), *[number(f"t{p}").alias(f"t{p}") for p in parts])
     )
     # ``buckets`` rows, a parameter: one small array
-    return every.agg(
-        F.array_sort(F.collect_list(F.struct("cell", "r", "t"))).alias("c"),
+    gathered = every.agg(
+        F.array_sort(F.collect_list(F.struct("cell", "r", *[f"t{p}" for p in parts]))).alias("c"),
         F.sum("r").alias("sr"),
-        F.sum("t").alias("st"),
-    ).select(
-        F.transform(
-            "c",
-            lambda x: F.log((x["t"] + alpha) / (F.col("st") + alpha * buckets))
-            - F.log((x["r"] + alpha) / (F.col("sr") + alpha * buckets)),
-        ).alias("ratios")
+        *[F.sum(f"t{p}").alias(f"s{p}") for p in parts],
     )
 
+    def ratio(used: list[int]) -> Column:
+        total = sum((F.col(f"s{p}") for p in used), F.lit(0))
+        return F.transform(
+            "c",
+            lambda x: F.log((sum((x[f"t{p}"] for p in used), F.lit(0)) + alpha) / (total + alpha * buckets))
+            - F.log((x["r"] + alpha) / (F.col("sr") + alpha * buckets)),
+        )
 
-def held_out(doc_id: Column) -> Column:
-    """Good-labelled documents that the limit is set with, not the counts."""
-    return F.pmod(F.xxhash64(doc_id, F.lit("held")), F.lit(HELD_PART)) == 0
+    return gathered.select(
+        ratio([*parts]).alias("ratios"), F.array(*[ratio([p for p in parts if p != out]) for out in parts]).alias("without")
+    )
 
 
 def measured(text: Column, model: Column, buckets: int) -> Column:
@@ -192,24 +199,24 @@ def measured(text: Column, model: Column, buckets: int) -> Column:
     )
 
 
-def limit_from(docs: DataFrame, held: DataFrame, ratios: DataFrame, buckets: int) -> float:
-    """The limit that at most ``HELD_SHARE`` of the ``held`` documents miss;
-    ``THRESHOLD`` if none of them passes the rules."""
-    known = docs.join(small(held), F.col("doc_id") == F.col("trusted_id"))
+def limit_from(docs: DataFrame, trusted: DataFrame, ratios: DataFrame, buckets: int) -> float | None:
+    """The limit that at most ``MISSED_SHARE`` of the trusted documents miss,
+    each scored without its part; None if none of them passes the rules."""
+    known = docs.join(small(trusted), F.col("doc_id") == F.col("trusted_id"))
     # No filter on what is measured: it would be moved below the join, to all documents.
     step = let(
-        measured(F.col("text"), F.col("_ratios"), buckets),
+        measured(F.col("text"), F.get(F.col("without"), part_of(F.col("trusted_id"))), buckets),
         lambda v: F.when(~v["base_failed"], F.floor(v["score"] * GRID)),
     )
     # as many rows as the scores have steps, whatever the number of documents
-    steps = known.withColumn("_ratios", ratios.scalar()).groupBy(step.alias("step")).count()
+    steps = known.withColumn("without", ratios.select("without").scalar()).groupBy(step.alias("step")).count()
     found = sorted((r["step"], r["count"]) for r in steps.collect() if r["step"] is not None)
-    most, below = HELD_SHARE * sum(n for _, n in found), 0
+    most, below = MISSED_SHARE * sum(n for _, n in found), 0
     for step, n in found:
         below += n
         if below > most:
             return step / GRID
-    return THRESHOLD
+    return None
 
 
 def judge(
@@ -226,21 +233,20 @@ def judge(
     name. Without a ``threshold`` the limit is set from the data."""
     texts = docs.select("doc_id", "text")
     trusted = shared(trusted_ids(labels, trusted_rows), "trusted")
-    if threshold is None and trusted.count() >= HELD_LEAST:
-        held = held_out(F.col("trusted_id"))
-        ratios = shared(log_ratios(texts, trusted.filter(~held), buckets, alpha), "ratios")
-        threshold = limit_from(texts, trusted.filter(held), ratios, buckets)
-    else:
-        ratios = log_ratios(texts, trusted, buckets, alpha)
-        threshold = THRESHOLD if threshold is None else threshold
+    ratios = shared(log_ratios(texts, trusted, buckets, alpha), "ratios")
+    if threshold is None:
+        threshold = limit_from(texts, trusted, ratios, buckets)
+    limit = float("-inf") if threshold is None else threshold
+    model = unused("_ratios", docs)
     verdict = let(
-        measured(F.col("text"), F.col("_ratios"), buckets),
-        lambda v: v.withField("kept", ~v["base_failed"] & (v["score"] >= F.lit(threshold))),
+        measured(F.col("text"), F.col(model), buckets),
+        lambda v: v.withField("kept", ~v["base_failed"] & (v["score"] >= F.lit(limit))),
     )
-    return docs.withColumn("_ratios", ratios.scalar()).withColumn(name, verdict).drop("_ratios")
+    return docs.withColumn(model, ratios.select("ratios").scalar()).withColumn(name, verdict).drop(model)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that are kept, as they are."""
-    judged = judge(docs, labels, name="_judged", **options)
-    return judged.filter("_judged.kept").select(*docs.columns)
+    name = unused("_judged", docs)
+    judged = judge(docs, labels, name=name, **options)
+    return judged.filter(F.col(f"{name}.kept")).drop(name)

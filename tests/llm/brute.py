@@ -64,6 +64,14 @@ def xxh_long(value, seed):
     return signed(xxhash.xxh64_intdigest(unsigned(value).to_bytes(8, "little"), seed))
 
 
+def log_ratio(raw, good, buckets, alpha):
+    nr, ng = sum(raw.values()), sum(good.values())
+    return [
+        math.log((good[b] + alpha) / (ng + alpha * buckets)) - math.log((raw[b] + alpha) / (nr + alpha * buckets))
+        for b in range(buckets)
+    ]
+
+
 def quality_scores(texts, trusted, buckets, alpha):
     """``texts``: by doc_id."""
     all_cells = {k: cells(t, buckets) for k, t in texts.items()}
@@ -72,14 +80,31 @@ def quality_scores(texts, trusted, buckets, alpha):
         raw.update(c)
         if k in trusted:
             good.update(c)
-    nr, ng = sum(raw.values()), sum(good.values())
-    ratio = [
-        math.log((good[b] + alpha) / (ng + alpha * buckets)) - math.log((raw[b] + alpha) / (nr + alpha * buckets))
-        for b in range(buckets)
-    ]
+    ratio = log_ratio(raw, good, buckets, alpha)
     return {k: (sum(ratio[b] for b in c) / len(c) if c else 0.0) for k, c in all_cells.items()}
 
 
+def quality_limit(texts, trusted, part, parts, share, grid, buckets, alpha):
+    """Limit from the trusted texts, each scored without its part. ``trusted``:
+    places in ``texts``; ``part``: the part of a place."""
+    all_cells = {k: cells(t, buckets) for k, t in texts.items()}
+    raw = Counter(b for c in all_cells.values() for b in c)
+    scores = []
+    for out in range(parts):
+        ratio = log_ratio(raw, Counter(b for k in trusted if part(k) != out for b in all_cells[k]), buckets, alpha)
+        scores += [
+            sum(ratio[b] for b in all_cells[k]) / len(all_cells[k])
+            for k in trusted if part(k) == out and not quality_counts(texts[k])["base_failed"]
+        ]
+    scores.sort()
+    return math.floor(scores[math.floor(share * len(scores))] * grid) / grid if scores else -math.inf
+
+
+def part_of(doc_id, parts):
+    """As the operator deals ids: XXH64 of the id, then of the word."""
+    return signed(xxhash.xxh64_intdigest(b"held", unsigned(xxh_long(doc_id, 42)))) % parts
+
+
 # ---- decontamination
 
 

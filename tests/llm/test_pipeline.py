@@ -1,6 +1,7 @@
 import brute
 import corpus_pipeline
 import public_tokenizers
+import pytest
 from conftest import rows
 from tokenizers import Tokenizer
 
@@ -12,7 +13,11 @@ def expected(docs, trusted, items):
     """Ids and texts after the four filtering stages, in plain Python."""
     texts = dict(docs)
     score = brute.quality_scores(texts, trusted, quality.BUCKETS, quality.ALPHA)
-    kept = {k: t for k, t in texts.items() if not brute.quality_counts(t)["base_failed"] and score[k] >= quality.THRESHOLD}
+    limit = brute.quality_limit(
+        texts, trusted & texts.keys(), lambda k: brute.part_of(k, quality.PARTS), quality.PARTS, quality.MISSED_SHARE,
+        quality.GRID, quality.BUCKETS, quality.ALPHA,
+    )
+    kept = {k: t for k, t in texts.items() if not brute.quality_counts(t)["base_failed"] and score[k] >= limit}
     ids = sorted(kept)
     label = brute.components(ids, [brute.simhash(kept[k]) for k in ids])
     kept = {k: kept[k] for k, c in zip(ids, label, strict=True) if k == c}
@@ -25,6 +30,7 @@ def expected(docs, trusted, items):
     return out
 
 
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_against_brute_force(spark, sf):
     read = lambda t: spark.read.parquet(f"{sf}/{t}.parquet")
     docs = [tuple(r) for r in read("documents").select("doc_id", "text").collect()]

@@ -7,6 +7,11 @@ from panelforge.llm import quality
 NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
+def limit_of(texts, trusted, doc_id, buckets):
+    part = lambda k: brute.part_of(doc_id(k), quality.PARTS)
+    return brute.quality_limit(texts, trusted, part, quality.PARTS, quality.MISSED_SHARE, quality.GRID, buckets, quality.ALPHA)
+
+
 @pytest.fixture(scope="module")
 def labels(spark):
     return spark.createDataFrame([(6, 1, 0), (8, 1, 0), (10, 0, 1), (None, 1, 0), (6, 1, 0), (99, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int")
@@ -20,16 +25,19 @@ def test_counts_and_scores(docs, labels):
     trusted = {i for i, (k, _) in enumerate(TEXTS) if k in (6, 8)}
     want = brute.quality_scores(by_place, trusted, 512, 1.0)
     score = {t: want[i] for i, t in by_place.items()}
+    limit = limit_of(by_place, trusted, lambda i: TEXTS[i][0], 512)
     for r in got:
         b = brute.quality_counts(r["text"])
         assert {k: r[k] for k in NAMES} == b
         assert r["score"] == pytest.approx(score[r["text"]], abs=1e-9)
-        assert r["kept"] == (not b["base_failed"] and score[r["text"]] >= quality.THRESHOLD)
+        assert r["kept"] == (not b["base_failed"] and score[r["text"]] >= limit)
 
 
 def test_no_rows_and_no_labels(docs, no_docs, labels):
     assert quality.judge(no_docs, labels).count() == 0
-    assert quality.judge(docs, labels.limit(0)).count() == len(TEXTS)
+    unlabelled = quality.judge(docs, labels.limit(0)).select("verdict.*").collect()
+    assert len(unlabelled) == len(TEXTS)
+    assert all(r["kept"] != r["base_failed"] for r in unlabelled)  # nothing is known of good ones
 
 
 def test_kept_documents_keep_their_columns(docs, labels):
@@ -37,6 +45,10 @@ def test_kept_documents_keep_their_columns(docs, labels):
     assert kept.columns == docs.columns
     want = [(k, t) for k, t in TEXTS if not brute.quality_counts(t)["base_failed"]]
     assert len(rows(kept, "doc_id", "text")) == len(want)
+    clashing = docs.withColumnsRenamed({"w": "_ratios", "x": "_judged", "fp": "without"})
+    kept = quality.keep_good(clashing, labels, threshold=-100.0)
+    assert kept.columns == clashing.columns
+    assert {tuple(r) for r in kept.select("_ratios", "_judged", "without").collect()} == {("other",) * 3}
 
 
 def test_trusted_sample_is_bounded(spark):
@@ -44,16 +56,18 @@ def test_trusted_sample_is_bounded(spark):
     assert quality.trusted_ids(labels, 7).count() == 7
 
 
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_query_against_brute_force(spark, sf):
     from panelforge.llm.queries import op8_quality
 
     texts = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
     good = {r[0] for r in spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1").select("doc_id").collect()}
     score = brute.quality_scores(texts, good, quality.BUCKETS, quality.ALPHA)
+    limit = limit_of(texts, good & texts.keys(), lambda k: k, quality.BUCKETS)
     for r in op8_quality(spark, sf).collect():
         b = brute.quality_counts(texts[r["doc_id"]])
         assert {k: r[k] for k in NAMES} == b
-        assert r["kept"] == (not b["base_failed"] and score[r["doc_id"]] >= quality.THRESHOLD)
+        assert r["kept"] == (not b["base_failed"] and score[r["doc_id"]] >= limit)
 
 
 def test_good_documents_stay_and_bad_ones_go(spark):
