@@ -11,6 +11,7 @@ construction; nothing is collected.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import numeric_columns, pct, round_half_up
+from .information import nearest_information
 from .joins import attach_row
 from .quantiles import quantiles_columns, quantiles_long
 
@@ -283,20 +285,11 @@ def boxplots(df: DataFrame, cols: Sequence[str], by: str, k: float = 1.5) -> Dat
 
 
 # A19 -----------------------------------------------------------------------
-def mutual_information(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], bins: int = 10,
-                       regression: bool = False) -> DataFrame:
-    """Plug-in mutual information (nats) of each feature with the label.
-
-    Numeric features, and the label of a regression, are cut into ``bins``
-    bins of about equal counts (the edges are values of the data); NULL is a
-    bin of its own, categorical values are used as they are. All features go
-    through one explode, whose rows are counted map-side; the tables of counts
-    (features x bins x classes) are joined on their keys.
-    """
-    rows = df.where(F.col(label).isNotNull())
-    binned = [*numeric, *([label] if regression else [])]
-    edges = quantiles_columns(rows, binned, [i / bins for i in range(1, bins)], interpolate=False)
-    # bins - 1 numbers for each numeric column: one map
+def _bins(rows: DataFrame, cols: Sequence[str], bins: int):
+    """``rows`` with the edges of the columns' bins of about equal counts, and
+    the bin of a column as text ('-1' for NULL)."""
+    edges = quantiles_columns(rows, cols, [i / bins for i in range(1, bins)], interpolate=False)
+    # bins - 1 numbers for each column: one map
     cuts = edges.groupBy("variable").agg(F.collect_list("value").alias("v")).agg(
         F.map_from_entries(F.collect_list(F.struct("variable", "v"))).alias("_cuts")
     )
@@ -306,15 +299,74 @@ def mutual_information(df: DataFrame, label: str, numeric: Sequence[str], catego
         n = F.size(F.filter(F.col("_cuts")[c], lambda e: e <= x))
         return F.when(x.isNull(), F.lit("-1")).otherwise(n.cast("string"))
 
-    values = {c: bin_of(c) for c in numeric} | {c: F.coalesce(F.col(c).cast("string"), F.lit("∅")) for c in categorical}
+    return attach_row(rows, cuts), bin_of
+
+
+def _category(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit("∅"))
+
+
+def _plug_in(pairs: DataFrame) -> DataFrame:
+    """Mutual information from (variable, x, y): with c ln c summed over the
+    counts of x and y together, of each alone and of all, it is
+    (together - x - y + all) / n. The counts are made once, map-side first;
+    their margins are grouping sets of that small table."""
+    joint = pairs.groupBy("variable", "x", "y").agg(F.count(F.lit(1)).alias("c"))
+    sets = joint.groupingSets(
+        [["variable", "x", "y"], ["variable", "x"], ["variable", "y"], ["variable"]], "variable", "x", "y"
+    ).agg(F.sum("c").alias("c"), F.grouping("x").alias("gx"), F.grouping("y").alias("gy"))
+    sign = F.when(F.col("gx") == F.col("gy"), F.lit(1.0)).otherwise(F.lit(-1.0))
+    n = F.max(F.when((F.col("gx") == 1) & (F.col("gy") == 1), F.col("c")))
+    return sets.groupBy("variable").agg((F.sum(sign * F.col("c") * F.log("c")) / n).alias("mutual_information"))
+
+
+def mutual_information(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], bins: int = 10,
+                       regression: bool = False, method: str = "binned") -> DataFrame:
+    """Mutual information (nats) of each feature with the label, over all rows
+    that have a label: (variable, mutual_information).
+
+    ``binned``: plug-in estimate. Numeric features, and the label of a
+    regression, are cut into ``bins`` bins of about equal counts (the edges are
+    values of the data); NULL is a bin of its own, categorical values are used
+    as they are. All features go through one explode, whose rows are counted
+    map-side.
+
+    ``nearest``: nearest-neighbour estimate between a number and a class
+    (``information.nearest_information``); NULL in a numeric feature becomes
+    its median. Classes are the label's or, in a regression, the categorical
+    feature's; a numeric feature and a continuous label meet with the label cut
+    into ``bins`` bins; two categories have the plug-in estimate.
+    """
+    if method not in ("binned", "nearest"):
+        raise ValueError(f"unknown method {method!r}")
+    rows = df.where(F.col(label).isNotNull())
+    if method == "nearest":
+        return _nearest(rows, label, list(numeric), list(categorical), bins, regression)
+    rows, bin_of = _bins(rows, [*numeric, *([label] if regression else [])], bins)
+    values = {c: bin_of(c) for c in numeric} | {c: _category(c) for c in categorical}
     pairs = F.array(*[F.struct(F.lit(c).alias("variable"), v.alias("x")) for c, v in values.items()])
     y = bin_of(label) if regression else F.col(label).cast("string")
-    long = attach_row(rows, cuts).select(y.alias("y"), F.inline(pairs))
-    joint = long.groupBy("variable", "x", "y").agg(F.count(F.lit(1)).alias("nxy"))
-    margin = lambda name, *by: joint.groupBy("variable", *by).agg(F.sum("nxy").alias(name))
-    full = joint.join(margin("nx", "x"), ["variable", "x"]).join(margin("ny", "y"), ["variable", "y"]).join(margin("n"), "variable")
-    term = (F.col("nxy") / F.col("n")) * F.log((F.col("nxy") * F.col("n")) / (F.col("nx") * F.col("ny")))
-    return full.groupBy("variable").agg(F.sum(term).alias("mutual_information"))
+    return _plug_in(rows.select(y.alias("y"), F.inline(pairs)))
+
+
+def _nearest(rows: DataFrame, label: str, numeric: list[str], categorical: list[str], bins: int, regression: bool) -> DataFrame:
+    y, found, pairs = F.col(label).cast("string"), [], []
+    if not regression and categorical:
+        found.append(_plug_in(rows.select(
+            y.alias("y"), F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), _category(c).alias("x")) for c in categorical]))
+        )))
+    middle = medians(rows, numeric).agg(F.map_from_entries(F.collect_list(F.struct("variable", "mediana"))).alias("_middle"))
+    if numeric:
+        filled, bin_of = _bins(attach_row(rows, middle), [label], bins) if regression else (attach_row(rows, middle), None)
+        number = lambda c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.col("_middle")[c])
+        each = F.array(*[F.struct(F.lit(c).alias("variable"), number(c).alias("x")) for c in numeric])
+        pairs.append(filled.select((bin_of(label) if bin_of else y).alias("y"), F.inline(each)).select("variable", "x", "y"))
+    if regression and categorical:
+        each = F.array(*[F.struct(F.lit(c).alias("variable"), _category(c).alias("y")) for c in categorical])
+        pairs.append(rows.select(F.col(label).cast("double").alias("x"), F.inline(each)).select("variable", "x", "y"))
+    if pairs:
+        found.append(nearest_information(reduce(DataFrame.unionByName, pairs)))
+    return reduce(DataFrame.unionByName, found)
 
 
 # A24 -----------------------------------------------------------------------
