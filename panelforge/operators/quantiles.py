@@ -43,7 +43,7 @@ def _number(c) -> Column:
     return F.nanvl((F.col(c) if isinstance(c, str) else c).cast("double"), F.lit(None).cast("double"))
 
 
-def _stats(c: Column, grid: list[float]) -> Column:
+def _stats(c: Column, grid: Column) -> Column:
     return F.struct(
         F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"), F.percentile_approx(c, grid, ACCURACY).alias("edges")
     )
@@ -134,7 +134,8 @@ def quantiles_columns(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
         return df.sparkSession.createDataFrame([], "variable string, p double, value double")
     grid = _grid(probs)
     wide = df.select(*[_number(c).alias(f"_c{i}") for i, c in enumerate(cols)])
-    one = wide.agg(*[_stats(F.col(f"_c{i}"), grid).alias(f"_s{i}") for i in range(len(cols))])
+    asked = F.lit(grid)  # one literal for all columns: building it costs a call for each number
+    one = wide.agg(*[_stats(F.col(f"_c{i}"), asked).alias(f"_s{i}") for i in range(len(cols))])
     per_column = F.array(*[F.struct(F.lit(c).alias("variable"), F.lit(i).alias("i"), F.col(f"_s{i}").alias("s")) for i, c in enumerate(cols)])
     targets = one.select(F.inline(per_column)).select("variable", "i", F.inline(_targets(F.col("s"), probs, grid)))
     brackets = targets.agg(F.collect_list(F.struct("variable", "i", "p", "lo", "hi")).alias("_b"))
@@ -158,7 +159,7 @@ def quantiles_long(df: DataFrame, col: str, probs: Sequence[float], by: Sequence
         return quantiles_columns(df, [col], probs).drop("variable")
     grid, keys = _grid(probs), list(by)
     src = df.select(*keys, _number(col).alias("_v"))
-    stats = src.groupBy(*keys).agg(_stats(F.col("_v"), grid).alias("_s"))
+    stats = src.groupBy(*keys).agg(_stats(F.col("_v"), F.lit(grid)).alias("_s"))
     targets = stats.select(*keys, F.inline(_targets(F.col("_s"), probs, grid)))
     brackets = targets.select(*keys, "p", "lo", "hi")
     joined = _join(src.where(F.col("_v").isNotNull()), F.broadcast(brackets) if few_groups else brackets, keys)
