@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -41,6 +44,32 @@ def upto(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new place in the folder that all executors share."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/corpus-{name}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[None]:
+    """Folders made inside are removed at the end. What is still needed then
+    must be written outside, or before in full: tables are read lazily."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        made = _made.get()
+        _made.reset(token)
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -53,7 +82,7 @@ def shared(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame
     is written (the session's setting is put back).
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/corpus-{name}-{uuid.uuid4().hex}"
+    path = shared_folder(spark, name)
     usual = spark.conf.get(_ARROW_ROWS)
     try:
         if arrow_rows:

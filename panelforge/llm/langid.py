@@ -30,11 +30,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import pretokens
+from .common import shared, small
 
 ORDERS = 3
 SAMPLE = 300
 LANDMARKS = 60
-SALTS = 32
+#: Slices of the hash by which labelled ids are counted.
+SLICE_BITS = 16
 RIDGE = 1e-2
 UNKNOWN = "und"
 
@@ -182,13 +184,18 @@ def training_sample(labelled: DataFrame, sample: int = SAMPLE) -> list[tuple[str
     """At most ``sample`` rows (text, lang) of each language, by least hash of
     the id; of rows with the same id and language the least text."""
     some = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # Ids only are ranked, then texts are looked up. The first round ranks SALTS
-    # parts of each language, so the second sees SALTS * sample rows of one at most.
-    ids = some.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct()
-    for part in ([F.pmod("h", F.lit(SALTS))], []):
-        first = Window.partitionBy("lang", *part).orderBy("h", "doc_id")
-        ids = ids.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample).drop("r")
-    chosen = ids.select(F.col("doc_id").alias("id"), "lang")
+    # Ids only are ranked, then texts are looked up. Ids are counted by slices of
+    # their hash; a language's ids beyond the slice in which its sample ends are
+    # dropped before any ranking, so however many it has, few are ranked.
+    h = F.xxhash64("doc_id")
+    ids = some.select("doc_id", "lang", h.alias("h"), F.shiftright(h, 64 - SLICE_BITS).alias("part")).distinct()
+    ids = shared(ids, "labelled-ids")
+    counts = ids.groupBy("lang", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("part")) - F.col("n")
+    last = counts.withColumn("before", before).filter(F.col("before") < sample).groupBy("lang").agg(F.max("part").alias("last"))
+    ids = ids.join(small(shared(last, "slices")), "lang").filter(F.col("part") <= F.col("last"))
+    first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    chosen = ids.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample).select(F.col("doc_id").alias("id"), "lang")
     texts = some.select("doc_id", "text", "lang").join(
         F.broadcast(chosen.withColumnRenamed("lang", "of")),
         (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("of")),

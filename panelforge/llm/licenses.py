@@ -29,6 +29,8 @@ from importlib import resources
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 
 
 MOST_KNOWN = 10_000
@@ -187,19 +189,20 @@ def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = KNOWN) -> DataFra
     # of the whole units only those as long as a known text are digested
     digests = F.transform(F.filter(F.transform(units, canonical), lambda c: F.length(c).isin(*lengths)), digest)
     none = F.array().cast("array<string>")
-    marked = (
-        docs.withColumn("_whole", F.when(has, digest(canonical(text))))
-        .withColumn("_units", F.when(has, F.filter(digests, lambda d: d.isin(*known))).otherwise(none))
-    )
-    joined = marked.join(F.broadcast(table), marked["_whole"] == table["known_digest"], "left")
+    of_whole, of_units = unused("_whole", docs), unused("_units", docs)
+    marked = docs.withColumns({
+        of_whole: F.when(has, digest(canonical(text))),
+        of_units: F.when(has, F.filter(digests, lambda d: d.isin(*known))).otherwise(none),
+    })
+    joined = marked.join(F.broadcast(table), marked[of_whole] == table["known_digest"], "left")
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    ids = F.transform(marked["_units"], lambda d: names[d])
+    ids = F.transform(marked[of_units], lambda d: names[d])
     whole = table["known_id"]
     all_ids = F.concat(ids, F.when(whole.isNull(), none).otherwise(F.array(whole)))
     new = {
         "license_id": whole,
         "notices": F.array_sort(F.array_distinct(all_ids)),
-        "n_notices": F.size(F.array_distinct(marked["_units"])).cast("long"),
+        "n_notices": F.size(F.array_distinct(marked[of_units])).cast("long"),
     }
     return joined.select(*[marked[c] for c in docs.columns if c not in new], *[c.alias(n) for n, c in new.items()])
 

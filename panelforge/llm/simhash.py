@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, let, shared, small, upto, words
+from .common import ascii_lower, let, shared, small, unused, upto, words
 
 SHINGLE = 3
 DISTANCE = 3
@@ -327,15 +327,16 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) ->
     doc_ids repeat, documents are told apart by a digest of the text too, and
     of rows equal in both the least one stays. A row without doc_id can't be
     named, so it stays."""
-    id_, at = F.col("doc_id"), F.col("_at")
+    id_, named, gone_id = F.col("doc_id"), unused("_at", docs), unused("_gone", docs)
+    at = F.col(named)
     unique = docs.filter(id_.isNotNull()).groupBy("doc_id").count().filter("count > 1").isEmpty()
     name = id_ if unique else F.when(id_.isNotNull(), F.struct(id_, F.xxhash64("text").alias("key")))
     found = near_duplicates(docs.select(name.alias("doc_id"), "text"), size, distance)
     gone = shared(
-        found.filter(id_ != F.col("component_id")).select(id_.alias("gone_id")).distinct(), "gone"
+        found.filter(id_ != F.col("component_id")).select(id_.alias(gone_id)).distinct(), "gone"
     )
-    kept = docs.withColumn("_at", name).join(small(gone), at == F.col("gone_id"), "left_anti")
+    kept = docs.withColumn(named, name).join(small(gone), at == F.col(gone_id), "left_anti")
     if unique:
-        return kept.drop("_at")
-    least = kept.filter(at.isNotNull()).groupBy("_at").agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return least.select("_row.*").unionByName(kept.filter(at.isNull()).drop("_at"))
+        return kept.drop(named)
+    least = kept.filter(at.isNotNull()).groupBy(named).agg(F.min(F.struct(*docs.columns)).alias(gone_id))
+    return least.select(f"{gone_id}.*").unionByName(kept.filter(at.isNull()).drop(named))

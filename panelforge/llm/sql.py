@@ -39,13 +39,17 @@ FROM doc d LEFT JOIN counted USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 _OP5 = r"""
-WITH hosted AS (
+WITH named AS (
   SELECT page_id, regexp_replace(lower(regexp_extract(coalesce(url, ''),
            '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)', 1)), '\.+$', '') AS host,
          DATE '2024-01-01' + CAST((page_id * 37) % 365 AS INTEGER) AS day
   FROM pages
 ),
-labels_ AS (SELECT DISTINCT host, string_split(host, '.') AS p FROM hosted WHERE host <> ''),
+hosted AS (SELECT page_id, day, CASE WHEN length(host) <= 253 THEN host ELSE '' END AS host FROM named),
+labels_ AS (
+  SELECT DISTINCT host, CASE WHEN regexp_matches(host, '^(?:[0-9.]+|\[.*)$') THEN [host] ELSE string_split(host, '.') END AS p
+  FROM hosted WHERE host <> ''
+),
 suffix AS (
   SELECT host, array_to_string(list_slice(p, i, len(p)), '.') AS pattern
   FROM (SELECT host, p, unnest(range(1, greatest(len(p) - 1, 1) + 1)) AS i FROM labels_)

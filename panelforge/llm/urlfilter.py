@@ -15,10 +15,13 @@ search; the verdicts come back by an equi-join on (host, day). The intervals
 are broadcast only when they are few.
 
 Defined results: a null or unparsable url has no host and the verdict
-``none``, as has a capture without a day; repeated rows are each judged;
-events with null in list, pattern, day or event are ignored; of equal days a
-removal comes after an add; an empty table on either side is no special case;
-further columns of captures stay as they are.
+``none``, as has a capture without a day, and a url whose host is longer than
+any name can be (``LONGEST_HOST``); an address in numbers has no parent
+domains; repeated rows are each judged; events with null in list, pattern, day
+or event, and adds without a verdict, are ignored; of equal days a removal
+comes after an add; an empty table on either side is no special case; further
+columns of captures stay as they are, but those named like a new column are
+replaced by it.
 """
 
 from __future__ import annotations
@@ -26,18 +29,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, shared, small
+from .common import let, shared, small, unused
 
 #: The host of an absolute url: after user info, before a port.
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
+#: Characters of the longest name a host can have (fixed value of the name system).
+LONGEST_HOST = 253
+#: An address in numbers, of either kind.
+ADDRESS = r"^(?:[0-9.]+|\[.*)$"
 
 
 def host_of(url: Column) -> Column:
-    return F.regexp_replace(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1)), r"\.+$", "")
+    host = F.rtrim(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1)), F.lit("."))
+    return F.when(F.length(host) <= LONGEST_HOST, host).otherwise("")
 
 
 def domains_of(host: Column) -> Column:
-    """The host and its parent domains of at least two labels."""
+    """The host and its parent domains of at least two labels; an address in
+    numbers has none. A host of ``host_of`` has few enough labels for all."""
+    return F.when(host.rlike(ADDRESS), F.array(host)).otherwise(_suffixes(host))
+
+
+def _suffixes(host: Column) -> Column:
     return let(
         F.split(host, r"\."),
         lambda p: F.transform(
@@ -52,7 +65,7 @@ def intervals(events: DataFrame) -> DataFrame:
     event, verdict, day); ``valid_to`` is null while the entry still holds."""
     dated = events.select("list", F.lower("pattern").alias("pattern"), "event", "verdict", "day").dropna(
         subset=["list", "pattern", "event", "day"]
-    )
+    ).filter((F.col("event") != "add") | F.col("verdict").isNotNull())
     order = Window.partitionBy("list", "pattern").orderBy("day", "event", F.coalesce("verdict", F.lit("")))
     return (
         dated.withColumn("valid_to", F.lead("day").over(order))
@@ -79,11 +92,12 @@ def evaluate(captures: DataFrame, events: DataFrame) -> DataFrame:
             )
         ).alias("best")
     )
-    found = best.select(F.col("host").alias("of"), F.col("day").alias("on"), "best")
-    return hosted.join(found, (hosted["host"] == found["of"]) & (hosted["day"] == found["on"]), "left").select(
-        *[hosted[c] for c in hosted.columns],
-        F.coalesce(F.col("best.verdict"), F.lit("none")).alias("verdict"),
-        F.col("best.pattern").alias("rule"),
-        F.col("best.list").alias("rule_list"),
-        F.col("best.valid_from").alias("rule_from"),
+    of, on, chosen = (unused(f"_{c}", hosted) for c in ("of", "on", "best"))
+    found = best.select(F.col("host").alias(of), F.col("day").alias(on), F.col("best").alias(chosen))
+    at = F.col(chosen)
+    new = {
+        "verdict": F.coalesce(at["verdict"], F.lit("none")), "rule": at["pattern"], "rule_list": at["list"], "rule_from": at["valid_from"],
+    }
+    return hosted.join(found, (F.col("host") == F.col(of)) & (F.col("day") == F.col(on)), "left").select(
+        *[f"`{c}`" for c in hosted.columns if c.lower() not in new], *[c.alias(n) for n, c in new.items()]
     )

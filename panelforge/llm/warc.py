@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,12 +37,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-from .common import shared, small
+from .common import shared, shared_folder, small
 
 # Fixed values of the format.
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
+PROFILE = "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"
 MIN_REVISIT_BYTES = 0
 
 
@@ -77,8 +76,14 @@ def with_types(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFram
     ).drop("first")
 
 
+def utc_now() -> Column:
+    """The time of the write, one for all its records, as the format wants it."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def record_text(r: dict[str, Column]) -> Column:
-    """Header and payload of one record, without the blank lines at its end."""
+    """Header and payload of one record, without the blank lines at its end.
+    ``r["date"]``, if there is one, is the record's time as text."""
     revisit = r["refers_to"].isNotNull()
     block = F.when(revisit, F.lit("")).otherwise(r["payload"])
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
@@ -87,9 +92,10 @@ def record_text(r: dict[str, Column]) -> Column:
     return F.concat(
         F.lit(MAGIC),
         F.lit("WARC-Type: "), F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")), F.lit("\r\n"),
+        F.lit("WARC-Date: "), r.get("date", utc_now()), F.lit("\r\n"),
         F.lit("WARC-Record-ID: <urn:page:"), text(r["page_id"]), F.lit(">\r\n"),
         F.lit("WARC-Target-URI: "), url, F.lit("\r\n"),
-        F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), text(r["refers_to"]), F.lit(">\r\n"))).otherwise(F.lit("")),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), text(r["refers_to"]), F.lit(">\r\n" + PROFILE))).otherwise(F.lit("")),
         F.lit("WARC-Payload-Digest: sha1:"), r["digest"], F.lit("\r\n"),
         F.lit("Content-Type: text/html\r\n"),
         F.lit("Content-Length: "), F.octet_length(block).cast("string"), F.lit(END),
@@ -332,7 +338,7 @@ def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFram
     """Writes the pages to archives in the shared folder, reads them back:
     (page_id, payload_bytes, payload_digest, record_type, refers_to)."""
     spark = pages.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/corpus-warc-{uuid.uuid4().hex}"
+    path = shared_folder(spark, "warc")
     write_archives(pages, path, min_bytes)
     kind = pages.schema["page_id"].dataType
     records = shared(read_archives(spark, path), "records")

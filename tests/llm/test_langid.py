@@ -82,6 +82,19 @@ def test_index_of_grams(n):
     assert (index.keys[number] == asked[where]).all()
 
 
+def test_sample_is_of_least_hash(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    df = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.when(F.col("id") % 50 == 0, "fr").otherwise("en").alias("lang")
+    )
+    order = [(r["lang"], r["doc_id"]) for r in df.orderBy(F.xxhash64("doc_id")).select("lang", "doc_id").collect()]
+    want = sorted((k, d) for k in ("en", "fr") for d in [d for lang, d in order if lang == k][:100])
+    for bits in (1, 8, langid.SLICE_BITS):
+        monkeypatch.setattr(langid, "SLICE_BITS", bits)
+        assert langid.training_sample(df, 100) == [(f"t{d}", k) for k, d in want]
+
+
 def test_sample_takes_one_row_of_a_repeated_id(spark):
     table = [(1, f"text {i:02d}", "en") for i in range(50)] + [(1, "texte", "fr"), (2, "other", "en")]
     df = spark.createDataFrame(table, "doc_id long, text string, lang string")

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import brute
 import corpus_pipeline
 import public_tokenizers
@@ -38,7 +40,10 @@ def test_against_brute_force(spark, sf):
     items = [tuple(r) for r in read("benchmark").select("item_id", "text").collect()]
     want = expected(docs, trusted, items)
     assert 0 < len(want) < len(docs)
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.glob("corpus-*"))
     packed = corpus_pipeline.run(spark, sf).collect()
+    assert [p.name.split("-")[1] for p in set(folder.glob("corpus-*")) - before] == ["best_fit_packing"]
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     lengths = {}
     for r in packed:

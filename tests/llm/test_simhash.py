@@ -76,8 +76,10 @@ def test_long_chain_of_labels(spark):
 
 
 def test_keep_one(docs, no_docs):
+    docs = docs.selectExpr("*", "'a' AS _at", "'g' AS _gone", "'i' AS gone_id", "'r' AS _row")
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
+    assert [tuple(r) for r in kept.select("_at", "_gone", "gone_id", "_row").distinct().collect()] == [("a", "g", "i", "r")]
     fps = [brute.simhash(t) for _, t in TEXTS]
     ids = [k for k, _ in TEXTS]
     want = {k for k, c in zip(ids, brute.components(ids, fps), strict=True) if k == c and k is not None}

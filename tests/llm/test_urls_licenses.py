@@ -7,12 +7,15 @@ from conftest import TEXTS, rows
 from panelforge.llm import licenses, urlfilter
 
 D = lambda n: date(2024, 1, n)
+LONG_HOST = "a." * 100_000 + "long"
 EVENTS = [
     ("a", "example.com", "add", "block", D(5)), ("a", "example.com", "remove", "block", D(10)), ("a", "example.com", "add", "block", D(20)),
     ("b", "good.Example.com", "add", "allow", D(7)), ("b", "example.com", "add", "allow", D(8)), ("b", "example.com", "remove", None, D(9)),
     ("c", "one.test", "add", "block", D(3)), ("c", "one.test", "remove", None, D(3)), ("c", "two.test", "add", "block", D(1)),
     ("c", "two.test", "add", "allow", D(4)), (None, "x.test", "add", "block", D(1)), ("d", None, "add", "block", D(1)), ("d", "y.test", "add", "block", None),
     ("d", "localhost", "add", "block", D(1)), ("d", "10.0.0.1", "add", "block", D(1)),
+    ("e", "2.3", "add", "block", D(1)), ("e", "::1]", "add", "block", D(1)), ("e", "good.example.com", "add", None, D(1)),
+    ("f", "two.test", "add", None, D(2)), (LONG_HOST[2:], LONG_HOST[-5:], "add", "block", D(1)),
 ]
 CAPTURES = [
     (1, "http://example.com/", D(4)), (2, "http://example.com/", D(5)), (3, "https://www.Example.COM.:8080/x?y#z", D(9)),
@@ -20,6 +23,8 @@ CAPTURES = [
     (7, "http://one.test/", D(3)), (8, "http://two.test/", D(3)), (9, "http://two.test/", D(4)), (10, None, D(4)), (11, "no url", D(4)),
     (12, "http://two.test/", None), (13, "http://x.test/", D(9)), (14, "http://notexample.com/", D(6)), (15, "http://localhost/", D(2)),
     (16, "http://10.0.0.1:80/", D(2)), (2, "http://example.com/", D(5)), (17, "http:///path", D(5)), (18, "http://com/", D(5)), (19, "http://[::1]:8/", D(5)),
+    (20, "http://10.1.2.3/", D(5)), (21, f"http://{LONG_HOST}/", D(5)), (22, "http://" + "x" * 1_000_000, D(5)),
+    (23, "http://example.com" + "." * 100_000, D(5)), (24, f"http://{'a.' * 120}example.com/", D(5)), (25, "http://a..example.com/", D(5)),
 ]
 
 
@@ -27,14 +32,18 @@ def brute_verdict(url, day):
     import re
 
     m = re.match(urlfilter.HOST, url or "")
-    host = re.sub(r"\.+$", "", m[1].lower()) if m else ""
+    host = m[1].lower().rstrip(".") if m else ""
+    if len(host) > 253:
+        host = ""
     if not host or day is None:
         return host, "none", None, None, None
     parts = host.split(".")
     names = [".".join(parts[i:]) for i in range(max(len(parts) - 1, 1))]
+    if re.fullmatch(r"[0-9.]+|\[.*", host):
+        names = [host]
     logs = {}
     for lst, pattern, event, verdict, on in EVENTS:
-        if None not in (lst, pattern, event, on):
+        if None not in (lst, pattern, event, on) and (event, verdict) != ("add", None):
             logs.setdefault((lst, pattern.lower()), []).append((on, event, verdict))
     best = []
     for (lst, pattern), log in logs.items():
@@ -53,7 +62,10 @@ def events(spark):
 
 
 def test_as_of_verdicts(spark, events):
-    df = spark.createDataFrame([(*c, "x", "y") for c in CAPTURES], "page_id long, url string, day date, pattern string, of string")
+    extra = ["pattern", "of", "on", "best", "_of", "_best", "host", "verdict", "list"]
+    df = spark.createDataFrame([(*c, *extra) for c in CAPTURES], "page_id long, url string, day date, " + ", ".join(f"{c} string" for c in extra))
+    kept = urlfilter.evaluate(df, events).select("pattern", "of", "on", "best", "_of", "_best", "list").distinct().collect()
+    assert [tuple(r) for r in kept] == [("pattern", "of", "on", "best", "_of", "_best", "list")]
     got = rows(urlfilter.evaluate(df, events), "page_id", "host", "verdict", "rule", "rule_list", "rule_from")
     want = [(k, *brute_verdict(u, d)) for k, u, d in CAPTURES]
     assert got == sorted(want, key=lambda r: tuple((v is None, str(type(v)), v) for v in r))
@@ -100,6 +112,8 @@ def test_canonical_forms_agree(spark):
 
 
 def test_scan_keeps_columns(docs, no_docs):
+    named = licenses.scan(docs.selectExpr("*", "'w' AS _whole", "'u' AS _units")).select("_whole", "_units").distinct().collect()
+    assert [tuple(r) for r in named] == [("w", "u")]
     out = licenses.scan(docs)
     assert out.columns == [*docs.columns, "license_id", "notices", "n_notices"]
     assert licenses.scan(no_docs).count() == 0

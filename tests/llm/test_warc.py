@@ -1,3 +1,5 @@
+import re
+
 import brute
 import pytest
 from conftest import rows
@@ -57,5 +59,7 @@ def test_archive_is_plain_warc(spark, tmp_path):
         head = data[at : data.index(b"\r\n\r\n", at)]
         fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
         types.append(fields[b"WARC-Type"])
+        assert re.fullmatch(rb"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields[b"WARC-Date"])
+        assert (b"WARC-Profile" in fields) == (types[-1] == b"revisit")
         at += len(head) + 4 + int(fields[b"Content-Length"]) + 4
     assert at == len(data) and sorted(types) == [b"response", b"revisit"]
