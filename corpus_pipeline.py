@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.llm import decontaminate, packing, quality, secretscan, simhash
-from panelforge.llm.common import shared
+from panelforge.llm.common import intermediate, shared_folder
 from panelforge.sources.tables import read_table
 
 
@@ -57,7 +57,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = shared(stage(spark, docs, sf_dir), name)
+    """What the last stage returns. A stage's own tables are removed from the
+    shared folder when its result is written, the results of the stages before
+    the last at the end."""
+    docs, result = read_table(spark, sf_dir, "documents"), shared_folder(spark, STAGES[-1][0])
+    with intermediate(spark):
+        for name, stage in STAGES:
+            path = result if name == STAGES[-1][0] else shared_folder(spark, name)
+            with intermediate(spark):
+                kept = stage(spark, docs, sf_dir)
+                kept.write.parquet(path)
+            docs = spark.read.schema(kept.schema).parquet(path)
     return docs
