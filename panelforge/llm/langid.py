@@ -35,8 +35,10 @@ from .common import shared, small
 ORDERS = 3
 SAMPLE = 300
 LANDMARKS = 60
-#: Slices of the hash by which labelled ids are counted.
-SLICE_BITS = 16
+#: Labelled ids are counted by 2 ** SLICE_BITS slices of their hash: so many
+#: counts of a language are added up in one place, and beside the sample one
+#: slice of its ids is ranked.
+SLICE_BITS = 10
 RIDGE = 1e-2
 UNKNOWN = "und"
 
