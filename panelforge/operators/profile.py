@@ -286,20 +286,21 @@ def boxplots(df: DataFrame, cols: Sequence[str], by: str, k: float = 1.5) -> Dat
 
 # A19 -----------------------------------------------------------------------
 def _bins(rows: DataFrame, cols: Sequence[str], bins: int):
-    """``rows`` with the edges of the columns' bins of about equal counts, and
-    the bin of a column as text ('-1' for NULL)."""
+    """One row with ``_cuts``, the edges of each column's bins of about equal
+    counts; and the bin, as text ('-1' for NULL), of a value of the i-th column."""
     edges = quantiles_columns(rows, cols, [i / bins for i in range(1, bins)], interpolate=False)
-    # bins - 1 numbers for each column: one map
+    # bins - 1 numbers for each column
     cuts = edges.groupBy("variable").agg(F.collect_list("value").alias("v")).agg(
         F.map_from_entries(F.collect_list(F.struct("variable", "v"))).alias("_cuts")
     )
+    cuts = cuts.select(F.array(*[F.col("_cuts")[c] for c in cols]).cast("array<array<double>>").alias("_cuts"))
 
-    def bin_of(c: str) -> Column:
-        x = F.col(c).cast("double")
-        n = F.size(F.filter(F.col("_cuts")[c], lambda e: e <= x))
+    def bin_of(i: Column, x: Column) -> Column:
+        own = F.get("_cuts", i)
+        n = sum((F.coalesce((F.get(own, F.lit(j)) <= x).cast("int"), F.lit(0)) for j in range(bins - 1)), F.lit(0))
         return F.when(x.isNull(), F.lit("-1")).otherwise(n.cast("string"))
 
-    return attach_row(rows, cuts), bin_of
+    return cuts, bin_of
 
 
 def _category(c: str) -> Column:
@@ -342,11 +343,16 @@ def mutual_information(df: DataFrame, label: str, numeric: Sequence[str], catego
     rows = df.where(F.col(label).isNotNull())
     if method == "nearest":
         return _nearest(rows, label, list(numeric), list(categorical), bins, regression)
-    rows, bin_of = _bins(rows, [*numeric, *([label] if regression else [])], bins)
-    values = {c: bin_of(c) for c in numeric} | {c: _category(c) for c in categorical}
-    pairs = F.array(*[F.struct(F.lit(c).alias("variable"), v.alias("x")) for c, v in values.items()])
-    y = bin_of(label) if regression else F.col(label).cast("string")
-    return _plug_in(rows.select(y.alias("y"), F.inline(pairs)))
+    cuts, bin_of = _bins(rows, [*numeric, *([label] if regression else [])], bins)
+    number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    pairs = [(c, F.lit(i), F.col(c).cast("double"), text) for i, c in enumerate(numeric)]
+    pairs += [(c, F.lit(None).cast("int"), number, _category(c)) for c in categorical]
+    each = F.array(*[F.struct(F.lit(c).alias("variable"), i.alias("i"), v.alias("v"), t.alias("t")) for c, i, v, t in pairs])
+    # binned after the explode: one expression for all features, not one for each
+    long = attach_row(rows.select(F.col(label).alias("y"), F.inline(each)), cuts)
+    x = F.when(F.col("i").isNull(), F.col("t")).otherwise(bin_of(F.col("i"), F.col("v")))
+    y = bin_of(F.lit(len(numeric)), F.col("y").cast("double")) if regression else F.col("y").cast("string")
+    return _plug_in(long.select("variable", x.alias("x"), y.alias("y")))
 
 
 def _nearest(rows: DataFrame, label: str, numeric: list[str], categorical: list[str], bins: int, regression: bool) -> DataFrame:
@@ -357,10 +363,13 @@ def _nearest(rows: DataFrame, label: str, numeric: list[str], categorical: list[
         )))
     middle = medians(rows, numeric).agg(F.map_from_entries(F.collect_list(F.struct("variable", "mediana"))).alias("_middle"))
     if numeric:
-        filled, bin_of = _bins(attach_row(rows, middle), [label], bins) if regression else (attach_row(rows, middle), None)
+        filled = attach_row(rows, middle)
+        if regression:
+            cuts, bin_of = _bins(filled, [label], bins)
+            filled, y = attach_row(filled, cuts), bin_of(F.lit(0), F.col(label).cast("double"))
         number = lambda c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.col("_middle")[c])
         each = F.array(*[F.struct(F.lit(c).alias("variable"), number(c).alias("x")) for c in numeric])
-        pairs.append(filled.select((bin_of(label) if bin_of else y).alias("y"), F.inline(each)).select("variable", "x", "y"))
+        pairs.append(filled.select(y.alias("y"), F.inline(each)).select("variable", "x", "y"))
     if regression and categorical:
         each = F.array(*[F.struct(F.lit(c).alias("variable"), _category(c).alias("y")) for c in categorical])
         pairs.append(rows.select(F.col(label).cast("double").alias("x"), F.inline(each)).select("variable", "x", "y"))

@@ -7,11 +7,12 @@ exact without that buffer:
 1. one pass: ``count`` and ``percentile_approx`` a little below and above each
    probability; the margin is several times the approximation's rank error
    and at least ``ROWS`` rows, so the wanted order statistics lie between;
-2. one pass: the values inside that band grouped to (value, count), so ties
-   of a hot value collapse into one row, plus one row counting the values
-   below the band. The band is cut into ``SLICES`` equal value ranges: the
-   running total over slices finds the one that holds a rank, and only the
-   values of that slice are ranked one by one.
+2. one pass: the values inside a band grouped to (value, count), so ties of
+   a hot value collapse into one row, and the values of each gap between the
+   bands counted in one row. A value is met once, however many probabilities
+   are asked for; only these counts meet each band. The band is cut into
+   ``SLICES`` equal value ranges: the running total over slices finds the one
+   that holds a rank, and only the values of that slice are ranked one by one.
 
 Columns of a table (``quantiles_columns``) take their brackets from one scalar
 array, so the rows are never shuffled; groups (``quantiles_long``) join them on
@@ -23,6 +24,8 @@ isn't found is an error, never a NULL.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,8 +83,21 @@ def _targets(stats: Column, probs: Sequence[float], grid: list[float]) -> Column
     return F.transform(wanted, target)
 
 
+def _counted(values: DataFrame, keys: list[str], probs: int) -> DataFrame:
+    """``values``: (*keys, _v, _b), a row for each value with the ``probs``
+    brackets of its group. One row (*keys, _v, _c) for each value inside a
+    bracket; values inside none are one row for each run of them that no
+    bracket's start divides, with the smallest."""
+    v = F.col("_v")
+    ends = [(F.get("_b", F.lit(j))["lo"], F.get("_b", F.lit(j))["hi"]) for j in range(probs)]
+    run = sum(((v >= lo).cast("int") for lo, _ in ends), F.lit(0))
+    inside = reduce(or_, [(v >= lo) & (v <= hi) for lo, hi in ends])
+    placed = values.where(v.isNotNull()).select(*keys, "_v", run.alias("_run"), F.when(inside, v).alias("_in"))
+    return placed.groupBy(*keys, "_run", "_in").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_v")).drop("_run", "_in")
+
+
 def _values(joined: DataFrame, targets: DataFrame, keys: list[str], interpolate: bool = True) -> DataFrame:
-    """``joined``: (*keys, _v, p, lo, hi), a row for each value and bracket;
+    """``joined``: (*keys, _v, _c, p, lo, hi), a row for each count and bracket;
     ``targets``: (*keys, p, pos, r0, r1, n). One row (*keys, p, value) each."""
     v, lo, hi = F.col("_v"), F.col("lo"), F.col("hi")
     inside = v >= lo
@@ -89,8 +105,8 @@ def _values(joined: DataFrame, targets: DataFrame, keys: list[str], interpolate:
     part = F.least(F.greatest(F.coalesce(part, F.lit(0)), F.lit(0)), F.lit(SLICES - 1)).cast("int")
     # values above the bracket are dropped, values below it are one row
     band = joined.where(v <= hi).select(
-        *keys, "p", F.when(inside, part).otherwise(F.lit(-1)).alias("_s"), F.when(inside, v).alias("_bv")
-    ).groupBy(*keys, "p", "_s", "_bv").agg(F.count(F.lit(1)).alias("_c"))
+        *keys, "p", F.when(inside, part).otherwise(F.lit(-1)).alias("_s"), F.when(inside, v).alias("_bv"), "_c"
+    ).groupBy(*keys, "p", "_s", "_bv").agg(F.sum("_c").alias("_c"))
     slices = band.groupBy(*keys, "p", "_s").agg(F.sum("_c").alias("_sc"))
     upto = Window.partitionBy(*keys, "p").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)
     slices = slices.withColumn("_before", F.sum("_sc").over(upto) - F.col("_sc"))
@@ -127,23 +143,26 @@ def quantiles_columns(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
     ``interpolate``: the lower one of the two values around the rank).
 
     Two passes over ``df``, no shuffle of its rows: only partial counts and
-    the values inside the brackets (about 1e-4 of them) are exchanged.
+    the values inside the brackets (about 1e-4 of them) are exchanged. The
+    approximations of a column are merged by one task, those of another
+    column by another.
     """
     cols, probs = list(cols), [float(p) for p in probs]
     if not cols:
         return df.sparkSession.createDataFrame([], "variable string, p double, value double")
     grid = _grid(probs)
-    wide = df.select(*[_number(c).alias(f"_c{i}") for i, c in enumerate(cols)])
-    asked = F.lit(grid)  # one literal for all columns: building it costs a call for each number
-    one = wide.agg(*[_stats(F.col(f"_c{i}"), asked).alias(f"_s{i}") for i in range(len(cols))])
-    per_column = F.array(*[F.struct(F.lit(c).alias("variable"), F.lit(i).alias("i"), F.col(f"_s{i}").alias("s")) for i, c in enumerate(cols)])
-    targets = one.select(F.inline(per_column)).select("variable", "i", F.inline(_targets(F.col("s"), probs, grid)))
-    brackets = targets.agg(F.collect_list(F.struct("variable", "i", "p", "lo", "hi")).alias("_b"))
-    values = F.array(*[F.col(f"_c{i}") for i in range(len(cols))]).alias("_values")
-    joined = wide.select(values, F.inline(brackets.scalar())).select(
-        "variable", "p", "lo", "hi", F.get("_values", F.col("i")).alias("_v")
-    )
-    return _values(joined, targets.drop("i", "lo", "hi"), ["variable"], interpolate)
+    values = df.select(F.posexplode(F.array(*[_number(c) for c in cols])).alias("i", "_v"))
+    # exchanged as it is (a row for each column), so the passes below share one merge
+    found = values.groupBy("i").agg(_stats(F.col("_v"), F.lit(grid)).alias("s")).repartition(1)
+    # a column of an empty table is there too
+    names = df.sparkSession.range(0, 1, 1, 1).select(F.posexplode(F.lit(cols)).alias("i", "variable"))
+    targets = names.join(F.broadcast(found), "i", "left").select("variable", "i", _targets(F.col("s"), probs, grid).alias("_b"))
+    brackets = targets.agg(F.array_sort(F.collect_list(F.struct("i", "_b")))["_b"].alias("_b"))
+    counts = _counted(values.withColumn("_b", F.get(brackets.scalar(), F.col("i"))), ["i"], len(probs))
+    each = targets.select("variable", "i", F.inline("_b"))
+    # a row for each column and probability: broadcast
+    joined = counts.join(F.broadcast(each.select("variable", "i", "p", "lo", "hi")), "i").drop("i")
+    return _values(joined, each.drop("i", "lo", "hi"), ["variable"], interpolate)
 
 
 def quantiles_long(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
@@ -160,10 +179,14 @@ def quantiles_long(df: DataFrame, col: str, probs: Sequence[float], by: Sequence
     grid, keys = _grid(probs), list(by)
     src = df.select(*keys, _number(col).alias("_v"))
     stats = src.groupBy(*keys).agg(_stats(F.col("_v"), F.lit(grid)).alias("_s"))
-    targets = stats.select(*keys, F.inline(_targets(F.col("_s"), probs, grid)))
-    brackets = targets.select(*keys, "p", "lo", "hi")
-    joined = _join(src.where(F.col("_v").isNotNull()), F.broadcast(brackets) if few_groups else brackets, keys)
-    return _values(joined, targets.drop("lo", "hi"), keys)
+    targets = stats.select(*keys, _targets(F.col("_s"), probs, grid).alias("_b"))
+    ends = targets.select(*keys, F.transform("_b", lambda t: F.struct(t["lo"].alias("lo"), t["hi"].alias("hi"))).alias("_b"))
+    each = targets.select(*keys, F.inline("_b"))
+    brackets = each.select(*keys, "p", "lo", "hi")
+    if few_groups:
+        ends, brackets = F.broadcast(ends), F.broadcast(brackets)
+    counts = _counted(_join(src.where(F.col("_v").isNotNull()), ends, keys), keys, len(probs))
+    return _values(_join(counts, brackets, keys), each.drop("lo", "hi"), keys)
 
 
 def quantiles_wide(df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -191,19 +191,19 @@ SELECT {", ".join(num)}, COALESCE(categoria, 'desconocido') AS categoria,
 FROM s"""
 
 
-def _stock(spark, sf, h):
-    fs = FE.stock_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), h, items_unique=True)
+def _stock(spark, sf, h, consumo=None):
+    fs = FE.stock_features(consumo or roles.consumo(spark, sf), roles.catalogue(spark, sf), h, items_unique=True)
     return normalise(fs.df, HIST_COLS_NUM + ["cobertura_bruta", "ratio_stock_seguridad"])
 
 
 @query("f4_stock_features_7d", _stock_sql(7))
-def f4_stock_features_7d(spark, sf):
-    return _stock(spark, sf, 7)
+def f4_stock_features_7d(spark, sf, consumo=None):
+    return _stock(spark, sf, 7, consumo)
 
 
 @query("f4_stock_features_14d", _stock_sql(14))
-def f4_stock_features_14d(spark, sf):
-    return _stock(spark, sf, 14)
+def f4_stock_features_14d(spark, sf, consumo=None):
+    return _stock(spark, sf, 14, consumo)
 
 
 def _demand_sql() -> str:
@@ -217,8 +217,8 @@ FROM s WHERE {nn} AND consumo_real IS NOT NULL"""
 
 
 @query("f5_demand_features", _demand_sql())
-def f5_demand_features(spark, sf):
-    fs = FE.demand_features(roles.consumo(spark, sf), roles.catalogue(spark, sf), items_unique=True)
+def f5_demand_features(spark, sf, consumo=None):
+    fs = FE.demand_features(consumo or roles.consumo(spark, sf), roles.catalogue(spark, sf), items_unique=True)
     return normalise(fs.df, HIST_COLS_NUM + ["base_x_ocupacion"])
 
 

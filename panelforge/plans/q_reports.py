@@ -501,10 +501,14 @@ def _a19_sql():
 def a19_signal(spark, sf):
     from .registry import QUERIES
 
+    # tables that several feature sets are built from: derived once
+    pacientes, consumo = materialise(roles.pacientes(spark, sf)), materialise(roles.consumo(spark, sf))
+    built = {"f1_priority_features": {"pacientes": pacientes}, "f2_stay_features": {"pacientes": pacientes}}
+    built |= {name: {"consumo": consumo} for name in ("f4_stock_features_7d", "f4_stock_features_14d", "f5_demand_features")}
     out = None
     for model, name, num, cat, regression in SIGNAL_SETS:
         # three passes over a derived table: written once
-        rows = materialise(QUERIES[name].build(spark, sf).select(*num, *cat, "label"))
+        rows = materialise(QUERIES[name].build(spark, sf, **built.get(name, {})).select(*num, *cat, "label"))
         one = P.mutual_information(rows, "label", num, cat, regression=regression).select(F.lit(model).alias("modelo"), "*")
         out = one if out is None else out.unionByName(one)
     order = Window.partitionBy("modelo").orderBy(F.col("mutual_information").desc(), "variable")  # a row for each feature
@@ -655,13 +659,13 @@ FROM pacientes WHERE {target} IS NOT NULL"""
     _entity_sql(FE.PRIORITY_NUM, "CAST(CASE nivel_prioridad_atencion WHEN 'Bajo' THEN 0 WHEN 'Medio' THEN 1 WHEN 'Alto' THEN 2 END AS INTEGER)",
                 "nivel_prioridad_atencion"),
 )
-def f1_priority_features(spark, sf):
-    return FE.priority_features(roles.pacientes(spark, sf)).df
+def f1_priority_features(spark, sf, pacientes=None):
+    return FE.priority_features(pacientes or roles.pacientes(spark, sf)).df
 
 
 @query("f2_stay_features", _entity_sql(FE.STAY_NUM, "CAST(dias_hospedaje AS DOUBLE)", "dias_hospedaje"))
-def f2_stay_features(spark, sf):
-    return FE.stay_features(roles.pacientes(spark, sf)).df
+def f2_stay_features(spark, sf, pacientes=None):
+    return FE.stay_features(pacientes or roles.pacientes(spark, sf)).df
 
 
 @query(

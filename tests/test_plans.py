@@ -99,3 +99,14 @@ def test_quantiles_do_not_shuffle_the_rows(spark, sf):
         if "FileScan parquet" in line and "l_quantity" in line:
             above = next(x for x in reversed(lines[:i]) if "Exchange" in x or "Aggregate" in x or "Join" in x)
             assert "Exchange" not in above and "SortMergeJoin" not in above, above
+
+
+def test_signal_derives_shared_tables_once(spark, sf, monkeypatch):
+    """A19 has two feature sets of patients and three of the item panel."""
+    from panelforge.plans import roles
+
+    built = []
+    for name in ("panel", "pacientes"):
+        monkeypatch.setattr(roles, name, lambda *a, name=name, f=getattr(roles, name): built.append(name) or f(*a))
+    load_all()["a19_mutual_information"].build(spark, sf)
+    assert sorted(built) == ["pacientes", "panel"]

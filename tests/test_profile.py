@@ -101,6 +101,46 @@ def test_quantiles_of_ties_nulls_and_missing_groups(spark):
     assert [(r.variable, r.value) for r in empty] == [("x", None)]
 
 
+@pytest.mark.parametrize("n", [150, 5000])
+def test_quantiles_whose_brackets_overlap(spark, n):
+    """Close probabilities in any order, on many distinct and on few values:
+    the same value can lie in several brackets, or in the gap between two."""
+    probs = [0.5, 0.1, 0.502, 0.501, 0.9, 0.11, 0.999, 0.0]
+    k = F.col("id") * 7919 % n
+    df = spark.range(n).select(
+        (k - n / 2).cast("double").alias("x"), F.when(k % 3 != 0, k % 4).alias("few"), F.when(k % 2 == 0, -0.0).otherwise(0.0).alias("zero"),
+        F.lit(None).cast("double").alias("none"), F.when(k % 5 == 0, "hot").alias("g"),
+    )
+    pdf = df.drop("g").toPandas().astype("float64")
+    for interpolate, method in ((True, "linear"), (False, "lower")):
+        got = {(r.variable, r.p): r.value for r in quantiles_columns(df, pdf.columns, probs, interpolate).collect()}
+        assert len(got) == len(probs) * 4 and all(got[("none", p)] is None for p in probs)
+        for c in ("x", "few", "zero"):
+            assert [got[(c, p)] for p in probs] == pytest.approx(pdf[c].dropna().quantile(probs, interpolation=method).tolist())
+    got = {(r.g, r.p): r.value for r in quantiles_long(df, "x", probs, by=["g"]).collect()}
+    for g, own in ((None, pdf.x[pdf.x.add(n / 2) % 5 != 0]), ("hot", pdf.x[pdf.x.add(n / 2) % 5 == 0])):
+        assert [got[(g, p)] for p in probs] == pytest.approx(own.quantile(probs).tolist())
+
+
+def _rows_made(plan):
+    """(operator, rows) of every operator that ran."""
+    stages = dict.fromkeys(("ResultQueryStage", "ShuffleQueryStage", "BroadcastQueryStage"), "plan")
+    inner = (stages | {"AdaptiveSparkPlan": "executedPlan"}).get(plan.nodeName())
+    below = [getattr(plan, inner)()] if inner else [plan.children().apply(i) for i in range(plan.children().size())]
+    made = plan.metrics().get("numOutputRows")
+    own = [(plan.nodeName(), made.get().value())] if made.isDefined() else []
+    return own + [x for p in below for x in _rows_made(p)]
+
+
+def test_a_value_is_met_once_whatever_the_probabilities(spark):
+    df = spark.range(20_000).select(F.col("id").cast("double").alias("x"), (F.col("id") % 7).alias("y"))
+    out = quantiles_columns(df, ["x", "y"], [i / 10 for i in range(1, 10)])
+    out.collect()
+    made = _rows_made(out._jdf.queryExecution().executedPlan())
+    # a row for each value; a row for each value and probability would be 360,000
+    assert max(n for _, n in made) == 40_000, made
+
+
 def test_rank_outside_its_bracket_is_an_error(spark, monkeypatch):
     from panelforge.operators import quantiles as Q
 
